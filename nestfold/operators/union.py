@@ -45,7 +45,7 @@ def schema_rows(df: DataFrame):
 
 def schema_diff(spark: SparkSession, a: DataFrame, b: DataFrame) -> DataFrame:
     """Column-by-column comparison of two schemas:
-    ``(column, type_a, type_b, status)`` with status ``same``, ``type``,
+    ``(column_name, type_a, type_b, status)`` with status ``same``, ``type``,
     ``only_a`` or ``only_b``."""
     ta, tb = dict(schema_rows(a)), dict(schema_rows(b))
     rows = []
@@ -53,7 +53,7 @@ def schema_diff(spark: SparkSession, a: DataFrame, b: DataFrame) -> DataFrame:
         x, y = ta.get(name), tb.get(name)
         status = "only_b" if x is None else "only_a" if y is None else "same" if x == y else "type"
         rows.append((name, x, y, status))
-    return spark.createDataFrame(rows, "column string, type_a string, type_b string, status string")
+    return spark.createDataFrame(rows, "column_name string, type_a string, type_b string, status string")
 
 
 def schema_equal(a: DataFrame, b: DataFrame) -> bool:

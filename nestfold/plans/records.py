@@ -70,11 +70,17 @@ def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value) ->
         "l_orderkey", F.ceil(F.col("n_lines") / F.lit(max_lines)).cast("int").alias("n_pages")
     )
     line_hash = F.xxhash64(*[F.col(c) for c in lineitem.columns])
-    paged = lineitem.join(hot, "l_orderkey", "left").withColumn(
-        "page",
-        F.when(F.col("n_pages").isNull(), F.lit(0)).otherwise(F.pmod(line_hash, F.col("n_pages")).cast("int")),
+    paged = lineitem.join(hot, "l_orderkey", "left").select(
+        "l_orderkey",
+        F.when(F.col("n_pages").isNull(), F.lit(0))
+        .otherwise(F.pmod(line_hash, F.col("n_pages")).cast("int"))
+        .alias("page"),
+        value.alias("v"),
     )
-    return paged.groupBy("l_orderkey", "page").agg(F.collect_list(value).alias("items"))
+    # page 0 of a paged order always exists (it carries the order-level
+    # entries), even when no line hashes to it; collect_list skips the NULL
+    zero = hot.select("l_orderkey", F.lit(0).alias("page"), F.lit(None).cast(paged.schema["v"].dataType).alias("v"))
+    return paged.unionByName(zero).groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items"))
 
 
 def order_records(
@@ -176,8 +182,8 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
     Customer comes first for orders with status 'O') and one Line resource per
     line item. With ``faults=True`` some bundles are damaged the way real feeds
     are: priority ``5-LOW`` bundles are truncated (unparsable), status ``P``
-    bundles have a root type other than ``Bundle``, and every bundle carries one
-    entry without a resource.
+    bundles have a root type other than ``Bundle``, every bundle carries one
+    entry without a resource, and page 0 one entry without a request.
     """
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer")
@@ -241,7 +247,14 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
     entries = F.concat(lead, F.array_sort(F.col("line_entries")))
     root_type = F.lit("Bundle")
     if faults:
-        entries = F.concat(entries, F.array(F.lit('{"request":{"url":"Note"}}')))
+        no_request = F.concat(
+            F.lit('{"resource":{"resourceType":"Note","id":"n'), F.col("order_id").cast("string"), F.lit('"}}')
+        )
+        entries = F.concat(
+            entries,
+            F.array(F.lit('{"request":{"url":"Note"}}')),
+            F.when(first, F.array(no_request)).otherwise(F.array().cast("array<string>")),
+        )
         root_type = F.when(F.col("o_orderstatus") == "P", F.lit("Collection")).otherwise(F.lit("Bundle"))
     bundle_id = F.when(first, F.col("order_id").cast("string")).otherwise(
         F.concat_ws("-", F.col("order_id").cast("string"), F.col("page").cast("string"))
