@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, MapType, StringType, StructType
 
+from nestfold.functions.jsontext import to_json_text
 from nestfold.operators.flatten import q
 
 
@@ -20,7 +21,7 @@ def stringify_col(c: Column, dtype, bool_style: str = "json") -> Column:
             return F.when(c, F.lit("True")).when(~c, F.lit("False"))
         return c.cast("string")
     if isinstance(dtype, (StructType, ArrayType, MapType)):
-        return F.to_json(c)
+        return to_json_text(c)
     return c.cast("string")
 
 

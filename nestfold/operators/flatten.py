@@ -23,6 +23,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from nestfold.functions.jsontext import to_json_text
 from pyspark.sql.types import ArrayType, BooleanType, DataType, MapType, StringType, StructType
 
 
@@ -68,7 +69,7 @@ def _leaf_cast(c: Column, dt: DataType, leaf_type: str, bool_style: str) -> Colu
     if isinstance(dt, BooleanType) and bool_style == "python":
         return F.when(c, F.lit("True")).when(~c, F.lit("False"))
     if isinstance(dt, (StructType, ArrayType, MapType)):
-        return F.to_json(c)
+        return to_json_text(c)
     return c.cast("string")
 
 

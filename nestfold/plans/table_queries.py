@@ -22,7 +22,7 @@ from nestfold.plans.flatten_queries import _CROSS_COLS, _LINES_LEFT, _cross_reco
 from nestfold.plans.records import order_records
 from nestfold.plans.registry import register
 from nestfold.session import scratch_path
-from nestfold.sinks.writers import read_csv, read_ndjson, to_json_documents, write_csv, write_ndjson
+from nestfold.sinks.writers import read_csv, read_ndjson, to_json_documents, to_json_text, write_csv, write_ndjson
 from nestfold.sources.tables import table
 
 _FANOUT_SQL = """
@@ -110,7 +110,7 @@ _ORDERS_SCHEMA = StructType(
 def q_json_roundtrip(spark, sf_dir):
     """Rows serialised to JSON text and parsed back."""
     orders = table(spark, sf_dir, "orders")
-    js = orders.select(F.to_json(F.struct(*orders.columns)).alias("j"))
+    js = orders.select(to_json_text(F.struct(*orders.columns)).alias("j"))
     return js.select(F.from_json("j", _ORDERS_SCHEMA).alias("r")).select("r.*")
 
 

@@ -7,6 +7,7 @@ from urllib.parse import unquote
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from nestfold.functions.jsontext import JSON_WRITE_OPTIONS, to_json_text  # noqa: F401
 from nestfold.operators.flatten import flatten, q
 
 
@@ -14,7 +15,7 @@ def write_ndjson(df: DataFrame, path: str, json_col: str | None = None, partitio
     """One JSON object per line. ``json_col`` names a column that already
     holds JSON text (written verbatim); otherwise each row is serialised."""
     if json_col is None:
-        w = df.write.mode(mode)
+        w = df.write.mode(mode).options(**JSON_WRITE_OPTIONS)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.json(path)
@@ -125,7 +126,7 @@ def to_json_documents(df: DataFrame, key: str, rows_per_doc: int = 10000) -> Dat
         F.shiftright(mid, 33).alias("part"), F.floor((mid.bitwiseAND(F.lit((1 << 33) - 1))) / rows_per_doc).alias("n")
     )
     rows = df.select(chunk.alias("doc"), F.struct(*[q(c) for c in df.columns]).alias("r"))
-    return rows.groupBy("doc").agg(F.to_json(F.struct(F.collect_list("r").alias(key))).alias("document"))
+    return rows.groupBy("doc").agg(to_json_text(F.struct(F.collect_list("r").alias(key))).alias("document"))
 
 
 def write_jdbc(df: DataFrame, url: str, table: str, columns=None, mode: str = "append", properties=None):
