@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
+from nestfold.session import tune_session
+
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
 
@@ -16,7 +19,13 @@ def register(name: str, sql: str | None = None):
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = fn
+
+        @functools.wraps(fn)
+        def run(spark, sf_dir):
+            tune_session(spark)
+            return fn(spark, sf_dir.rstrip("/"))
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql.strip()
         return fn

@@ -32,9 +32,31 @@ def builder(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "n
     b = SparkSession.builder.master(master).appName(app)
     for k, v in LOCAL_DEFAULTS.items():
         b = b.config(k, v)
+    for k, v in QUERY_SETTINGS.items():
+        b = b.config(k, v)
     return b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
 
 
+# Join and partition settings every query runs with. The static planner's size
+# estimates come from compressed file sizes and shrink through projections and
+# aggregates, so a multi-gigabyte side can look "small" and be broadcast. Static
+# broadcasting is therefore off; AQE broadcasts a join side only once its
+# shuffle output has been *measured* below the adaptive threshold, and
+# otherwise keeps the shuffle join (splitting skewed partitions).
+QUERY_SETTINGS = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+}
+
+
+def tune_session(spark: SparkSession) -> None:
+    for k, v in QUERY_SETTINGS.items():
+        spark.conf.set(k, v)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
