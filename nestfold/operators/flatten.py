@@ -4,34 +4,46 @@ Two layouts, both planned from ``df.schema`` on the driver and executed as
 plain projections and generators on the executors (no UDF, no shuffle):
 
 * ``mode="explode"`` — every struct is spread into ``parent<sep>child``
-  columns; every array is ``explode_outer``-ed, so sibling arrays multiply
-  rows (a record with arrays of 5 and 9 elements gives 45 rows) and an empty
-  or null array still gives one row of nulls.
+  columns; every array is exploded with ``LATERAL VIEW OUTER explode``, so
+  sibling arrays multiply rows (a record with arrays of 5 and 9 elements gives
+  45 rows) and an empty or null array still gives one row of nulls.
 * ``mode="indexed"`` — arrays are spread into positional columns
   ``a.0.b``, ``a.1.b`` …, one output row per input row. The number of
   positions is data dependent, so one aggregation computes every array's
   maximum width (nested widths via ``transform``), and a second one finds the
   candidate columns that are null everywhere so they can be dropped.
 
+The plan is emitted as one SQL statement over the input frame
+(``spark.sql(..., df=df)``) rather than as hundreds of Column objects: that
+keeps planning a wide schema to a few driver-to-JVM calls.
+
 ``fanout`` computes, per row and without exploding, how many rows the
 explode layout yields — used to check fan-out and to count rows per record.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from nestfold.functions.jsontext import to_json_text
 from pyspark.sql.types import ArrayType, BooleanType, DataType, MapType, StringType, StructType
 
+from nestfold.functions.jsontext import JSON_WRITE_OPTIONS
+
 
 def q(name: str) -> Column:
     """Column reference that is safe for names with dots or backticks."""
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def ident(name: str) -> str:
+    """SQL identifier for any column name."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _join(prefix: str | None, name: str, sep: str) -> str:
     return f"{prefix}{sep}{name}" if prefix else name
 
@@ -59,186 +71,178 @@ def _dedupe(names: list[str], on_collision: str) -> list[str]:
     return out
 
 
-def _leaf_cast(c: Column, dt: DataType, leaf_type: str, bool_style: str) -> Column:
+def _is_empty_struct(dt: DataType) -> bool:
+    return isinstance(dt, StructType) and len(dt.fields) == 0
+
+
+_JSON_OPTS = "map(" + ", ".join(f"{_lit(k)}, {_lit(v)}" for k, v in JSON_WRITE_OPTIONS.items()) + ")"
+
+
+def _leaf_sql(expr: str, dt: DataType, leaf_type: str, bool_style: str) -> str:
     if leaf_type == "native":
-        return c
+        return expr
     if leaf_type != "string":
         raise ValueError("leaf_type must be 'native' or 'string'")
     if isinstance(dt, StringType):
-        return c
+        return expr
     if isinstance(dt, BooleanType) and bool_style == "python":
-        return F.when(c, F.lit("True")).when(~c, F.lit("False"))
+        return f"CASE WHEN {expr} THEN 'True' WHEN NOT {expr} THEN 'False' END"
     if isinstance(dt, (StructType, ArrayType, MapType)):
-        return to_json_text(c)
-    return c.cast("string")
+        return f"to_json({expr}, {_JSON_OPTS})"
+    return f"CAST({expr} AS STRING)"
 
 
-# ---------------------------------------------------------------- explode mode
+def _run_sql(df: DataFrame, select: list[tuple[str, str]], tail: str = "") -> DataFrame:
+    """``SELECT <expr AS name, ...> FROM df AS __src <tail>`` in one call."""
+    cols = ",\n  ".join(f"{e} AS {ident(n)}" for e, n in select)
+    sql = f"SELECT\n  {cols}\nFROM __SRC__ AS __src\n{tail}"
+    # braces are format fields for spark.sql(..., df=df): escape the text's own
+    sql = sql.replace("{", "{{").replace("}", "}}").replace("__SRC__", "{df}")
+    return df.sparkSession.sql(sql, df=df)
 
 
-def _explode_flatten(df: DataFrame, prefix, sep, on_collision, outer=True) -> DataFrame:
-    gen = F.explode_outer if outer else F.explode
-    fields = [f for f in df.schema.fields if not _is_empty_struct(f.dataType)]
-    names = _dedupe([_join(prefix, f.name, sep) for f in fields], on_collision)
-    df = df.select(*[q(f.name).alias(n) for f, n in zip(fields, names)])
-    while True:
-        fields = df.schema.fields
-        if any(isinstance(f.dataType, StructType) for f in fields):
-            # spread every struct at this level in one projection
-            pairs = []
-            for f in fields:
-                if isinstance(f.dataType, StructType):
-                    for sub in f.dataType.fields:
-                        if _is_empty_struct(sub.dataType):
-                            continue
-                        pairs.append((q(f.name).getField(sub.name), _join(f.name, sub.name, sep)))
-                else:
-                    pairs.append((q(f.name), f.name))
-            names = _dedupe([n for _, n in pairs], on_collision)
-            df = df.select(*[c.alias(n) for (c, _), n in zip(pairs, names)])
-            continue
-        arrays = [f for f in fields if isinstance(f.dataType, ArrayType)]
-        if not arrays:
-            return df
-        # one generator per projection (a Spark rule); sibling arrays therefore
-        # multiply rows, exactly the per-record cross product of the layout
-        target = arrays[0].name
-        df = df.select(
-            *[
-                gen(q(f.name)).alias(f.name) if f.name == target else q(f.name)
-                for f in fields
-            ]
-        )
+# ---------------------------------------------------------------- explode mode
 
 
-def _is_empty_struct(dt: DataType) -> bool:
-    return isinstance(dt, StructType) and len(dt.fields) == 0
+def _explode_flatten(df, prefix, sep, on_collision, outer, leaf_type, bool_style) -> DataFrame:
+    leaves: list[tuple[str, str, DataType]] = []
+    laterals: list[str] = []
 
+    def walk(dt, expr, name):
+        if isinstance(dt, StructType):
+            for f in dt.fields:
+                if not _is_empty_struct(f.dataType):
+                    walk(f.dataType, f"{expr}.{ident(f.name)}", _join(name, f.name, sep))
+        elif isinstance(dt, ArrayType):
+            k = len(laterals)
+            laterals.append(
+                f"LATERAL VIEW {'OUTER ' if outer else ''}explode({expr}) __nt{k} AS __nf{k}"
+            )
+            walk(dt.elementType, f"__nt{k}.__nf{k}", name)
+        else:
+            leaves.append((expr, name, dt))
 
-# ---------------------------------------------------------------- indexed mode
+    for f in df.schema.fields:
+        if not _is_empty_struct(f.dataType):
+            walk(f.dataType, f"__src.{ident(f.name)}", _join(prefix, f.name, sep))
+    names = _dedupe([n for _, n, _ in leaves], on_collision)
+    select = [(_leaf_sql(e, dt, leaf_type, bool_style), n) for (e, _, dt), n in zip(leaves, names)]
+    return _run_sql(df, select, "\n".join(laterals))
 
 
-@dataclass
-class _Leaf:
-    steps: tuple  # ("f", name) | ("i", array_id)
-    dtype: DataType
+# ---------------------------------------------------------------- indexed mode
 
 
-@dataclass
-class _Array:
-    aid: int
-    steps: tuple  # path from the root to the array itself (indices as ("i", aid))
+def _arrays(schema: StructType):
+    """Every array of the schema in pre-order: (id, path steps). Steps are
+    ("f", name) for a field and ("e",) for "each element of the array"."""
+    out = []
 
+    def rec(dt, steps):
+        if isinstance(dt, StructType):
+            for f in dt.fields:
+                rec(f.dataType, steps + (("f", f.name),))
+        elif isinstance(dt, ArrayType):
+            out.append((len(out), steps))
+            rec(dt.elementType, steps + (("e",),))
 
-def _walk(dt: DataType, steps: tuple, leaves: list, arrays: list):
-    if isinstance(dt, StructType):
-        for f in dt.fields:
-            _walk(f.dataType, steps + (("f", f.name),), leaves, arrays)
-    elif isinstance(dt, ArrayType):
-        aid = len(arrays)
-        arrays.append(_Array(aid, steps))
-        _walk(dt.elementType, steps + (("i", aid),), leaves, arrays)
-    else:
-        leaves.append(_Leaf(steps, dt))
+    for f in schema.fields:
+        rec(f.dataType, (("f", f.name),))
+    return out
 
 
-def _max_size_expr(cur: Column, steps: tuple) -> Column:
-    """Largest size of the array at the end of ``steps`` over every position of
-    the enclosing arrays, for one row."""
-    for k, (kind, val) in enumerate(steps):
-        if kind == "f":
-            cur = cur.getField(val)
+def _max_size_sql(expr: str, steps: tuple, depth: int = 0) -> str:
+    """Largest size, within one row, of the array reached by ``steps`` over
+    every position of the arrays enclosing it."""
+    for k, step in enumerate(steps):
+        if step[0] == "f":
+            expr = f"{expr}.{ident(step[1])}"
         else:
-            rest = steps[k + 1 :]
-            return F.array_max(F.transform(cur, lambda x: _max_size_expr(x, rest)))
-    return F.size(cur)
-
-
-def array_width_exprs(schema: StructType) -> list[tuple[str, Column]]:
-    """(path, per-row max size) for every array in ``schema``; path uses ``[]``
-    for array elements, e.g. ``lines[].tags``."""
-    leaves: list = []
-    arrays: list = []
-    for f in schema.fields:
-        _walk(f.dataType, (("f", f.name),), leaves, arrays)
-    out = []
-    for a in arrays:
-        root = q(a.steps[0][1])
-        path = _path_label(a.steps)
-        out.append((path, _max_size_expr(root, a.steps[1:])))
-    return out
+            v = f"__e{depth}"
+            inner = _max_size_sql(v, steps[k + 1 :], depth + 1)
+            return f"array_max(transform({expr}, {v} -> {inner}))"
+    return f"size({expr})"
 
 
 def _path_label(steps: tuple) -> str:
-    parts = []
-    for kind, val in steps:
-        if kind == "f":
-            parts.append(val)
+    parts: list[str] = []
+    for step in steps:
+        if step[0] == "f":
+            parts.append(step[1])
         else:
             parts[-1] = parts[-1] + "[]"
     return ".".join(parts)
 
 
-def _accessor(acc: tuple) -> Column:
-    cur = q(acc[0][1])
-    for kind, val in acc[1:]:
-        cur = cur.getField(val) if kind == "f" else F.get(cur, val)
-    return cur
+def array_width_exprs(schema: StructType) -> list[tuple[str, str]]:
+    """(path, per-row max size SQL) for every array; path uses ``[]`` for
+    array elements, e.g. ``lines[].tags``."""
+    out = []
+    for _, steps in _arrays(schema):
+        out.append((_path_label(steps), _max_size_sql(ident(steps[0][1]), steps[1:])))
+    return out
 
 
-def _ordered_candidates(df: DataFrame, widths: dict[int, int]):
-    """Candidate positional columns in record order: for each array, all fields
-    of element 0, then of element 1, …"""
+def _indexed_candidates(schema: StructType, widths: dict[int, int]):
+    """(name parts, SQL accessor, type) of every positional column, in record
+    order: for each array, all fields of element 0, then of element 1, …"""
     out = []
+    counter = [0]
 
-    def rec(dt, name_parts, acc):
+    def skip(dt):
         if isinstance(dt, StructType):
             for f in dt.fields:
-                rec(f.dataType, name_parts + (f.name,), acc + (("f", f.name),))
+                skip(f.dataType)
         elif isinstance(dt, ArrayType):
-            aid = counter[0]
             counter[0] += 1
-            w = widths.get(aid, 0)
-            # the array ids are assigned in the same pre-order as _walk
-            start = counter[0]
-            for i in range(w):
-                counter[0] = start
-                rec(dt.elementType, name_parts + (str(i),), acc + (("i", i),))
-            counter[0] = start
-            _skip(dt.elementType)
-        else:
-            out.append((name_parts, acc, dt))
+            skip(dt.elementType)
 
-    def _skip(dt):
+    def rec(dt, parts, expr):
         if isinstance(dt, StructType):
             for f in dt.fields:
-                _skip(f.dataType)
+                rec(f.dataType, parts + (f.name,), f"{expr}.{ident(f.name)}")
         elif isinstance(dt, ArrayType):
+            aid = counter[0]
             counter[0] += 1
-            _skip(dt.elementType)
+            start = counter[0]
+            for i in range(widths.get(aid, 0)):
+                counter[0] = start  # nested arrays keep their pre-order ids
+                rec(dt.elementType, parts + (str(i),), f"get({expr}, {i})")
+            counter[0] = start
+            skip(dt.elementType)
+        else:
+            out.append((parts, expr, dt))
 
-    counter = [0]
-    for f in df.schema.fields:
-        rec(f.dataType, (f.name,), (("f", f.name),))
+    for f in schema.fields:
+        rec(f.dataType, (f.name,), ident(f.name))
     return out
 
 
-def _indexed_flatten(df, prefix, sep, drop_null_columns, header, on_collision):
-    widths_spec = array_width_exprs(df.schema)
-    widths: dict[int, int] = {}
-    if widths_spec:
-        row = df.agg(*[F.max(e).alias(f"w{i}") for i, (_, e) in enumerate(widths_spec)]).first()
-        widths = {i: int(row[f"w{i}"] or 0) for i in range(len(widths_spec))}
-    cands = _ordered_candidates(df, widths)
+def _agg_first(df: DataFrame, exprs: list[str]):
+    """One global aggregation; the result row has columns a0, a1, …"""
+    return _run_sql(df, [(e, f"a{i}") for i, e in enumerate(exprs)]).first()
+
+
+def _indexed_flatten(df, prefix, sep, drop_null_columns, header, on_collision, leaf_type, bool_style, widths=None):
+    arrays = _arrays(df.schema)
+    if widths is None:
+        widths = {}
+        if arrays:
+            spec = array_width_exprs(df.schema)
+            row = _agg_first(df, [f"max({e})" for _, e in spec])
+            widths = {i: int(row[f"a{i}"] or 0) for i in range(len(spec))}
+    else:
+        labels = {_path_label(steps): aid for aid, steps in arrays}
+        widths = {labels[p]: w for p, w in widths.items()}
+    cands = _indexed_candidates(df.schema, widths)
     names = _dedupe([_join(prefix, sep.join(p), sep) for p, _, _ in cands], on_collision)
-    cols = [(_accessor(acc), n, dt) for (_, acc, dt), n in zip(cands, names)]
-    if drop_null_columns or header == "first":
+    cols = [(e, n, dt) for (_, e, dt), n in zip(cands, names)]
+    if cols and (drop_null_columns or header == "first"):
         probe = df.limit(1) if header == "first" else df
-        counts = probe.agg(
-            *[F.count(c).alias(f"c{i}") for i, (c, _, _) in enumerate(cols)]
-        ).first()
-        cols = [t for i, t in enumerate(cols) if counts[f"c{i}"] > 0]
-    return df.select(*[c.alias(n) for c, n, _ in cols]), [dt for _, _, dt in cols]
+        row = _agg_first(probe, [f"count({e})" for e, _, _ in cols])
+        cols = [t for i, t in enumerate(cols) if row[f"a{i}"] > 0]
+    select = [(_leaf_sql(e, dt, leaf_type, bool_style), n) for e, n, dt in cols]
+    return _run_sql(df, select)
 
 
 # ---------------------------------------------------------------- public API
@@ -255,36 +259,32 @@ def flatten(
     drop_null_columns: bool | None = None,
     header: str = "union",
     outer: bool = True,
+    widths: dict[str, int] | None = None,
 ) -> DataFrame:
     """Flatten every nested column of ``df``.
 
     ``prefix`` names the record type (``Patient`` gives ``Patient_name_given``);
     ``sep`` defaults to ``_`` for explode and ``.`` for indexed.
-    ``leaf_type="string"`` casts every leaf to text (booleans as ``True`` /
-    ``False`` with ``bool_style="python"``). ``header="first"`` keeps only the
-    positional columns the first record has (the CSV-tool behaviour).
-    ``outer=False`` explodes with inner semantics: a row with an empty or null
-    array yields nothing.
+    ``leaf_type="string"`` casts every leaf to text (booleans as ``true`` /
+    ``false``, or ``True`` / ``False`` with ``bool_style="python"``).
+    ``header="first"`` keeps only the positional columns the first record has
+    (the CSV-tool behaviour). ``outer=False`` explodes with inner semantics: a
+    row with an empty or null array yields nothing. ``widths`` (indexed only)
+    gives the positions per array path (``{"lines": 13, "lines[].tags": 4}``)
+    instead of measuring them — required on a stream, where no aggregation can
+    run before the projection.
     """
     if mode == "explode":
         sep = "_" if sep is None else sep
-        out = _explode_flatten(df, prefix, sep, on_collision, outer)
-        dtypes = [f.dataType for f in out.schema.fields]
+        out = _explode_flatten(df, prefix, sep, on_collision, outer, leaf_type, bool_style)
         if drop_null_columns:
             out = drop_null_cols(out)
-            dtypes = [f.dataType for f in out.schema.fields]
-    elif mode == "indexed":
+        return out
+    if mode == "indexed":
         sep = "." if sep is None else sep
-        out, dtypes = _indexed_flatten(
-            df, prefix, sep, True if drop_null_columns is None else drop_null_columns, header, on_collision
-        )
-    else:
-        raise ValueError("mode must be 'explode' or 'indexed'")
-    if leaf_type != "native":
-        out = out.select(
-            *[_leaf_cast(q(f.name), f.dataType, leaf_type, bool_style).alias(f.name) for f in out.schema.fields]
-        )
-    return out
+        drop = (widths is None) if drop_null_columns is None else drop_null_columns
+        return _indexed_flatten(df, prefix, sep, drop, header, on_collision, leaf_type, bool_style, widths)
+    raise ValueError("mode must be 'explode' or 'indexed'")
 
 
 def drop_null_cols(df: DataFrame) -> DataFrame:
@@ -292,29 +292,9 @@ def drop_null_cols(df: DataFrame) -> DataFrame:
     fields = df.schema.fields
     if not fields:
         return df
-    row = df.agg(*[F.count(q(f.name)).alias(f"c{i}") for i, f in enumerate(fields)]).first()
-    keep = [f.name for i, f in enumerate(fields) if row[f"c{i}"] > 0]
-    return df.select(*[q(n) for n in keep])
-
-
-def _rows_expr(c: Column, dt: DataType) -> Column:
-    """Rows the explode layout produces for value ``c`` of type ``dt``."""
-    if isinstance(dt, StructType):
-        parts = [_rows_expr(c.getField(f.name), f.dataType) for f in dt.fields if _has_array(f.dataType)]
-        if not parts:
-            return F.lit(1).cast("long")
-        out = parts[0]
-        for p in parts[1:]:
-            out = out * p
-        return out
-    if isinstance(dt, ArrayType):
-        et = dt.elementType
-        if _has_array(et):
-            total = F.aggregate(F.transform(c, lambda x: _rows_expr(x, et)), F.lit(0).cast("long"), lambda a, b: a + b)
-        else:
-            total = F.size(c).cast("long")
-        return F.greatest(F.coalesce(total, F.lit(0).cast("long")), F.lit(1).cast("long"))
-    return F.lit(1).cast("long")
+    row = _agg_first(df, [f"count({ident(f.name)})" for f in fields])
+    keep = [f.name for i, f in enumerate(fields) if row[f"a{i}"] > 0]
+    return df.selectExpr(*[ident(n) for n in keep])
 
 
 def _has_array(dt: DataType) -> bool:
@@ -325,9 +305,28 @@ def _has_array(dt: DataType) -> bool:
     return False
 
 
+def _rows_sql(expr: str, dt: DataType, depth: int = 0) -> str:
+    """SQL for the rows the explode layout produces from value ``expr``."""
+    if isinstance(dt, StructType):
+        parts = [
+            _rows_sql(f"{expr}.{ident(f.name)}", f.dataType, depth) for f in dt.fields if _has_array(f.dataType)
+        ]
+        return " * ".join(f"({p})" for p in parts) if parts else "1L"
+    if isinstance(dt, ArrayType):
+        et = dt.elementType
+        if _has_array(et):
+            v = f"__r{depth}"
+            total = f"aggregate(transform({expr}, {v} -> {_rows_sql(v, et, depth + 1)}), 0L, (__a, __b) -> __a + __b)"
+        else:
+            total = f"CAST(size({expr}) AS BIGINT)"
+        return f"greatest(coalesce({total}, 0L), 1L)"
+    return "1L"
+
+
 def fanout_expr(df: DataFrame) -> Column:
     """Per-row number of rows ``flatten(df, mode="explode")`` yields."""
-    return _rows_expr(F.struct(*[q(f.name) for f in df.schema.fields]), df.schema)
+    parts = [_rows_sql(ident(f.name), f.dataType) for f in df.schema.fields if _has_array(f.dataType)]
+    return F.expr(" * ".join(f"({p})" for p in parts) if parts else "1L")
 
 
 def fanout(df: DataFrame, name: str = "n_rows") -> DataFrame:
@@ -340,8 +339,8 @@ def array_widths(df: DataFrame) -> DataFrame:
     spec = array_width_exprs(df.schema)
     if not spec:
         return df.sparkSession.createDataFrame([], "path string, max_width int")
-    agg = df.agg(*[F.coalesce(F.max(e), F.lit(0)).alias(f"w{i}") for i, (_, e) in enumerate(spec)])
-    stacked = F.explode(
-        F.array(*[F.struct(F.lit(p).alias("path"), F.col(f"w{i}").alias("max_width")) for i, (p, _) in enumerate(spec)])
-    )
-    return agg.select(stacked.alias("s")).select("s.path", "s.max_width")
+    agg = df.agg(*[F.expr(f"coalesce(max({e}), 0)").alias(f"w{i}") for i, (_, e) in enumerate(spec)])
+    stacked = "explode(array(" + ", ".join(
+        f"named_struct('path', {_lit(p)}, 'max_width', w{i})" for i, (p, _) in enumerate(spec)
+    ) + ")) AS s"
+    return agg.selectExpr(stacked).selectExpr("s.path", "s.max_width")
