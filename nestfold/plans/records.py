@@ -63,9 +63,10 @@ def order_stats(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value) -> DataFrame:
+def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value, with_page0: bool = False) -> DataFrame:
     """Group ``value`` (a per-line column) into (order, page) arrays of about
-    ``max_lines`` elements."""
+    ``max_lines`` elements. ``with_page0`` guarantees every paged order a page
+    0 (possibly empty), for callers that attach order-level data to it."""
     hot = stats.where(F.col("n_lines") > max_lines).select(
         "l_orderkey", F.ceil(F.col("n_lines") / F.lit(max_lines)).cast("int").alias("n_pages")
     )
@@ -77,10 +78,11 @@ def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value) ->
         .alias("page"),
         value.alias("v"),
     )
-    # page 0 of a paged order always exists (it carries the order-level
-    # entries), even when no line hashes to it; collect_list skips the NULL
-    zero = hot.select("l_orderkey", F.lit(0).alias("page"), F.lit(None).cast(paged.schema["v"].dataType).alias("v"))
-    return paged.unionByName(zero).groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items"))
+    if with_page0:
+        # page 0 exists even when no line hashes to it; collect_list skips the NULL
+        zero = hot.select("l_orderkey", F.lit(0).alias("page"), F.lit(None).cast(paged.schema["v"].dataType).alias("v"))
+        paged = paged.unionByName(zero)
+    return paged.groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items"))
 
 
 def order_records(
@@ -219,7 +221,7 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
         _day("l_shipdate").alias("shipdate"),
     )
     stats = order_stats(li)
-    pages = paged_lines(li, stats, max_lines, _entry_json("Line", line_res))
+    pages = paged_lines(li, stats, max_lines, _entry_json("Line", line_res), with_page0=True)
     head = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left").select(
         F.col("o_orderkey"),
         F.col("o_orderstatus"),
