@@ -260,6 +260,7 @@ def flatten(
     header: str = "union",
     outer: bool = True,
     widths: dict[str, int] | None = None,
+    materialize: bool = False,
 ) -> DataFrame:
     """Flatten every nested column of ``df``.
 
@@ -272,7 +273,10 @@ def flatten(
     row with an empty or null array yields nothing. ``widths`` (indexed only)
     gives the positions per array path (``{"lines": 13, "lines[].tags": 4}``)
     instead of measuring them — required on a stream, where no aggregation can
-    run before the projection.
+    run before the projection. ``materialize=True`` (indexed only) first writes
+    the input as a reliable checkpoint below ``spark.checkpoint.dir``, so an
+    expensive input is computed once instead of once per pass (widths,
+    non-null columns, projection).
     """
     if mode == "explode":
         sep = "_" if sep is None else sep
@@ -282,6 +286,11 @@ def flatten(
         return out
     if mode == "indexed":
         sep = "." if sep is None else sep
+        if materialize and widths is None:
+            from nestfold.session import checkpoint_root
+
+            checkpoint_root(df.sparkSession)  # make sure a checkpoint folder is set
+            df = df.checkpoint(eager=True)
         drop = (widths is None) if drop_null_columns is None else drop_null_columns
         return _indexed_flatten(df, prefix, sep, drop, header, on_collision, leaf_type, bool_style, widths)
     raise ValueError("mode must be 'explode' or 'indexed'")

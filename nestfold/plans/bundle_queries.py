@@ -9,18 +9,21 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 from nestfold.operators.entries import bundle_stats, explode_entries, first_type, out_path, select_types, type_counts
 from nestfold.plans.records import bundle_texts
 from nestfold.plans.registry import register
-from nestfold.session import scratch_path
+from nestfold.session import landed, scratch_path
 from nestfold.sinks.writers import read_ndjson, write_by_type, write_ndjson
 from nestfold.sources.bundles import read_bundles
 from nestfold.sources.files import list_files, source_files
 
 
 def land_bundles(spark, sf_dir, faults=False):
-    """Write the bundles derived from the tables as NDJSON files below the
-    shared scratch folder; return the folder."""
-    path = scratch_path(spark, "bundles")
-    bundle_texts(spark, sf_dir, faults=faults).select("value").write.text(path)
-    return path
+    """The bundles derived from the tables, landed as NDJSON files below the
+    shared scratch folder (once per session); returns the folder."""
+    return landed(
+        spark,
+        "bundles",
+        (sf_dir, faults),
+        lambda path: bundle_texts(spark, sf_dir, faults=faults).select("value").write.text(path),
+    )
 
 
 def landed_entries(spark, sf_dir, faults=False):
@@ -163,8 +166,8 @@ SELECT 'Line', count(*), 11 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_
 def q_write_by_type(spark, sf_dir):
     """Entries → one flat Parquet table per record type (schema inferred per
     type), read back: rows and columns per table."""
-    entries, path = landed_entries(spark, sf_dir)
-    paths = write_by_type(entries, path + "-by-type")
+    entries, _ = landed_entries(spark, sf_dir)
+    paths = write_by_type(entries, scratch_path(spark, "by-type"))
     parts = []
     for t, p in sorted(paths.items()):
         df = spark.read.parquet(p)
@@ -194,8 +197,8 @@ FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 def q_bundles_to_tables(spark, sf_dir):
     """Bundle files → split by type → flatten → Parquet per type; the Line
     table read back."""
-    entries, path = landed_entries(spark, sf_dir)
-    paths = write_by_type(select_types(entries, exclude=["Customer"]), path + "-tables")
+    entries, _ = landed_entries(spark, sf_dir)
+    paths = write_by_type(select_types(entries, exclude=["Customer"]), scratch_path(spark, "tables"))
     return spark.read.parquet(paths["Line"])
 
 
@@ -223,8 +226,8 @@ FROM orders
 def q_ndjson_roundtrip(spark, sf_dir):
     """Entries written as JSON lines partitioned by type; the Order folder read
     back with its declared schema."""
-    entries, path = landed_entries(spark, sf_dir)
-    out = write_ndjson(entries, path + "-ndjson", json_col="res_data", partition_by=["res_name"])
+    entries, _ = landed_entries(spark, sf_dir)
+    out = write_ndjson(entries, scratch_path(spark, "ndjson"), json_col="res_data", partition_by=["res_name"])
     return read_ndjson(spark, f"{out}/res_name=Order", schema=ORDER_JSON)
 
 

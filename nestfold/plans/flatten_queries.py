@@ -127,7 +127,7 @@ def q_flatten_indexed(spark, sf_dir):
     """Arrays spread to positional columns ``lines.<i>.<field>``, one row per
     record; the width comes from one aggregation over the data."""
     recs = order_records(spark, sf_dir, flags=False, sort_lines=True, line_fields=["linenumber", "quantity"])
-    return flatten(recs.select("id", "lines"), mode="indexed")
+    return flatten(recs.select("id", "lines"), mode="indexed", materialize=True)
 
 
 @register(

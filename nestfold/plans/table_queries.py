@@ -21,7 +21,7 @@ from nestfold.operators.union import conform, read_drifting_parquet, schema_diff
 from nestfold.plans.flatten_queries import _CROSS_COLS, _LINES_LEFT, _cross_records
 from nestfold.plans.records import order_records
 from nestfold.plans.registry import register
-from nestfold.session import scratch_path
+from nestfold.session import landed, scratch_path
 from nestfold.sinks.writers import read_csv, read_ndjson, to_json_documents, to_json_text, write_csv, write_ndjson
 from nestfold.sources.tables import table
 
@@ -57,8 +57,7 @@ _DOC_SCHEMA = StructType(
 
 
 def _documents_csv(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
-    return write_csv(docs, scratch_path(spark, "documents-csv"))
+    return landed(spark, "documents-csv", (sf_dir,), lambda p: write_csv(table(spark, sf_dir, "documents"), p))
 
 
 @register("q_csv_roundtrip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
@@ -185,11 +184,14 @@ _DRIFT = {
 
 
 def _land_drift(spark, sf_dir):
-    orders = table(spark, sf_dir, "orders")
-    root = scratch_path(spark, "drift")
-    for status, cols in _DRIFT.items():
-        orders.where(F.col("o_orderstatus") == status).select(*cols).write.parquet(f"{root}/part_{status}")
-    return root
+    """Three Parquet parts of ``orders`` with drifting columns (once per session)."""
+
+    def write(root):
+        orders = table(spark, sf_dir, "orders")
+        for status, cols in _DRIFT.items():
+            orders.where(F.col("o_orderstatus") == status).select(*cols).write.parquet(f"{root}/part_{status}")
+
+    return landed(spark, "drift", (sf_dir,), write)
 
 
 @register(

@@ -76,6 +76,39 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def _fs_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs_path(spark, path)
+    return fs.exists(p)
+
+
+def mark_done(spark: SparkSession, folder: str) -> None:
+    p, fs = _fs_path(spark, folder.rstrip("/") + "/_LANDED")
+    fs.create(p, True).close()
+
+
+_LANDED: dict[tuple, str] = {}
+
+
+def landed(spark: SparkSession, name: str, key: tuple, write) -> str:
+    """A derived input written once per session below the shared folder and
+    reused while it exists (``write(path)`` writes it). Stands in for a
+    landing zone that external producers fill."""
+    k = (spark.sparkContext.applicationId, checkpoint_root(spark), name) + tuple(key)
+    path = _LANDED.get(k)
+    if path is not None and path_exists(spark, path + "/_LANDED"):
+        return path
+    path = scratch_path(spark, name)
+    write(path)
+    mark_done(spark, path)
+    _LANDED[k] = path
+    return path
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path below the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/nestfold/{name}-{uuid.uuid4().hex[:12]}"

@@ -77,9 +77,15 @@ def write_types(entries: DataFrame, out: str, mode: str = "overwrite") -> list[s
         F.lit("}"),
     )
     entries.select("res_name", text.alias("value")).write.mode(mode).partitionBy("res_name").text(raw)
-    # the types are the partition folders just written: a file listing, not a scan
-    files = entries.sparkSession.read.text(raw).inputFiles()
-    found = {unquote(f.split("/res_name=", 1)[1].split("/", 1)[0]) for f in files if "/res_name=" in f}
+    # the types are the partition folders just written: one directory listing
+    jvm = entries.sparkSession.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(raw)
+    fs = root.getFileSystem(entries.sparkSession.sparkContext._jsc.hadoopConfiguration())
+    found = set()
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("res_name="):
+            found.add(unquote(name[len("res_name=") :]))
     found.discard("__HIVE_DEFAULT_PARTITION__")  # entries without a type stay in _raw only
     return sorted(found)
 
