@@ -14,7 +14,6 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
-from nestfold.plans.records import bundle_texts
 from nestfold.plans.registry import register
 from nestfold.session import scratch_path
 from nestfold.sinks.writers import to_json_text
@@ -104,8 +103,9 @@ FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 def q_stream_bundles(spark, sf_dir):
     """Bundles landing as files, continuously split: the Line entries parsed
     with their declared schema, flattened and appended."""
-    landing = scratch_path(spark, "landing-bundles")
-    bundle_texts(spark, sf_dir).select("value").repartition(LANDED_FILES).write.text(landing)
+    from nestfold.plans.bundle_queries import land_bundles
+
+    landing = land_bundles(spark, sf_dir)
     out = scratch_path(spark, "lines-flat")
     _run(stream_bundles(spark, landing, out, "Line", LINE_JSON, scratch_path(spark, "ckpt-bundles")))
     return spark.read.parquet(out)

@@ -371,6 +371,38 @@ def q_bundles_to_csv(spark, sf_dir):
     recs = recs.select("id", F.transform("lines", lambda x: F.struct(x["linenumber"].alias("linenumber"), x["partkey"].alias("partkey"))).alias("lines"))
     nd = write_ndjson(recs, scratch_path(spark, "orders-ndjson"))
     back = read_ndjson(spark, nd, primitives_as_string=True)
-    flat = flatten(back, mode="indexed")
+    flat = flatten(back, mode="indexed", materialize=True)
     out = write_csv(flat, scratch_path(spark, "orders-csv"))
     return read_csv(spark, out)
+
+
+@register(
+    "q_sql_target_rows",
+    """
+SELECT CAST(o.o_orderkey AS VARCHAR) AS id,
+       coalesce(CAST(l.l_linenumber AS VARCHAR), 'NULL') AS "lines.0.linenumber",
+       coalesce(CAST(l.l_partkey AS VARCHAR), 'NULL') AS "lines.0.partkey"
+FROM orders o LEFT JOIN (
+  SELECT l_orderkey, l_linenumber, l_partkey,
+         row_number() OVER (PARTITION BY l_orderkey
+                            ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) AS rn
+  FROM lineitem) l ON l.l_orderkey = o.o_orderkey AND l.rn = 1
+""",
+)
+def q_sql_target_rows(spark, sf_dir):
+    """The three-column load of a SQL target: three dotted columns of an
+    indexed flat, conformed to the target's column list and printed with
+    NULLs spelled out (what a fetch loop prints)."""
+    recs = order_records(spark, sf_dir, flags=False, sort_lines=True, line_fields=["linenumber", "partkey", "suppkey"])
+    recs = recs.select(
+        "id",
+        F.transform("lines", lambda x: F.struct(x["linenumber"].alias("linenumber"), x["partkey"].alias("partkey"))).alias(
+            "lines"
+        ),
+    )
+    flat = flatten(recs, mode="indexed", materialize=True)
+    return null_render(conform(flat, SQL_TARGET_ROWS))
+
+
+# Target columns of the three-column load for the order flat.
+SQL_TARGET_ROWS = ["id", "lines.0.linenumber", "lines.0.partkey"]

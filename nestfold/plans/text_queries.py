@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from nestfold.functions.text import decode_bom, filter_paths, normalise_newlines, wrap_text
 from nestfold.plans.registry import register
-from nestfold.session import scratch_path
+from nestfold.session import landed, scratch_path
+from nestfold.sources.files import list_files
 from nestfold.sources.tables import table
 
 HEADER = "/* Copyright header */\n"
@@ -84,3 +85,22 @@ def q_text_rewrite(spark, sf_dir):
     out = scratch_path(spark, "rewritten")
     selected.select("page_id", "url", text.alias("text")).write.parquet(out)
     return spark.read.parquet(out)
+
+
+@register(
+    "q_tree_walk",
+    """
+SELECT regexp_extract(url, '://([^/]+)', 1) AS host, CAST(sum(strlen(html) + 1) AS BIGINT) AS n_bytes
+FROM pages GROUP BY 1
+""",
+)
+def q_tree_walk(spark, sf_dir):
+    """Recursive walk of a file tree (one folder per host): every file found,
+    its size summed per folder; file contents are not read."""
+    pages = table(spark, sf_dir, "pages").select(
+        F.regexp_extract("url", "://([^/]+)", 1).alias("host"), "html"
+    )
+    root = landed(spark, "page-tree", (sf_dir,), lambda p: pages.write.partitionBy("host").text(p))
+    files = list_files(spark, root)
+    host = F.regexp_extract("path", "/host=([^/]+)/[^/]*$", 1)
+    return files.groupBy(host.alias("host")).agg(F.sum("length").alias("n_bytes"))
