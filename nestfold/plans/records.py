@@ -63,15 +63,38 @@ def order_stats(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value, with_page0: bool = False) -> DataFrame:
-    """Group ``value`` (a per-line column) into (order, page) arrays of about
-    ``max_lines`` elements. ``with_page0`` guarantees every paged order a page
-    0 (possibly empty), for callers that attach order-level data to it."""
+# Largest hot-order set (rows of (order, page count)) shipped to every task as
+# a broadcast; it is *counted* before the decision. Beyond it the lines are
+# joined by shuffle and then re-partitioned on (order, page).
+HOT_BROADCAST_MAX_ROWS = 2_000_000
+
+
+def hot_orders(stats: DataFrame, max_lines: int) -> tuple[DataFrame, int]:
+    """Orders with more than ``max_lines`` lines and their page counts, and
+    how many there are (one small job: the per-order counts aggregate
+    map-side)."""
     hot = stats.where(F.col("n_lines") > max_lines).select(
         "l_orderkey", F.ceil(F.col("n_lines") / F.lit(max_lines)).cast("int").alias("n_pages")
     )
+    return hot, hot.count()
+
+
+def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value, with_page0: bool = False) -> DataFrame:
+    """Group ``value`` (a per-line column) into (order, page) arrays of about
+    ``max_lines`` elements. ``with_page0`` guarantees every paged order a page
+    0 (possibly empty), for callers that attach order-level data to it.
+
+    No hot order: one shuffle on the order key, no join. A counted, small hot
+    set: broadcast, and the aggregation shuffles on (order, page), which
+    spreads a hot order's pages over tasks. A large hot set: shuffle join,
+    then an explicit re-partition on (order, page)."""
+    hot, n_hot = hot_orders(stats, max_lines)
+    if n_hot == 0:
+        paged = lineitem.select("l_orderkey", F.lit(0).alias("page"), value.alias("v"))
+        return paged.groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items"))
     line_hash = F.xxhash64(*[F.col(c) for c in lineitem.columns])
-    paged = lineitem.join(hot, "l_orderkey", "left").select(
+    side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_MAX_ROWS else hot
+    paged = lineitem.join(side, "l_orderkey", "left").select(
         "l_orderkey",
         F.when(F.col("n_pages").isNull(), F.lit(0))
         .otherwise(F.pmod(line_hash, F.col("n_pages")).cast("int"))
@@ -82,6 +105,8 @@ def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value, wi
         # page 0 exists even when no line hashes to it; collect_list skips the NULL
         zero = hot.select("l_orderkey", F.lit(0).alias("page"), F.lit(None).cast(paged.schema["v"].dataType).alias("v"))
         paged = paged.unionByName(zero)
+    if n_hot > HOT_BROADCAST_MAX_ROWS:
+        paged = paged.repartition("l_orderkey", "page")
     return paged.groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items"))
 
 
@@ -128,10 +153,15 @@ def order_records(
     if lines:
         pages = paged_lines(li, stats.withColumnRenamed("id", "l_orderkey"), max_lines, _line_struct(line_fields))
         pages = pages.select(F.col("l_orderkey").alias("id"), "page", F.col("items").alias("lines"))
-        out = out.join(pages, "id", "left")
-        arr = F.coalesce(F.col("lines"), F.array().cast(pages.schema["lines"].dataType))
-        out = out.withColumn("lines", F.array_sort(arr) if sort_lines else arr)
-        out = out.withColumn("page", F.coalesce(F.col("page"), F.lit(0)))
+        # inner join: AQE may split a hot order's many pages over tasks (a
+        # skewed partition on the non-preserved side of an outer join cannot be
+        # split); orders without lines are added back as empty records
+        with_lines = out.where(F.col("n_lines").isNotNull()).join(pages, "id", "inner")
+        empty = F.array().cast(pages.schema["lines"].dataType)
+        without = out.where(F.col("n_lines").isNull()).withColumn("page", F.lit(0)).withColumn("lines", empty)
+        out = with_lines.unionByName(without)
+        if sort_lines:
+            out = out.withColumn("lines", F.array_sort("lines"))
     else:
         out = out.withColumn("page", F.lit(0))
     if flags:
@@ -220,23 +250,39 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
         F.col("l_returnflag").alias("returnflag"),
         _day("l_shipdate").alias("shipdate"),
     )
-    stats = order_stats(li)
-    pages = paged_lines(li, stats, max_lines, _entry_json("Line", line_res), with_page0=True)
-    head = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left").select(
-        F.col("o_orderkey"),
-        F.col("o_orderstatus"),
-        F.col("o_orderpriority"),
-        _entry_json("Order", order_res).alias("order_entry"),
-        F.when(F.col("c_custkey").isNotNull(), _entry_json("Customer", cust_res)).alias("cust_entry"),
+    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    pages = paged_lines(li, counts, max_lines, _entry_json("Line", line_res), with_page0=True)
+    head = (
+        orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(counts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+        .select(
+            F.col("o_orderkey"),
+            F.col("o_orderstatus"),
+            F.col("o_orderpriority"),
+            F.col("n_lines"),
+            _entry_json("Order", order_res).alias("order_entry"),
+            F.when(F.col("c_custkey").isNotNull(), _entry_json("Customer", cust_res)).alias("cust_entry"),
+        )
+    )
+    # inner join (a hot order's pages can be split over tasks), lineless
+    # orders added back with no line entries
+    with_lines = head.where(F.col("n_lines").isNotNull()).join(
+        pages, F.col("o_orderkey") == F.col("l_orderkey"), "inner"
+    )
+    without = (
+        head.where(F.col("n_lines").isNull())
+        .withColumn("page", F.lit(0))
+        .withColumn("items", F.array().cast("array<string>"))
     )
-    b = head.join(pages, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
+    cols = ["o_orderkey", "page", "o_orderstatus", "o_orderpriority", "order_entry", "cust_entry", "items"]
+    b = with_lines.select(*cols).unionByName(without.select(*cols)).select(
         F.col("o_orderkey").alias("order_id"),
-        F.coalesce(F.col("page"), F.lit(0)).alias("page"),
+        "page",
         "o_orderstatus",
         "o_orderpriority",
         "order_entry",
         "cust_entry",
-        F.coalesce(F.col("items"), F.array().cast("array<string>")).alias("line_entries"),
+        F.col("items").alias("line_entries"),
     )
     first = F.col("page") == 0
     lead = F.when(

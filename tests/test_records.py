@@ -44,3 +44,17 @@ def test_order_records_plan_has_no_static_broadcast(spark):
     tune_session(spark)
     plan = order_records(spark, SF001)._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastExchange" not in plan
+
+
+def test_large_hot_set_takes_the_shuffle_path(spark, monkeypatch):
+    import nestfold.plans.records as records
+
+    fields = ["linenumber", "quantity", "partkey", "suppkey", "shipdate"]
+    whole = order_records(spark, SF001, flags=False, line_fields=fields)
+    monkeypatch.setattr(records, "HOT_BROADCAST_MAX_ROWS", 0)
+    paged = order_records(spark, SF001, flags=False, line_fields=fields, max_lines=2)
+    plan = paged._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastExchange" not in plan
+    a = flatten(whole.select("id", "lines"), prefix="Order")
+    b = flatten(paged.select("id", "lines"), prefix="Order")
+    assert _rows(a) == _rows(b)
