@@ -28,8 +28,13 @@ LOCAL_DEFAULTS = {
 }
 
 
-def builder(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "nestfold"):
+def builder(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "nestfold", extra: dict | None = None):
+    """Session builder for local runs. ``extra`` adds settings, e.g. the SQL
+    extension and catalog of a lake-table format when its package is on the
+    class path."""
     b = SparkSession.builder.master(master).appName(app)
+    for k, v in (extra or {}).items():
+        b = b.config(k, v)
     for k, v in LOCAL_DEFAULTS.items():
         b = b.config(k, v)
     for k, v in QUERY_SETTINGS.items():

@@ -35,3 +35,25 @@ def test_stream_bundles_equals_batch(spark):
     got = spark.read.parquet(out)
     assert got.count() == spark.read.parquet(f"{SF001}/lineitem.parquet").count()
     assert "Line_orderkey" in got.columns and "_bundle_id" in got.columns
+
+
+def test_indexed_flatten_on_a_stream_with_declared_widths(spark, localdir):
+    import json
+    import os
+
+    from pyspark.sql import functions as F
+
+    from nestfold.operators.flatten import flatten
+
+    src = os.path.join(localdir, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as f:
+        f.write(json.dumps({"id": "1", "tags": ["x", "y"]}) + "\n" + json.dumps({"id": "2", "tags": []}) + "\n")
+    schema = "id string, tags array<string>"
+    stream = spark.readStream.text(src).select(F.from_json("value", schema).alias("r")).select("r.*")
+    flat = flatten(stream, mode="indexed", widths={"tags": 3})
+    assert flat.columns == ["id", "tags.0", "tags.1", "tags.2"]
+    out, ckpt = scratch_path(spark, "t-idx"), scratch_path(spark, "t-idx-ckpt")
+    flat.writeStream.format("parquet").option("checkpointLocation", ckpt).trigger(availableNow=True).start(out).awaitTermination()
+    rows = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    assert rows == [("1", "x", "y", None), ("2", None, None, None)]
