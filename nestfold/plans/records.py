@@ -89,25 +89,29 @@ def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value, wi
     spreads a hot order's pages over tasks. A large hot set: shuffle join,
     then an explicit re-partition on (order, page)."""
     hot, n_hot = hot_orders(stats, max_lines)
+    # The raw line columns are shuffled on (order, page) first and the values
+    # built and listed after the shuffle: a partial collect_list reduces
+    # nothing, and this way the per-line work runs in the (many) reduce tasks
+    # even when the input has few splits. Still exactly one shuffle of lines.
+    v_type = lineitem.select(value.alias("v")).schema["v"].dataType
     if n_hot == 0:
-        paged = lineitem.select("l_orderkey", F.lit(0).alias("page"), value.alias("v"))
-        return paged.groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items"))
-    line_hash = F.xxhash64(*[F.col(c) for c in lineitem.columns])
-    side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_MAX_ROWS else hot
-    paged = lineitem.join(side, "l_orderkey", "left").select(
-        "l_orderkey",
-        F.when(F.col("n_pages").isNull(), F.lit(0))
-        .otherwise(F.pmod(line_hash, F.col("n_pages")).cast("int"))
-        .alias("page"),
-        value.alias("v"),
-    )
-    if with_page0:
-        # page 0 exists even when no line hashes to it; collect_list skips the NULL
-        zero = hot.select("l_orderkey", F.lit(0).alias("page"), F.lit(None).cast(paged.schema["v"].dataType).alias("v"))
-        paged = paged.unionByName(zero)
-    if n_hot > HOT_BROADCAST_MAX_ROWS:
-        paged = paged.repartition("l_orderkey", "page")
-    return paged.groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items"))
+        paged = lineitem.withColumn("page", F.lit(0))
+    else:
+        line_hash = F.xxhash64(*[F.col(c) for c in lineitem.columns])
+        side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_MAX_ROWS else hot
+        paged = lineitem.join(side, "l_orderkey", "left").withColumn(
+            "page",
+            F.when(F.col("n_pages").isNull(), F.lit(0)).otherwise(F.pmod(line_hash, F.col("n_pages")).cast("int")),
+        )
+    paged = paged.withColumn("_line", F.lit(True))
+    if n_hot and with_page0:
+        # page 0 exists even when no line hashes to it: a marker row per hot
+        # order, dropped by collect_list (its value is NULL)
+        zero = hot.select("l_orderkey", F.lit(0).alias("page"), F.lit(False).alias("_line"))
+        paged = paged.unionByName(zero, allowMissingColumns=True)
+    v = F.when(F.col("_line"), value).otherwise(F.lit(None).cast(v_type))
+    grouped = paged.repartition("l_orderkey", "page").select("l_orderkey", "page", v.alias("v"))
+    return grouped.groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items"))
 
 
 def order_records(
