@@ -18,7 +18,7 @@ from nestfold.plans.registry import register
 from nestfold.session import scratch_path
 from nestfold.sinks.writers import to_json_text
 from nestfold.sources.tables import table
-from nestfold.streaming.streams import stream_append, stream_bundles, stream_flatten
+from nestfold.streaming.streams import stream_append, stream_bundles, stream_flatten, stream_split_by_type
 
 LANDED_FILES = 8
 
@@ -109,3 +109,38 @@ def q_stream_bundles(spark, sf_dir):
     out = scratch_path(spark, "lines-flat")
     _run(stream_bundles(spark, landing, out, "Line", LINE_JSON, scratch_path(spark, "ckpt-bundles")))
     return spark.read.parquet(out)
+
+
+ORDER_JSON = StructType(
+    [
+        StructField("resourceType", StringType()),
+        StructField("id", StringType()),
+        StructField("custkey", LongType()),
+        StructField("status", StringType()),
+        StructField("totalprice", DoubleType()),
+        StructField("orderdate", StringType()),
+        StructField("priority", StringType()),
+    ]
+)
+
+
+@register(
+    "q_stream_split",
+    """
+SELECT CAST(o_orderkey AS VARCHAR) AS _bundle_id, 'Order' AS Order_resourceType, CAST(o_orderkey AS VARCHAR) AS Order_id,
+       o_custkey AS Order_custkey, o_orderstatus AS Order_status, o_totalprice AS Order_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d') AS Order_orderdate, o_orderpriority AS Order_priority
+FROM orders
+""",
+)
+def q_stream_split(spark, sf_dir):
+    """One stream over landing bundles feeding a flat table per record type
+    (Order and Line here); the Order table read back."""
+    from nestfold.plans.bundle_queries import land_bundles
+
+    out = scratch_path(spark, "split-tables")
+    q = stream_split_by_type(
+        spark, land_bundles(spark, sf_dir), out, {"Order": ORDER_JSON, "Line": LINE_JSON}, scratch_path(spark, "ckpt-split")
+    )
+    _run(q)
+    return spark.read.parquet(f"{out}/Order").drop("_batch")

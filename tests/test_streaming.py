@@ -57,3 +57,20 @@ def test_indexed_flatten_on_a_stream_with_declared_widths(spark, localdir):
     flat.writeStream.format("parquet").option("checkpointLocation", ckpt).trigger(availableNow=True).start(out).awaitTermination()
     rows = sorted(tuple(r) for r in spark.read.parquet(out).collect())
     assert rows == [("1", "x", "y", None), ("2", None, None, None)]
+
+
+def test_stream_split_by_type_feeds_one_table_per_type(spark):
+    from nestfold.plans.bundle_queries import land_bundles
+    from nestfold.plans.stream_queries import ORDER_JSON
+    from nestfold.streaming.streams import stream_split_by_type
+
+    out = scratch_path(spark, "t-split")
+    q = stream_split_by_type(
+        spark, land_bundles(spark, SF001), out, {"Order": ORDER_JSON, "Line": LINE_JSON}, scratch_path(spark, "t-split-ckpt"),
+        files_per_trigger=1,
+    )
+    q.awaitTermination()
+    n_orders = spark.read.parquet(f"{SF001}/orders.parquet").count()
+    n_lines = spark.read.parquet(f"{SF001}/lineitem.parquet").count()
+    assert spark.read.parquet(f"{out}/Order").count() == n_orders
+    assert spark.read.parquet(f"{out}/Line").count() == n_lines
