@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from nestfold.functions.text import decode_bom, filter_paths, normalise_newlines, wrap_text
+from nestfold.functions.text import decode_bom, filter_paths, normalise_newlines, normalise_text, wrap_text
 from nestfold.plans.registry import register
 from nestfold.session import landed, scratch_path
 from nestfold.sources.files import list_files
@@ -43,8 +43,7 @@ CASE WHEN regexp_replace(text, chr(13) || chr(10), chr(10), 'g') = ''
 def q_text_normalise(spark, sf_dir):
     """Bytes decoded by their byte-order mark, line endings normalised to
     ``\\n`` with a final newline — whole texts."""
-    enc = encoded_documents(spark, sf_dir)
-    return enc.select("doc_id", normalise_newlines(decode_bom(F.col("content"))).alias("text"))
+    return normalise_text(encoded_documents(spark, sf_dir)).select("doc_id", "text")
 
 
 @register(
