@@ -79,7 +79,33 @@ def hot_orders(stats: DataFrame, max_lines: int) -> tuple[DataFrame, int]:
     return hot, hot.count()
 
 
-def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value, with_page0: bool = False) -> DataFrame:
+class Pages:
+    """(order, page) arrays plus the counted hot-order set they came from."""
+
+    def __init__(self, df: DataFrame, hot: DataFrame, n_hot: int):
+        self.df, self.hot, self.n_hot = df, hot, n_hot
+
+
+def join_pages(head: DataFrame, head_key: str, pages: Pages, pages_key: str = "l_orderkey") -> DataFrame:
+    """Inner join of one row per order (``head``) with the order's pages.
+
+    Cold orders take the ordinary shuffle join. The pages of hot orders are
+    joined against a broadcast of just the hot orders' head rows — at most
+    the counted hot-set size — so a hot order's pages stay spread over the
+    tasks that built them instead of meeting in one join partition."""
+    if pages.n_hot == 0 or pages.n_hot > HOT_BROADCAST_MAX_ROWS:
+        # no hot order; or too many to ship — AQE's skew-join split applies
+        return head.join(pages.df, F.col(head_key) == F.col(pages_key), "inner")
+    hot_ids = F.broadcast(pages.hot.select(F.col("l_orderkey").alias("_hot_key")))
+    hot_pages = pages.df.join(hot_ids, F.col(pages_key) == F.col("_hot_key"), "left_semi")
+    cold_pages = pages.df.join(hot_ids, F.col(pages_key) == F.col("_hot_key"), "left_anti")
+    hot_head = head.join(hot_ids, F.col(head_key) == F.col("_hot_key"), "left_semi")
+    cold = head.join(cold_pages, F.col(head_key) == F.col(pages_key), "inner")
+    hot = hot_pages.join(F.broadcast(hot_head), F.col(head_key) == F.col(pages_key), "inner")
+    return cold.unionByName(hot.select(*cold.columns))
+
+
+def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value, with_page0: bool = False) -> Pages:
     """Group ``value`` (a per-line column) into (order, page) arrays of about
     ``max_lines`` elements. ``with_page0`` guarantees every paged order a page
     0 (possibly empty), for callers that attach order-level data to it.
@@ -111,7 +137,7 @@ def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value, wi
         paged = paged.unionByName(zero, allowMissingColumns=True)
     v = F.when(F.col("_line"), value).otherwise(F.lit(None).cast(v_type))
     grouped = paged.repartition("l_orderkey", "page").select("l_orderkey", "page", v.alias("v"))
-    return grouped.groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items"))
+    return Pages(grouped.groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items")), hot, n_hot)
 
 
 def order_records(
@@ -156,13 +182,15 @@ def order_records(
     out = base.join(stats, "id", "left")
     if lines:
         pages = paged_lines(li, stats.withColumnRenamed("id", "l_orderkey"), max_lines, _line_struct(line_fields))
-        pages = pages.select(F.col("l_orderkey").alias("id"), "page", F.col("items").alias("lines"))
-        # inner join: AQE may split a hot order's many pages over tasks (a
-        # skewed partition on the non-preserved side of an outer join cannot be
-        # split); orders without lines are added back as empty records
-        with_lines = out.where(F.col("n_lines").isNotNull()).join(pages, "id", "inner")
-        empty = F.array().cast(pages.schema["lines"].dataType)
-        without = out.where(F.col("n_lines").isNull()).withColumn("page", F.lit(0)).withColumn("lines", empty)
+        lines_type = pages.df.schema["items"].dataType
+        # orders without lines are added back as empty records
+        with_lines = join_pages(out.where(F.col("n_lines").isNotNull()), "id", pages)
+        with_lines = with_lines.drop("l_orderkey").withColumnRenamed("items", "lines")
+        without = (
+            out.where(F.col("n_lines").isNull())
+            .withColumn("page", F.lit(0))
+            .withColumn("lines", F.array().cast(lines_type))
+        )
         out = with_lines.unionByName(without)
         if sort_lines:
             out = out.withColumn("lines", F.array_sort("lines"))
@@ -268,11 +296,9 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
             F.when(F.col("c_custkey").isNotNull(), _entry_json("Customer", cust_res)).alias("cust_entry"),
         )
     )
-    # inner join (a hot order's pages can be split over tasks), lineless
-    # orders added back with no line entries
-    with_lines = head.where(F.col("n_lines").isNotNull()).join(
-        pages, F.col("o_orderkey") == F.col("l_orderkey"), "inner"
-    )
+    # orders with lines joined to their pages (hot orders via a broadcast of
+    # their head rows), lineless orders added back with no line entries
+    with_lines = join_pages(head.where(F.col("n_lines").isNotNull()), "o_orderkey", pages)
     without = (
         head.where(F.col("n_lines").isNull())
         .withColumn("page", F.lit(0))
