@@ -11,8 +11,10 @@ collected into one unbounded array: orders with more than ``max_lines`` lines
 are split into pages of about ``max_lines`` (page = hash of the line mod the
 page count), each page a record of its own carrying the order's fields, so no
 group, record or task has to hold an order's full line set. The hot-order set
-is joined back with a plain join: AQE broadcasts it when it is small and
-shuffles otherwise. Orders at or below ``max_lines`` get exactly one record.
+is counted before it is used: broadcast when the count is small, shuffled
+otherwise; the pages are grouped on (order, page) and the order fields are
+attached to hot orders' pages through a broadcast of those few order rows.
+Orders at or below ``max_lines`` get exactly one record.
 """
 
 from __future__ import annotations
@@ -68,6 +70,12 @@ def order_stats(lineitem: DataFrame) -> DataFrame:
 # joined by shuffle and then re-partitioned on (order, page).
 HOT_BROADCAST_MAX_ROWS = 2_000_000
 
+# Largest number of hot orders whose order rows (order fields, or a bundle's
+# order-level entries: up to about a kilobyte each) are broadcast to attach
+# them to the hot pages. Beyond it there are so many hot orders that each is a
+# small share of the data, and the ordinary shuffle join spreads them.
+HOT_HEAD_BROADCAST_MAX_ROWS = 50_000
+
 
 def hot_orders(stats: DataFrame, max_lines: int) -> tuple[DataFrame, int]:
     """Orders with more than ``max_lines`` lines and their page counts, and
@@ -93,8 +101,8 @@ def join_pages(head: DataFrame, head_key: str, pages: Pages, pages_key: str = "l
     joined against a broadcast of just the hot orders' head rows — at most
     the counted hot-set size — so a hot order's pages stay spread over the
     tasks that built them instead of meeting in one join partition."""
-    if pages.n_hot == 0 or pages.n_hot > HOT_BROADCAST_MAX_ROWS:
-        # no hot order; or too many to ship — AQE's skew-join split applies
+    if pages.n_hot == 0 or pages.n_hot > HOT_HEAD_BROADCAST_MAX_ROWS:
+        # no hot order; or so many that none dominates (AQE may still split)
         return head.join(pages.df, F.col(head_key) == F.col(pages_key), "inner")
     hot_ids = F.broadcast(pages.hot.select(F.col("l_orderkey").alias("_hot_key")))
     hot_pages = pages.df.join(hot_ids, F.col(pages_key) == F.col("_hot_key"), "left_semi")
