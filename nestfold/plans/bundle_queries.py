@@ -13,6 +13,7 @@ from nestfold.session import landed, scratch_path
 from nestfold.sinks.writers import read_ndjson, write_by_type, write_ndjson
 from nestfold.sources.bundles import read_bundles
 from nestfold.sources.files import list_files, source_files
+from nestfold.sources.tables import table
 
 
 def land_bundles(spark, sf_dir, faults=False):
@@ -231,11 +232,27 @@ def q_ndjson_roundtrip(spark, sf_dir):
     return read_ndjson(spark, f"{out}/res_name=Order", schema=ORDER_JSON)
 
 
-@register("q_source_files")
+@register(
+    "q_source_files",
+    "SELECT o_orderstatus AS folder, count(*) AS n_bundles FROM orders GROUP BY o_orderstatus",
+)
 def q_source_files(spark, sf_dir):
-    """The bundle files found in the landing folder, with bundles per file."""
-    path = land_bundles(spark, sf_dir)
-    return source_files(read_bundles(spark, path, layout="lines"))
+    """Bundles landed in one folder per order status; the source file of every
+    bundle row found by reading the landing root, rows counted per folder."""
+
+    def write(path):
+        texts = bundle_texts(spark, sf_dir).join(
+            table(spark, sf_dir, "orders").select(
+                F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status")
+            ),
+            "order_id",
+        )
+        texts.select("status", "value").write.partitionBy("status").text(path)
+
+    root = landed(spark, "bundles-by-status", (sf_dir,), write)
+    files = source_files(read_bundles(spark, root, layout="lines"))
+    folder = F.regexp_extract("source_file", r"/status=([^/]+)/[^/]*$", 1)
+    return files.groupBy(folder.alias("folder")).agg(F.sum("n_rows").alias("n_bundles"))
 
 
 @register("q_file_listing")
