@@ -241,13 +241,14 @@ def q_source_files(spark, sf_dir):
     bundle row found by reading the landing root, rows counted per folder."""
 
     def write(path):
-        texts = bundle_texts(spark, sf_dir).join(
-            table(spark, sf_dir, "orders").select(
-                F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status")
-            ),
-            "order_id",
+        # re-file the landed bundles by their order's status
+        landed_texts = spark.read.text(land_bundles(spark, sf_dir)).select(
+            "value", F.get_json_object("value", "$.id").alias("bundle_id")
         )
-        texts.select("status", "value").write.partitionBy("status").text(path)
+        status = table(spark, sf_dir, "orders").select(
+            F.col("o_orderkey").cast("string").alias("bundle_id"), F.col("o_orderstatus").alias("status")
+        )
+        landed_texts.join(status, "bundle_id").select("status", "value").write.partitionBy("status").text(path)
 
     root = landed(spark, "bundles-by-status", (sf_dir,), write)
     files = source_files(read_bundles(spark, root, layout="lines"))
