@@ -243,8 +243,8 @@ def q_source_files(spark, sf_dir):
     def write(path):
         # re-file the landed bundles by their order's status
         landed_texts = spark.read.text(land_bundles(spark, sf_dir)).select(
-            "value", F.get_json_object("value", "$.id").alias("bundle_id")
-        )
+            "value", F.substring_index(F.get_json_object("value", "$.id"), "-", 1).alias("bundle_id")
+        )  # a paged bundle's id is "<order>-<page>"
         status = table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").cast("string").alias("bundle_id"), F.col("o_orderstatus").alias("status")
         )
