@@ -261,6 +261,7 @@ def flatten(
     outer: bool = True,
     widths: dict[str, int] | None = None,
     materialize: bool = False,
+    max_fanout: int | None = None,
 ) -> DataFrame:
     """Flatten every nested column of ``df``.
 
@@ -276,10 +277,19 @@ def flatten(
     run before the projection. ``materialize=True`` (indexed only) first writes
     the input as a reliable checkpoint below ``spark.checkpoint.dir``, so an
     expensive input is computed once instead of once per pass (widths,
-    non-null columns, projection).
+    non-null columns, projection). ``max_fanout`` (explode only) measures the
+    largest number of rows one record yields (one aggregation) and raises
+    instead of exploding when it is exceeded — rows are never dropped.
     """
     if mode == "explode":
         sep = "_" if sep is None else sep
+        if max_fanout is not None:
+            worst = df.agg(F.max(fanout_expr(df)).alias("m")).first()["m"] or 0
+            if worst > max_fanout:
+                raise ValueError(
+                    f"a record explodes to {worst} rows, more than max_fanout={max_fanout}; "
+                    "use mode='indexed' or raise the limit"
+                )
         out = _explode_flatten(df, prefix, sep, on_collision, outer, leaf_type, bool_style)
         if drop_null_columns:
             out = drop_null_cols(out)

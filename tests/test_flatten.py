@@ -157,3 +157,10 @@ def test_flatten_plan_has_no_exchange(spark, localdir):
     plan = flatten(df, prefix="Patient")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "PythonUDF" not in plan and "BatchEvalPython" not in plan
     assert "Generate" in plan
+
+
+def test_max_fanout_guard_raises_instead_of_dropping(spark):
+    df = spark.createDataFrame([(1, list(range(5)), list(range(9)))], "id int, a array<int>, b array<int>")
+    assert flatten(df, max_fanout=45).count() == 45
+    with pytest.raises(ValueError, match="45 rows"):
+        flatten(df, max_fanout=44)
