@@ -16,6 +16,12 @@ from nestfold.sources.files import list_files, source_files
 from nestfold.sources.tables import table
 
 
+# Landed bundle files are compressed the way landing zones usually hold JSON;
+# the readers decompress transparently. One file per writer task, so the
+# codec's lack of splitting costs no parallelism.
+LANDING_CODEC = "snappy"
+
+
 def land_bundles(spark, sf_dir, faults=False):
     """The bundles derived from the tables, landed as NDJSON files below the
     shared scratch folder (once per session); returns the folder."""
@@ -23,7 +29,10 @@ def land_bundles(spark, sf_dir, faults=False):
         spark,
         "bundles",
         (sf_dir, faults),
-        lambda path: bundle_texts(spark, sf_dir, faults=faults).select("value").write.text(path),
+        lambda path: bundle_texts(spark, sf_dir, faults=faults)
+        .select("value")
+        .write.option("compression", LANDING_CODEC)
+        .text(path),
     )
 
 
@@ -248,7 +257,9 @@ def q_source_files(spark, sf_dir):
         status = table(spark, sf_dir, "orders").select(
             F.col("o_orderkey").cast("string").alias("bundle_id"), F.col("o_orderstatus").alias("status")
         )
-        landed_texts.join(status, "bundle_id").select("status", "value").write.partitionBy("status").text(path)
+        landed_texts.join(status, "bundle_id").select("status", "value").write.partitionBy("status").option(
+            "compression", LANDING_CODEC
+        ).text(path)
 
     root = landed(spark, "bundles-by-status", (sf_dir,), write)
     files = source_files(read_bundles(spark, root, layout="lines"))
