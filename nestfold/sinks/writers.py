@@ -108,8 +108,10 @@ def write_by_type(
     paths = {}
     for t in types:
         recs = spark.read.json(f"{out}/_raw/res_name={t}")
-        # keep the bundle id next to the flattened fields
-        flat = flatten(recs.select("_bundle_id", "resource"), prefix=None, mode=flatten_mode)
+        # keep the bundle id next to the flattened fields; a type whose
+        # resources are all empty objects has no inferred "resource" column
+        keep = [c for c in ("_bundle_id", "resource") if c in recs.columns]
+        flat = flatten(recs.select(*keep), prefix=None, mode=flatten_mode)
         flat = flat.select(
             *[q(c).alias(t + c[len("resource"):]) if c.startswith("resource_") else q(c) for c in flat.columns]
         )
