@@ -94,22 +94,27 @@ class Pages:
         self.df, self.hot, self.n_hot = df, hot, n_hot
 
 
-def join_pages(head: DataFrame, head_key: str, pages: Pages, pages_key: str = "l_orderkey") -> DataFrame:
-    """Inner join of one row per order (``head``) with the order's pages.
+def join_pages(
+    head: DataFrame, head_key: str, pages: Pages, pages_key: str = "l_orderkey", how: str = "inner"
+) -> DataFrame:
+    """Join one row per order (``head``) with the order's pages (``how`` is
+    ``inner``, or ``left`` to keep orders without pages with NULL pages).
 
     Cold orders take the ordinary shuffle join. The pages of hot orders are
     joined against a broadcast of just the hot orders' head rows — at most
     the counted hot-set size — so a hot order's pages stay spread over the
     tasks that built them instead of meeting in one join partition."""
+    cond = F.col(head_key) == F.col(pages_key)
     if pages.n_hot == 0 or pages.n_hot > HOT_HEAD_BROADCAST_MAX_ROWS:
         # no hot order; or so many that none dominates (AQE may still split)
-        return head.join(pages.df, F.col(head_key) == F.col(pages_key), "inner")
+        return head.join(pages.df, cond, how)
     hot_ids = F.broadcast(pages.hot.select(F.col("l_orderkey").alias("_hot_key")))
     hot_pages = pages.df.join(hot_ids, F.col(pages_key) == F.col("_hot_key"), "left_semi")
     cold_pages = pages.df.join(hot_ids, F.col(pages_key) == F.col("_hot_key"), "left_anti")
     hot_head = head.join(hot_ids, F.col(head_key) == F.col("_hot_key"), "left_semi")
-    cold = head.join(cold_pages, F.col(head_key) == F.col(pages_key), "inner")
-    hot = hot_pages.join(F.broadcast(hot_head), F.col(head_key) == F.col(pages_key), "inner")
+    cold_head = head.join(hot_ids, F.col(head_key) == F.col("_hot_key"), "left_anti")
+    cold = cold_head.join(cold_pages, cond, how)
+    hot = hot_pages.join(F.broadcast(hot_head), cond, "inner")  # hot orders always have pages
     return cold.unionByName(hot.select(*cold.columns))
 
 
@@ -290,30 +295,27 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
         F.col("l_returnflag").alias("returnflag"),
         _day("l_shipdate").alias("shipdate"),
     )
-    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))  # hot-order detection only
     pages = paged_lines(li, counts, max_lines, _entry_json("Line", line_res), with_page0=True)
-    head = (
-        orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(counts, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        .select(
-            F.col("o_orderkey"),
-            F.col("o_orderstatus"),
-            F.col("o_orderpriority"),
-            F.col("n_lines"),
-            _entry_json("Order", order_res).alias("order_entry"),
-            F.when(F.col("c_custkey").isNotNull(), _entry_json("Customer", cust_res)).alias("cust_entry"),
-        )
+    head = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+        F.col("o_orderkey"),
+        F.col("o_orderstatus"),
+        F.col("o_orderpriority"),
+        _entry_json("Order", order_res).alias("order_entry"),
+        F.when(F.col("c_custkey").isNotNull(), _entry_json("Customer", cust_res)).alias("cust_entry"),
     )
-    # orders with lines joined to their pages (hot orders via a broadcast of
-    # their head rows), lineless orders added back with no line entries
-    with_lines = join_pages(head.where(F.col("n_lines").isNotNull()), "o_orderkey", pages)
-    without = (
-        head.where(F.col("n_lines").isNull())
-        .withColumn("page", F.lit(0))
-        .withColumn("items", F.array().cast("array<string>"))
+    # every order with its pages (hot orders via a broadcast of their head
+    # rows); an order without lines keeps one bundle with no line entries
+    joined = join_pages(head, "o_orderkey", pages, how="left").select(
+        "o_orderkey",
+        F.coalesce(F.col("page"), F.lit(0)).alias("page"),
+        "o_orderstatus",
+        "o_orderpriority",
+        "order_entry",
+        "cust_entry",
+        F.coalesce(F.col("items"), F.array().cast("array<string>")).alias("items"),
     )
-    cols = ["o_orderkey", "page", "o_orderstatus", "o_orderpriority", "order_entry", "cust_entry", "items"]
-    b = with_lines.select(*cols).unionByName(without.select(*cols)).select(
+    b = joined.select(
         F.col("o_orderkey").alias("order_id"),
         "page",
         "o_orderstatus",

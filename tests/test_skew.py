@@ -57,3 +57,19 @@ def test_hot_order_pages_are_aggregated_in_many_tasks(spark, skewed_dir):
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert spread > 1 and final > 1
     assert "BroadcastHashJoin" in plan  # hot orders joined against a broadcast of their (counted) rows
+
+
+def test_hot_order_bundles_are_paged_and_whole(spark, skewed_dir):
+    from nestfold.operators.entries import explode_entries
+    from nestfold.plans.records import bundle_texts
+    from nestfold.sources.bundles import parse_bundles
+
+    b = bundle_texts(spark, skewed_dir)
+    hot = b.where("order_id = 7")
+    n_hot = spark.read.parquet(f"{skewed_dir}/lineitem.parquet").where("l_orderkey = 7").count()
+    assert hot.count() >= n_hot // 1000
+    e = explode_entries(parse_bundles(b.select("value")))
+    per_bundle = e.where("res_name = 'Line'").groupBy("bundle_id").count()
+    assert per_bundle.agg(F.max("count")).first()[0] < 1500
+    assert e.where("res_name = 'Line'").count() == spark.read.parquet(f"{skewed_dir}/lineitem.parquet").count()
+    assert e.where("res_name = 'Order'").count() == spark.read.parquet(f"{skewed_dir}/orders.parquet").count()
