@@ -406,3 +406,49 @@ def q_sql_target_rows(spark, sf_dir):
 
 # Target columns of the three-column load for the order flat.
 SQL_TARGET_ROWS = ["id", "lines.0.linenumber", "lines.0.partkey"]
+
+
+# Patient-shaped records derived from customers: which declared column each
+# derived field fills, with its SQL over the driver tables.
+_PATIENT_SQL = {
+    "Patient_resourceType": "'Patient'",
+    "Patient_id": "CAST(c.c_custkey AS VARCHAR)",
+    "Patient_name_family": "c.c_name",
+    "Patient_name_given": "c.c_mktsegment",
+    "Patient_name_use": "'official'",
+    "Patient_address_city": "n.n_name",
+    "Patient_address_country": "r.r_name",
+    "Patient_extension_url": "'acctbal'",
+    "Patient_extension_valueDecimal": "CAST(c.c_acctbal AS VARCHAR)",
+}
+
+
+def _patient_sql():
+    from nestfold.plans.declared import PATIENT_COLUMNS
+
+    cols = ", ".join(f'{_PATIENT_SQL.get(c, "CAST(NULL AS VARCHAR)")} AS {c}' for c in PATIENT_COLUMNS)
+    return (
+        f"SELECT {cols} FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey "
+        "LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"
+    )
+
+
+@register("q_patient_conform", _patient_sql())
+def q_patient_conform(spark, sf_dir):
+    """Patient-shaped nested records (name, address and extension arrays)
+    derived from customers, flattened with the ``Patient`` prefix and
+    conformed to the declared 50-column all-text patient schema."""
+    from nestfold.plans.declared import PATIENT_COLUMNS
+    from nestfold.plans.records import customer_records
+
+    c = customer_records(spark, sf_dir)
+    patients = c.select(
+        F.lit("Patient").alias("resourceType"),
+        F.col("id").cast("string").alias("id"),
+        F.array(
+            F.struct(F.col("name").alias("family"), F.array(F.col("segment")).alias("given"), F.lit("official").alias("use"))
+        ).alias("name"),
+        F.array(F.struct(F.col("nation.name").alias("city"), F.col("nation.region.name").alias("country"))).alias("address"),
+        F.array(F.struct(F.lit("acctbal").alias("url"), F.col("acctbal").alias("valueDecimal"))).alias("extension"),
+    )
+    return conform(flatten(patients, prefix="Patient"), PATIENT_COLUMNS)
