@@ -452,3 +452,56 @@ def q_patient_conform(spark, sf_dir):
         F.array(F.struct(F.lit("acctbal").alias("url"), F.col("acctbal").alias("valueDecimal"))).alias("extension"),
     )
     return conform(flatten(patients, prefix="Patient"), PATIENT_COLUMNS)
+
+
+# Encounter-shaped records derived from orders: which declared column each
+# derived field fills, with its SQL over the driver tables.
+_ENCOUNTER_SQL = {
+    "class.code": "o.o_orderpriority",
+    "class.system": "'urn:example:priority'",
+    "id": "CAST(o.o_orderkey AS VARCHAR)",
+    "identifier.0.system": "'urn:example:orders'",
+    "identifier.0.use": "'official'",
+    "identifier.0.value": "CAST(o.o_orderkey AS VARCHAR)",
+    "period.start": "strftime(o.o_orderdate, '%Y-%m-%d')",
+    "resourceType": "'Encounter'",
+    "status": "o.o_orderstatus",
+    "subject.display": "c.c_name",
+    "subject.reference": "'Customer/' || CAST(o.o_custkey AS VARCHAR)",
+}
+
+
+def _encounter_sql():
+    from nestfold.plans.declared import ENCOUNTER_COLUMNS
+
+    cols = ", ".join(f'{_ENCOUNTER_SQL.get(c, "CAST(NULL AS VARCHAR)")} AS "{c}"' for c in ENCOUNTER_COLUMNS)
+    return f"SELECT {cols} FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey"
+
+
+@register("q_encounter_conform", _encounter_sql())
+def q_encounter_conform(spark, sf_dir):
+    """Encounter-shaped nested records derived from orders, flattened to
+    positional columns (``identifier.0.value``) and conformed to the declared
+    29-column all-text encounter schema."""
+    from nestfold.plans.declared import ENCOUNTER_COLUMNS
+
+    orders = table(spark, sf_dir, "orders")
+    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
+    enc = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left").select(
+        F.struct(F.col("o_orderpriority").alias("code"), F.lit("urn:example:priority").alias("system")).alias("class"),
+        F.col("o_orderkey").cast("string").alias("id"),
+        F.array(
+            F.struct(
+                F.lit("urn:example:orders").alias("system"),
+                F.lit("official").alias("use"),
+                F.col("o_orderkey").cast("string").alias("value"),
+            )
+        ).alias("identifier"),
+        F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("start")).alias("period"),
+        F.lit("Encounter").alias("resourceType"),
+        F.col("o_orderstatus").alias("status"),
+        F.struct(
+            F.col("c_name").alias("display"), F.concat(F.lit("Customer/"), F.col("o_custkey").cast("string")).alias("reference")
+        ).alias("subject"),
+    )
+    return conform(flatten(enc, mode="indexed"), ENCOUNTER_COLUMNS)
