@@ -76,14 +76,17 @@ FROM pages WHERE contains(lower(url), '/fr/') AND NOT contains(lower(url), 'page
 )
 def q_text_rewrite(spark, sf_dir):
     """Tree rewrite: select paths, decode and normalise the selected files,
-    wrap them with header and footer, write them, read them back."""
+    wrap them with header and footer and write them; copy the other files
+    unchanged; return the rewritten files read back."""
     pages = table(spark, sf_dir, "pages")
     files = pages.select("page_id", "url", F.encode("html", "UTF-8").alias("content"))
-    selected, _ = filter_paths(files, "url", include="/fr/", exclude=["page="])
+    selected, others = filter_paths(files, "url", include="/fr/", exclude=["page="])
     text = wrap_text(normalise_newlines(decode_bom(F.col("content"))), HEADER, FOOTER)
     out = scratch_path(spark, "rewritten")
-    selected.select("page_id", "url", text.alias("text")).write.parquet(out)
-    return spark.read.parquet(out)
+    selected.select("page_id", "url", text.alias("text")).write.parquet(f"{out}/rewritten")
+    # the files not selected are copied unchanged (bytes as read)
+    others.select("page_id", "url", "content").write.parquet(f"{out}/copied")
+    return spark.read.parquet(f"{out}/rewritten")
 
 
 @register(
