@@ -54,3 +54,18 @@ def test_write_by_type_tables(spark, workdir):
     ]
     enc = spark.read.parquet(paths["Encounter"]).first()
     assert (enc._bundle_id, enc.Encounter_class_code) == ("b1", "AMB")
+
+
+def test_write_by_type_partitioned_by_bundle(spark, workdir):
+    texts = spark.createDataFrame(
+        [
+            ('{"resourceType":"Bundle","id":"b1","entry":[{"request":{"url":"Patient"},"resource":{"id":"p1"}}]}',),
+            ('{"resourceType":"Bundle","id":"b2","entry":[{"request":{"url":"Patient"},"resource":{"id":"p2"}}]}',),
+        ],
+        "value string",
+    )
+    paths = write_by_type(explode_entries(parse_bundles(texts)), workdir, partition_by_source=True)
+    files = spark.read.parquet(paths["Patient"]).inputFiles()
+    assert sorted({f.split("_bundle_id=")[1].split("/")[0] for f in files}) == ["b1", "b2"]
+    back = spark.read.parquet(paths["Patient"])
+    assert sorted((r._bundle_id, r.Patient_id) for r in back.collect()) == [("b1", "p1"), ("b2", "p2")]
