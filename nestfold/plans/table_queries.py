@@ -18,7 +18,7 @@ from nestfold.operators.flatten import flatten
 from nestfold.operators.history import dedupe_first, new_ids, read_history, update_history, write_history
 from nestfold.operators.profile import json_bytes, leaf_paths, profile, record_counts
 from nestfold.operators.union import conform, read_drifting_parquet, schema_diff, union_drift
-from nestfold.plans.flatten_queries import _CROSS_COLS, _LINES_LEFT, _cross_records
+from nestfold.plans.flatten_queries import _CROSS_COLS, _LINES_LEFT, INDEXED_WIDTH, _cross_records
 from nestfold.plans.records import order_records
 from nestfold.plans.registry import register
 from nestfold.session import landed, scratch_path
@@ -347,13 +347,13 @@ def q_dedupe_first(spark, sf_dir):
     "q_bundles_to_csv",
     "SELECT CAST(id AS VARCHAR) AS id"
     + "".join(
-        f', CAST("lines.{i}.{f}" AS VARCHAR) AS "lines.{i}.{f}"' for i in range(13) for f in ("linenumber", "partkey")
+        f', CAST("lines.{i}.{f}" AS VARCHAR) AS "lines.{i}.{f}"' for i in range(INDEXED_WIDTH) for f in ("linenumber", "partkey")
     )
     + """ FROM (
 SELECT o.o_orderkey AS id"""
     + "".join(
         f', max(CASE WHEN l.rn = {i + 1} THEN l.{src} END) AS "lines.{i}.{f}"'
-        for i in range(13)
+        for i in range(INDEXED_WIDTH)
         for f, src in (("linenumber", "l_linenumber"), ("partkey", "l_partkey"))
     )
     + """
