@@ -1,11 +1,85 @@
-"""The corpus pipeline: stages over ``documents``."""
+"""The corpus pipeline: toxic documents go, one document of each group of near
+copies stays, contaminated documents go, the rest is sampled to target
+weights and written as token ids.
 
-STAGES = []
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is
+written and read again as the next one's ``docs``. All but the last return the
+columns of ``docs``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from nestfold.llm import decontam, jaccard, mixing, tokens, toxicity
+from nestfold.llm.common import BROADCAST_ROWS, store, table
+
+KEY = "_row"
+
+
+def keyed(docs):
+    """``docs`` with ``KEY``, which no two rows share: ``doc_id`` where that is so
+    already, else a number of the row in a stored copy of the table."""
+    ids = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
+    if ids.limit(1).count() == 0:
+        return docs.withColumn(KEY, F.col("doc_id").cast("long"))
+    return store(docs.withColumn(KEY, F.monotonically_increasing_id()), "pipeline-rows")
+
+
+def without(rows, gone):
+    """Rows whose ``KEY`` is not in ``gone``, a list counted before it is broadcast."""
+    gone = store(gone, "pipeline-gone")
+    few = gone.limit(10 * BROADCAST_ROWS + 1).count() <= 10 * BROADCAST_ROWS  # of 8 bytes
+    return rows.join(F.broadcast(gone) if few else gone, KEY, "left_anti").drop(KEY)
+
+
+def drop_toxic(spark, docs, sf_dir):
+    """Documents that score ``toxicity.THRESHOLD`` or more go."""
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.toxicity(docs, model, "_toxicity")
+    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+
+
+def drop_near_copies(spark, docs, sf_dir):
+    """Of each component of linked documents the one with the smallest id stays.
+    Texts without words are linked with nothing and all stay."""
+    rows = keyed(docs)
+    found = jaccard.jaccard_components(rows, KEY)
+    return without(rows, found.where(f"{KEY} <> component_id").select(KEY)).select(*docs.columns)
+
+
+def drop_contaminated(spark, docs, sf_dir):
+    """Documents that hold a window of a benchmark item go."""
+    rows = keyed(docs)
+    found = decontam.decontaminate(rows, table(spark, sf_dir, "benchmark"), KEY)
+    return without(rows, found.where("contaminated").select(KEY)).select(*docs.columns)
+
+
+def sample_to_weights(spark, docs, sf_dir):
+    """Documents are drawn with the raked probabilities, none of them twice."""
+    mixed = mixing.mix(docs, mixing.default_dims(), mixing.tokens_in(F.col("text")), repeats=False)
+    return mixed.where("mix_copies > 0").select(*docs.columns)
+
+
+def write_tokens(spark, docs, sf_dir):
+    """Token ids in files, and a row for each document read back from them."""
+    return tokens.tokens_of(spark, docs)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard", drop_near_copies),
+    ("decontamination", drop_contaminated),
+    ("mixing", sample_to_weights),
+    ("token_ids", write_tokens),
+]
+
+#: A trained classifier and a tokenizer are not SQL.
 ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -92,7 +92,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame, url: str =
     and have no aliases by canonical form. Repeated urls are judged once and
     joined back by ``lookup``, so one url may hold any share of the rows.
     """
-    total = pages.count()
+    total, edges = pages.count(), store(edges, "urls-edges")
     known = pages.select(F.coalesce(F.col(url), F.lit("")).alias("url")).groupBy("url").agg(F.count("*").alias("held"))
     ends = edges.select(F.col("u").alias("url")).unionByName(edges.select(F.col("v").alias("url"))).select("url", F.lit(0).alias("held"))
     known = known.unionByName(ends).groupBy("url").agg(F.sum("held").alias("held"))
