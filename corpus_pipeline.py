@@ -12,47 +12,47 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nestfold.llm import decontam, jaccard, mixing, tokens, toxicity
-from nestfold.llm.common import BROADCAST_ROWS, store, table
-
-KEY = "_row"
+from nestfold.llm.common import BROADCAST_ROWS, spare, store, table
 
 
 def keyed(docs):
-    """``docs`` with ``KEY``, which no two rows share: ``doc_id`` where that is so
-    already, else a number of the row in a stored copy of the table."""
+    """``docs`` with a column that no two rows share, and its name: a copy of
+    ``doc_id`` where that is so already, else a number of the row in a stored
+    copy of the table."""
+    key = spare(docs, "_row")
     ids = docs.groupBy("doc_id").count().where("count > 1 OR doc_id IS NULL")
     if ids.limit(1).count() == 0:
-        return docs.withColumn(KEY, F.col("doc_id").cast("long"))
-    return store(docs.withColumn(KEY, F.monotonically_increasing_id()), "pipeline-rows")
+        return docs.withColumn(key, F.col("doc_id").cast("long")), key
+    return store(docs.withColumn(key, F.monotonically_increasing_id()), "pipeline-rows"), key
 
 
-def without(rows, gone):
-    """Rows whose ``KEY`` is not in ``gone``, a list counted before it is broadcast."""
+def without(rows, key, gone):
+    """Rows whose ``key`` is not in ``gone``, a list counted before it is broadcast."""
     gone = store(gone, "pipeline-gone")
     few = gone.limit(10 * BROADCAST_ROWS + 1).count() <= 10 * BROADCAST_ROWS  # of 8 bytes
-    return rows.join(F.broadcast(gone) if few else gone, KEY, "left_anti").drop(KEY)
+    return rows.join(F.broadcast(gone) if few else gone, key, "left_anti").drop(key)
 
 
 def drop_toxic(spark, docs, sf_dir):
     """Documents that score ``toxicity.THRESHOLD`` or more go."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.toxicity(docs, model, "_toxicity")
-    return scored.where(F.col("_toxicity") < toxicity.THRESHOLD).select(*docs.columns)
+    score = spare(docs, "_toxicity")
+    return toxicity.toxicity(docs, model, score).where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def drop_near_copies(spark, docs, sf_dir):
     """Of each component of linked documents the one with the smallest id stays.
     Texts without words are linked with nothing and all stay."""
-    rows = keyed(docs)
-    found = jaccard.jaccard_components(rows, KEY)
-    return without(rows, found.where(f"{KEY} <> component_id").select(KEY)).select(*docs.columns)
+    rows, key = keyed(docs)
+    found = jaccard.jaccard_components(rows, key)
+    return without(rows, key, found.where(F.col(key) != F.col("component_id")).select(key)).select(*docs.columns)
 
 
 def drop_contaminated(spark, docs, sf_dir):
     """Documents that hold a window of a benchmark item go."""
-    rows = keyed(docs)
-    found = decontam.decontaminate(rows, table(spark, sf_dir, "benchmark"), KEY)
-    return without(rows, found.where("contaminated").select(KEY)).select(*docs.columns)
+    rows, key = keyed(docs)
+    found = decontam.decontaminate(rows, table(spark, sf_dir, "benchmark"), key)
+    return without(rows, key, found.where("contaminated").select(key)).select(*docs.columns)
 
 
 def sample_to_weights(spark, docs, sf_dir):

@@ -57,6 +57,14 @@ def ascii_lower(c: Column) -> Column:
     return F.when(F.octet_length(c) == F.length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def lookup(rows: DataFrame, entries: DataFrame, key: str, held: str, total: int) -> DataFrame:
     """``rows`` with the columns of ``entries`` (one row per key) left-joined.
 
@@ -68,12 +76,12 @@ def lookup(rows: DataFrame, entries: DataFrame, key: str, held: str, total: int)
     """
     if entries.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
         return rows.join(F.broadcast(entries), key, "left")
-    least = max(2, math.ceil(total / HOT_SHARE))
-    hot = entries.where(F.col(held) >= least).withColumn("_hot", F.lit(True))
+    least, mark = max(2, math.ceil(total / HOT_SHARE)), spare(rows, "_hot")
+    hot = entries.where(F.col(held) >= least).withColumn(mark, F.lit(True))
     cold = entries.where(F.col(held) < least)
     marked = rows.join(F.broadcast(hot), key, "left")
-    rest = marked.where(F.col("_hot").isNull()).select(*rows.columns).join(cold, key, "left")
-    return marked.where(F.col("_hot")).drop("_hot").unionByName(rest)
+    rest = marked.where(F.col(mark).isNull()).select(*rows.columns).join(cold, key, "left")
+    return marked.where(F.col(mark)).drop(mark).unionByName(rest)
 
 
 def id_shards(rows: DataFrame, id_col: str, size_col: str, target: int, buckets: int = 1 << 14) -> tuple[Column, int]:

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestfold.llm.common import store, table
+from nestfold.llm.common import spare, store, table
 from nestfold.llm.files import arrow_schema
 from nestfold.llm.registry import register
 from nestfold.llm.slices import ROW, added, cut
@@ -235,8 +235,8 @@ def score_lm(docs: DataFrame, model) -> DataFrame:
                 found.append(pd.DataFrame({"n_tokens": sizes, "log_prob": np.diff(sums)}))
             yield pd.concat(found) if found else pd.DataFrame({"n_tokens": np.zeros(0, np.int64), "log_prob": np.zeros(0)})
 
-    kept = [c for c in docs.columns if c not in ("n_tokens", "log_prob", "_s")]
-    return docs.withColumn("_s", scored(F.col("text"))).select(*kept, "_s.n_tokens", "_s.log_prob")
+    kept, both = [c for c in docs.columns if c not in ("n_tokens", "log_prob")], spare(docs, "_scores")
+    return docs.withColumn(both, scored(F.col("text"))).select(*kept, f"{both}.n_tokens", f"{both}.log_prob")
 
 
 @register("op9_lm_scoring")

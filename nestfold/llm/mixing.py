@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nestfold.llm.common import lookup, store, table
+from nestfold.llm.common import lookup, spare, store, table
 from nestfold.llm.registry import register
 
 #: Without stated targets, a category's share goes as its tokens to this power.
@@ -120,15 +120,16 @@ def mix(docs: DataFrame, dims: dict[str, Column], tokens: Column, targets: dict[
     kept = [c for c in docs.columns if c not in added]
     names = list(dims)
     key = F.concat_ws(SEP, *[F.coalesce(c.cast("string"), F.lit("")) for c in dims.values()])
-    rows = docs.withColumn("mix_tokens", tokens).withColumn("_cell", key).select(*kept, "mix_tokens", "_cell")
-    cells = rows.groupBy("_cell").agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("held"))
-    split = F.split("_cell", SEP)
+    cell, held = spare(docs, "_cell"), spare(docs, "_held")
+    rows = docs.select(*kept, tokens.alias("mix_tokens"), key.alias(cell))
+    cells = rows.groupBy(cell).agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("held"))
+    split = F.split(cell, SEP)
     cells = store(cells.select("tokens", "held", *[F.coalesce(F.get(split, F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)]), "mixing-cells")
     total, count = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0)), F.coalesce(F.sum("held"), F.lit(0))).first()
     few = cells.limit(driver_cells + 1).count() <= driver_cells
     raked = (_rake_driver if few else _rake_spark)(cells, names, targets or {}, power, float(total) * size)
-    factors = store(raked.select(F.concat_ws(SEP, *names).alias("_cell"), F.col("held").alias("_held"), F.col("factor").alias("mix_weight")), "mixing-factors")
-    out = lookup(rows, factors, "_cell", "_held", count)
+    factors = store(raked.select(F.concat_ws(SEP, *names).alias(cell), F.col("held").alias(held), F.col("factor").alias("mix_weight")), "mixing-factors")
+    out = lookup(rows, factors, cell, held, count)
     weight = F.coalesce("mix_weight", F.lit(0.0))
     if not repeats:
         weight = F.least(weight, F.lit(1.0))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestfold.llm.common import BROADCAST_ROWS, ascii_lower, lookup, store, table
+from nestfold.llm.common import BROADCAST_ROWS, ascii_lower, lookup, spare, store, table
 from nestfold.llm.components import connected_components
 from nestfold.llm.registry import register
 
@@ -107,12 +107,14 @@ def filter_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame, url: str =
     )
     passed_on = F.when(F.col("any_block") & ~F.col("any_allow"), "block").otherwise("allow")
     verdicts = aliased.join(groups, "root").select("url", "host", "path", "rule", F.coalesce("action", passed_on).alias("verdict"))
-    verdicts = store(verdicts.join(known.where("held > 0"), "url").withColumnRenamed("url", "_url"), "urls-verdicts")
+    verdicts = store(verdicts.join(known.where("held > 0"), "url"), "urls-verdicts")
 
     added = ("host", "path", "rule", "verdict")
     kept = [c for c in pages.columns if c not in added]
-    rows = pages.select(*kept, F.coalesce(F.col(url), F.lit("")).alias("_url"))
-    return lookup(rows, verdicts.withColumnRenamed("held", "_held"), "_url", "_held", total).select(*kept, *added)
+    key, held = spare(pages, "_url"), spare(pages, "_held")
+    rows = pages.select(*kept, F.coalesce(F.col(url), F.lit("")).alias(key))
+    verdicts = verdicts.withColumnsRenamed({"url": key, "held": held})
+    return lookup(rows, verdicts, key, held, total).select(*kept, *added)
 
 
 @register(

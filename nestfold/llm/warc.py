@@ -81,8 +81,8 @@ def write_warc(pages: DataFrame, root: str, min_bytes: int = 0, shard_bytes: int
     attempt of each task, are renamed; those of lost attempts stay under
     ``temp`` and are removed.
 
-    Null html is an empty payload; a null page_id sorts first, also for the
-    choice of the response. Line ends in a url are percent-encoded. Rows repeated in all columns: the first is the
+    Null html is an empty payload; a null page_id sorts first and is the last
+    choice for a response. Line ends in a url are percent-encoded. Rows repeated in all columns: the first is the
     response. An empty table gives no files.
     """
     spark = pages.sparkSession
@@ -91,7 +91,7 @@ def write_warc(pages: DataFrame, root: str, min_bytes: int = 0, shard_bytes: int
     small = rows.select("page_id", "sha1", "size", (F.col("size") + 512).alias("weight"))
     shard, n = id_shards(small, "page_id", "weight", shard_bytes)
 
-    rank = F.struct(F.col("page_id").isNotNull().alias("known"), F.col("page_id").alias("id"))
+    rank = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("id"))
     groups = small.where(F.col("size") >= min_bytes).groupBy("sha1").agg(F.count("*").alias("held"), F.min(rank).alias("first")).where("held > 1")
     groups = store(groups.select("sha1", "held", F.struct(F.col("first.id").alias("id")).alias("first")), "warc-groups")
     marked = lookup(rows, groups, "sha1", "held", rows.count())
