@@ -27,7 +27,7 @@ from nestfold.operators.flatten import array_widths, drop_null_cols, fanout, fla
 from nestfold.operators.history import dedupe_first, new_ids, read_history, update_history, write_history
 from nestfold.operators.profile import json_bytes, leaf_paths, profile, record_counts
 from nestfold.operators.union import conform, extra_columns, read_drifting_parquet, schema_diff, union_drift
-from nestfold.session import builder, checkpoint_root, scratch_path, tune_session
+from nestfold.session import builder, checkpoint_root, scratch_path, tuned
 from nestfold.sinks.writers import (
     read_csv,
     read_jdbc,

@@ -17,10 +17,13 @@ def route_key(url: Column) -> Column:
 def explode_entries(bundles: DataFrame, route_by: str = "url", keep_empty: bool = False) -> DataFrame:
     """One row per bundle entry with a resource:
     ``(<bundle columns>, entry_pos, res_name, res_data)``. ``res_data`` is the
-    resource as JSON text. ``route_by="url"`` names the type by
+    resource as JSON text. ``entry_pos`` ascends through the pages of a paged
+    bundle, with gaps between pages. ``route_by="url"`` names the type by
     ``request.url``; ``"type"`` by the resource's own ``resourceType``."""
     others = [c for c in bundles.columns if c not in ("entry",)]
     df = bundles.select(*others, F.posexplode("entry").alias("entry_pos", "e"))
+    if "page" in others:  # positions of a paged bundle go on from page to page
+        df = df.withColumn("entry_pos", F.shiftleft(F.col("page").cast("long"), 32) + F.col("entry_pos"))
     if not keep_empty:
         df = df.where(F.col("e.resource").isNotNull())
     if route_by == "url":

@@ -238,7 +238,8 @@ def _indexed_flatten(df, prefix, sep, drop_null_columns, header, on_collision, l
     names = _dedupe([_join(prefix, sep.join(p), sep) for p, _, _ in cands], on_collision)
     cols = [(e, n, dt) for (_, e, dt), n in zip(cands, names)]
     if cols and (drop_null_columns or header == "first"):
-        probe = df.limit(1) if header == "first" else df
+        # limit() alone keeps the first record only before any shuffle
+        probe = df.orderBy(F.monotonically_increasing_id()).limit(1) if header == "first" else df
         row = _agg_first(probe, [f"count({e})" for e, _, _ in cols])
         cols = [t for i, t in enumerate(cols) if row[f"a{i}"] > 0]
     select = [(_leaf_sql(e, dt, leaf_type, bool_style), n) for e, n, dt in cols]
@@ -352,13 +353,18 @@ def fanout(df: DataFrame, name: str = "n_rows") -> DataFrame:
     return df.withColumn(name, fanout_expr(df))
 
 
-def array_widths(df: DataFrame) -> DataFrame:
+def array_widths(df: DataFrame, key: str | None = None, paged: tuple = ()) -> DataFrame:
     """(path, max_width): the largest size of each array path over all rows —
-    the number of positions the indexed layout gives it. One aggregation."""
-    spec = array_width_exprs(df.schema)
+    the number of positions the indexed layout gives it. One aggregation. Rows
+    with the same ``key`` are pages of one record: the sizes of its ``paged``
+    arrays add up."""
+    spec = [(p, e) for p, e in array_width_exprs(df.schema)]
+    if key is not None and spec:
+        per = df.groupBy(key).agg(*[F.expr(f"{'sum' if p in paged else 'max'}({e})").alias(f"s{i}") for i, (p, e) in enumerate(spec)])
+        df, spec = per, [(p, f"s{i}") for i, (p, _) in enumerate(spec)]
     if not spec:
         return df.sparkSession.createDataFrame([], "path string, max_width int")
-    agg = df.agg(*[F.expr(f"coalesce(max({e}), 0)").alias(f"w{i}") for i, (_, e) in enumerate(spec)])
+    agg = df.agg(*[F.expr(f"CAST(coalesce(max({e}), 0) AS INT)").alias(f"w{i}") for i, (_, e) in enumerate(spec)])
     stacked = "explode(array(" + ", ".join(
         f"named_struct('path', {_lit(p)}, 'max_width', w{i})" for i, (p, _) in enumerate(spec)
     ) + ")) AS s"

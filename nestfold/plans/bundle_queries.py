@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from nestfold.operators.entries import bundle_stats, explode_entries, first_type, out_path, select_types, type_counts
+from nestfold.operators.union import union_drift
 from nestfold.plans.records import bundle_texts
 from nestfold.plans.registry import register
 from nestfold.session import landed, scratch_path
@@ -163,53 +164,99 @@ def q_out_path(spark, sf_dir):
     return out_path(named, "/out").select("bundle_id", "res_name", "out_path")
 
 
-@register(
-    "q_write_by_type",
-    """
-SELECT 'Order' AS res_name, count(*) AS n_rows, 8 AS n_cols FROM orders
-UNION ALL
-SELECT 'Customer', count(*), 7 FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
-UNION ALL
-SELECT 'Line', count(*), 11 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
-""",
-)
+# The three record types as flat tables, in SQL.
+_TABLES = """
+SELECT CAST(o_orderkey AS VARCHAR) AS _bundle_id, 'Order' AS Order_resourceType, CAST(o_orderkey AS VARCHAR) AS Order_id,
+       o_custkey AS Order_custkey, o_orderstatus AS Order_status, o_totalprice AS Order_totalprice,
+       strftime(o_orderdate, '%Y-%m-%d') AS Order_orderdate, o_orderpriority AS Order_priority
+FROM orders
+UNION ALL BY NAME
+SELECT CAST(o.o_orderkey AS VARCHAR) AS _bundle_id, 'Customer' AS Customer_resourceType,
+       CAST(c.c_custkey AS VARCHAR) AS Customer_id, c.c_name AS Customer_name, c.c_nationkey AS Customer_nationkey,
+       c.c_acctbal AS Customer_acctbal, c.c_mktsegment AS Customer_segment
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+UNION ALL BY NAME
+SELECT CAST(o.o_orderkey AS VARCHAR) AS _bundle_id, 'Line' AS Line_resourceType,
+       CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS Line_id,
+       l.l_orderkey AS Line_orderkey, CAST(l.l_linenumber AS BIGINT) AS Line_linenumber,
+       l.l_partkey AS Line_partkey, l.l_suppkey AS Line_suppkey, l.l_quantity AS Line_quantity,
+       l.l_extendedprice AS Line_extendedprice, l.l_returnflag AS Line_returnflag,
+       strftime(l.l_shipdate, '%Y-%m-%d') AS Line_shipdate
+FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+"""
+
+
+@register("q_write_by_type", _TABLES)
 def q_write_by_type(spark, sf_dir):
     """Entries → one flat Parquet table per record type (schema inferred per
-    type), read back: rows and columns per table."""
+    type); all tables read back and stacked."""
     entries, _ = landed_entries(spark, sf_dir)
     paths = write_by_type(entries, scratch_path(spark, "by-type"))
-    parts = []
-    for t, p in sorted(paths.items()):
-        df = spark.read.parquet(p)
-        parts.append(
-            df.agg(F.count(F.lit(1)).alias("n_rows")).select(
-                F.lit(t).alias("res_name"), "n_rows", F.lit(len(df.columns)).alias("n_cols")
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return union_drift([spark.read.parquet(p) for _, p in sorted(paths.items())])
 
 
 @register(
     "q_bundles_to_tables",
-    """
-SELECT CAST(o.o_orderkey AS VARCHAR) AS _bundle_id, 'Line' AS Line_resourceType,
-       CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS Line_id,
-       l.l_orderkey AS Line_orderkey, CAST(l.l_linenumber AS BIGINT) AS Line_linenumber,
-       l.l_partkey AS Line_partkey, l.l_suppkey AS Line_suppkey, l.l_quantity AS Line_quantity,
-       l.l_extendedprice AS Line_extendedprice, l.l_returnflag AS Line_returnflag,
-       strftime(l.l_shipdate, '%Y-%m-%d') AS Line_shipdate
-FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
+    _TABLES
+    + """
+UNION ALL BY NAME
+SELECT CAST(o_orderkey AS VARCHAR) AS _bundle_id, 'Note' AS untyped_resourceType, 'n' || CAST(o_orderkey AS VARCHAR) AS untyped_id
+FROM orders
 """,
 )
 def q_bundles_to_tables(spark, sf_dir):
-    """Bundle files → split by type → flatten → Parquet per type; the Line
-    table read back."""
+    """Two loads appended to the tables per type, finished orders first: bundle
+    files → split by type → flatten → Parquet per type; every table, also that
+    of the entries without a type, read back."""
     entries, _ = landed_entries(spark, sf_dir)
-    paths = write_by_type(select_types(entries, exclude=["Customer"]), scratch_path(spark, "tables"))
-    return spark.read.parquet(paths["Line"])
+    notes = entries.groupBy("bundle_id", "status").agg(F.lit(None).cast("string").alias("res_name"))
+    note = F.to_json(F.struct(F.lit("Note").alias("resourceType"), F.concat(F.lit("n"), "bundle_id").alias("id")))
+    both = entries.select("bundle_id", "status", "res_name", "res_data").unionByName(notes.withColumn("res_data", note))
+    out, paths = scratch_path(spark, "tables"), {}
+    done = F.col("status").eqNullSafe(F.lit("F"))
+    for load in (both.where(done), both.where(~done)):
+        paths.update(write_by_type(load, out, mode="append"))
+    return union_drift([spark.read.parquet(p) for _, p in sorted(paths.items())])
+
+
+@register("q_route_by_type", _ENTRIES + "SELECT bundle_id, coalesce(res_name, 'Note') AS res_name, res_id FROM valid")
+def q_route_by_type(spark, sf_dir):
+    """Damaged feed routed by each record's own type: an entry without a request
+    has one too."""
+    bundles = read_bundles(spark, land_bundles(spark, sf_dir, faults=True), layout="lines")
+    entries = explode_entries(bundles, route_by="type")
+    return entries.select("bundle_id", "res_name", _res_id().alias("res_id"))
+
+
+FILE_ENTRIES = 500
+
+
+@register(
+    "q_bundle_files",
+    """
+SELECT 'Order' AS res_name, CAST(o_orderkey AS VARCHAR) AS res_id, o_orderstatus AS status, o_totalprice AS totalprice FROM orders
+""",
+)
+def q_bundle_files(spark, sf_dir):
+    """One bundle per file, over several lines each: about ``FILE_ENTRIES``
+    orders a bundle, and beside them a file that breaks off and one that is no
+    bundle. Every file is read whole and its entries routed by their own type."""
+
+    def write(path):
+        orders = table(spark, sf_dir, "orders")
+        n = max(1, orders.count() // FILE_ENTRIES)
+        entry = F.to_json(F.struct(F.struct(F.lit("Order").alias("resourceType"), F.col("o_orderkey").cast("string").alias("id"),
+            F.col("o_orderstatus").alias("status"), F.col("o_totalprice").alias("totalprice")).alias("resource")))
+        pages = orders.select(F.pmod(F.xxhash64("o_orderkey"), F.lit(n)).alias("page"), entry.alias("e"))
+        text = F.concat(F.lit('{"resourceType": "Bundle",\n"id": "'), F.col("page").cast("string"), F.lit('",\n"entry": [\n'), F.concat_ws(",\n", "e"), F.lit("\n]}"))
+        good = pages.groupBy("page").agg(F.collect_list("e").alias("e")).select(F.col("page").cast("string"), text.alias("value"))
+        bad = spark.createDataFrame([("-1", '{"resourceType": "Bundle",\n"entry": ['), ("-2", '{"resourceType": "List",\n"entry": [{"resource": {"id": "x"}}]}')], "page string, value string")
+        good.unionByName(bad).repartition("page").write.partitionBy("page").text(path)
+
+    root = landed(spark, "bundle-files", (sf_dir,), write)
+    entries = explode_entries(read_bundles(spark, root, layout="file"), route_by="type")
+    field = lambda f: F.get_json_object("res_data", f"$.{f}")
+    return entries.select("res_name", _res_id().alias("res_id"), field("status").alias("status"), field("totalprice").cast("double").alias("totalprice"))
 
 
 ORDER_JSON = StructType(
@@ -250,26 +297,30 @@ def q_source_files(spark, sf_dir):
     bundle row found by reading the landing root, rows counted per folder."""
 
     def write(path):
-        # re-file the landed bundles by their order's status
-        landed_texts = spark.read.text(land_bundles(spark, sf_dir)).select(
-            "value", F.substring_index(F.get_json_object("value", "$.id"), "-", 1).alias("bundle_id")
-        )  # a paged bundle's id is "<order>-<page>"
-        status = table(spark, sf_dir, "orders").select(
-            F.col("o_orderkey").cast("string").alias("bundle_id"), F.col("o_orderstatus").alias("status")
-        )
-        landed_texts.join(status, "bundle_id").select("status", "value").write.partitionBy("status").option(
-            "compression", LANDING_CODEC
-        ).text(path)
+        # re-file the landed bundles by the status they name; no shuffle
+        texts = spark.read.text(land_bundles(spark, sf_dir))
+        status = F.get_json_object("value", "$.status").alias("status")
+        texts.select(status, "value").write.partitionBy("status").option("compression", LANDING_CODEC).text(path)
 
     root = landed(spark, "bundles-by-status", (sf_dir,), write)
-    files = source_files(read_bundles(spark, root, layout="lines"))
+    # a bundle is counted by its first page
+    files = source_files(read_bundles(spark, root, layout="lines").where("page = 0"))
     folder = F.regexp_extract("source_file", r"/status=([^/]+)/[^/]*$", 1)
     return files.groupBy(folder.alias("folder")).agg(F.sum("n_rows").alias("n_bundles"))
 
 
-@register("q_file_listing")
+@register(
+    "q_file_listing",
+    """
+SELECT o_orderstatus AS folder, (SELECT count(DISTINCT o_orderstatus) FROM orders) AS n_folders
+FROM orders GROUP BY o_orderstatus ORDER BY 1 LIMIT 2
+""",
+)
 def q_file_listing(spark, sf_dir):
-    """First three files of the landing folder by name, with their sizes (the
-    file contents are never read)."""
-    path = land_bundles(spark, sf_dir)
-    return list_files(spark, path, limit=3)
+    """The first two folders by name that hold files, and how many there are in
+    all (a paged listing and its count); file contents are never read."""
+    q_source_files(spark, sf_dir)  # lands the folders
+    root = landed(spark, "bundles-by-status", (sf_dir,), None)
+    folder = F.regexp_extract("path", r"/status=([^/]+)/[^/]*$", 1)
+    names = list_files(spark, root).select(folder.alias("folder")).distinct()
+    return names.orderBy("folder").limit(2).withColumn("n_folders", F.lit(names.count()))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nestfold.operators.flatten import array_widths, fanout, flatten
-from nestfold.plans.records import customer_records, order_records
+from nestfold.plans.records import WHOLE, customer_records, order_records
 from nestfold.plans.registry import register
 
 _LINES_LEFT = """
@@ -126,17 +126,19 @@ GROUP BY o.o_orderkey"""
 def q_flatten_indexed(spark, sf_dir):
     """Arrays spread to positional columns ``lines.<i>.<field>``, one row per
     record; the width comes from one aggregation over the data."""
-    recs = order_records(spark, sf_dir, flags=False, sort_lines=True, line_fields=["linenumber", "quantity"])
+    # the layout holds a record in one row, so its records are not paged
+    recs = order_records(spark, sf_dir, flags=False, sort_lines=True, line_fields=["linenumber", "quantity"], max_lines=WHOLE)
     return flatten(recs.select("id", "lines"), mode="indexed", materialize=True)
 
 
 @register(
     "q_flatten_union",
     """
-SELECT o_orderkey AS id, 'Order' AS resourceType, o_orderstatus AS status, o_totalprice AS totalprice
+SELECT o_orderkey AS id, 'Order' AS resourceType, o_custkey AS custkey, o_orderstatus AS status, o_totalprice AS totalprice,
+       strftime(o_orderdate, '%Y-%m-%d') AS orderdate, o_orderpriority AS priority
 FROM orders
 UNION ALL BY NAME
-SELECT c.c_custkey AS id, 'Customer' AS resourceType, c.c_name AS name,
+SELECT c.c_custkey AS id, 'Customer' AS resourceType, c.c_name AS name, c.c_acctbal AS acctbal, c.c_mktsegment AS segment,
        n.n_nationkey AS nation_key, n.n_name AS nation_name,
        r.r_regionkey AS nation_region_key, r.r_name AS nation_region_name
 FROM customer c
@@ -149,8 +151,8 @@ def q_flatten_union(spark, sf_dir):
     are null."""
     from nestfold.operators.union import union_drift
 
-    o = flatten(order_records(spark, sf_dir, lines=False, flags=False).select("id", "resourceType", "status", "totalprice"))
-    c = flatten(customer_records(spark, sf_dir).drop("acctbal", "segment"))
+    o = flatten(order_records(spark, sf_dir, lines=False, flags=False).drop("page"))
+    c = flatten(customer_records(spark, sf_dir))
     return union_drift([o, c])
 
 
@@ -168,7 +170,7 @@ FROM (SELECT l_orderkey, count(DISTINCT l_returnflag) AS n FROM lineitem GROUP B
 def q_array_widths(spark, sf_dir):
     """Largest array size per path (the indexed layout's positions)."""
     recs = order_records(spark, sf_dir, line_fields=["linenumber"])
-    return array_widths(recs.select("lines", "flags"))
+    return array_widths(recs.select("id", "lines", "flags"), key="id", paged=("lines",))
 
 
 @register(

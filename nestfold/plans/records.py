@@ -8,13 +8,12 @@ tables.
 
 Skew: an order may own an arbitrary share of ``lineitem``. Its lines are never
 collected into one unbounded array: orders with more than ``max_lines`` lines
-are split into pages of about ``max_lines`` (page = hash of the line mod the
-page count), each page a record of its own carrying the order's fields, so no
-group, record or task has to hold an order's full line set. The hot-order set
-is counted before it is used: broadcast when the count is small, shuffled
-otherwise; the pages are grouped on (order, page) and the order fields are
-attached to hot orders' pages through a broadcast of those few order rows.
-Orders at or below ``max_lines`` get exactly one record.
+are split into pages of about ``max_lines`` (page = hash of the line's place in
+its file, so equal lines spread too). Every page keeps the order's id and
+carries its ``page`` number; the order's own row is repeated once per page and
+joined on (order, page), so no group, record, join key or task holds an
+order's full line set, however many such orders there are. Orders at or below
+``max_lines`` get exactly one record.
 """
 
 from __future__ import annotations
@@ -25,6 +24,7 @@ from pyspark.sql import functions as F
 from nestfold.sources.tables import table
 
 MAX_LINES = 1000
+WHOLE = 2**31 - 1  # no paging
 
 # line fields in sort order: ``array_sort`` on the struct orders lines by
 # (linenumber, quantity, partkey, suppkey, shipdate), which is unique per order
@@ -65,92 +65,41 @@ def order_stats(lineitem: DataFrame) -> DataFrame:
     )
 
 
-# Largest hot-order set (rows of (order, page count)) shipped to every task as
-# a broadcast; it is *counted* before the decision. Beyond it the lines are
-# joined by shuffle and then re-partitioned on (order, page).
-HOT_BROADCAST_MAX_ROWS = 2_000_000
+# The hot orders (16 bytes each: key and page count) are counted; up to this
+# many bytes they are broadcast to the lines, beyond it joined by a shuffle in
+# which AQE splits a hot order's lines.
+HOT_ROW_BYTES, HOT_BROADCAST_BYTES = 16, 32 << 20
 
-# Largest number of hot orders whose order rows (order fields, or a bundle's
-# order-level entries: up to about a kilobyte each) are broadcast to attach
-# them to the hot pages. Beyond it there are so many hot orders that each is a
-# small share of the data, and the ordinary shuffle join spreads them.
-HOT_HEAD_BROADCAST_MAX_ROWS = 50_000
 
-
-def hot_orders(stats: DataFrame, max_lines: int) -> tuple[DataFrame, int]:
-    """Orders with more than ``max_lines`` lines and their page counts, and
-    how many there are (one small job: the per-order counts aggregate
-    map-side)."""
-    hot = stats.where(F.col("n_lines") > max_lines).select(
-        "l_orderkey", F.ceil(F.col("n_lines") / F.lit(max_lines)).cast("int").alias("n_pages")
-    )
-    return hot, hot.count()
+def page_count(n_lines, max_lines: int):
+    """Pages of an order: one, or more above ``max_lines``."""
+    return F.greatest(F.lit(1), F.ceil(F.coalesce(n_lines, F.lit(0)) / F.lit(max_lines)).cast("int"))
 
 
-class Pages:
-    """(order, page) arrays plus the counted hot-order set they came from."""
+def with_pages(head: DataFrame, max_lines: int, count: str = "n_lines") -> DataFrame:
+    """One row per order (with its line count) → one per (order, ``page``)."""
+    return head.withColumn("page", F.explode(F.sequence(F.lit(0), page_count(F.col(count), max_lines) - 1)))
 
-    def __init__(self, df: DataFrame, hot: DataFrame, n_hot: int):
-        self.df, self.hot, self.n_hot = df, hot, n_hot
 
+def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value) -> DataFrame:
+    """``(l_orderkey, page, items)``: ``value`` (a per-line column) grouped into
+    arrays of about ``max_lines`` elements.
 
-def join_pages(
-    head: DataFrame, head_key: str, pages: Pages, pages_key: str = "l_orderkey", how: str = "inner"
-) -> DataFrame:
-    """Join one row per order (``head``) with the order's pages (``how`` is
-    ``inner``, or ``left`` to keep orders without pages with NULL pages).
-
-    Cold orders take the ordinary shuffle join. The pages of hot orders are
-    joined against a broadcast of just the hot orders' head rows — at most
-    the counted hot-set size — so a hot order's pages stay spread over the
-    tasks that built them instead of meeting in one join partition."""
-    cond = F.col(head_key) == F.col(pages_key)
-    if pages.n_hot == 0 or pages.n_hot > HOT_HEAD_BROADCAST_MAX_ROWS:
-        # no hot order; or so many that none dominates (AQE may still split)
-        return head.join(pages.df, cond, how)
-    hot_ids = F.broadcast(pages.hot.select(F.col("l_orderkey").alias("_hot_key")))
-    hot_pages = pages.df.join(hot_ids, F.col(pages_key) == F.col("_hot_key"), "left_semi")
-    cold_pages = pages.df.join(hot_ids, F.col(pages_key) == F.col("_hot_key"), "left_anti")
-    hot_head = head.join(hot_ids, F.col(head_key) == F.col("_hot_key"), "left_semi")
-    cold_head = head.join(hot_ids, F.col(head_key) == F.col("_hot_key"), "left_anti")
-    cold = cold_head.join(cold_pages, cond, how)
-    hot = hot_pages.join(F.broadcast(hot_head), cond, "inner")  # hot orders always have pages
-    return cold.unionByName(hot.select(*cold.columns))
-
-
-def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value, with_page0: bool = False) -> Pages:
-    """Group ``value`` (a per-line column) into (order, page) arrays of about
-    ``max_lines`` elements. ``with_page0`` guarantees every paged order a page
-    0 (possibly empty), for callers that attach order-level data to it.
-
-    No hot order: one shuffle on the order key, no join. A counted, small hot
-    set: broadcast, and the aggregation shuffles on (order, page), which
-    spreads a hot order's pages over tasks. A large hot set: shuffle join,
-    then an explicit re-partition on (order, page)."""
-    hot, n_hot = hot_orders(stats, max_lines)
-    # The raw line columns are shuffled on (order, page) first and the values
-    # built and listed after the shuffle: a partial collect_list reduces
-    # nothing, and this way the per-line work runs in the (many) reduce tasks
-    # even when the input has few splits. Still exactly one shuffle of lines.
-    v_type = lineitem.select(value.alias("v")).schema["v"].dataType
+    The raw line columns are shuffled on (order, page) and the values built and
+    listed after the shuffle: a partial collect_list reduces nothing, and
+    this way the per-line work runs in the reduce tasks even when the input
+    has few splits. Without a hot order no join is planned."""
+    hot = stats.where(F.col("n_lines") > max_lines).select("l_orderkey", page_count(F.col("n_lines"), max_lines).alias("n_pages"))
+    n_hot = hot.count()  # the per-order counts aggregate map-side
     if n_hot == 0:
         paged = lineitem.withColumn("page", F.lit(0))
     else:
-        line_hash = F.xxhash64(*[F.col(c) for c in lineitem.columns])
-        side = F.broadcast(hot) if n_hot <= HOT_BROADCAST_MAX_ROWS else hot
-        paged = lineitem.join(side, "l_orderkey", "left").withColumn(
-            "page",
-            F.when(F.col("n_pages").isNull(), F.lit(0)).otherwise(F.pmod(line_hash, F.col("n_pages")).cast("int")),
-        )
-    paged = paged.withColumn("_line", F.lit(True))
-    if n_hot and with_page0:
-        # page 0 exists even when no line hashes to it: a marker row per hot
-        # order, dropped by collect_list (its value is NULL)
-        zero = hot.select("l_orderkey", F.lit(0).alias("page"), F.lit(False).alias("_line"))
-        paged = paged.unionByName(zero, allowMissingColumns=True)
-    v = F.when(F.col("_line"), value).otherwise(F.lit(None).cast(v_type))
-    grouped = paged.repartition("l_orderkey", "page").select("l_orderkey", "page", v.alias("v"))
-    return Pages(grouped.groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items")), hot, n_hot)
+        side = F.broadcast(hot) if n_hot * HOT_ROW_BYTES <= HOT_BROADCAST_BYTES else hot
+        place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
+        paged = lineitem.select("*", place.alias("_place")).join(side, "l_orderkey", "left")
+        paged = paged.withColumn("page", F.when(F.col("n_pages").isNull(), 0).otherwise(F.pmod("_place", "n_pages")).cast("int"))
+    grouped = paged.repartition("l_orderkey", "page").select("l_orderkey", "page", value.alias("v"))
+    return grouped.groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items"))
 
 
 def order_records(
@@ -195,16 +144,11 @@ def order_records(
     out = base.join(stats, "id", "left")
     if lines:
         pages = paged_lines(li, stats.withColumnRenamed("id", "l_orderkey"), max_lines, _line_struct(line_fields))
-        lines_type = pages.df.schema["items"].dataType
-        # orders without lines are added back as empty records
-        with_lines = join_pages(out.where(F.col("n_lines").isNotNull()), "id", pages)
-        with_lines = with_lines.drop("l_orderkey").withColumnRenamed("items", "lines")
-        without = (
-            out.where(F.col("n_lines").isNull())
-            .withColumn("page", F.lit(0))
-            .withColumn("lines", F.array().cast(lines_type))
-        )
-        out = with_lines.unionByName(without)
+        pages = pages.select(F.col("l_orderkey").alias("id"), "page", F.col("items").alias("lines"))
+        out = with_pages(out, max_lines).join(pages, ["id", "page"], "left")
+        # a page that no line fell on is no record; an order without lines is one
+        out = out.where(F.col("lines").isNotNull() | F.col("n_lines").isNull())
+        out = out.withColumn("lines", F.coalesce("lines", F.array().cast(pages.schema["lines"].dataType)))
         if sort_lines:
             out = out.withColumn("lines", F.array_sort("lines"))
     else:
@@ -254,6 +198,7 @@ def _entry_json(url: str, resource) -> "F.Column":
 
 def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lines: int = MAX_LINES) -> DataFrame:
     """One JSON bundle text per order page: ``(bundle_id, order_id, page, value)``.
+    All pages of an order have its id; pages after the first say so (``page``).
 
     Entries: the Order resource and its Customer resource (page 0 only; the
     Customer comes first for orders with status 'O') and one Line resource per
@@ -295,8 +240,8 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
         F.col("l_returnflag").alias("returnflag"),
         _day("l_shipdate").alias("shipdate"),
     )
-    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))  # hot-order detection only
-    pages = paged_lines(li, counts, max_lines, _entry_json("Line", line_res), with_page0=True)
+    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+    pages = paged_lines(li, counts, max_lines, _entry_json("Line", line_res))
     head = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left").select(
         F.col("o_orderkey"),
         F.col("o_orderstatus"),
@@ -304,25 +249,17 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
         _entry_json("Order", order_res).alias("order_entry"),
         F.when(F.col("c_custkey").isNotNull(), _entry_json("Customer", cust_res)).alias("cust_entry"),
     )
-    # every order with its pages (hot orders via a broadcast of their head
-    # rows); an order without lines keeps one bundle with no line entries
-    joined = join_pages(head, "o_orderkey", pages, how="left").select(
-        "o_orderkey",
-        F.coalesce(F.col("page"), F.lit(0)).alias("page"),
-        "o_orderstatus",
-        "o_orderpriority",
-        "order_entry",
-        "cust_entry",
-        F.coalesce(F.col("items"), F.array().cast("array<string>")).alias("items"),
-    )
-    b = joined.select(
+    # an order without lines keeps one bundle with no line entries
+    head = with_pages(head.join(counts, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey"), max_lines)
+    pages = pages.withColumnRenamed("l_orderkey", "o_orderkey")
+    b = head.join(pages, ["o_orderkey", "page"], "left").where((F.col("page") == 0) | F.col("items").isNotNull()).select(
         F.col("o_orderkey").alias("order_id"),
         "page",
         "o_orderstatus",
         "o_orderpriority",
         "order_entry",
         "cust_entry",
-        F.col("items").alias("line_entries"),
+        F.coalesce(F.col("items"), F.array().cast("array<string>")).alias("line_entries"),
     )
     first = F.col("page") == 0
     lead = F.when(
@@ -344,15 +281,17 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
             F.when(first, F.array(no_request)).otherwise(F.array().cast("array<string>")),
         )
         root_type = F.when(F.col("o_orderstatus") == "P", F.lit("Collection")).otherwise(F.lit("Bundle"))
-    bundle_id = F.when(first, F.col("order_id").cast("string")).otherwise(
-        F.concat_ws("-", F.col("order_id").cast("string"), F.col("page").cast("string"))
-    )
+    bundle_id = F.col("order_id").cast("string")
     text = F.concat(
         F.lit('{"resourceType":"'),
         root_type,
         F.lit('","id":"'),
         bundle_id,
-        F.lit('","type":"collection","entry":['),
+        F.lit('","type":"collection",'),
+        F.when(first, F.lit("")).otherwise(F.concat(F.lit('"page":'), F.col("page").cast("string"), F.lit(","))),
+        F.lit('"status":"'),
+        F.col("o_orderstatus"),
+        F.lit('","entry":['),
         F.array_join(entries, ","),
         F.lit("]}"),
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Callable
 
-from nestfold.session import tune_session
+from nestfold.session import tuned
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -22,8 +22,7 @@ def register(name: str, sql: str | None = None):
 
         @functools.wraps(fn)
         def run(spark, sf_dir):
-            tune_session(spark)
-            return fn(spark, sf_dir.rstrip("/"))
+            return fn(tuned(spark), sf_dir.rstrip("/"))
 
         QUERIES[name] = run
         if sql is not None:

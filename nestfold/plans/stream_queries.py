@@ -14,11 +14,13 @@ from pyspark.sql.types import (
     TimestampNTZType,
 )
 
+from nestfold.operators.union import union_drift
+from nestfold.plans.bundle_queries import _TABLES, land_bundles
 from nestfold.plans.registry import register
 from nestfold.session import scratch_path
 from nestfold.sinks.writers import to_json_text
 from nestfold.sources.tables import table
-from nestfold.streaming.streams import stream_append, stream_bundles, stream_flatten, stream_split_by_type
+from nestfold.streaming.streams import stream_append, stream_bundles, stream_flatten, stream_rejects, stream_split_by_type
 
 LANDED_FILES = 8
 
@@ -82,7 +84,9 @@ LINE_JSON = StructType(
         StructField("orderkey", LongType()),
         StructField("linenumber", LongType()),
         StructField("partkey", LongType()),
+        StructField("suppkey", LongType()),
         StructField("quantity", DoubleType()),
+        StructField("extendedprice", DoubleType()),
         StructField("returnflag", StringType()),
         StructField("shipdate", StringType()),
     ]
@@ -95,7 +99,8 @@ LINE_JSON = StructType(
 SELECT CAST(l.l_orderkey AS VARCHAR) AS _bundle_id, 'Line' AS Line_resourceType,
        CAST(l.l_orderkey AS VARCHAR) || '-' || CAST(l.l_linenumber AS VARCHAR) AS Line_id,
        l.l_orderkey AS Line_orderkey, CAST(l.l_linenumber AS BIGINT) AS Line_linenumber,
-       l.l_partkey AS Line_partkey, l.l_quantity AS Line_quantity, l.l_returnflag AS Line_returnflag,
+       l.l_partkey AS Line_partkey, l.l_suppkey AS Line_suppkey, l.l_quantity AS Line_quantity,
+       l.l_extendedprice AS Line_extendedprice, l.l_returnflag AS Line_returnflag,
        strftime(l.l_shipdate, '%Y-%m-%d') AS Line_shipdate
 FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 """,
@@ -103,8 +108,6 @@ FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey
 def q_stream_bundles(spark, sf_dir):
     """Bundles landing as files, continuously split: the Line entries parsed
     with their declared schema, flattened and appended."""
-    from nestfold.plans.bundle_queries import land_bundles
-
     landing = land_bundles(spark, sf_dir)
     out = scratch_path(spark, "lines-flat")
     _run(stream_bundles(spark, landing, out, "Line", LINE_JSON, scratch_path(spark, "ckpt-bundles")))
@@ -124,23 +127,57 @@ ORDER_JSON = StructType(
 )
 
 
+CUSTOMER_JSON = StructType(
+    [
+        StructField("resourceType", StringType()),
+        StructField("id", StringType()),
+        StructField("name", StringType()),
+        StructField("nationkey", LongType()),
+        StructField("acctbal", DoubleType()),
+    ]
+)
+
+
 @register(
     "q_stream_split",
     """
-SELECT CAST(o_orderkey AS VARCHAR) AS _bundle_id, 'Order' AS Order_resourceType, CAST(o_orderkey AS VARCHAR) AS Order_id,
-       o_custkey AS Order_custkey, o_orderstatus AS Order_status, o_totalprice AS Order_totalprice,
-       strftime(o_orderdate, '%Y-%m-%d') AS Order_orderdate, o_orderpriority AS Order_priority
-FROM orders
-""",
+SELECT t.* EXCLUDE (Customer_segment), CASE WHEN Customer_id IS NOT NULL THEN '{"segment":"' || Customer_segment || '"}' END AS _rest
+FROM ("""
+    + _TABLES
+    + ") t",
 )
 def q_stream_split(spark, sf_dir):
-    """One stream over landing bundles feeding a flat table per record type
-    (Order and Line here); the Order table read back."""
-    from nestfold.plans.bundle_queries import land_bundles
-
+    """One stream over landing bundles feeding a flat table per record type;
+    all tables read back and stacked. The customers' schema does not declare
+    the segment, which so is in ``_rest``."""
     out = scratch_path(spark, "split-tables")
-    q = stream_split_by_type(
-        spark, land_bundles(spark, sf_dir), out, {"Order": ORDER_JSON, "Line": LINE_JSON}, scratch_path(spark, "ckpt-split")
+    schemas = {"Order": ORDER_JSON, "Line": LINE_JSON, "Customer": CUSTOMER_JSON}
+    _run(stream_split_by_type(spark, land_bundles(spark, sf_dir), out, schemas, scratch_path(spark, "ckpt-split"), rest=True))
+    tables = [spark.read.parquet(f"{out}/{t}").drop("_batch") for t in sorted(schemas)]
+    return union_drift(tables)
+
+
+@register(
+    "q_stream_rejects",
+    """
+SELECT event_type, 'good' AS kind, count(*) AS n, CAST(sum(event_id) AS BIGINT) AS ids FROM events WHERE user_id % 2 = 0 GROUP BY ALL
+UNION ALL SELECT NULL, 'rejected', count(*), NULL FROM events WHERE user_id % 2 = 1
+""",
+)
+def q_stream_rejects(spark, sf_dir):
+    """A feed in which the lines of every other user break off: the stream's
+    good rows, and the rejected lines in a table of their own."""
+    events = table(spark, sf_dir, "events")
+    text = to_json_text(F.struct("event_id", "ts", "user_id", "event_type", "value"))
+    cut = F.when(F.col("user_id") % 2 == 1, F.expr("substring(text, 1, length(text) - 5)")).otherwise(F.col("text"))
+    landing = scratch_path(spark, "landing-damaged")
+    events.select("user_id", text.alias("text")).select(cut.alias("value")).repartition(LANDED_FILES).write.text(landing)
+    out, bad = scratch_path(spark, "events-good"), scratch_path(spark, "events-bad")
+    _run(stream_flatten(spark, landing, out, EVENT_JSON, scratch_path(spark, "ckpt-good")))
+    _run(stream_rejects(spark, landing, bad, EVENT_JSON, scratch_path(spark, "ckpt-bad")))
+    good = spark.read.parquet(out).groupBy("event_type").agg(F.count("*").alias("n"), F.sum("event_id").alias("ids"))
+    rejected = spark.read.parquet(bad).agg(F.count("*").alias("n"))
+    none = F.lit(None)
+    return good.select("event_type", F.lit("good").alias("kind"), "n", "ids").unionByName(
+        rejected.select(none.cast("string").alias("event_type"), F.lit("rejected").alias("kind"), "n", none.cast("long").alias("ids"))
     )
-    _run(q)
-    return spark.read.parquet(f"{out}/Order").drop("_batch")

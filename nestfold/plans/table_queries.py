@@ -15,11 +15,11 @@ from pyspark.sql.types import (
 
 from nestfold.functions.scalars import null_render, stringify
 from nestfold.operators.flatten import flatten
-from nestfold.operators.history import dedupe_first, new_ids, read_history, update_history, write_history
+from nestfold.operators.history import dedupe_first, load_increment, new_ids, read_history, update_history, write_history
 from nestfold.operators.profile import json_bytes, leaf_paths, profile, record_counts
 from nestfold.operators.union import conform, read_drifting_parquet, schema_diff, union_drift
 from nestfold.plans.flatten_queries import _CROSS_COLS, _LINES_LEFT, INDEXED_WIDTH, _cross_records
-from nestfold.plans.records import order_records
+from nestfold.plans.records import WHOLE, order_records
 from nestfold.plans.registry import register
 from nestfold.session import landed, scratch_path
 from nestfold.sinks.writers import read_csv, read_ndjson, to_json_documents, to_json_text, write_csv, write_ndjson
@@ -189,7 +189,8 @@ def _land_drift(spark, sf_dir):
     def write(root):
         orders = table(spark, sf_dir, "orders")
         for status, cols in _DRIFT.items():
-            orders.where(F.col("o_orderstatus") == status).select(*cols).write.parquet(f"{root}/part_{status}")
+            other = F.coalesce(~F.col("o_orderstatus").isin("F", "O"), F.lit(True))  # the last part takes all that is left
+            orders.where(other if status == "P" else F.col("o_orderstatus") == status).select(*cols).write.parquet(f"{root}/part_{status}")
 
     return landed(spark, "drift", (sf_dir,), write)
 
@@ -201,7 +202,7 @@ SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_or
 UNION ALL BY NAME
 SELECT o_orderkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus = 'O'
 UNION ALL BY NAME
-SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus = 'P'
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority FROM orders WHERE o_orderstatus NOT IN ('F', 'O') OR o_orderstatus IS NULL
 """,
 )
 def q_union_drift(spark, sf_dir):
@@ -296,22 +297,44 @@ def q_conform_schema(spark, sf_dir):
 
 # ----------------------------------------------------------- incremental load
 
-_HIST_SQL = "SELECT o_orderkey AS Order_id FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')"
+_HIST_SQL = "SELECT o_orderkey AS Order_id FROM orders WHERE o_orderstatus = 'F'"
 _NEW_SQL = (
-    "SELECT o_orderkey AS Order_id FROM orders WHERE o_orderstatus = 'O' "
+    "SELECT o_orderkey AS Order_id FROM orders WHERE o_orderstatus IS DISTINCT FROM 'F' "
     "OR (o_orderstatus = 'F' AND o_orderpriority = '2-HIGH')"
 )
 
 
 def _history_case(spark, sf_dir):
+    """The first load has every finished order, the second all others and some
+    of the first again."""
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("Order_id"), "o_orderstatus", "o_orderpriority")
     root = scratch_path(spark, "history")
-    first = orders.where((F.col("o_orderstatus") == "F") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
-    v1 = write_history(update_history(read_history(spark, None, "Order_id"), first, "Order_id"), root, 1)
-    batch = orders.where(
-        (F.col("o_orderstatus") == "O") | ((F.col("o_orderstatus") == "F") & (F.col("o_orderpriority") == "2-HIGH"))
+    done = F.col("o_orderstatus").eqNullSafe(F.lit("F"))
+    v1 = write_history(update_history(read_history(spark, None, "Order_id"), orders.where(done), "Order_id"), root, 1)
+    return root, v1, orders.where(~done | (F.col("o_orderpriority") == "2-HIGH"))
+
+
+@register(
+    "q_incremental_load",
+    """
+SELECT o_orderkey AS Order_id, o_orderstatus AS status,
+       CASE WHEN o_orderstatus = 'F' THEN 1 WHEN o_orderstatus = 'O' THEN 2 ELSE 3 END AS load
+FROM orders
+""",
+)
+def q_incremental_load(spark, sf_dir):
+    """Three loads as one flow, each finding the current version by itself:
+    finished orders, then open ones with some of the first again, then all
+    orders; the rows each load let through, with its version."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("Order_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")
     )
-    return root, v1, batch
+    root, out = scratch_path(spark, "increments"), scratch_path(spark, "increment-rows")
+    loads = [orders.where("status = 'F'"), orders.where("status = 'O' OR (status = 'F' AND priority = '2-HIGH')"), orders]
+    for rows in loads:
+        fresh, version = load_increment(rows, root, "Order_id")
+        fresh.select("Order_id", "status", F.lit(version).alias("load")).write.mode("append").parquet(out)
+    return spark.read.parquet(out)
 
 
 @register("q_id_history", f"{_HIST_SQL} UNION {_NEW_SQL}")
@@ -367,7 +390,7 @@ GROUP BY o.o_orderkey)""",
 def q_bundles_to_csv(spark, sf_dir):
     """Nested records → JSON lines → read back with every value as text →
     indexed flatten → header CSV → read back."""
-    recs = order_records(spark, sf_dir, flags=False, sort_lines=True, line_fields=["linenumber", "partkey", "suppkey"])
+    recs = order_records(spark, sf_dir, flags=False, sort_lines=True, line_fields=["linenumber", "partkey", "suppkey"], max_lines=WHOLE)
     recs = recs.select("id", F.transform("lines", lambda x: F.struct(x["linenumber"].alias("linenumber"), x["partkey"].alias("partkey"))).alias("lines"))
     nd = write_ndjson(recs, scratch_path(spark, "orders-ndjson"))
     back = read_ndjson(spark, nd, primitives_as_string=True)
@@ -393,14 +416,14 @@ def q_sql_target_rows(spark, sf_dir):
     """The three-column load of a SQL target: three dotted columns of an
     indexed flat, conformed to the target's column list and printed with
     NULLs spelled out (what a fetch loop prints)."""
-    recs = order_records(spark, sf_dir, flags=False, sort_lines=True, line_fields=["linenumber", "partkey", "suppkey"])
+    recs = order_records(spark, sf_dir, flags=False, sort_lines=True, line_fields=["linenumber", "partkey", "suppkey"], max_lines=WHOLE)
     recs = recs.select(
         "id",
         F.transform("lines", lambda x: F.struct(x["linenumber"].alias("linenumber"), x["partkey"].alias("partkey"))).alias(
             "lines"
         ),
     )
-    flat = flatten(recs, mode="indexed", materialize=True)
+    flat = flatten(recs, mode="indexed", widths={"lines": 1})  # the target has position 0 only
     return null_render(conform(flat, SQL_TARGET_ROWS))
 
 
@@ -504,4 +527,4 @@ def q_encounter_conform(spark, sf_dir):
             F.col("c_name").alias("display"), F.concat(F.lit("Customer/"), F.col("o_custkey").cast("string")).alias("reference")
         ).alias("subject"),
     )
-    return conform(flatten(enc, mode="indexed"), ENCOUNTER_COLUMNS)
+    return conform(flatten(enc, mode="indexed", widths={"identifier": 1}), ENCOUNTER_COLUMNS)

@@ -70,14 +70,16 @@ def q_path_filter(spark, sf_dir):
 @register(
     "q_text_rewrite",
     f"""
-SELECT page_id, url, '/* Copyright header */' || chr(10) || {_NORMALISED.replace('text', 'html')} || '/* end of file */' || chr(10) AS text
+SELECT page_id, url, '/* Copyright header */' || chr(10) || {_NORMALISED.replace('text', 'html')} || '/* end of file */' || chr(10) AS text, true AS rewritten
 FROM pages WHERE contains(lower(url), '/fr/') AND NOT contains(lower(url), 'page=')
+UNION ALL
+SELECT page_id, url, html, false FROM pages WHERE NOT (contains(lower(url), '/fr/') AND NOT contains(lower(url), 'page='))
 """,
 )
 def q_text_rewrite(spark, sf_dir):
     """Tree rewrite: select paths, decode and normalise the selected files,
     wrap them with header and footer and write them; copy the other files
-    unchanged; return the rewritten files read back."""
+    unchanged; return both halves read back."""
     pages = table(spark, sf_dir, "pages")
     files = pages.select("page_id", "url", F.encode("html", "UTF-8").alias("content"))
     selected, others = filter_paths(files, "url", include="/fr/", exclude=["page="])
@@ -86,7 +88,9 @@ def q_text_rewrite(spark, sf_dir):
     selected.select("page_id", "url", text.alias("text")).write.parquet(f"{out}/rewritten")
     # the files not selected are copied unchanged (bytes as read)
     others.select("page_id", "url", "content").write.parquet(f"{out}/copied")
-    return spark.read.parquet(f"{out}/rewritten")
+    done = spark.read.parquet(f"{out}/rewritten").withColumn("rewritten", F.lit(True))
+    copied = spark.read.parquet(f"{out}/copied").select("page_id", "url", F.decode("content", "UTF-8").alias("text"), F.lit(False).alias("rewritten"))
+    return done.unionByName(copied)
 
 
 @register(

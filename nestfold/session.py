@@ -57,16 +57,22 @@ QUERY_SETTINGS = {
 }
 
 
-def tune_session(spark: SparkSession) -> None:
+def tuned(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` (same context and tables, settings copied)
+    with the query settings; those of ``spark`` stay as they are."""
+    beside = SparkSession(spark.sparkContext, spark._jsparkSession.cloneSession())
     for k, v in QUERY_SETTINGS.items():
-        spark.conf.set(k, v)
+        beside.conf.set(k, v)
+    return beside
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session has none (a local test) is a fresh temporary folder
-    made and registered as the checkpoint folder.
+    Only when a local session has none (a test) is a fresh temporary folder
+    made and registered as the checkpoint folder. On a cluster a folder of the
+    driver's disk would be of no use to the executors, so there the setting is
+    required.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -76,6 +82,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current.rstrip("/")
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="nestfold-ckpt-")
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -115,5 +123,9 @@ def landed(spark: SparkSession, name: str, key: tuple, write) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path below the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/nestfold/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique path below the shared checkpoint folder, removed when the
+    session's JVM ends."""
+    path = f"{checkpoint_root(spark)}/nestfold/{name}-{uuid.uuid4().hex[:12]}"
+    p, fs = _fs_path(spark, path)
+    fs.deleteOnExit(p)
+    return path

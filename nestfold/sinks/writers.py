@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,11 +38,16 @@ def read_ndjson(spark: SparkSession, path: str, schema=None, primitives_as_strin
     return r.json(path)
 
 
-def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite"):
+#: How NULL is written in CSV, so that it differs from empty text.
+CSV_NULL = r"\N"
+
+
+def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", null_text: str = CSV_NULL):
     """Header row, quoted fields (embedded newlines survive with ``multiLine``
-    on read), ``"`` as the escape character."""
+    on read), ``"`` as the escape character, NULL as ``null_text``."""
     (
         df.write.mode(mode)
+        .option("nullValue", null_text)
         .option("header", True)
         .option("sep", sep)
         .option("escape", '"')
@@ -52,10 +58,11 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite")
     return path
 
 
-def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False, sep: str = ",") -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False, sep: str = ",", null_text: str = CSV_NULL) -> DataFrame:
     """Read a header CSV. ``infer=True`` scans all rows to pick types;
-    otherwise give ``schema`` (no inference pass)."""
-    r = spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("sep", sep)
+    otherwise give ``schema`` (no inference pass). Only ``null_text`` is NULL;
+    empty text stays empty."""
+    r = spark.read.option("nullValue", null_text).option("emptyValue", "").option("header", True).option("multiLine", True).option("escape", '"').option("sep", sep)
     if schema is not None:
         r = r.schema(schema)
     elif infer:
@@ -63,12 +70,15 @@ def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False, s
     return r.csv(path)
 
 
-def write_types(entries: DataFrame, out: str, mode: str = "overwrite") -> list[str]:
-    """Split entries by record type into ``<out>/_raw/res_name=<Type>`` JSON
-    lines (each line ``{"_bundle_id": .., "resource": {..}}``) and return the
-    types present. One pass over the entries; later steps read one type's
-    folder each (partition pruning)."""
-    raw = f"{out}/_raw"
+#: Table of entries that name no type.
+UNTYPED = "untyped"
+
+
+def write_types(entries: DataFrame, raw: str) -> dict[str, str]:
+    """Split entries by record type into ``<raw>/res_name=<Type>`` JSON lines
+    (each line ``{"_bundle_id": .., "resource": {..}}``) and return the folder
+    of each type present (``None``: entries without a type). One pass over the
+    entries; later steps read one type's folder each."""
     head = F.regexp_replace(F.to_json(F.struct(F.col("bundle_id").alias("_bundle_id"))), r"\}$", "")
     text = F.concat(
         F.when(F.col("bundle_id").isNull(), F.lit("{")).otherwise(F.concat(head, F.lit(","))),
@@ -76,18 +86,25 @@ def write_types(entries: DataFrame, out: str, mode: str = "overwrite") -> list[s
         F.col("res_data"),
         F.lit("}"),
     )
-    entries.select("res_name", text.alias("value")).write.mode(mode).partitionBy("res_name").text(raw)
-    # the types are the partition folders just written: one directory listing
-    jvm = entries.sparkSession.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(raw)
-    fs = root.getFileSystem(entries.sparkSession.sparkContext._jsc.hadoopConfiguration())
-    found = set()
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("res_name="):
-            found.add(unquote(name[len("res_name=") :]))
-    found.discard("__HIVE_DEFAULT_PARTITION__")  # entries without a type stay in _raw only
-    return sorted(found)
+    entries.select("res_name", text.alias("value")).write.mode("errorifexists").partitionBy("res_name").text(raw)
+    # the types are the partition folders just written: one directory listing;
+    # a folder's name may be an escaped form of the type
+    found = {}
+    for name in _folders(entries.sparkSession, raw):
+        if name.startswith("res_name="):
+            t = unquote(name[len("res_name=") :])
+            found[None if t == "__HIVE_DEFAULT_PARTITION__" else t] = name
+    return dict(sorted(found.items(), key=lambda x: (x[0] is None, x[0] or "")))
+
+
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    p, fs = _fs(spark, path)
+    return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
 
 
 def write_by_type(
@@ -96,31 +113,42 @@ def write_by_type(
     mode: str = "overwrite",
     flatten_mode: str = "explode",
     partition_by_source: bool = False,
+    max_fanout: int | None = 1_000_000,
 ) -> dict[str, str]:
     """Bundle entries → one flat Parquet table per record type at
-    ``<out>/<Type>``. Each type's schema is inferred from all of its records
-    (one scan of that type's folder), the records are flattened with the type
-    as column prefix, and ``_bundle_id`` is kept. ``partition_by_source``
-    partitions each table by the bundle id (one folder per bundle — only for
-    small inputs)."""
+    ``<out>/<Type>`` (a type's name is escaped as in partition folders; entries
+    without a type go to ``<out>/untyped``). Each type's schema is inferred
+    from all of its records in this load (one scan of that type's folder), the
+    records are flattened with the type as column prefix, and ``_bundle_id`` is
+    kept. The load's entries are staged in a folder of their own, which is
+    removed, so an ``append`` adds this load's records once. A record that
+    would explode to more than ``max_fanout`` rows raises before its table is
+    written. ``partition_by_source`` partitions each table by the bundle id
+    (one folder per bundle — only for small inputs)."""
     spark = entries.sparkSession
-    types = write_types(entries, out, mode)
+    raw = f"{out}/_raw/load={uuid.uuid4().hex}"
     paths = {}
-    for t in types:
-        recs = spark.read.json(f"{out}/_raw/res_name={t}")
-        # keep the bundle id next to the flattened fields; a type whose
-        # resources are all empty objects has no inferred "resource" column
-        keep = [c for c in ("_bundle_id", "resource") if c in recs.columns]
-        flat = flatten(recs.select(*keep), prefix=None, mode=flatten_mode)
-        flat = flat.select(
-            *[q(c).alias(t + c[len("resource"):]) if c.startswith("resource_") else q(c) for c in flat.columns]
-        )
-        w = flat.write.mode(mode)
-        if partition_by_source:
-            w = w.partitionBy("_bundle_id")
-        path = f"{out}/{t}"
-        w.parquet(path)
-        paths[t] = path
+    try:
+        for t, folder in write_types(entries, raw).items():
+            name, column = (UNTYPED, UNTYPED) if t is None else (folder[len("res_name=") :], t)
+            recs = spark.read.json(f"{raw}/{folder}")
+            # keep the bundle id next to the flattened fields; a type whose
+            # resources are all empty objects has no inferred "resource" column
+            keep = [c for c in ("_bundle_id", "resource") if c in recs.columns]
+            limit = max_fanout if flatten_mode == "explode" else None
+            flat = flatten(recs.select(*keep), prefix=None, mode=flatten_mode, max_fanout=limit)
+            flat = flat.select(
+                *[q(c).alias(column + c[len("resource"):]) if c.startswith("resource_") else q(c) for c in flat.columns]
+            )
+            w = flat.write.mode(mode)
+            if partition_by_source:
+                w = w.partitionBy("_bundle_id")
+            path = f"{out}/{name}"
+            w.parquet(path)
+            paths[UNTYPED if t is None else t] = path
+    finally:
+        p, fs = _fs(spark, raw)
+        fs.delete(p, True)
     return paths
 
 
@@ -145,10 +173,27 @@ def write_jdbc(df: DataFrame, url: str, table: str, columns=None, mode: str = "a
     df.write.mode(mode).jdbc(url, table, properties=properties or {})
 
 
-def read_jdbc(spark: SparkSession, url: str, table: str, properties=None, null_text: str | None = "NULL") -> DataFrame:
+def read_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties=None,
+    null_text: str | None = "NULL",
+    column: str | None = None,
+    lower=None,
+    upper=None,
+    partitions: int | None = None,
+    fetch_size: int = 10_000,
+) -> DataFrame:
     """Read a database table; with ``null_text`` every column is rendered as
-    text with NULLs spelled out."""
-    df = spark.read.jdbc(url, table, properties=properties or {})
+    text with NULLs spelled out. ``column`` (numeric, date or timestamp) with
+    ``lower``, ``upper`` and ``partitions`` splits the read into that many
+    range queries; without it one task reads the table."""
+    properties = {"fetchsize": str(fetch_size), **(properties or {})}
+    split = {}
+    if column is not None:
+        split = {"column": column, "lowerBound": lower, "upperBound": upper, "numPartitions": partitions}
+    df = spark.read.jdbc(url, table, properties=properties, **split)
     if null_text is None:
         return df
     from nestfold.functions.scalars import null_render

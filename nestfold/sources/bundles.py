@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 ENTRY_SCHEMA = StructType(
     [
@@ -31,6 +31,8 @@ BUNDLE_SCHEMA = StructType(
         StructField("resourceType", StringType()),
         StructField("id", StringType()),
         StructField("type", StringType()),
+        StructField("page", LongType()),
+        StructField("status", StringType()),
         StructField("entry", ArrayType(ENTRY_SCHEMA)),
         StructField("_corrupt_record", StringType()),
     ]
@@ -56,17 +58,40 @@ def parse_bundles(text: DataFrame, value_col: str = "value", keep_invalid: bool
     parsed = F.from_json(F.col(value_col), BUNDLE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
     others = [c for c in text.columns if c != value_col]
     df = text.select(*others, parsed.alias("b"))
-    valid = F.col("b._corrupt_record").isNull() & (F.col("b.resourceType") == "Bundle")
-    df = df.select(
+    return _bundles(text.select(*others, parsed.alias("b")).select(*others, "b.*"), others, keep_invalid)
+
+
+def _bundles(parsed: DataFrame, others: list, keep_invalid: bool) -> DataFrame:
+    """Parsed roots → ``(<others>, resource_type, bundle_id, page, status, entry, valid)``.
+    A bundle in one piece is page 0 of itself."""
+    valid = F.col("_corrupt_record").isNull() & F.col("resourceType").eqNullSafe(F.lit("Bundle"))
+    df = parsed.select(
         *others,
-        F.col("b.resourceType").alias("resource_type"),
-        F.col("b.id").alias("bundle_id"),
-        F.col("b.entry").alias("entry"),
+        F.col("resourceType").alias("resource_type"),
+        F.col("id").alias("bundle_id"),
+        F.coalesce("page", F.lit(0)).alias("page"),
+        "status",
+        "entry",
         valid.alias("valid"),
     )
     return df if keep_invalid else df.where("valid").drop("valid")
 
 
-def read_bundles(spark: SparkSession, path: str, layout: str = "file") -> DataFrame:
-    """Directory of bundle files → parsed bundles (corrupt / non-bundle dropped)."""
-    return parse_bundles(read_bundle_text(spark, path, layout))
+def _json_options(reader, layout: str):
+    if layout not in ("file", "lines"):
+        raise ValueError("layout must be 'file' or 'lines'")
+    return reader.schema(BUNDLE_SCHEMA).option("columnNameOfCorruptRecord", "_corrupt_record").option("multiLine", layout == "file")
+
+
+def read_bundles(spark: SparkSession, path: str, layout: str = "file", keep_invalid: bool = False) -> DataFrame:
+    """Directory of bundle files → parsed bundles with their ``source_file``
+    (corrupt / non-bundle dropped). The JSON source parses each text once; a
+    parse as an expression is repeated in every filter it is pushed into."""
+    roots = _json_options(spark.read, layout).json(path)
+    return _bundles(roots.select(F.col("_metadata.file_path").alias("source_file"), "*"), ["source_file"], keep_invalid)
+
+
+def stream_bundles_source(spark: SparkSession, path: str, layout: str, files_per_trigger: int) -> DataFrame:
+    """The same over files that land in ``path`` and its sub-folders."""
+    reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).option("recursiveFileLookup", True)
+    return _bundles(_json_options(reader, layout).json(path), [], False)

@@ -1,116 +1,69 @@
-"""Invented nested records and brute-force flatteners used as oracles.
+"""Nested records built from the declared patient columns, and brute-force
+flatteners used as oracles.
 
-The three patient-like records have the key structure of typical clinical
-patient resources (addresses with geolocation extensions, coded extensions,
-identifiers with coded types, names, telecoms, …); every value is made up.
-Record 1 has no postal code, record 3 alone a deceased date.
+A record is the tree of the declared column names; ``LISTS`` says which nodes
+are lists. How many elements a list has, which leaves a record lacks and all
+values follow from the record's number.
 """
 
 from __future__ import annotations
 
 import json
 
-
-def _coding(code, display, system):
-    return {"code": code, "display": display, "system": system}
-
-
-def _address(city, state, lat, lon, postal=None):
-    a = {
-        "city": city,
-        "country": "XX",
-        "extension": [
-            {
-                "extension": [{"url": "latitude", "valueDecimal": lat}, {"url": "longitude", "valueDecimal": lon}],
-                "url": "urn:example:geolocation",
-            }
-        ],
-        "line": [f"{int(abs(lat) * 10) % 997} Example Road"],
-        "state": state,
-    }
-    if postal is not None:
-        a["postalCode"] = postal
-    return a
-
-
-def _extensions(seed):
-    return [
-        {
-            "extension": [
-                {"url": "category", "valueCoding": _coding(f"c{seed}", f"Category {seed}", "urn:example:cat")},
-                {"url": "text", "valueString": f"Category {seed}"},
-            ],
-            "url": "urn:example:kind-a",
-        },
-        {
-            "extension": [
-                {"url": "category", "valueCoding": _coding(f"d{seed}", f"Kind {seed}", "urn:example:cat")},
-                {"url": "text", "valueString": f"Kind {seed}"},
-            ],
-            "url": "urn:example:kind-b",
-        },
-        {"url": "urn:example:maiden-name", "valueString": f"Name{seed} Other{seed}"},
-        {"url": "urn:example:sex", "valueCode": "F" if seed % 2 else "M"},
-        {"url": "urn:example:birthplace", "valueAddress": {"city": f"Town{seed}", "country": "XX", "state": "Region"}},
-        {"url": "urn:example:score-a", "valueDecimal": 1.25 * seed},
-        {"url": "urn:example:score-b", "valueDecimal": 60.5 - seed},
-    ]
-
-
-def _identifiers(seed):
-    return [
-        {"system": "urn:example:ids", "value": f"id-{seed:04d}"},
-        {
-            "system": "urn:example:mrn",
-            "type": {"coding": [_coding("MR", "Record Number", "urn:example:v2")], "text": "Record Number"},
-            "value": f"mr-{seed:04d}",
-        },
-        {
-            "system": "urn:example:ssn",
-            "type": {"coding": [_coding("SS", "Social Number", "urn:example:v2")], "text": "Social Number"},
-            "value": f"999-{seed:02d}-{seed * 7:04d}",
-        },
-    ]
-
-
-def patient(seed, postal=None, deceased=None, n_names=1, n_given=1, n_telecom=1):
-    rec = {
-        "address": [_address(f"City{seed}", "Region", 40.0 + seed / 7, -70.0 - seed / 9, postal)],
-        "birthDate": f"19{50 + seed:02d}-0{1 + seed % 9}-1{seed % 9}",
-        "communication": [
-            {"language": {"coding": [_coding("xx-XX", "Example", "urn:example:lang")], "text": "Example"}}
-        ],
-        "extension": _extensions(seed),
-        "gender": "female" if seed % 2 else "male",
-        "id": f"p-{seed:04d}",
-        "identifier": _identifiers(seed),
-        "maritalStatus": {"coding": [_coding("S", "Single", "urn:example:marital")], "text": "Single"},
-        "meta": {"profile": ["urn:example:profile:patient"]},
-        "multipleBirthBoolean": bool(seed % 2),
-        "name": [
-            {
-                "family": f"Family{seed}{k}",
-                "given": [f"Given{seed}{k}{g}" for g in range(n_given)],
-                "prefix": ["Mx."],
-                "use": "official",
-            }
-            for k in range(n_names)
-        ],
-        "resourceType": "Patient",
-        "telecom": [{"system": "phone", "use": "home", "value": f"555-01{seed:02d}-{t}"} for t in range(n_telecom)],
-        "text": {"div": f"<div>Patient {seed}\nline two</div>", "status": "generated"},
-    }
-    if deceased is not None:
-        rec["deceasedDateTime"] = deceased
-    return rec
+from nestfold.plans.declared import PATIENT_COLUMNS
+
+# nodes that are lists, with the most elements each may have
+LISTS = {
+    "address": 2, "address_extension": 1, "address_extension_extension": 3, "address_line": 2,
+    "communication": 1, "communication_language_coding": 2, "extension": 4, "extension_extension": 3,
+    "identifier": 2, "identifier_type_coding": 1, "maritalStatus_coding": 1, "meta_profile": 1,
+    "name": 2, "name_given": 2, "name_prefix": 1, "telecom": 2,
+}
+ALWAYS = {"id", "resourceType", "text_div"}
+
+
+def _tree():
+    root: dict = {}
+    for column in PATIENT_COLUMNS:
+        node, parts = root, column.split("_")[1:]
+        for p in parts[:-1]:
+            node = node.setdefault(p, {})
+        node[parts[-1]] = None
+    return root
+
+
+def _value(path, seed, at):
+    if path == "id":
+        return f"p-{seed:04d}"
+    if path == "text_div":
+        return f"<div>Patient {seed}\nline two</div>"
+    if path.endswith("Boolean"):
+        return bool(seed % 2)
+    if path.endswith("Decimal"):
+        return seed + at / 4
+    return f"{path.rsplit('_', 1)[-1]} {seed}.{at}"
+
+
+def _build(node, path, seed, at):
+    if path in LISTS:
+        n = 1 + (seed * 3 + len(path)) % LISTS[path]
+        return [_node(node, path, seed, 10 * at + k) for k in range(n)]
+    return _node(node, path, seed, at)
+
+
+def _node(node, path, seed, at):
+    if node is None:
+        return _value(path, seed, at)
+    out = {}
+    for j, (name, sub) in enumerate(sorted(node.items())):
+        p = f"{path}_{name}" if path else name
+        if sub is not None or p in ALWAYS or (j + seed + at) % 6:
+            out[name] = _build(sub, p, seed, at)
+    return out
 
 
 def patients():
-    return [
-        patient(1),
-        patient(2, postal="00002", n_names=2),
-        patient(3, postal="00003", deceased="2020-02-02T02:02:02+00:00", n_given=2, n_telecom=2),
-    ]
+    return [_build(_tree(), "", seed, 0) for seed in (1, 2, 3)]
 
 
 def ndjson(records) -> str:

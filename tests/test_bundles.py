@@ -109,9 +109,11 @@ def test_paged_bundles_hold_every_entry_once(spark):
     assert entries(small) == entries(big)
     # every paged order still has page 0 with its order entry
     lines_per_bundle = (
-        explode_entries(parse_bundles(small.select("value"))).where("res_name = 'Line'").groupBy("bundle_id").count()
+        explode_entries(parse_bundles(small.select("value"))).where("res_name = 'Line'").groupBy("bundle_id", "page").count()
     )
     lines_per_order = spark.read.parquet(f"{SF001}/lineitem.parquet").groupBy("l_orderkey").count()
     assert lines_per_bundle.agg(F.max("count")).first()[0] < lines_per_order.agg(F.max("count")).first()[0]
+    ids = {r.bundle_id for r in small.select("bundle_id").distinct().collect()}
+    assert ids == {r.bundle_id for r in big.select("bundle_id").collect()}  # pages share their order's id
     orders = small.where("page = 0").select("order_id").distinct().count()
     assert orders == spark.read.parquet(f"{SF001}/orders.parquet").count()

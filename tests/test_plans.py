@@ -34,3 +34,34 @@ def test_flatten_adds_no_shuffle(spark):
     before = _plan(recs).count("Exchange")
     after = _plan(flatten(recs, prefix="Order")).count("Exchange")
     assert after == before
+
+
+def test_bundle_texts_are_parsed_once(spark):
+    for name in ("q_split_by_type", "q_bundle_typed", "q_bundle_files"):
+        plan = _plan(QUERIES[name](spark, SF001))
+        assert "from_json" not in plan and plan.count("FileScan json") == 1, name
+
+
+def test_sql_target_needs_no_measuring_pass(spark):
+    from nestfold.operators import flatten as module
+
+    calls = []
+    real = module._agg_first
+    module._agg_first = lambda df, exprs: calls.append(exprs) or real(df, exprs)
+    try:
+        for name in ("q_sql_target_rows", "q_encounter_conform"):
+            QUERIES[name](spark, SF001)
+    finally:
+        module._agg_first = real
+    assert not calls
+
+
+def test_settings_of_the_caller_stay(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "12345")
+    try:
+        df = QUERIES["q_flatten_struct"](spark, SF001)
+        assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "12345"
+        assert df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

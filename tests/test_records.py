@@ -39,10 +39,9 @@ def test_customer_nesting(spark):
 
 
 def test_order_records_plan_has_no_static_broadcast(spark):
-    from nestfold.session import tune_session
+    from nestfold.session import tuned
 
-    tune_session(spark)
-    plan = order_records(spark, SF001)._jdf.queryExecution().sparkPlan().toString()
+    plan = order_records(tuned(spark), SF001)._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastExchange" not in plan
 
 
@@ -51,7 +50,7 @@ def test_large_hot_set_takes_the_shuffle_path(spark, monkeypatch):
 
     fields = ["linenumber", "quantity", "partkey", "suppkey", "shipdate"]
     whole = order_records(spark, SF001, flags=False, line_fields=fields)
-    monkeypatch.setattr(records, "HOT_BROADCAST_MAX_ROWS", 0)
+    monkeypatch.setattr(records, "HOT_BROADCAST_BYTES", 0)
     paged = order_records(spark, SF001, flags=False, line_fields=fields, max_lines=2)
     plan = paged._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastExchange" not in plan

@@ -69,3 +69,32 @@ def test_write_by_type_partitioned_by_bundle(spark, workdir):
     assert sorted({f.split("_bundle_id=")[1].split("/")[0] for f in files}) == ["b1", "b2"]
     back = spark.read.parquet(paths["Patient"])
     assert sorted((r._bundle_id, r.Patient_id) for r in back.collect()) == [("b1", "p1"), ("b2", "p2")]
+
+
+def _entries(spark, rows):
+    return spark.createDataFrame(rows, "bundle_id string, res_name string, res_data string")
+
+
+def test_append_adds_a_load_once_and_keeps_odd_and_missing_types(spark, workdir):
+    first = _entries(spark, [("b1", "Patient", '{"id":"p1"}'), ("b1", "urn:x", '{"id":"u1"}'), ("b1", None, '{"id":"n1"}')])
+    second = _entries(spark, [("b2", "Patient", '{"id":"p2"}'), ("b2", "a b/c=%", '{"id":"z"}')])
+    paths = write_by_type(first, workdir, mode="append")
+    paths.update(write_by_type(second, workdir, mode="append"))
+    assert sorted(paths) == ["Patient", "a b/c=%", "untyped", "urn:x"]
+    read = lambda t: sorted(tuple(r) for r in spark.read.parquet(paths[t]).collect())
+    assert read("Patient") == [("b1", "p1"), ("b2", "p2")]
+    assert read("urn:x") == [("b1", "u1")] and read("a b/c=%") == [("b2", "z")] and read("untyped") == [("b1", "n1")]
+
+
+def test_fan_out_guard_of_tables(spark, workdir):
+    import pytest
+
+    wide = _entries(spark, [("b", "T", json.dumps({"a": list(range(30)), "b": list(range(40))}))])
+    with pytest.raises(ValueError, match="1200 rows"):
+        write_by_type(wide, workdir, max_fanout=1000)
+
+
+def test_csv_keeps_empty_text_and_null_apart(spark, workdir):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "a\nb"), (4, " ")], "id int, t string")
+    back = read_csv(spark, write_csv(df, workdir), schema=df.schema)
+    assert sorted(tuple(r) for r in back.collect()) == [(1, ""), (2, None), (3, "a\nb"), (4, " ")]
