@@ -12,9 +12,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestfold.llm.common import table
+from nestfold.llm.common import discard, store, table
 from nestfold.llm.files import arrow_schema
 from nestfold.llm.registry import register
+from nestfold.llm.slices import ROW, added, cut
 
 #: Labelled rows whose texts the classifier is fitted on, at most.
 SAMPLE_ROWS = 40_000
@@ -23,6 +24,7 @@ FEATURE_BITS, STEM = 18, 5
 LEAST_Z = 5.0
 STEPS, RATE, DECAY = 400, 0.05, 1e-4
 THRESHOLD = 0.7
+ROWS = "toxic boolean, features binary"
 KEPT_WORDS = 300_000
 
 WORD = re.compile(rb"[a-z0-9\x80-\xff]+")
@@ -71,37 +73,29 @@ class Model:
         return score
 
 
-def _select(positive, unlabelled) -> np.ndarray:
-    """Features whose shares among toxic texts and all texts differ beyond chance."""
-    n, size = 1 << FEATURE_BITS, lambda x: max(len(x[1]) - 1, 1)
-    in_p = np.bincount(positive[0], minlength=n)
-    p, u = in_p / size(positive), (np.bincount(unlabelled[0], minlength=n) + 0.5) / (size(unlabelled) + 1)
-    z = (p - u) / np.sqrt(u * np.maximum(1 - u, 1e-9) * (1 / size(positive) + 1 / size(unlabelled)))
+def _select(in_p: np.ndarray, n_p: int, in_u: np.ndarray, n_u: int) -> np.ndarray:
+    """Features whose shares among toxic texts and all texts differ beyond
+    chance, from the number of texts of either kind that have each."""
+    p, u = in_p / max(n_p, 1), (in_u + 0.5) / (n_u + 1)
+    z = (p - u) / np.sqrt(u * np.maximum(1 - u, 1e-9) * (1 / max(n_p, 1) + 1 / max(n_u, 1)))
     return (np.abs(z) > LEAST_Z) & ((in_p >= 3) | (z < 0))
 
 
-def fit_nnpu(positive, unlabelled, prior: float) -> Model:
+def fit_nnpu(positive, unlabelled, prior: float, names: np.ndarray) -> Model:
     """Logistic weights that minimise the non-negative risk
     ``prior * E_p[l(g)] + max(0, E_u[l(-g)] - prior * E_p[l(-g)])``.
 
-    Both sets are (feature ids, row starts). Where the second term is below
-    zero, the step goes up it instead, so the model cannot win by fitting toxic
-    texts that stand unmarked among the unlabelled ones. Without positives, or
-    a prior of 0 or 1, the score is the prior.
+    Both sets are (places in ``names``, row starts); ``names`` are the features.
+    Where the second term is below zero, the step goes up it instead, so the
+    model cannot win by fitting toxic texts that stand unmarked among the
+    unlabelled ones. Without positives, or a prior of 0 or 1, the score is the
+    prior.
     """
     safe = min(max(prior, 1e-6), 1 - 1e-6)
     bias = float(np.log(safe / (1 - safe)))
     if len(positive[1]) < 2 or len(unlabelled[1]) < 2 or not 0 < prior < 1:
         return Model({}, bias)
-    keep = _select(positive, unlabelled)
-    names = np.flatnonzero(keep)
-    place = np.cumsum(keep) - 1
-
-    def cut(x):
-        k = keep[x[0]]
-        return place[x[0][k]], np.concatenate([[0], np.cumsum(k)])[x[1]]
-
-    p, u = cut(positive), cut(unlabelled)
+    p, u = positive, unlabelled
     score = lambda x, w, b: b + np.diff(np.concatenate([[0], np.cumsum(w[x[0]])])[x[1]])
     push = lambda x, g: np.bincount(x[0], np.repeat(g, np.diff(x[1])), minlength=len(names))
     theta, m, v = np.append(np.zeros(len(names)), bias), 0.0, 0.0
@@ -123,7 +117,8 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """Fit on at most ``sample_rows`` labelled rows, those with the smallest
     hashes of their id, none of them held out. Toxic ones are the positives; the
     unlabelled set is all of them with the labels taken off. The class prior is
-    the toxic share of all labels that are not held out. Several labels of one
+    the toxic share of all labels that are not held out. The driver gets feature
+    counts of a fixed size and the selected features of the sample. Several labels of one
     document count as toxic if one does; null ids and labels are left out."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
@@ -131,20 +126,45 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("toxic", "text")
 
-    def run(batches):
+    def features(batches):
+        for batch in batches:
+            found = [np.unique(np.array([f for w in words_of(t) for f in word_features(w)], np.uint32)).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(found, pa.binary())], schema=arrow_schema(ROWS))
+
+    size = 1 << FEATURE_BITS
+
+    def count(batches):
+        total = np.zeros(2 * size, np.uint64)
+        for batch in batches:
+            for toxic, f in zip(batch.column("toxic").to_pylist(), batch.column("features").to_pylist()):
+                found = np.frombuffer(f, np.uint32).astype(np.int64)
+                total[size + found] += 1
+                if toxic:
+                    total[found] += 1
+        parts = cut(total)
+        yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], schema=arrow_schema(ROW))
+
+    rows = store(rows.mapInArrow(features, ROWS), "toxicity-features")
+    n_p, n_u = rows.agg(F.count_if("toxic"), F.count("*")).first()
+    counts = added(rows.mapInArrow(count, ROW), np.uint64, 2 * size)
+    keep = _select(counts[:size].astype(float), n_p, counts[size:].astype(float), n_u)
+    place = np.cumsum(keep) - 1
+
+    def kept(batches):
         for batch in batches:
-            features = [np.unique(np.array([f for w in words_of(t) for f in word_features(w)], np.uint32)).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array(features, pa.binary())], schema=arrow_schema("toxic boolean, features binary"))
+            chosen = [f[keep[f]] for f in (np.frombuffer(x, np.uint32) for x in batch.column("features").to_pylist())]
+            yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([place[f].astype(np.uint32).tobytes() for f in chosen], pa.binary())], schema=arrow_schema(ROWS))
 
-    got = rows.mapInArrow(run, "toxic boolean, features binary").toArrow()
+    got = rows.mapInArrow(kept, ROWS).toArrow()  # a few selected features of each sampled row
     flags = np.asarray(got.column("toxic").to_pylist(), bool)
     parts = [np.frombuffer(x, np.uint32).astype(np.int64) for x in got.column("features").to_pylist()]
+    discard(rows)
 
     def packed(which):
         chosen = [parts[i] for i in which]
         return np.concatenate([np.zeros(0, np.int64), *chosen]), np.cumsum([0, *map(len, chosen)])
 
-    return fit_nnpu(packed(np.flatnonzero(flags)), packed(range(len(parts))), toxic / every if every else 0.0)
+    return fit_nnpu(packed(np.flatnonzero(flags)), packed(range(len(parts))), toxic / every if every else 0.0, np.flatnonzero(keep))
 
 
 def toxicity(docs: DataFrame, model: Model, score_col: str = "toxicity") -> DataFrame:
