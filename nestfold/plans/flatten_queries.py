@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nestfold.operators.flatten import array_widths, fanout, flatten
-from nestfold.plans.records import WHOLE, customer_records, order_records
+from nestfold.plans.records import WHOLE, customer_records, landed_orders, order_records
 from nestfold.plans.registry import register
 
 _LINES_LEFT = """
@@ -25,7 +25,7 @@ SELECT o.o_orderkey AS Order_id, 'Order' AS Order_resourceType, o.o_orderstatus
 
 
 def _cross_records(spark, sf_dir):
-    recs = order_records(spark, sf_dir, line_fields=["linenumber", "quantity", "partkey", "returnflag"])
+    recs = landed_orders(spark, sf_dir, line_fields=["linenumber", "quantity", "partkey", "returnflag"])
     return recs.select("id", "resourceType", "status", "totalprice", "lines", "flags")
 
 
@@ -80,7 +80,7 @@ FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 )
 def q_flatten_array_struct(spark, sf_dir):
     """Array of objects: one row per element, the element's fields as columns."""
-    recs = order_records(
+    recs = landed_orders(
         spark, sf_dir, flags=False, line_fields=["linenumber", "quantity", "partkey", "suppkey", "shipdate"]
     )
     return flatten(recs.select("id", "lines"), prefix="Order")
@@ -169,7 +169,7 @@ FROM (SELECT l_orderkey, count(DISTINCT l_returnflag) AS n FROM lineitem GROUP B
 )
 def q_array_widths(spark, sf_dir):
     """Largest array size per path (the indexed layout's positions)."""
-    recs = order_records(spark, sf_dir, line_fields=["linenumber"])
+    recs = landed_orders(spark, sf_dir, line_fields=["linenumber"])
     return array_widths(recs.select("id", "lines", "flags"), key="id", paged=("lines",))
 
 
@@ -187,7 +187,7 @@ LEFT JOIN (SELECT l_orderkey, count(DISTINCT l_returnflag) AS n FROM lineitem GR
 def q_fanout(spark, sf_dir):
     """Rows each record yields when exploded, computed per record without
     exploding (product over sibling arrays, empty counts as one)."""
-    recs = order_records(spark, sf_dir, line_fields=["linenumber"])
+    recs = landed_orders(spark, sf_dir, line_fields=["linenumber"])
     per_record = fanout(recs.select("id", "lines", "flags")).select("id", "n_rows")
     # an order split into pages is several records; its total is their sum
     return per_record.groupBy("id").agg(F.sum("n_rows").alias("n_rows"))

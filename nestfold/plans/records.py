@@ -20,7 +20,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StructField, StructType
 
+from nestfold.session import landed
 from nestfold.sources.tables import table
 
 MAX_LINES = 1000
@@ -160,6 +162,18 @@ def order_records(
     return out.drop("n_lines")
 
 
+def landed_orders(spark: SparkSession, sf_dir: str, flags: bool = True, line_fields=None) -> DataFrame:
+    """The nested order records, landed once per session as Parquet (as a feed
+    of them would be) and read with just the line fields asked for."""
+    path = landed(spark, "order-records", (sf_dir,), lambda p: order_records(spark, sf_dir).write.parquet(p))
+    out = spark.read.parquet(path)
+    if line_fields is not None:
+        fields = [f for f in out.schema["lines"].dataType.elementType.fields if f.name in line_fields]
+        narrow = [StructField("lines", ArrayType(StructType(fields))) if f.name == "lines" else f for f in out.schema.fields]
+        out = spark.read.schema(StructType(narrow)).parquet(path)
+    return out if flags else out.drop("flags")
+
+
 def customer_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer records with the nation and region nested as structs. The
     dimension joins are left to the planner: nation and region are tiny, so the

@@ -19,7 +19,7 @@ from nestfold.operators.history import dedupe_first, load_increment, new_ids, re
 from nestfold.operators.profile import json_bytes, leaf_paths, profile, record_counts
 from nestfold.operators.union import conform, read_drifting_parquet, schema_diff, union_drift
 from nestfold.plans.flatten_queries import _CROSS_COLS, _LINES_LEFT, INDEXED_WIDTH, _cross_records
-from nestfold.plans.records import WHOLE, order_records
+from nestfold.plans.records import WHOLE, landed_orders, order_records
 from nestfold.plans.registry import register
 from nestfold.session import landed, scratch_path
 from nestfold.sinks.writers import read_csv, read_ndjson, to_json_documents, to_json_text, write_csv, write_ndjson
@@ -39,7 +39,7 @@ LEFT JOIN (SELECT l_orderkey, count(DISTINCT l_returnflag) AS n FROM lineitem GR
 def q_ndjson_counts(spark, sf_dir):
     """Nested records written as JSON lines, read back (schema inferred from
     every line) and counted: rows each record gives when flattened."""
-    recs = order_records(spark, sf_dir, line_fields=["linenumber", "quantity"]).select("id", "lines", "flags")
+    recs = landed_orders(spark, sf_dir, line_fields=["linenumber", "quantity"]).select("id", "lines", "flags")
     path = write_ndjson(recs, scratch_path(spark, "orders-ndjson"))
     back = read_ndjson(spark, path)
     return record_counts(back, "id")
@@ -147,7 +147,7 @@ FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 )
 def q_null_render(spark, sf_dir):
     """Flattened rows printed with NULLs spelled ``NULL``."""
-    recs = order_records(spark, sf_dir, flags=False, line_fields=["linenumber", "partkey"]).select("id", "lines")
+    recs = landed_orders(spark, sf_dir, flags=False, line_fields=["linenumber", "partkey"]).select("id", "lines")
     return null_render(flatten(recs, prefix="Order"))
 
 
@@ -269,7 +269,7 @@ SELECT * FROM (VALUES
 def q_path_types(spark, sf_dir):
     """Every path of the records' schema, inferred from all JSON lines, with
     its kind (struct, array, scalar) and type."""
-    recs = order_records(spark, sf_dir, line_fields=["linenumber", "quantity"]).select("id", "status", "lines", "flags")
+    recs = landed_orders(spark, sf_dir, line_fields=["linenumber", "quantity"]).select("id", "status", "lines", "flags")
     back = read_ndjson(spark, write_ndjson(recs, scratch_path(spark, "orders-ndjson")))
     return spark.createDataFrame(leaf_paths(back.schema), "path string, kind string, data_type string")
 
@@ -290,7 +290,7 @@ FROM orders o LEFT JOIN lineitem l ON l.l_orderkey = o.o_orderkey
 def q_conform_schema(spark, sf_dir):
     """A flat conformed to a declared all-text column list: declared order,
     missing columns null, undeclared columns left out."""
-    recs = order_records(spark, sf_dir, flags=False, line_fields=["linenumber", "partkey"])
+    recs = landed_orders(spark, sf_dir, flags=False, line_fields=["linenumber", "partkey"])
     flat = flatten(recs.select("id", "status", "priority", "lines"), prefix="Order")
     return conform(flat, ORDER_DECLARED)
 

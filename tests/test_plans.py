@@ -65,3 +65,8 @@ def test_settings_of_the_caller_stay(spark):
         assert df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_flatten_queries_read_landed_records(spark):
+    for name in ("q_flatten_cross", "q_flatten_array_struct", "q_fanout", "q_null_render"):
+        assert "lineitem" not in _plan(QUERIES[name](spark, SF001)), name
