@@ -18,19 +18,28 @@ def cut(vector: np.ndarray) -> list[bytes]:
 
 
 def added(parts: DataFrame, kind: type, size: int) -> np.ndarray:
-    """The sum of all tasks' vectors of ``size`` numbers. Each slice is added up
-    in a stream on one task, so memory does not depend on the number of
-    tasks; the driver gets ``SLICES`` rows, one vector in all."""
+    """The sum of all tasks' vectors of ``size`` numbers; of float16 vectors with
+    a ``weight``, the weighted mean. Each slice is added up in a stream on one
+    task, so memory does not depend on the number of tasks; the driver gets
+    ``SLICES`` rows, one vector in all."""
+    mean, out_kind = kind == np.float16, np.float64 if kind == np.float16 else kind
 
     def run(batches):
         total: dict[int, np.ndarray] = {}
+        weights: dict[int, float] = {}
         for batch in batches:
-            for i, p in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for i, p, *w in zip(*(c.to_pylist() for c in batch.columns)):
                 part = np.frombuffer(p, kind)
+                if mean:
+                    part = part.astype(out_kind) * w[0]
+                    weights[i] = weights.get(i, 0.0) + w[0]
                 total[i] = total[i] + part if i in total else part
+        for i, w in weights.items():
+            total[i] = total[i] / w
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([x.tobytes() for x in total.values()], pa.binary())], schema=arrow_schema(ROW))
 
-    out = np.array_split(np.zeros(size, kind), SLICES)
-    for i, p in parts.select("slice", "part").repartition(SLICES, "slice").mapInArrow(run, ROW).collect():
-        out[i] = np.frombuffer(p, kind)
+    out = np.array_split(np.zeros(size, out_kind), SLICES)
+    columns = ["slice", "part", "weight"] if mean else ["slice", "part"]
+    for i, p in parts.select(*columns).repartition(SLICES, "slice").mapInArrow(run, ROW).collect():
+        out[i] = np.frombuffer(p, out_kind)
     return np.concatenate(out)
