@@ -22,7 +22,7 @@ SAMPLE_ROWS = 40_000
 FEATURE_BITS, STEM = 18, 5
 #: How many standard errors a feature's share of the toxic texts must lie from its share of all.
 LEAST_Z = 5.0
-STEPS, RATE, DECAY = 400, 0.05, 1e-4
+STEPS, RATE, DECAY = 400, 0.05, 2e-5
 THRESHOLD = 0.7
 ROWS = "toxic boolean, features binary"
 KEPT_WORDS = 300_000
