@@ -51,8 +51,15 @@ def wrap_text(text: Column, header: str = "", footer: str = "") -> Column:
     return F.concat(F.lit(header), text, F.lit(footer))
 
 
+SIDE_TEXT_BYTES = 1 << 20
+
+
 def read_side_text(spark, path: str) -> str:
-    """A small side input (header or footer file) as one string."""
+    """A small side input (header or footer file) as one string. It becomes a
+    literal of the plan, so a file of over ``SIDE_TEXT_BYTES`` raises."""
+    sizes = spark.read.format("binaryFile").load(path).select("length").limit(1).collect()
+    if sizes and sizes[0][0] > SIDE_TEXT_BYTES:
+        raise ValueError(f"{path} has {sizes[0][0]} bytes, more than {SIDE_TEXT_BYTES}")
     rows = spark.read.text(path, wholetext=True).collect()
     return rows[0][0] if rows else ""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from urllib.parse import unquote
 
@@ -123,7 +124,8 @@ def write_by_type(
     kept. The load's entries are staged in a folder of their own, which is
     removed, so an ``append`` adds this load's records once. A record that
     would explode to more than ``max_fanout`` rows raises before its table is
-    written. ``partition_by_source`` partitions each table by the bundle id
+    written. An ``overwrite`` also removes the tables of an earlier load whose
+    type is gone. ``partition_by_source`` partitions each table by the bundle id
     (one folder per bundle — only for small inputs)."""
     spark = entries.sparkSession
     raw = f"{out}/_raw/load={uuid.uuid4().hex}"
@@ -146,12 +148,31 @@ def write_by_type(
             path = f"{out}/{name}"
             w.parquet(path)
             paths[UNTYPED if t is None else t] = path
+        _list_tables(spark, out, {p.rsplit("/", 1)[-1] for p in paths.values()}, mode)
     finally:
         p, fs = _fs(spark, raw)
         fs.delete(p, True)
     return paths
 
 
+def _list_tables(spark: SparkSession, out: str, names: set[str], mode: str) -> None:
+    """Keep the names of the tables below ``out`` in ``_TABLES``; an overwrite
+    removes tables of an earlier load whose type is gone."""
+    at, fs = _fs(spark, f"{out}/_TABLES")
+    before = set()
+    if fs.exists(at):
+        stream = fs.open(at)
+        before = set(json.loads(bytes(stream.readAllBytes()).decode()))
+        stream.close()
+    if mode == "overwrite":
+        for gone in before - names:
+            fs.delete(_fs(spark, f"{out}/{gone}")[0], True)
+        before = set()
+    stream = fs.create(at, True)
+    stream.write(json.dumps(sorted(before | names)).encode())
+    stream.close()
+
+
 def to_json_documents(df: DataFrame, key: str, rows_per_doc: int = 10000) -> DataFrame:
     """Wrap rows into JSON documents ``{"<key>": [row, ...]}`` of at most
     ``rows_per_doc`` rows each. Documents are cut within input partitions

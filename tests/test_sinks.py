@@ -98,3 +98,12 @@ def test_csv_keeps_empty_text_and_null_apart(spark, workdir):
     df = spark.createDataFrame([(1, ""), (2, None), (3, "a\nb"), (4, " ")], "id int, t string")
     back = read_csv(spark, write_csv(df, workdir), schema=df.schema)
     assert sorted(tuple(r) for r in back.collect()) == [(1, ""), (2, None), (3, "a\nb"), (4, " ")]
+
+
+def test_overwrite_removes_tables_of_types_that_are_gone(spark, workdir):
+    old = write_by_type(_entries(spark, [("b", "A", '{"id":"1"}'), ("b", "B", '{"id":"2"}')]), workdir)
+    new = write_by_type(_entries(spark, [("b", "B", '{"id":"3"}')]), workdir)
+    assert [r.B_id for r in spark.read.parquet(new["B"]).collect()] == ["3"]
+    from nestfold.session import path_exists
+
+    assert not path_exists(spark, old["A"])
