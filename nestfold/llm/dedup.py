@@ -65,16 +65,18 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     rank = F.struct((-F.col("_points")).alias("p"), F.col("_id").isNull().alias("n"), F.col("_id").alias("i"), F.col("_row").alias("r"))
     groups = rows.where("_again").groupBy("_full").agg(F.count("*").alias("_size"), F.min(rank).alias("_best")).where("_size > 1")
-    groups = store(groups.select("_full", "_size", F.col("_best.i").alias("_keep"), F.col("_best.r").alias("_keep_row")), "dedup-groups")
+    groups = store(groups.select(F.col("_full").alias("_key"), "_size", F.col("_best.i").alias("_keep"), F.col("_best.r").alias("_keep_row")), "dedup-groups")
 
-    same = lookup(rows.withColumn("_full", F.coalesce("_full", F.lit(""))), groups, "_full", "_size", rows.count())
+    # a row without a full hash has a key of its own, so such rows spread
+    keyed = rows.withColumn("_key", F.coalesce("_full", F.col("_row").cast("string")))
+    same = lookup(keyed, groups, "_key", "_size", rows.count())
     alone = F.col("_size").isNull()
     return same.select(
         F.col("_id").alias(id_col),
         F.when(alone, F.col("_id")).otherwise(F.col("_keep")).alias("keep_id"),
         F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),
         (alone | (F.col("_row") == F.col("_keep_row"))).alias("kept"),
-        F.when(F.col("_full") != "", F.col("_full")).alias("text_sha256"),
+        F.col("_full").alias("text_sha256"),
     )
 
 

@@ -305,8 +305,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     entries = named.join(least.where("in_all > 1"), "root").select("key", "held", "component_id")
     entries = store(entries, "jaccard-named")
     discard(lists, pairs, cross, links, more)
-    out = lookup(rows.withColumn("key", F.when(F.col("n") > 0, F.col("key")).otherwise(0)), entries.where("key <> 0"), "key", "held", rows.count())
-    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    some = lookup(rows.where("n > 0"), entries, "key", "held", rows.count()).select("doc_id", "n", F.coalesce("component_id", "doc_id").alias("component_id"))
+    out = some.unionByName(rows.where("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
+    return out.select(F.col("doc_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
 
 
 @register(
