@@ -3,8 +3,10 @@ trained in numpy, predicts every token from both sides."""
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -24,7 +26,7 @@ VOCABULARY = CLASSES * MEMBERS
 SIDE, WIDTH = 3, 32
 #: Each pass trains on one position in STRIDE of every text.
 PASSES, STRIDE, BATCH, RATE = 2, 8, 1024, 0.1
-CHUNK = 1 << 15
+CHUNK = 1 << 13
 HELD_WORDS = 300_000
 
 #: A-Z in lower case; ASCII that is neither letter nor digit parts words.
@@ -146,6 +148,40 @@ def forward(p, ids, at, gradient=None):
     return logp
 
 
+def _log_share(z, k):
+    """Log-softmax of ``z`` at column ``k`` of each row."""
+    top = z.max(1, keepdims=True)
+    picked = z[np.arange(len(z)), k] - top[:, 0]
+    z -= top
+    np.exp(z, out=z)
+    return picked - np.log(z.sum(1))
+
+
+class Scorer:
+    """``forward`` without a gradient: embeddings are weighted by place once."""
+
+    def __init__(self, theta: np.ndarray):
+        self.p = parts_of(theta)
+        self.placed = [self.p["embed"] * w for w in self.p["place"]]
+
+    def __call__(self, ids, at):
+        p, target = self.p, ids[at]
+        h = np.tile(p["inner"], (len(at), 1))
+        for table, o in zip(self.placed, OFFSETS):
+            h += table[ids[at + o]]
+        np.tanh(h, out=h)
+        c, m = target >> 6, target & 63
+        logp = _log_share(h @ p["to_class"] + p["class"], c)
+        order = np.argsort(c, kind="stable")
+        cuts = np.searchsorted(c[order], np.arange(CLASSES + 1))
+        h, m, inside = h[order], m[order], np.empty(len(at), h.dtype)
+        for k in np.flatnonzero(np.diff(cuts)):
+            own = slice(cuts[k], cuts[k + 1])
+            inside[own] = _log_share(h[own] @ p["to_member"][k] + p["member"][k], m[own])
+        logp[order] += inside
+        return logp
+
+
 class Reader:
     """Word numbers of texts, with ``SIDE`` zeros around each text."""
 
@@ -154,15 +190,16 @@ class Reader:
 
     def __call__(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """All numbers, the positions of words among them, words per text."""
-        get, out, sizes = self.numbers.get, [0] * SIDE, []
+        get, edge, sizes = self.numbers.get, [0] * SIDE, []
+        out = array("q", edge)
         for t in texts:
             words = words_of(t)
-            out += [get(w, 1) for w in words]
-            out += [0] * SIDE
+            out.extend(map(get, words, repeat(1)))
+            out.extend(edge)
             sizes.append(len(words))
         sizes = np.array(sizes, np.int64)
         at = np.arange(int(sizes.sum())) + np.repeat(SIDE * (1 + np.arange(len(sizes))), sizes)
-        return np.array(out, np.int64), at, sizes
+        return np.frombuffer(out, np.int64), at, sizes
 
 
 def _pass(docs: DataFrame, numbers, theta: np.ndarray) -> np.ndarray:
@@ -224,14 +261,14 @@ def score_lm(docs: DataFrame, model) -> DataFrame:
     @F.pandas_udf("n_tokens long, log_prob double")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         numbers, theta, rare = given.value
-        read, p = Reader(numbers), parts_of(theta)
+        read, score = Reader(numbers), Scorer(theta)
         for series in texts:
             found = []
             for k in range(0, len(series), 128):
                 ids, at, sizes = read(series.iloc[k : k + 128])
                 logp = np.zeros(len(at))
                 for lo in range(0, len(at), CHUNK):
-                    logp[lo : lo + CHUNK] = forward(p, ids, at[lo : lo + CHUNK])
+                    logp[lo : lo + CHUNK] = score(ids, at[lo : lo + CHUNK])
                 logp += rare * (ids[at] == 1)
                 sums = np.concatenate([[0.0], np.cumsum(logp)])[np.concatenate([[0], np.cumsum(sizes)])]
                 found.append(pd.DataFrame({"n_tokens": sizes, "log_prob": np.diff(sums)}))

@@ -352,6 +352,7 @@ def test_lm_chunks_make_no_difference(spark):
     whole = lm.forward(p, ids, at)
     parts = np.concatenate([lm.forward(p, ids, at[i : i + 7]) for i in range(0, len(at), 7)])
     assert np.allclose(whole, parts, atol=1e-4)
+    assert np.allclose(whole, lm.Scorer(theta)(ids, at), atol=1e-4)
 
 
 # -- mixing -----------------------------------------------------------------
