@@ -24,8 +24,8 @@ from nestfold.llm.slices import ROW, added, cut
 CLASSES = MEMBERS = 64
 VOCABULARY = CLASSES * MEMBERS
 SIDE, WIDTH = 3, 32
-#: Each pass trains on one position in STRIDE of every text.
-PASSES, STRIDE, BATCH, RATE = 2, 8, 1024, 0.1
+#: Each pass trains on every position of every text.
+PASSES, BATCH, RATE = 2, 1024, 0.1
 CHUNK = 1 << 13
 HELD_WORDS = 300_000
 
@@ -106,43 +106,41 @@ OFFSETS = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
 def forward(p, ids, at, gradient=None):
     """Log-probabilities of ``ids[at]`` from the words around. With ``gradient``,
     arrays like ``p``, it also adds the gradient of their negative mean."""
-    target = ids[at]
-    around = ids[at[:, None] + OFFSETS]
-    e = p["embed"][around]
+    order = np.argsort((ids[at] >> 6).astype(np.uint16), kind="stable")
+    at = at[order]
+    target, around = ids[at], ids[at[:, None] + OFFSETS]
+    e = np.take(p["embed"], around, axis=0)
     h = np.tanh(np.einsum("bjd,jd->bd", e, p["place"]) + p["inner"])
-    c, m = target >> 6, target & 63
+    c, m, rows = target >> 6, target & 63, np.arange(len(at))
+    cuts = np.searchsorted(c, np.arange(CLASSES + 1))
+    live = np.flatnonzero(np.diff(cuts))
     pc = _softmax(h @ p["to_class"] + p["class"])
-    rows = np.arange(len(at))
-    logp = np.log(np.maximum(pc[rows, c], 1e-30))
-    order = np.argsort(c, kind="stable")
-    cuts = np.searchsorted(c[order], np.arange(CLASSES + 1))
-    if gradient is not None:
-        n = len(at)
+    pm = p["member"][c]
+    for k in live:
+        own = slice(cuts[k], cuts[k + 1])
+        pm[own] += h[own] @ p["to_member"][k]
+    pm = _softmax(pm)
+    logp = np.empty(len(at), h.dtype)
+    logp[order] = np.log(np.maximum(pc[rows, c], 1e-30)) + np.log(np.maximum(pm[rows, m], 1e-30))
+    if gradient is not None and len(at):
         pc[rows, c] -= 1
-        pc /= n
+        pm[rows, m] -= 1
+        pc /= len(at)
+        pm /= len(at)
         gradient["to_class"] += h.T @ pc
         gradient["class"] += pc.sum(0)
+        gradient["member"][live] += np.add.reduceat(pm, cuts[live])
         dh = pc @ p["to_class"].T
-    for k in range(CLASSES):
-        own = order[cuts[k] : cuts[k + 1]]
-        if len(own):
-            hk = h[own]
-            pm = _softmax(hk @ p["to_member"][k] + p["member"][k])
-            one = np.arange(len(own))
-            logp[own] += np.log(np.maximum(pm[one, m[own]], 1e-30))
-            if gradient is not None:
-                pm[one, m[own]] -= 1
-                pm /= n
-                gradient["to_member"][k] += hk.T @ pm
-                gradient["member"][k] += pm.sum(0)
-                dh[own] += pm @ p["to_member"][k].T
-    if gradient is not None:
+        for k in live:
+            own = slice(cuts[k], cuts[k + 1])
+            gradient["to_member"][k] += h[own].T @ pm[own]
+            dh[own] += pm[own] @ p["to_member"][k].T
         dh *= 1 - h * h
         gradient["inner"] += dh.sum(0)
         gradient["place"] += np.einsum("bd,bjd->jd", dh, e)
-        flat = around.reshape(-1)
+        flat = around.reshape(-1).astype(np.uint16)
         by = np.argsort(flat, kind="stable")
-        first = np.flatnonzero(np.diff(flat[by], prepend=-1))
+        first = np.flatnonzero(np.diff(flat[by].astype(np.int64), prepend=-1))
         each = (dh[:, None, :] * p["place"]).reshape(-1, WIDTH)
         gradient["embed"][flat[by][first]] += np.add.reduceat(each[by], first)
     return logp
@@ -212,18 +210,21 @@ def _pass(docs: DataFrame, numbers, theta: np.ndarray) -> np.ndarray:
         numbers, theta = given.value
         read, given_theta, theta, seen = Reader(numbers), theta, theta.copy(), 0
         p, square = parts_of(theta), np.full(SIZE, 1e-3, np.float32)
-        grad = np.zeros(SIZE, np.float32)
+        grad, change = np.zeros(SIZE, np.float32), np.empty(SIZE, np.float32)
         g = parts_of(grad)
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 ids, at, _ = read(batch.column(0).slice(k, 256).to_pylist())
-                at = at[seen % STRIDE :: STRIDE]
                 for lo in range(0, len(at), BATCH):
                     some = at[lo : lo + BATCH]
                     grad[:] = 0
                     forward(p, ids, some, g)
-                    square += grad * grad
-                    theta -= RATE * grad / np.sqrt(square)
+                    np.multiply(grad, grad, out=change)
+                    square += change
+                    np.sqrt(square, out=change)
+                    np.divide(grad, change, out=change)
+                    change *= RATE
+                    theta -= change
                     seen += len(some)
         parts = cut((theta - given_theta).astype(np.float16)) if seen else []
         columns = [pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary()), pa.array([float(seen)] * len(parts))]
@@ -236,7 +237,8 @@ def _pass(docs: DataFrame, numbers, theta: np.ndarray) -> np.ndarray:
 def train_lm(docs: DataFrame, passes: int = PASSES):
     """Word numbers, parameters and log-share of one rare word. The vocabulary
     comes from the counts of all texts, ties by the word itself. Training goes
-    over all texts, each task on its own part, with averaging after a pass."""
+    over every position of all texts, each task on its own part, with averaging
+    after a pass."""
     counts = store(count_words(docs), "lm-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 2).collect()
     total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()

@@ -344,6 +344,13 @@ def test_lm_learns_context_and_scores_whole_texts(spark):
     assert lm.score_lm(docs_of(spark, []), lm.train_lm(docs_of(spark, []))).count() == 0
 
 
+def test_lm_trains_on_every_position(spark):
+    # a fixed one in eight of the positions would hold only the word p0
+    docs = docs_of(spark, [(i, " ".join(f"p{j}" for j in range(8))) for i in range(400)])
+    r = lm.score_lm(docs.limit(1), lm.train_lm(docs.coalesce(1))).first()
+    assert r["log_prob"] / r["n_tokens"] > -np.log(8) + 0.2
+
+
 def test_lm_chunks_make_no_difference(spark):
     theta = lm.start(np.ones(lm.VOCABULARY))
     p, read = lm.parts_of(theta), lm.Reader({b"a": 2, b"b": 3})
