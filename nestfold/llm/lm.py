@@ -7,6 +7,7 @@ from array import array
 from collections import Counter
 from collections.abc import Iterator
 from itertools import repeat
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -14,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestfold.llm.common import spare, store, table
+from nestfold.llm.common import lookup, spare, store, table
 from nestfold.llm.files import arrow_schema
 from nestfold.llm.registry import register
 from nestfold.llm.slices import ROW, added, cut
@@ -234,14 +235,24 @@ def _pass(docs: DataFrame, numbers, theta: np.ndarray) -> np.ndarray:
     return theta + added(docs.select("text").mapInArrow(run, schema), np.float16, SIZE).astype(np.float32)
 
 
-def train_lm(docs: DataFrame, passes: int = PASSES):
-    """Word numbers, parameters and log-share of one rare word. The vocabulary
-    comes from the counts of all texts, ties by the word itself. Training goes
-    over every position of all texts, each task on its own part, with averaging
+class Model(NamedTuple):
+    """Word numbers, parameters, and the counts (``key``, ``n``) of all words
+    without a number, with their sum."""
+
+    numbers: dict[bytes, int]
+    theta: np.ndarray
+    rare: DataFrame
+    n_rare: int
+
+
+def train_lm(docs: DataFrame, passes: int = PASSES) -> Model:
+    """The vocabulary comes from the counts of all texts, ties by the word
+    itself; the counts of all other words stay a table. Training goes over
+    every position of all texts, each task on its own part, with averaging
     after a pass."""
     counts = store(count_words(docs), "lm-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 2).collect()
-    total, kinds = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     numbers = {bytes(r["word"]): i + 2 for i, r in enumerate(top)}
     known = [r["n"] for r in top]
     shares = np.zeros(VOCABULARY)
@@ -250,39 +261,52 @@ def train_lm(docs: DataFrame, passes: int = PASSES):
     theta = start(shares)
     for _ in range(passes):
         theta = _pass(docs, numbers, theta)
-    return numbers, theta, -float(np.log(max(1, kinds - len(known))))
-
-
-def score_lm(docs: DataFrame, model) -> DataFrame:
-    """``docs`` with ``n_tokens`` and ``log_prob`` added: the sum over all words
-    of the whole text of log p(word | three words on either side). A word
-    outside the vocabulary has an even share of the rare words' probability. A
-    text without words, or null, scores 0. Columns of those names are replaced."""
-    given = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.pandas_udf("n_tokens long, log_prob double")
+    least, last = (top[-1]["n"], bytes(top[-1]["word"])) if top else (0, b"")
+    rare = counts.where((F.col("n") < least) | ((F.col("n") == least) & (F.col("word") > F.lit(last))))
+    rare = rare.groupBy(F.xxhash64("word").alias("key")).agg(F.sum("n").alias("n"))
+    return Model(numbers, theta, store(rare, "lm-rare"), total - sum(known))
+
+
+def score_lm(docs: DataFrame, model: Model, kept: list[str] | None = None) -> DataFrame:
+    """``docs`` (or its columns ``kept``) with ``n_tokens`` and ``log_prob``
+    added: the sum over all words of the whole text of log p(word | three words
+    on either side). A word outside the vocabulary has its own share of the
+    rare words' probability, its count over all of theirs; one that training
+    has not met counts as met once. The counts are joined by a shuffle on a
+    hash of the word. A text without words, or null, scores 0. Columns of those
+    names are replaced."""
+    given = docs.sparkSession.sparkContext.broadcast((model.numbers, model.theta))
+
+    @F.pandas_udf("n_tokens long, log_prob double, rare array<binary>")
     def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        numbers, theta, rare = given.value
+        numbers, theta = given.value
         read, score = Reader(numbers), Scorer(theta)
         for series in texts:
-            found = []
+            found = [pd.DataFrame({"n_tokens": np.zeros(0, np.int64), "log_prob": np.zeros(0), "rare": []})]
             for k in range(0, len(series), 128):
-                ids, at, sizes = read(series.iloc[k : k + 128])
+                some = series.iloc[k : k + 128]
+                ids, at, sizes = read(some)
                 logp = np.zeros(len(at))
                 for lo in range(0, len(at), CHUNK):
                     logp[lo : lo + CHUNK] = score(ids, at[lo : lo + CHUNK])
-                logp += rare * (ids[at] == 1)
                 sums = np.concatenate([[0.0], np.cumsum(logp)])[np.concatenate([[0], np.cumsum(sizes)])]
-                found.append(pd.DataFrame({"n_tokens": sizes, "log_prob": np.diff(sums)}))
-            yield pd.concat(found) if found else pd.DataFrame({"n_tokens": np.zeros(0, np.int64), "log_prob": np.zeros(0)})
+                rare = [[w for w in words_of(t) if w not in numbers] for t in some]
+                found.append(pd.DataFrame({"n_tokens": sizes, "log_prob": np.diff(sums), "rare": rare}))
+            yield pd.concat(found[1:] or found)
 
-    kept, both = [c for c in docs.columns if c not in ("n_tokens", "log_prob")], spare(docs, "_scores")
-    return docs.withColumn(both, scored(F.col("text"))).select(*kept, f"{both}.n_tokens", f"{both}.log_prob")
+    kept = [c for c in kept or docs.columns if c not in ("n_tokens", "log_prob")]
+    both, row = spare(docs, "_scores"), spare(docs, "_row")
+    keys = F.transform(f"{both}.rare", lambda w: F.xxhash64(w)).alias(both)
+    out = docs.withColumn(both, scored(F.col("text"))).select(*kept, F.monotonically_increasing_id().alias(row), f"{both}.n_tokens", f"{both}.log_prob", keys)
+    out = store(out, "lm-scores")
+    met = lookup(out.select(row, F.explode(both).alias("key")), model.rare, "key", "n", model.n_rare)
+    shares = met.groupBy(row).agg(F.sum(F.log(F.coalesce("n", F.lit(1)) / F.lit(float(max(1, model.n_rare))))).alias(both))
+    return out.drop(both).join(shares, row, "left").select(*kept, "n_tokens", (F.col("log_prob") + F.coalesce(both, F.lit(0.0))).alias("log_prob"))
 
 
 @register("op9_lm_scoring")
 def op9_lm_scoring(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = score_lm(docs, train_lm(docs))
+    out = score_lm(docs, train_lm(docs), ["doc_id"])
     mean = F.when(F.col("n_tokens") > 0, F.col("log_prob") / F.col("n_tokens"))
     return out.select("doc_id", "n_tokens", "log_prob", mean.alias("mean_log_prob"))

@@ -351,6 +351,17 @@ def test_lm_trains_on_every_position(spark):
     assert r["log_prob"] / r["n_tokens"] > -np.log(8) + 0.2
 
 
+def test_lm_rare_words_score_by_their_counts(spark):
+    common = " ".join(f"c{i}" for i in range(lm.VOCABULARY - 2))
+    docs = docs_of(spark, [(i, common) for i in range(8)] + [(9, "often " * 6 + "once")])
+    model = lm.train_lm(docs, passes=1)
+    assert model.n_rare == 7 and {r["n"] for r in model.rare.collect()} == {1, 6}
+    got = {r["doc_id"]: r["log_prob"] for r in lm.score_lm(docs_of(spark, [(1, "often"), (2, "once"), (3, "unmet"), (4, "once ONCE"), (5, "twice")]), model).collect()}
+    assert got[1] - got[2] == pytest.approx(np.log(6)) and got[2] == pytest.approx(got[3]) == pytest.approx(got[5])
+    ids, at, _ = lm.Reader(model.numbers)(["once once"])
+    assert got[4] == pytest.approx(lm.Scorer(model.theta)(ids, at).sum() + 2 * np.log(1 / 7), rel=1e-4)
+
+
 def test_lm_chunks_make_no_difference(spark):
     theta = lm.start(np.ones(lm.VOCABULARY))
     p, read = lm.parts_of(theta), lm.Reader({b"a": 2, b"b": 3})
