@@ -265,6 +265,30 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
     return out
 
 
+def _listed(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The rows with their sets' keys, the distinct sets, their prefix lists."""
+    signed = _signed(docs)
+    rows = signed.where("slice IS NULL").select("doc_id", "n", "key")
+    sets = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("held"))
+    sketch = docs.sparkSession.sparkContext.broadcast(added(signed.where("slice IS NOT NULL"), np.uint64, 1 << SKETCH_BITS))
+    return rows, store(sets, "jaccard-sets"), _shared(_entries(docs, sketch))
+
+
+def jaccard_links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Every link between two distinct sets once: their keys ``a`` < ``b``, the
+    smallest ids ``a_id`` and ``b_id`` that hold them, and ``a_held`` and
+    ``b_held``, how many rows do. Each pair that the lists allow is compared,
+    also inside a component, so the cost grows with the links there are.
+    Equal sets are one; a set without shingles has no link."""
+    docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    _, sets, lists = _listed(docs)
+    pairs = _cross_pairs(lists, docs.sparkSession.createDataFrame([], "node long, root long"))
+    links = _linked(pairs, docs, sets.select("key", "doc_id")).toDF("a", "b")
+    for side in ("a", "b"):
+        links = links.join(sets.toDF(side, f"{side}_id", f"{side}_held"), side)
+    return links.select("a", "b", "a_id", "b_id", "a_held", "b_held")
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``n_shingles``, ``component_id``,
     the smallest id reachable over links of Jaccard similarity ``PERCENT`` / 100
@@ -285,14 +309,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     table gives an empty result. Extra columns are ignored.
     """
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    signed = _signed(docs)
-    rows = signed.where("slice IS NULL").select("doc_id", "n", "key")
-    sets = rows.where("n > 0").groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("held"))
-    sets = store(sets, "jaccard-sets")
+    rows, sets, lists = _listed(docs)
     reps = sets.select("key", "doc_id")
-
-    sketch = docs.sparkSession.sparkContext.broadcast(added(signed.where("slice IS NOT NULL"), np.uint64, 1 << SKETCH_BITS))
-    lists = _shared(_entries(docs, sketch))
     pairs = store(_leader_pairs(lists), "jaccard-pairs")
     links = _linked(pairs, docs, reps)
     member = connected_components(links)

@@ -165,6 +165,24 @@ def test_jaccard_against_brute_force(spark):
     assert got == want
 
 
+def test_jaccard_links_inside_a_group(spark):
+    r, texts = random.Random(3), [(90, "no link to any"), (91, None)]
+    base = words(200, 4, 50)
+    for i in range(14):  # one group, in which only some pairs link
+        c = list(base)
+        for _ in range(i % 4):
+            c[r.randrange(len(c))] = f"e{i}"
+        texts.append((i, " ".join(c)))
+    sets = {i: frozenset(tuple(t.split()[k : k + 5]) for k in range(len(t.split()) - 4)) for i, t in texts if t and i < 90}
+    first = {s: min(i for i in sets if sets[i] == s) for s in sets.values()}
+    ids = sorted(first.values())
+    want = {(i, j) for i in ids for j in ids if i < j and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])}
+    got = [(*sorted((x["a_id"], x["b_id"])), x["a_held"] + x["b_held"]) for x in jaccard.jaccard_links(docs_of(spark, texts)).collect()]
+    assert sorted(g[:2] for g in got) == sorted(want) and 0 < len(want) < len(ids) * (len(ids) - 1) // 2 and len(want) > len(ids)
+    assert all(n == sum(s in (sets[i], sets[j]) for s in sets.values()) for i, j, n in got)
+    assert jaccard.jaccard_links(docs_of(spark, [])).count() == 0
+
+
 def test_jaccard_cases(spark):
     t = " ".join(words(40, 1))
     out = jaccard.jaccard_components(docs_of(spark, [(7, t), (7, t), (None, t), (3, None), (4, None), (None, "lone text")])).collect()
