@@ -49,10 +49,10 @@ def drop_near_copies(spark, docs, sf_dir):
 
 
 def drop_contaminated(spark, docs, sf_dir):
-    """Documents that hold a window of a benchmark item go."""
+    """Documents that hold a window of a benchmark item, exactly or nearly, go."""
     rows, key = keyed(docs)
-    found = decontam.decontaminate(rows, table(spark, sf_dir, "benchmark"), key)
-    return without(rows, key, found.where("contaminated").select(key)).select(*docs.columns)
+    found = decontam.decontaminate(rows, table(spark, sf_dir, "benchmark"), key, near=True)
+    return without(rows, key, found.where("contaminated OR n_near > 0").select(key)).select(*docs.columns)
 
 
 def sample_to_weights(spark, docs, sf_dir):

@@ -14,6 +14,8 @@ BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 #: Posting lists intersected before the exact check: those of a window's rarest terms.
 ANCHORS = 2
+#: Percent of a window's words that a near match holds.
+SHARE = 80
 #: Stands behind each document's last word; no word is empty.
 STOP = ""
 
@@ -83,26 +85,45 @@ def phrase_candidates(index: DataFrame, windows: DataFrame, k: int = ANCHORS) ->
     return met.join(F.broadcast(need) if small else need, "wid").where("got >= need").select("doc", "version", "wid", "start")
 
 
-def proximity_matches(index: DataFrame, windows: DataFrame, slack: int = 5, k: int = 3) -> DataFrame:
-    """Documents and windows where the ``k`` rarest terms of the window stand
-    within ``slack`` words of their places: ``doc``, ``version``, ``wid``,
-    ``start`` (by the rarest term). Adjusted lists meet on stretches of
-    ``slack + 1`` positions and the next ones, so no two whole lists are paired."""
-    anchors = store(_anchors(index, windows, k), "decontam-anchors")
-    need = anchors.groupBy("wid").agg(F.count("*").alias("need"))
-    hits = store(_hits(index, anchors), "decontam-hits")
-    stretch = F.floor(F.col("start") / (slack + 1))
-    first = hits.where("rank = 1").select("doc", "version", "wid", "start", F.explode(F.array(stretch - 1, stretch, stretch + 1)).alias("at"))
-    rest = hits.where("rank > 1").select("doc", "version", "wid", F.col("start").alias("other"), "rank", stretch.alias("at"))
-    same = F.expr("f.doc <=> r.doc AND f.version = r.version AND f.wid = r.wid AND f.at = r.at")
-    met = first.alias("f").join(rest.alias("r"), same, "left").where(F.col("r.rank").isNull() | (F.abs(F.col("f.start") - F.col("r.other")) <= slack))
-    got = met.groupBy("f.doc", "f.version", "f.wid", "f.start").agg((F.count_distinct("r.rank") + 1).alias("got"))
-    return got.join(need, "wid").where("got >= need").select("doc", "version", "wid", "start")
-
-
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW) -> DataFrame:
+def proximity_matches(index: DataFrame, windows: DataFrame, slack: int = 5, k: int | None = None, share: int = SHARE) -> DataFrame:
+    """Documents and windows where ``share`` percent of all words of the window
+    stand within ``slack`` words of their places, on as many words of the text:
+    ``doc``, ``version``, ``wid``, ``start`` (by one of the rarest terms). A
+    term that no document has counts as missing.
+
+    If ``len - need`` words may be missing, two of the ``len - need + 2`` rarest
+    stand there (``k`` looks at more). Their adjusted lists meet on stretches
+    of positions, so no two whole lists are paired; all words of the window are
+    then looked up around the places found, by stretches too."""
+    wide, need = 2 * slack + 1, F.ceil(F.col("len") * share / 100)
+    sized = windows.select("wid", need.alias("need"), (F.lit(k) if k else F.col("len") - need + 2).alias("k"))
+    terms = store(terms_of(windows).join(sized, "wid"), "decontam-terms")
+    counts = index.where(F.col("term") != STOP).groupBy("term").agg(F.count("*").alias("n"))
+    ranked = terms.join(counts, "term", "left").withColumn("rank", F.row_number().over(Window.partitionBy("wid").orderBy(F.coalesce("n", F.lit(0)), "term", "offset")))
+    anchors = store(ranked.where("rank <= k AND n > 0").select("wid", "offset", "term", "need"), "decontam-anchors")
+
+    few = lambda df: F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    hits = index.join(few(anchors), "term").withColumn("start", F.col("pos") - F.col("offset"))
+    stretch = F.floor(F.col("start") / wide)
+    met = hits.withColumn("at", F.explode(F.array(stretch - 1, stretch))).groupBy("doc", "version", "wid", "need", "at")
+    met = met.agg(F.size(F.collect_set("offset")).alias("got"), F.collect_set("start").alias("starts")).where(F.col("got") >= F.least(F.lit(2), "need"))
+    places = store(met.select("doc", "version", "wid", F.explode("starts").alias("start")).distinct(), "decontam-places")
+
+    texts = few(places.select("doc", "version").distinct()).alias("t")  # only their postings are dealt out again
+    posts = index.alias("i").join(texts, F.expr("i.doc <=> t.doc AND i.version = t.version"), "left_semi")
+    low = F.floor((F.col("place") - slack) / wide)
+    asked = places.join(few(terms), "wid").withColumn("place", F.col("start") + F.col("offset")).withColumn("at", F.explode(F.array(low, low + 1)))
+    same = F.expr("a.doc <=> p.doc AND a.version = p.version AND a.term = p.term AND a.at = p.at")
+    there = asked.alias("a").join(posts.withColumn("at", F.floor(F.col("pos") / wide)).alias("p"), same).where(F.abs(F.col("pos") - F.col("place")) <= slack)
+    got = there.groupBy("a.doc", "a.version", "wid", "start", "need").agg(F.least(F.size(F.collect_set("offset")), F.size(F.collect_set("pos"))).alias("got"))
+    return got.where("got >= need").select("doc", "version", "wid", "start")
+
+
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, near: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``id_col``, ``n_words``, ``n_hit``,
-    ``n_items``, ``items`` (ids as strings, sorted) and ``contaminated``.
+    ``n_items``, ``items`` (ids as strings, sorted) and ``contaminated``; with
+    ``near`` also ``n_near``, the number of windows that ``proximity_matches``
+    finds in the text, exact ones among them.
 
     1. Index the positions of every benchmark term in every document.
     2. For each window of the benchmark, intersect the offset-adjusted lists of
@@ -143,6 +164,11 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     ends = index.where(F.col("term") == STOP).select("doc", "version", F.col("pos").cast("long").alias("n_words"))
     both = ends.alias("e").join(hit.alias("h"), F.expr("e.doc <=> h.doc AND e.version = h.version"), "left")
     items_of = F.coalesce("items", F.array().cast("array<string>"))
+    n_near = []
+    if near:
+        close = proximity_matches(index, windows).groupBy("doc", "version").agg(F.count_distinct("wid").alias("n_near"))
+        both = both.join(store(close, "decontam-near").alias("c"), F.expr("e.doc <=> c.doc AND e.version = c.version"), "left")
+        n_near = [F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near")]
     return both.select(
         F.col("e.doc").alias(id_col),
         "n_words",
@@ -150,6 +176,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         F.size(items_of).cast("long").alias("n_items"),
         items_of.alias("items"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        *n_near,
     )
 
 

@@ -116,6 +116,16 @@ def test_proximity(spark):
     assert {r["doc"] for r in decontam.phrase_candidates(index, w, k=10).collect()} == {1}
 
 
+def test_decontamination_near_matches(spark):
+    a = [f"t{i}" for i in range(10)]
+    other = ["q"] * 30
+    docs = [(1, a), (2, other + a[:5] + ["new"] + a[6:]), (3, other + a[:4] + ["x", "y"] + a[4:]), (4, a[:7] + other), (5, a[:4] + other + a[4:]), (6, other), (None, a[1:] + other)]
+    items = spark.createDataFrame([(1, " ".join(a)), (2, " ".join([*a[:3], "nowhere", *a[4:]]))], "item_id long, text string")
+    out = decontam.decontaminate(docs_of(spark, [(i, " ".join(w)) for i, w in docs]), items, near=True).collect()
+    assert {r["doc_id"]: (r["n_hit"], r["n_near"]) for r in out} == {1: (10, 2), 2: (0, 2), 3: (0, 2), 4: (0, 0), 5: (0, 0), 6: (0, 0), None: (0, 2)}
+    assert len(out) == len(docs)
+
+
 # -- n-gram Jaccard ---------------------------------------------------------
 
 
