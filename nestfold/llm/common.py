@@ -8,7 +8,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from nestfold.session import scratch_path
+from nestfold.session import scratch_path, tuned
 
 #: A lookup table of at most this many short rows (tens of bytes each, so a few
 #: megabytes) is broadcast after it has been counted; a larger one is shuffled.
@@ -25,6 +25,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def corpus_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` with the query settings (broadcasts by measured
+    size), which also removes shuffle files once their result is written."""
+    beside = tuned(spark)
+    beside.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+    return beside
+
+
 def store(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once below the shared checkpoint folder and read it back:
     lineage is cut, and a lost executor costs no recomputation. The files go

@@ -32,7 +32,7 @@ LAST = (1 << 63) - 1
 
 def mix(a: np.ndarray, b) -> np.ndarray:
     """A 64-bit name of (a, b)."""
-    x = a * K1 ^ (np.asarray(b).astype(np.uint64) + K2) * K3
+    x = a * K1 ^ (np.atleast_1d(b).astype(np.uint64) + K2) * K3
     x = (x ^ (x >> np.uint64(32))) * K2
     x = (x ^ (x >> np.uint64(29))) * K1
     return x ^ (x >> np.uint64(32))
