@@ -25,7 +25,7 @@ K1, K2, K3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.ui
 B1, B2 = 0x2545F4914F6CDD1D, 0xA0761D6478BD642F
 
 STRETCHES = "doc long, version long, first int, n int, anchor long, h1 long, h2 long"
-WINDOWS = "doc long, version long, first int, h1 long, h2 long"
+WINDOWS = "doc long, s1 long, s2 long, step int, h1 long, h2 long"
 #: Comes after every id: the place of rows without one.
 LAST = (1 << 63) - 1
 
@@ -234,16 +234,17 @@ def stretches(rows: DataFrame, window: int = WINDOW, rounds: int = ROUNDS) -> Da
 
 def windows_of(rows: DataFrame, window: int = WINDOW) -> DataFrame:
     """Every window of the stretches listed in the fourth column of ``rows``
-    (``first`` and ``n`` of each), with its hash: rows of ``WINDOWS``."""
+    (``first``, ``n`` and the hash ``h1``, ``h2`` of each), with the stretch's hash,
+    its ``step`` in the stretch and its own hash: rows of ``WINDOWS``."""
 
     def work(texts):
         hashes, _, firsts = texts.hashed()
         rolling = Rolling(hashes)
-        for doc, version, begin, listed in zip(texts.docs, texts.versions, firsts.tolist(), texts.more):
-            first, n = (np.array([x[k] for x in listed], np.int64) for k in ("first", "n"))
-            at = np.unique(np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum()))
-            h1, h2 = rolling.of(at + begin, window)
-            columns = [pa.array(np.full(len(at), doc)), pa.array(np.full(len(at), version)), pa.array(at.astype(np.int32)), _signed(h1), _signed(h2)]
+        for doc, begin, listed in zip(texts.docs, firsts.tolist(), texts.more):
+            first, n, s1, s2 = (np.array([x[k] for x in listed], np.int64) for k in ("first", "n", "h1", "h2"))
+            step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+            h1, h2 = rolling.of(np.repeat(first, n) + step + begin, window)
+            columns = [pa.array(np.full(len(step), doc)), pa.array(np.repeat(s1, n)), pa.array(np.repeat(s2, n)), pa.array(step.astype(np.int32)), _signed(h1), _signed(h2)]
             yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema(WINDOWS))
 
     return rows.mapInArrow(lambda batches: _batched(batches, work), WINDOWS)
@@ -293,8 +294,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
        anchor. A stretch that a smaller id has goes as a whole, and an anchor
        that one id alone has reveals no repeat.
     3. Verification: where one anchor has different stretches, as at the ends of
-       a repeated passage, every window of each different stretch is hashed in
-       the row with the smallest id, and windows are grouped by hash.
+       a repeated passage, every window of each different stretch is hashed, in
+       one place of the smallest id, and windows are grouped by hash; the
+       windows to remove come back to every place of the stretch there.
     4. The stretches and windows to remove meet their texts.
 
     Groupings combine on the map side and return to their rows by joins, so no
@@ -316,15 +318,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     shared = kinds.groupBy("anchor").agg(F.count("*").alias("kinds"), F.min("doc").alias("low"), F.max("last").alias("high"))
     shared = shared.where("kinds > 1 AND low < high").select("anchor")
 
-    again = kinds.where("doc < last").select("h1", "h2", F.col("doc").alias("least"))
-    whole = met.join(again, ["h1", "h2"]).where("doc > least").select("doc", "version", "first", "n")
-
-    look = kinds.join(shared, "anchor", "left_semi").groupBy("doc", "version").agg(F.collect_list(F.struct("first", "n")).alias("listed"))
+    look = kinds.join(shared, "anchor", "left_semi").groupBy("doc", "version").agg(F.collect_list(F.struct("first", "n", "h1", "h2")).alias("listed"))
     hashed = store(windows_of(rows.join(look, ["doc", "version"]).select("doc", "version", "text", "listed"), window), "repeats-windows")
-    least = hashed.groupBy("h1", "h2").agg(F.min("doc").alias("least"), F.max("doc").alias("last")).where("least < last")
-    single = hashed.join(least, ["h1", "h2"]).where("doc > least").select("doc", "version", "first", F.lit(1).alias("n"))
-
-    gone = whole.unionByName(single).groupBy("doc", "version").agg(F.collect_set(F.struct("first", "n")).alias("listed"))
+    earlier = hashed.groupBy("h1", "h2").agg(F.min("doc").alias("least"), F.max("doc").alias("last")).where("least < last")
+    steps = hashed.join(earlier, ["h1", "h2"]).where("doc > least").groupBy(F.col("s1").alias("h1"), F.col("s2").alias("h2")).agg(F.collect_list("step").alias("steps"))
+
+    # a stretch goes wherever it is not in its smallest id; there, those of its windows that a smaller id has go
+    again = kinds.select("h1", "h2", F.col("doc").alias("least"), "last").join(steps, ["h1", "h2"], "left").where("least < last OR steps IS NOT NULL")
+    one = F.transform("steps", lambda x: F.struct((F.col("first") + x).alias("first"), F.lit(1).alias("n")))
+    part = F.when(F.col("doc") > F.col("least"), F.array(F.struct("first", "n"))).otherwise(one)
+    gone = met.join(again, ["h1", "h2"]).select("doc", "version", F.explode(part).alias("part"))
+    gone = gone.groupBy("doc", "version").agg(F.collect_set("part").alias("listed"))
     gone = store(gone, "repeats-gone")
     discard(met, kinds, hashed)
     full = docs.select(F.col(id_col).alias("doc_id"), place.alias("doc"), F.xxhash64(text).alias("version"), text.alias("text"))
