@@ -1,5 +1,5 @@
-"""Incremental loading: a history of ids already loaded, the ids still to
-load, and first-occurrence dedupe."""
+"""A history of ids already loaded, the ids still to load, and
+first-occurrence dedupe. Whole loads are in ``increments``."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from nestfold.operators.flatten import q
+from nestfold.session import path_exists, remove
 
 
 def read_history(spark: SparkSession, path: str | None, key: str, key_type: str = "bigint") -> DataFrame:
@@ -24,37 +25,16 @@ def update_history(history: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 def write_history(df: DataFrame, root: str, version: int, compression: str = "snappy") -> str:
     """Write a new history version to ``<root>/v=<version>``; a version is
-    never overwritten while it may be read, readers switch by version."""
+    never overwritten while it may be read, readers switch by version. What a
+    write that broke off left there (no ``_SUCCESS``) is removed first."""
     path = f"{root.rstrip('/')}/v={version:08d}"
+    spark = df.sparkSession
+    if path_exists(spark, path) and not path_exists(spark, f"{path}/_SUCCESS"):
+        remove(spark, path)
     df.write.mode("errorifexists").option("compression", compression).parquet(path)
     return path
 
 
-def current_version(spark: SparkSession, root: str) -> int:
-    """The newest complete version below ``root`` (0 without any), by listing
-    its folders; one whose write did not finish does not count."""
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return 0
-    names = [st.getPath().getName() for st in fs.listStatus(p)]
-    done = [n for n in names if n.startswith("v=") and fs.exists(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))]
-    return max((int(n[2:]) for n in done), default=0)
-
-
-def load_increment(df: DataFrame, root: str, key: str) -> tuple[DataFrame, int]:
-    """One incremental load: rows of ``df`` whose id no version below ``root``
-    has, and the version that now holds those ids. A version holds only
-    the ids that came with it, so a load writes what is new, never the whole
-    history; a repeated load writes an empty version."""
-    spark = df.sparkSession
-    at = current_version(spark, root)
-    seen = [f"{root.rstrip('/')}/v={v:08d}" for v in range(1, at + 1)]
-    history = spark.read.parquet(*seen).select(q(key)) if seen else df.select(q(key)).limit(0)
-    path = write_history(new_ids(df.select(q(key)), history, key).dropDuplicates([key]), root, at + 1)
-    return df.join(spark.read.parquet(path), key, "left_semi"), at + 1
-
-
 def new_ids(df: DataFrame, history: DataFrame, key: str) -> DataFrame:
     """Rows of ``df`` whose id is not in the history (left anti join; the
     planner broadcasts the history only when its measured size is small)."""

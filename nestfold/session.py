@@ -99,6 +99,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    p, fs = _fs_path(spark, path)
+    fs.delete(p, True)
+
+
 def mark_done(spark: SparkSession, folder: str) -> None:
     p, fs = _fs_path(spark, folder.rstrip("/") + "/_LANDED")
     fs.create(p, True).close()
