@@ -34,9 +34,11 @@ def union_drift(dfs, cast_conflicts: bool = True) -> DataFrame:
 
 
 def read_drifting_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """Every Parquet file below ``path`` as one frame; the schema is the
-    merge of the files' schemas (each file read once)."""
-    return spark.read.option("mergeSchema", True).option("recursiveFileLookup", True).parquet(path)
+    """Every Parquet file below ``path`` as one frame: columns by name, missing
+    ones null, types widened (see ``drift.read_drifting``)."""
+    from nestfold.operators.drift import read_drifting
+
+    return read_drifting(spark, path)
 
 
 def schema_rows(df: DataFrame):

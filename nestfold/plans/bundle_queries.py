@@ -11,6 +11,7 @@ from nestfold.operators.union import union_drift
 from nestfold.plans.records import bundle_texts
 from nestfold.plans.registry import register
 from nestfold.session import landed, scratch_path
+from nestfold.sinks.packed import read_manifest
 from nestfold.sinks.writers import read_ndjson, write_by_type, write_ndjson
 from nestfold.sources.bundles import read_bundles
 from nestfold.sources.files import list_files, source_files
@@ -219,6 +220,31 @@ def q_bundles_to_tables(spark, sf_dir):
     return union_drift([spark.read.parquet(p) for _, p in sorted(paths.items())])
 
 
+PACKED_BYTES = 4 << 20
+
+
+@register(
+    "q_write_by_source",
+    _ENTRIES + "SELECT res_name, bundle_id, count(*) AS n_rows, count(*) AS n_found FROM e GROUP BY res_name, bundle_id",
+)
+def q_write_by_source(spark, sf_dir):
+    """Entries → one table per record type, rows of a bundle side by side, many
+    bundles to a file: what the manifests say each bundle has, and the rows of
+    that bundle found in the ranges they name."""
+    entries, _ = landed_entries(spark, sf_dir)
+    paths = write_by_type(entries, scratch_path(spark, "by-source"), packed_bytes=PACKED_BYTES)
+    found = []
+    for t, path in sorted(paths.items()):
+        at = F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")
+        rows = spark.read.parquet(path).select("_bundle_id", *at)
+        ranges = read_manifest(spark, path)
+        in_range = rows.join(ranges, ["_bundle_id", "file"]).where("row >= first_row AND row < first_row + n_rows")
+        n_found = in_range.groupBy("_bundle_id").agg(F.count("*").alias("n_found"))
+        n_rows = ranges.groupBy("_bundle_id").agg(F.sum("n_rows").alias("n_rows"))
+        found.append(n_rows.join(n_found, "_bundle_id", "left").select(F.lit(t).alias("res_name"), F.col("_bundle_id").alias("bundle_id"), "n_rows", "n_found"))
+    return union_drift(found)
+
+
 @register("q_route_by_type", _ENTRIES + "SELECT bundle_id, coalesce(res_name, 'Note') AS res_name, res_id FROM valid")
 def q_route_by_type(spark, sf_dir):
     """Damaged feed routed by each record's own type: an entry without a request

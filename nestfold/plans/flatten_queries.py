@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from nestfold.operators.flatten import array_widths, fanout, flatten
-from nestfold.plans.records import WHOLE, customer_records, landed_orders, order_records
+from nestfold.operators.positions import spread_positions
+from nestfold.plans.records import customer_records, landed_orders, order_records, ordered_records
 from nestfold.plans.registry import register
 
 _LINES_LEFT = """
@@ -100,7 +101,7 @@ def q_flatten_array_scalar(spark, sf_dir):
     return flatten(recs.select("id", "flags"), prefix="Order")
 
 
-# Widest lines array at sf0.01 (the scale the oracle runs at): 13 positions.
+# Positions that the SQL of the wide tables names.
 INDEXED_WIDTH = 13
 
 
@@ -125,10 +126,10 @@ GROUP BY o.o_orderkey"""
 @register("q_flatten_indexed", _indexed_sql(INDEXED_WIDTH))
 def q_flatten_indexed(spark, sf_dir):
     """Arrays spread to positional columns ``lines.<i>.<field>``, one row per
-    record; the width comes from one aggregation over the data."""
-    # the layout holds a record in one row, so its records are not paged
-    recs = order_records(spark, sf_dir, flags=False, sort_lines=True, line_fields=["linenumber", "quantity"], max_lines=WHOLE)
-    return flatten(recs.select("id", "lines"), mode="indexed", materialize=True)
+    record, for the first ``INDEXED_WIDTH`` positions. What an order has beyond
+    is in the overflow table (``q_indexed_overflow``)."""
+    recs = ordered_records(spark, sf_dir, ["linenumber", "quantity", "partkey", "suppkey"], ["linenumber", "quantity"])
+    return spread_positions(recs, "lines", INDEXED_WIDTH, first="first")[0]
 
 
 @register(

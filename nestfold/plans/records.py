@@ -22,11 +22,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
+from nestfold.operators.numbering import numbered
 from nestfold.session import landed
 from nestfold.sources.tables import table
 
 MAX_LINES = 1000
-WHOLE = 2**31 - 1  # no paging
 
 # line fields in sort order: ``array_sort`` on the struct orders lines by
 # (linenumber, quantity, partkey, suppkey, shipdate), which is unique per order
@@ -162,6 +162,41 @@ def order_records(
     return out.drop("n_lines")
 
 
+def ordered_records(spark: SparkSession, sf_dir: str, order: list[str], fields: list[str], max_lines: int = MAX_LINES) -> DataFrame:
+    """``id``, ``first``, ``lines``: every order with its lines in ``order`` (then
+    by ship date). An order of more than ``max_lines`` lines comes in pages that
+    are full but for the last; ``first`` is the number of lines before a page.
+
+    The lines of such orders are numbered by a distributed sort, the others
+    sorted in their arrays, so no task or row holds a hot order's lines."""
+    li = table(spark, sf_dir, "lineitem")
+    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_lines)
+    hot = counts.select("l_orderkey")
+    n_hot = hot.count()
+    small = n_hot * HOT_ROW_BYTES <= HOT_BROADCAST_BYTES
+    side = F.broadcast(hot) if small else hot
+    source = dict(LINE_STRUCT)
+    names = list(dict.fromkeys([*order, "shipdate", *fields]))  # arrays of these structs sort by ``order``
+    value = F.struct(*[(_day("l_shipdate") if source[f] is None else F.col(source[f])).alias(f) for f in names])
+    rest = li.join(side, "l_orderkey", "left_anti") if n_hot else li
+    raw = rest.repartition("l_orderkey").select("l_orderkey", value.alias("v"))
+    pages = raw.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("v")).alias("lines")).withColumn("first", F.lit(0).cast("bigint"))
+    if n_hot:
+        lines = li.join(side, "l_orderkey", "left_semi").select("l_orderkey", value.alias("v"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
+        keys = ["l_orderkey", *[F.col(f"v.{f}") for f in (*order, "shipdate")], "f", "r"]
+        lines = numbered(lines, keys, "n")
+        least = lines.groupBy("l_orderkey").agg(F.min("n").alias("least"))  # one row per hot order
+        lines = lines.join(F.broadcast(least) if small else least, "l_orderkey").withColumn("n", F.col("n") - F.col("least"))
+        page = F.floor(F.col("n") / max_lines).cast("bigint")
+        grouped = lines.groupBy("l_orderkey", page.alias("page")).agg(F.array_sort(F.collect_list(F.struct("n", "v"))).alias("nv"))
+        split = grouped.select("l_orderkey", F.transform("nv", lambda x: x["v"]).alias("lines"), (F.col("page") * max_lines).alias("first"))
+        pages = pages.unionByName(split)
+    keep = F.transform("lines", lambda x: F.struct(*[x[f].alias(f) for f in fields]))
+    pages = pages.select(F.col("l_orderkey").alias("id"), keep.alias("lines"), "first")
+    out = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")).join(pages, "id", "left")
+    return out.select("id", F.coalesce("first", F.lit(0)).alias("first"), F.coalesce("lines", F.array().cast(pages.schema["lines"].dataType)).alias("lines"))
+
+
 def landed_orders(spark: SparkSession, sf_dir: str, flags: bool = True, line_fields=None) -> DataFrame:
     """The nested order records, landed once per session as Parquet (as a feed
     of them would be) and read with just the line fields asked for."""

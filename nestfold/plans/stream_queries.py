@@ -20,6 +20,7 @@ from nestfold.plans.registry import register
 from nestfold.session import scratch_path
 from nestfold.sinks.writers import to_json_text
 from nestfold.sources.tables import table
+from nestfold.streaming.evolving import read_type, registry, stream_evolving
 from nestfold.streaming.streams import stream_append, stream_bundles, stream_flatten, stream_rejects, stream_split_by_type
 
 LANDED_FILES = 8
@@ -157,6 +158,21 @@ def q_stream_split(spark, sf_dir):
     return union_drift(tables)
 
 
+@register("q_stream_evolving", _TABLES)
+def q_stream_evolving(spark, sf_dir):
+    """Landing bundles kept by type while the registry learns their schemas: a
+    first run sees finished orders, a second one, which goes on from its
+    checkpoint, all others; every type read by the newest schema."""
+    root, landing, checkpoint = scratch_path(spark, "evolving"), scratch_path(spark, "landing-two"), scratch_path(spark, "ckpt-evolving")
+    texts = spark.read.text(land_bundles(spark, sf_dir))
+    done = F.coalesce(F.get_json_object("value", "$.status") == "F", F.lit(False))
+    for part in (texts.where(done), texts.where(~done)):
+        part.write.mode("append").text(landing)
+        _run(stream_evolving(spark, landing, root, checkpoint, files_per_trigger=16))
+    _, types = registry(spark, root)
+    return union_drift([read_type(spark, root, t) for t in sorted(types)])
+
+
 @register(
     "q_stream_rejects",
     """

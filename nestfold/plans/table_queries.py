@@ -15,11 +15,15 @@ from pyspark.sql.types import (
 
 from nestfold.functions.scalars import null_render, stringify
 from nestfold.operators.flatten import flatten
-from nestfold.operators.history import dedupe_first, load_increment, new_ids, read_history, update_history, write_history
+from nestfold.functions.variants import path_catalogue
+from nestfold.operators import increments
+from nestfold.operators.counted import write_counted
+from nestfold.operators.history import dedupe_first, new_ids, read_history, update_history, write_history
+from nestfold.operators.positions import long_positions, spread_positions, usual_width
 from nestfold.operators.profile import json_bytes, leaf_paths, profile, record_counts
 from nestfold.operators.union import conform, read_drifting_parquet, schema_diff, union_drift
 from nestfold.plans.flatten_queries import _CROSS_COLS, _LINES_LEFT, INDEXED_WIDTH, _cross_records
-from nestfold.plans.records import WHOLE, landed_orders, order_records
+from nestfold.plans.records import landed_orders, order_records, ordered_records
 from nestfold.plans.registry import register
 from nestfold.session import landed, scratch_path
 from nestfold.sinks.writers import read_csv, read_ndjson, to_json_documents, to_json_text, write_csv, write_ndjson
@@ -211,6 +215,50 @@ def q_union_drift(spark, sf_dir):
     return read_drifting_parquet(spark, _land_drift(spark, sf_dir))
 
 
+# per priority: the type each column of ``orders`` has in that part's files;
+# a column that is not named is missing there
+_DRIFT_TYPES = {
+    "1-URGENT": {"o_orderkey": "bigint", "o_custkey": "int", "o_totalprice": "double", "o_orderdate": "date"},
+    "2-HIGH": {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "bigint", "o_orderpriority": "string"},
+    "3-MEDIUM": {"o_orderkey": "int", "o_custkey": "string", "o_orderstatus": "string", "o_orderdate": "timestamp_ntz"},
+    "4-NOT SPECIFIED": {"o_orderkey": "int", "o_totalprice": "int", "O_ORDERSTATUS": "string"},
+    "5-LOW": {"o_orderkey": "bigint", "o_custkey": "smallint", "o_totalprice": "decimal(12,2)", "o_orderdate": "date"},
+}
+_SQL_TYPES = {"timestamp_ntz": "TIMESTAMP", "string": "VARCHAR"}
+_DRIFT_TARGET = {"o_orderkey": "BIGINT", "o_custkey": "VARCHAR", "o_totalprice": "DOUBLE", "o_orderdate": "TIMESTAMP", "o_orderpriority": "VARCHAR", "o_orderstatus": "VARCHAR"}
+
+
+def _drift_sql():
+    parts = []
+    for priority, types in _DRIFT_TYPES.items():
+        have = {c.lower(): t for c, t in types.items()}
+        columns = []
+        for c, target in _DRIFT_TARGET.items():
+            value = "NULL" if c not in have else c
+            if c in have and have[c] in ("bigint", "int", "smallint") and c != "o_orderkey":
+                value = f"{'trunc(' + c + ')' if c == 'o_totalprice' else c + (' % 30000' if have[c] == 'smallint' else '')}"
+            columns.append(f"CAST(CAST({value} AS {_SQL_TYPES.get(have.get(c), have.get(c, target))}) AS {target}) AS {c}")
+        parts.append(f"SELECT {', '.join(columns)} FROM orders WHERE o_orderpriority = '{priority}'")
+    return " UNION ALL ".join(parts)
+
+
+@register("q_drift_types", _drift_sql())
+def q_drift_types(spark, sf_dir):
+    """Parquet files that give one column as int, long, small int, text, decimal,
+    date or timestamp, or not at all, or in another case, read as one frame."""
+
+    def write(root):
+        orders = table(spark, sf_dir, "orders")
+        for i, (priority, types) in enumerate(_DRIFT_TYPES.items()):
+            columns = []
+            for c, t in types.items():
+                value = F.col(c) % 30000 if t == "smallint" else F.col(c)
+                columns.append(value.cast(t).alias(c))
+            orders.where(F.col("o_orderpriority") == priority).select(*columns).repartition(3).write.parquet(f"{root}/part_{i}")
+
+    return read_drifting_parquet(spark, landed(spark, "drift-types", (sf_dir,), write))
+
+
 @register(
     "q_schema_diff",
     """
@@ -278,6 +326,70 @@ def q_path_types(spark, sf_dir):
 ORDER_DECLARED = ["Order_id", "Order_status", "Order_priority", "Order_note", "Order_lines_linenumber", "Order_channel"]
 
 
+# records in which ``v`` is a number, a text, a list or an object, or is missing
+_MIXED = """
+SELECT o_orderkey AS id, o_orderstatus AS st, o_custkey AS c, coalesce(o_orderpriority, '') AS p, o_totalprice AS t FROM orders
+"""
+
+
+@register(
+    "q_path_catalogue",
+    f"""
+WITH o AS ({_MIXED})
+SELECT '' AS path, 'object' AS kind, count(*) AS n FROM o
+UNION ALL SELECT 'id', 'bigint', count(*) FROM o
+UNION ALL SELECT 'v', CASE st WHEN 'F' THEN 'bigint' WHEN 'O' THEN 'string' WHEN 'P' THEN 'array' ELSE 'object' END, count(*) FROM o WHERE c % 5 > 0 GROUP BY 2
+UNION ALL SELECT 'v[]', 'bigint', count(*) FROM o WHERE c % 5 > 0 AND st = 'P' HAVING count(*) > 0
+UNION ALL SELECT 'v[]', 'object', count(*) FROM o WHERE c % 5 > 0 AND st = 'P' HAVING count(*) > 0
+UNION ALL SELECT 'v[].k', 'string', count(*) FROM o WHERE c % 5 > 0 AND st = 'P' HAVING count(*) > 0
+UNION ALL SELECT 'v', 'null', count(*) FROM o WHERE c % 5 = 0 HAVING count(*) > 0
+""",
+)
+def q_path_catalogue(spark, sf_dir):
+    """Paths of JSON records with the kinds of values found at each, from the
+    records: one path is a number, a text, a list or null."""
+    o = table(spark, sf_dir, "orders")
+    other = F.lit("{}")
+    pair = F.concat(F.lit("["), F.col("o_custkey").cast("string"), F.lit(',{"k":"'), F.coalesce("o_orderpriority", F.lit("")), F.lit('"}]'))
+    st = F.col("o_orderstatus")
+    v = F.when(F.col("o_custkey") % 5 == 0, "null").when(st == "F", F.col("o_custkey").cast("string"))
+    v = v.when(st == "O", F.concat(F.lit('"'), F.coalesce("o_orderpriority", F.lit("")), F.lit('"'))).when(st == "P", pair).otherwise(other)
+    text = F.concat(F.lit('{"id":'), F.col("o_orderkey").cast("string"), F.lit(',"v":'), v, F.lit("}"))
+    return path_catalogue(o.select(text.alias("text")), "text")
+
+
+@register(
+    "q_load_counts",
+    """
+SELECT 'good' AS kind, count(*) AS n_rows, (SELECT count(*) FROM events) AS n_seen, (SELECT count(*) FROM events WHERE user_id % 3 > 0) AS n_good,
+       CAST(sum(event_id) AS BIGINT) AS ids, (SELECT CAST(max(event_id) AS BIGINT) FROM events WHERE user_id % 3 > 0) AS newest
+FROM events WHERE user_id % 3 > 0
+UNION ALL SELECT 'rejected', count(*), (SELECT count(*) FROM events), (SELECT count(*) FROM events WHERE user_id % 3 > 0), NULL,
+       (SELECT CAST(max(event_id) AS BIGINT) FROM events WHERE user_id % 3 > 0)
+FROM events WHERE user_id % 3 = 0
+""",
+)
+def q_load_counts(spark, sf_dir):
+    """A load of JSON lines of which every third user's break off: good and
+    rejected records told apart by one parse, written in one pass and counted
+    by it."""
+    events = table(spark, sf_dir, "events").select("event_id", "user_id")
+
+    def write(path):
+        text = F.to_json(F.struct("event_id", "user_id"))
+        cut = F.when(F.col("user_id") % 3 == 0, F.expr("substring(text, 1, length(text) - 3)")).otherwise(F.col("text"))
+        events.withColumn("text", text).select(cut.alias("value")).write.text(path)
+
+    landing = landed(spark, "events-damaged", (sf_dir,), write)
+    rows = spark.read.schema("event_id bigint, user_id bigint, _broken string").option("columnNameOfCorruptRecord", "_broken").json(landing)
+    whole = F.col("_broken").isNull()
+    good, bad, n = write_counted(rows, scratch_path(spark, "counted"), whole, {"newest": F.max(F.when(whole, F.col("event_id")))})
+    both = good.agg(F.lit("good").alias("kind"), F.count("*").alias("n_rows"), F.sum("event_id").alias("ids")).unionByName(
+        bad.agg(F.lit("rejected").alias("kind"), F.count("*").alias("n_rows"), F.lit(None).cast("bigint").alias("ids"))
+    )
+    return both.withColumns({"n_seen": F.lit(n["n_rows"]), "n_good": F.lit(n["n_good"]), "newest": F.lit(n["newest"])})
+
+
 @register(
     "q_conform_schema",
     """
@@ -323,18 +435,50 @@ FROM orders
 """,
 )
 def q_incremental_load(spark, sf_dir):
-    """Three loads as one flow, each finding the current version by itself:
-    finished orders, then open ones with some of the first again, then all
-    orders; the rows each load let through, with its version."""
+    """Three loads as one flow: finished orders, then open ones with some of
+    the first again, then all orders; the rows each load brought, with its
+    version."""
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("Order_id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority")
     )
-    root, out = scratch_path(spark, "increments"), scratch_path(spark, "increment-rows")
-    loads = [orders.where("status = 'F'"), orders.where("status = 'O' OR (status = 'F' AND priority = '2-HIGH')"), orders]
-    for rows in loads:
-        fresh, version = load_increment(rows, root, "Order_id")
-        fresh.select("Order_id", "status", F.lit(version).alias("load")).write.mode("append").parquet(out)
-    return spark.read.parquet(out)
+    root = scratch_path(spark, "increments")
+    for rows in (orders.where("status = 'F'"), orders.where("status = 'O' OR (status = 'F' AND priority = '2-HIGH')"), orders):
+        increments.load_increment(rows, root, "Order_id")
+    return increments.loaded_rows(spark, root).select("Order_id", "status", F.col("_load").alias("load"))
+
+
+# The priorities, in the order they are loaded.
+PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+@register(
+    "q_load_recovery",
+    f"""
+WITH o AS (
+  SELECT *, coalesce(list_position({list(PRIORITIES)}, o_orderpriority), {len(PRIORITIES)}) AS load FROM orders),
+v AS (SELECT unnest(range(1, {len(PRIORITIES) + 1})) AS version)
+SELECT CAST(version AS INTEGER) AS version,
+       count(*) FILTER (load = version AND o_orderstatus IS DISTINCT FROM 'P') AS n_rows,
+       count(*) FILTER (load = version AND o_orderstatus IS DISTINCT FROM 'P') AS n_read,
+       count(*) FILTER (load <= version AND o_orderstatus = 'P') AS n_rejected,
+       CAST((version - 1) % 4 + 1 - CASE WHEN version % 4 = 0 THEN 3 ELSE 0 END + CASE WHEN version > 4 THEN 1 ELSE 0 END AS INTEGER) AS n_id_folders
+FROM o, v GROUP BY version
+""",
+)
+def q_load_recovery(spark, sf_dir):
+    """Five loads, each with all rows of the loads before it again and with rows
+    that have no id; before each, a load of everything breaks off before its
+    commit. The log of the loads, beside the rows a reader finds for each.
+    The fourth load merges the ids of four into one folder."""
+    orders = table(spark, sf_dir, "orders")
+    load = F.coalesce(F.nullif(F.array_position(F.array(*[F.lit(p) for p in PRIORITIES]), F.col("o_orderpriority")), F.lit(0)), F.lit(len(PRIORITIES)))
+    rows = orders.select(F.when(~F.col("o_orderstatus").eqNullSafe(F.lit("P")), F.col("o_orderkey")).alias("Order_id"), "o_orderstatus", load.alias("n"))
+    root = scratch_path(spark, "recovery")
+    for n in range(1, len(PRIORITIES) + 1):
+        rows.write.parquet(f"{root}/attempts/{n:08d}-broken/rows")
+        increments.load_increment(rows.where(F.col("n") <= n), root, "Order_id")
+    read = increments.loaded_rows(spark, root).groupBy(F.col("_load").alias("version")).agg(F.count("*").alias("n_read"))
+    return increments.load_log(spark, root).join(read, "version", "left")
 
 
 @register("q_id_history", f"{_HIST_SQL} UNION {_NEW_SQL}")
@@ -389,13 +533,12 @@ GROUP BY o.o_orderkey)""",
 )
 def q_bundles_to_csv(spark, sf_dir):
     """Nested records → JSON lines → read back with every value as text →
-    indexed flatten → header CSV → read back."""
-    recs = order_records(spark, sf_dir, flags=False, sort_lines=True, line_fields=["linenumber", "partkey", "suppkey"], max_lines=WHOLE)
-    recs = recs.select("id", F.transform("lines", lambda x: F.struct(x["linenumber"].alias("linenumber"), x["partkey"].alias("partkey"))).alias("lines"))
+    indexed flatten to the stated width → header CSV → read back."""
+    recs = ordered_records(spark, sf_dir, ["linenumber", "partkey", "suppkey"], ["linenumber", "partkey"])
     nd = write_ndjson(recs, scratch_path(spark, "orders-ndjson"))
-    back = read_ndjson(spark, nd, primitives_as_string=True)
-    flat = flatten(back, mode="indexed", materialize=True)
-    out = write_csv(flat, scratch_path(spark, "orders-csv"))
+    back = read_ndjson(spark, nd, schema="id string, first bigint, lines array<struct<linenumber: string, partkey: string>>")
+    wide, _ = spread_positions(back, "lines", INDEXED_WIDTH, first="first")
+    out = write_csv(wide, scratch_path(spark, "orders-csv"))
     return read_csv(spark, out)
 
 
@@ -415,16 +558,14 @@ FROM orders o LEFT JOIN (
 def q_sql_target_rows(spark, sf_dir):
     """The three-column load of a SQL target: three dotted columns of an
     indexed flat, conformed to the target's column list and printed with
-    NULLs spelled out (what a fetch loop prints)."""
-    recs = order_records(spark, sf_dir, flags=False, sort_lines=True, line_fields=["linenumber", "partkey", "suppkey"], max_lines=WHOLE)
-    recs = recs.select(
-        "id",
-        F.transform("lines", lambda x: F.struct(x["linenumber"].alias("linenumber"), x["partkey"].alias("partkey"))).alias(
-            "lines"
-        ),
-    )
-    flat = flatten(recs, mode="indexed", widths={"lines": 1})  # the target has position 0 only
-    return null_render(conform(flat, SQL_TARGET_ROWS))
+    NULLs spelled out (what a fetch loop prints). The target has position 0
+    only: each order's first line is a minimum, which combines map-side."""
+    line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+    first = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.min(line).alias("first"))
+    lines = F.array(F.struct(F.col("first.l_linenumber").alias("linenumber"), F.col("first.l_partkey").alias("partkey")))
+    recs = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id")).join(first, "id", "left")
+    recs = recs.select("id", F.when(F.col("first").isNotNull(), lines).alias("lines"))
+    return null_render(conform(flatten(recs, mode="indexed", widths={"lines": 1}), SQL_TARGET_ROWS))
 
 
 # Target columns of the three-column load for the order flat.
@@ -528,3 +669,35 @@ def q_encounter_conform(spark, sf_dir):
         ).alias("subject"),
     )
     return conform(flatten(enc, mode="indexed", widths={"identifier": 1}), ENCOUNTER_COLUMNS)
+
+
+_POSITION_FIELDS = ("linenumber", "partkey", "returnflag")
+
+
+@register(
+    "q_indexed_overflow",
+    """
+WITH l AS (
+  SELECT l_orderkey AS id, l_linenumber, l_partkey, l_returnflag,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_shipdate) - 1 AS i
+  FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders))
+"""
+    + " UNION ALL ".join(
+        f"SELECT id, 'lines.{f}' AS path, CAST(i AS BIGINT) AS index, CAST(l_{f} AS VARCHAR) AS value FROM l WHERE l_{f} IS NOT NULL" for f in _POSITION_FIELDS
+    ),
+)
+def q_indexed_overflow(spark, sf_dir):
+    """The indexed layout in two tables: positional columns for the width that
+    99 % of the orders need, an overflow table for all positions beyond; both
+    written, read back and put together, every value with its place."""
+    recs = ordered_records(spark, sf_dir, ["linenumber", "partkey", "suppkey"], list(_POSITION_FIELDS))
+    recs = land(recs, "ordered-records")
+    wide, overflow = spread_positions(recs, "lines", usual_width(recs, "lines"), first="first")
+    return long_positions(land(wide, "positions-wide"), land(overflow, "positions-overflow"), "lines")
+
+
+def land(df, name):
+    """``df`` written below the shared folder and read back."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -8,9 +8,12 @@ from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+from nestfold.functions.variants import infer_schemas
 from nestfold.functions.jsontext import JSON_WRITE_OPTIONS, to_json_text  # noqa: F401
 from nestfold.operators.flatten import flatten, q
+from nestfold.sinks.packed import write_packed
 
 
 def write_ndjson(df: DataFrame, path: str, json_col: str | None = None, partition_by=None, mode: str = "overwrite"):
@@ -39,13 +42,21 @@ def read_ndjson(spark: SparkSession, path: str, schema=None, primitives_as_strin
     return r.json(path)
 
 
-#: How NULL is written in CSV, so that it differs from empty text.
+#: How NULL is written in CSV, so that it differs from empty text. A text that
+#: starts with a backslash gets another one before it, so none reads as NULL.
 CSV_NULL = r"\N"
 
 
+def _texts(df: DataFrame, change) -> DataFrame:
+    """``change`` made to every text column that has a backslash in front."""
+    return df.select(*[F.when(q(f.name).startswith("\\"), change(q(f.name))).otherwise(q(f.name)).alias(f.name) if isinstance(f.dataType, StringType) else q(f.name) for f in df.schema.fields])
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite", null_text: str = CSV_NULL):
     """Header row, quoted fields (embedded newlines survive with ``multiLine``
     on read), ``"`` as the escape character, NULL as ``null_text``."""
+    if null_text == CSV_NULL:
+        df = _texts(df, lambda c: F.concat(F.lit("\\"), c))
     (
         df.write.mode(mode)
         .option("nullValue", null_text)
@@ -62,13 +73,15 @@ def write_csv(df: DataFrame, path: str, sep: str = ",", mode: str = "overwrite",
 def read_csv(spark: SparkSession, path: str, schema=None, infer: bool = False, sep: str = ",", null_text: str = CSV_NULL) -> DataFrame:
     """Read a header CSV. ``infer=True`` scans all rows to pick types;
     otherwise give ``schema`` (no inference pass). Only ``null_text`` is NULL;
-    empty text stays empty."""
+    empty text stays empty, and with the default ``null_text`` the backslash
+    that ``write_csv`` put before another one is taken off."""
     r = spark.read.option("nullValue", null_text).option("emptyValue", "").option("header", True).option("multiLine", True).option("escape", '"').option("sep", sep)
     if schema is not None:
         r = r.schema(schema)
     elif infer:
         r = r.option("inferSchema", True).option("samplingRatio", 1.0)
-    return r.csv(path)
+    df = r.csv(path)
+    return _texts(df, lambda c: F.when(c.startswith("\\\\"), F.substr(c, F.lit(2))).otherwise(c)) if null_text == CSV_NULL else df
 
 
 #: Table of entries that name no type.
@@ -103,6 +116,11 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def _bytes(spark: SparkSession, path: str) -> int:
+    p, fs = _fs(spark, path)
+    return fs.getContentSummary(p).getLength()
+
+
 def _folders(spark: SparkSession, path: str) -> list[str]:
     p, fs = _fs(spark, path)
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
@@ -115,25 +133,32 @@ def write_by_type(
     flatten_mode: str = "explode",
     partition_by_source: bool = False,
     max_fanout: int | None = 1_000_000,
+    packed_bytes: int | None = None,
 ) -> dict[str, str]:
     """Bundle entries → one flat Parquet table per record type at
     ``<out>/<Type>`` (a type's name is escaped as in partition folders; entries
     without a type go to ``<out>/untyped``). Each type's schema is inferred
-    from all of its records in this load (one scan of that type's folder), the
+    from all of its records in this load (one scan for all types), the
     records are flattened with the type as column prefix, and ``_bundle_id`` is
     kept. The load's entries are staged in a folder of their own, which is
     removed, so an ``append`` adds this load's records once. A record that
     would explode to more than ``max_fanout`` rows raises before its table is
     written. An ``overwrite`` also removes the tables of an earlier load whose
-    type is gone. ``partition_by_source`` partitions each table by the bundle id
-    (one folder per bundle — only for small inputs)."""
+    type is gone. ``packed_bytes`` sorts each table by bundle id into files of
+    about that many bytes of JSON, many bundles to a file, with a manifest of
+    which rows of which file a bundle has (``packed.read_key`` reads one);
+    ``partition_by_source`` makes a folder per bundle (for few bundles)."""
     spark = entries.sparkSession
     raw = f"{out}/_raw/load={uuid.uuid4().hex}"
     paths = {}
     try:
-        for t, folder in write_types(entries, raw).items():
+        folders = write_types(entries, raw)
+        # one scan of the staged lines gives the schemas of all types
+        lines = spark.read.schema("value string, res_name string").text(raw) if folders else None
+        schemas = infer_schemas(lines, "value", "res_name") if folders else {}
+        for t, folder in folders.items():
             name, column = (UNTYPED, UNTYPED) if t is None else (folder[len("res_name=") :], t)
-            recs = spark.read.json(f"{raw}/{folder}")
+            recs = spark.read.schema(schemas[t]).json(f"{raw}/{folder}")
             # keep the bundle id next to the flattened fields; a type whose
             # resources are all empty objects has no inferred "resource" column
             keep = [c for c in ("_bundle_id", "resource") if c in recs.columns]
@@ -142,11 +167,12 @@ def write_by_type(
             flat = flat.select(
                 *[q(c).alias(column + c[len("resource"):]) if c.startswith("resource_") else q(c) for c in flat.columns]
             )
-            w = flat.write.mode(mode)
-            if partition_by_source:
-                w = w.partitionBy("_bundle_id")
             path = f"{out}/{name}"
-            w.parquet(path)
+            if packed_bytes is not None and "_bundle_id" in flat.columns:
+                write_packed(flat, path, "_bundle_id", _bytes(spark, f"{raw}/{folder}"), packed_bytes, mode)
+            else:
+                w = flat.write.mode(mode)
+                (w.partitionBy("_bundle_id") if partition_by_source else w).parquet(path)
             paths[UNTYPED if t is None else t] = path
         _list_tables(spark, out, {p.rsplit("/", 1)[-1] for p in paths.values()}, mode)
     finally:

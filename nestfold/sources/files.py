@@ -2,35 +2,57 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from urllib.parse import unquote
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def _binary(spark: SparkSession, path: str, recursive: bool, glob: str | None = None) -> DataFrame:
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("ignoreMissingFiles", True)
+    return (r.option("pathGlobFilter", glob) if glob else r).load(path)
+
+
+def _empty_files(df: DataFrame) -> DataFrame:
+    """Paths of the files of length 0, which the source lists but does not read.
+    The names are those of the driver's listing, which any read has; they go
+    to tasks only if some file is empty."""
+    spark, names = df.sparkSession, df.inputFiles()
+    read = df.select("path")
+    if len(names) == read.count():
+        return spark.createDataFrame([], "path string")
+    plain = [n if "%" not in n else unquote(n) for n in names]
+    same = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")  # file:/x and file:///x
+    listed = spark.createDataFrame([(n,) for n in plain], "path string").withColumn("same", same)
+    return listed.join(read.select(same.alias("same")), "same", "left_anti").select("path")
+
+
 def list_files(spark: SparkSession, path: str, limit: int | None = None, recursive: bool = True) -> DataFrame:
     """``(path, length)`` of every file below ``path`` (object stores included,
-    given their Hadoop configuration). Only file metadata is read: the content
-    column is pruned. ``limit`` returns the first files by name, the way a
-    paged listing returns its first page."""
-    df = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", recursive)
-        .option("ignoreMissingFiles", True)
-        .load(path)
-        .select("path", "length")
-    )
+    given their Hadoop configuration), empty ones too. Only file metadata is
+    read: the content column is pruned. ``limit`` returns the first files by
+    name; for further pages see ``numbering``."""
+    found = _binary(spark, path, recursive)
+    df = found.select("path", "length").unionByName(_empty_files(found).withColumn("length", F.lit(0).cast("bigint")))
     if limit is not None:
         df = df.orderBy("path").limit(limit)
     return df
 
 
 def read_whole_files(spark: SparkSession, path: str, recursive: bool = True, glob: str | None = None) -> DataFrame:
-    """``(path, content BINARY, length)`` — one row per file, bytes as stored."""
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("ignoreMissingFiles", True)
-    if glob:
-        r = r.option("pathGlobFilter", glob)
-    return r.load(path).select("path", "content", "length")
+    """``(path, content BINARY, length)`` — one row per file, bytes as stored;
+    an empty file has empty content."""
+    found = _binary(spark, path, recursive, glob)
+    none = _empty_files(found).select("path", F.unhex(F.lit("")).alias("content"), F.lit(0).cast("bigint").alias("length"))
+    return found.select("path", "content", "length").unionByName(none)
 
 
 def source_files(df: DataFrame, file_col: str = "source_file") -> DataFrame:
     """Files that contributed rows: ``(source_file, n_rows)``."""
     return df.groupBy(file_col).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def relative_path(path: Column, root: str) -> Column:
+    """A file's path below ``root``, however either writes the scheme."""
+    tail = root.split("://", 1)[-1].removeprefix("file:").strip("/").split("/")[-1]  # the root's own name
+    return F.substring_index(path, f"/{tail}/", -1)
