@@ -56,10 +56,14 @@ SIDE_TEXT_BYTES = 1 << 20
 
 def read_side_text(spark, path: str) -> str:
     """A small side input (header or footer file) as one string. It becomes a
-    literal of the plan, so a file of over ``SIDE_TEXT_BYTES`` raises."""
-    sizes = spark.read.format("binaryFile").load(path).select("length").limit(1).collect()
-    if sizes and sizes[0][0] > SIDE_TEXT_BYTES:
-        raise ValueError(f"{path} has {sizes[0][0]} bytes, more than {SIDE_TEXT_BYTES}")
+    literal of the plan, so a file of over ``SIDE_TEXT_BYTES`` raises, and so
+    does a folder of several files; an empty or missing one is empty text."""
+    files = spark.read.format("binaryFile").load(path).select("path", "length")
+    found = files.limit(2).collect()
+    if len(found) > 1:
+        raise ValueError(f"{path} is more than one file")
+    if found and found[0][1] > SIDE_TEXT_BYTES:
+        raise ValueError(f"{path} has {found[0][1]} bytes, more than {SIDE_TEXT_BYTES}")
     rows = spark.read.text(path, wholetext=True).collect()
     return rows[0][0] if rows else ""
 

@@ -49,25 +49,24 @@ def _join(prefix: str | None, name: str, sep: str) -> str:
 
 
 def _dedupe(names: list[str], on_collision: str) -> list[str]:
+    """Names that differ by more than case: columns and Parquet fields that
+    differ by case alone can't stand beside each other."""
     seen: dict[str, int] = {}
     out = []
     for n in names:
-        if n in seen:
+        k = n.lower()
+        if k in seen:
             if on_collision == "error":
                 raise ValueError(
                     f"flattened column name {n!r} is produced twice; "
                     "pass on_collision='suffix' or another separator"
                 )
-            seen[n] += 1
-            n2 = f"{n}_{seen[n]}"
-            while n2 in seen:
-                seen[n] += 1
-                n2 = f"{n}_{seen[n]}"
-            seen[n2] = 0
-            out.append(n2)
-        else:
-            seen[n] = 0
-            out.append(n)
+            seen[k] += 1
+            while f"{k}_{seen[k]}" in seen:
+                seen[k] += 1
+            n = f"{n}_{seen[k]}"
+        seen[n.lower()] = 0
+        out.append(n)
     return out
 
 

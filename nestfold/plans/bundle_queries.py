@@ -6,12 +6,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
+from nestfold.functions.variants import infer_schemas
 from nestfold.operators.entries import bundle_stats, explode_entries, first_type, out_path, select_types, type_counts
+from nestfold.operators.flatten import flatten
 from nestfold.operators.union import union_drift
 from nestfold.plans.records import bundle_texts
 from nestfold.plans.registry import register
 from nestfold.session import landed, scratch_path
 from nestfold.sinks.packed import read_manifest
+from nestfold.sinks.tree import write_tree
 from nestfold.sinks.writers import read_ndjson, write_by_type, write_ndjson
 from nestfold.sources.bundles import read_bundles
 from nestfold.sources.files import list_files, source_files
@@ -277,7 +280,7 @@ def q_bundle_files(spark, sf_dir):
         text = F.concat(F.lit('{"resourceType": "Bundle",\n"id": "'), F.col("page").cast("string"), F.lit('",\n"entry": [\n'), F.concat_ws(",\n", "e"), F.lit("\n]}"))
         good = pages.groupBy("page").agg(F.collect_list("e").alias("e")).select(F.col("page").cast("string"), text.alias("value"))
         bad = spark.createDataFrame([("-1", '{"resourceType": "Bundle",\n"entry": ['), ("-2", '{"resourceType": "List",\n"entry": [{"resource": {"id": "x"}}]}')], "page string, value string")
-        good.unionByName(bad).repartition("page").write.partitionBy("page").text(path)
+        write_tree(good.unionByName(bad), path, F.concat(F.lit("bundle_"), "page", F.lit(".json")), "value")
 
     root = landed(spark, "bundle-files", (sf_dir,), write)
     entries = explode_entries(read_bundles(spark, root, layout="file"), route_by="type")
@@ -314,6 +317,23 @@ def q_ndjson_roundtrip(spark, sf_dir):
     return read_ndjson(spark, f"{out}/res_name=Order", schema=ORDER_JSON)
 
 
+@register("q_ndjson_types", _TABLES)
+def q_ndjson_types(spark, sf_dir):
+    """Entries written as JSON lines, a folder per type; every type's folder read
+    back by the schema of its records, all found in one scan."""
+    entries, _ = landed_entries(spark, sf_dir)
+    out = scratch_path(spark, "ndjson-types")
+    head = F.regexp_replace(F.to_json(F.struct(F.col("bundle_id").alias("_bundle_id"))), r"\}$", "")
+    line = F.concat(head, F.lit(',"resource":'), F.col("res_data"), F.lit("}"))
+    write_ndjson(entries.select("res_name", line.alias("line")), out, json_col="line", partition_by=["res_name"])
+    schemas = infer_schemas(spark.read.schema("value string, res_name string").text(out), "value", "res_name")
+    flats = []
+    for t, schema in sorted(schemas.items()):
+        rows = read_ndjson(spark, f"{out}/res_name={t}", schema=schema).select("_bundle_id", F.col("resource").alias(t))
+        flats.append(flatten(rows))
+    return union_drift(flats)
+
+
 @register(
     "q_source_files",
     "SELECT o_orderstatus AS folder, count(*) AS n_bundles FROM orders GROUP BY o_orderstatus",

@@ -22,6 +22,8 @@ from nestfold.operators.history import dedupe_first, new_ids, read_history, upda
 from nestfold.operators.positions import long_positions, spread_positions, usual_width
 from nestfold.operators.profile import json_bytes, leaf_paths, profile, record_counts
 from nestfold.operators.union import conform, read_drifting_parquet, schema_diff, union_drift
+from nestfold.plans.declared import ENCOUNTER_COLUMNS, PATIENT_COLUMNS
+from nestfold.plans.declared_records import ENCOUNTER, PATIENT, explode_name, flat_sql, indexed_name, record_columns, widths
 from nestfold.plans.flatten_queries import _CROSS_COLS, _LINES_LEFT, INDEXED_WIDTH, _cross_records
 from nestfold.plans.records import landed_orders, order_records, ordered_records
 from nestfold.plans.registry import register
@@ -572,103 +574,29 @@ def q_sql_target_rows(spark, sf_dir):
 SQL_TARGET_ROWS = ["id", "lines.0.linenumber", "lines.0.partkey"]
 
 
-# Patient-shaped records derived from customers: which declared column each
-# derived field fills, with its SQL over the driver tables.
-_PATIENT_SQL = {
-    "Patient_resourceType": "'Patient'",
-    "Patient_id": "CAST(c.c_custkey AS VARCHAR)",
-    "Patient_name_family": "c.c_name",
-    "Patient_name_given": "c.c_mktsegment",
-    "Patient_name_use": "'official'",
-    "Patient_address_city": "n.n_name",
-    "Patient_address_country": "r.r_name",
-    "Patient_extension_url": "'acctbal'",
-    "Patient_extension_valueDecimal": "CAST(c.c_acctbal AS VARCHAR)",
-}
-
+_CUSTOMERS = "customer LEFT JOIN nation ON c_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey"
+_ORDERS = "orders LEFT JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON c_nationkey = n_nationkey"
 
-def _patient_sql():
-    from nestfold.plans.declared import PATIENT_COLUMNS
-
-    cols = ", ".join(f'{_PATIENT_SQL.get(c, "CAST(NULL AS VARCHAR)")} AS {c}' for c in PATIENT_COLUMNS)
-    return (
-        f"SELECT {cols} FROM customer c LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey "
-        "LEFT JOIN region r ON n.n_regionkey = r.r_regionkey"
-    )
 
-
-@register("q_patient_conform", _patient_sql())
+@register("q_patient_conform", flat_sql(PATIENT, PATIENT_COLUMNS, explode_name, _CUSTOMERS))
 def q_patient_conform(spark, sf_dir):
-    """Patient-shaped nested records (name, address and extension arrays)
-    derived from customers, flattened with the ``Patient`` prefix and
-    conformed to the declared 50-column all-text patient schema."""
-    from nestfold.plans.declared import PATIENT_COLUMNS
-    from nestfold.plans.records import customer_records
-
-    c = customer_records(spark, sf_dir)
-    patients = c.select(
-        F.lit("Patient").alias("resourceType"),
-        F.col("id").cast("string").alias("id"),
-        F.array(
-            F.struct(F.col("name").alias("family"), F.array(F.col("segment")).alias("given"), F.lit("official").alias("use"))
-        ).alias("name"),
-        F.array(F.struct(F.col("nation.name").alias("city"), F.col("nation.region.name").alias("country"))).alias("address"),
-        F.array(F.struct(F.lit("acctbal").alias("url"), F.col("acctbal").alias("valueDecimal"))).alias("extension"),
-    )
-    return conform(flatten(patients, prefix="Patient"), PATIENT_COLUMNS)
-
-
-# Encounter-shaped records derived from orders: which declared column each
-# derived field fills, with its SQL over the driver tables.
-_ENCOUNTER_SQL = {
-    "class.code": "o.o_orderpriority",
-    "class.system": "'urn:example:priority'",
-    "id": "CAST(o.o_orderkey AS VARCHAR)",
-    "identifier.0.system": "'urn:example:orders'",
-    "identifier.0.use": "'official'",
-    "identifier.0.value": "CAST(o.o_orderkey AS VARCHAR)",
-    "period.start": "strftime(o.o_orderdate, '%Y-%m-%d')",
-    "resourceType": "'Encounter'",
-    "status": "o.o_orderstatus",
-    "subject.display": "c.c_name",
-    "subject.reference": "'Customer/' || CAST(o.o_custkey AS VARCHAR)",
-}
+    """Patient-shaped nested records that fill all 50 declared columns, two
+    identifiers each, derived from customers, flattened with the ``Patient``
+    prefix and conformed to the declared all-text patient schema."""
+    c, n, r = (table(spark, sf_dir, t) for t in ("customer", "nation", "region"))
+    rows = c.join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(r, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return conform(flatten(rows.selectExpr(*record_columns(PATIENT)), prefix="Patient"), PATIENT_COLUMNS)
 
 
-def _encounter_sql():
-    from nestfold.plans.declared import ENCOUNTER_COLUMNS
-
-    cols = ", ".join(f'{_ENCOUNTER_SQL.get(c, "CAST(NULL AS VARCHAR)")} AS "{c}"' for c in ENCOUNTER_COLUMNS)
-    return f"SELECT {cols} FROM orders o LEFT JOIN customer c ON c.c_custkey = o.o_custkey"
-
-
-@register("q_encounter_conform", _encounter_sql())
+@register("q_encounter_conform", flat_sql(ENCOUNTER, ENCOUNTER_COLUMNS, indexed_name, _ORDERS))
 def q_encounter_conform(spark, sf_dir):
-    """Encounter-shaped nested records derived from orders, flattened to
-    positional columns (``identifier.0.value``) and conformed to the declared
-    29-column all-text encounter schema."""
-    from nestfold.plans.declared import ENCOUNTER_COLUMNS
-
-    orders = table(spark, sf_dir, "orders")
-    cust = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    enc = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left").select(
-        F.struct(F.col("o_orderpriority").alias("code"), F.lit("urn:example:priority").alias("system")).alias("class"),
-        F.col("o_orderkey").cast("string").alias("id"),
-        F.array(
-            F.struct(
-                F.lit("urn:example:orders").alias("system"),
-                F.lit("official").alias("use"),
-                F.col("o_orderkey").cast("string").alias("value"),
-            )
-        ).alias("identifier"),
-        F.struct(F.date_format("o_orderdate", "yyyy-MM-dd").alias("start")).alias("period"),
-        F.lit("Encounter").alias("resourceType"),
-        F.col("o_orderstatus").alias("status"),
-        F.struct(
-            F.col("c_name").alias("display"), F.concat(F.lit("Customer/"), F.col("o_custkey").cast("string")).alias("reference")
-        ).alias("subject"),
-    )
-    return conform(flatten(enc, mode="indexed", widths={"identifier": 1}), ENCOUNTER_COLUMNS)
+    """Encounter-shaped nested records that fill all 29 declared columns, derived
+    from orders, flattened to positional columns (``participant.0.period.end``)
+    and conformed to the declared all-text encounter schema."""
+    o, c, n = (table(spark, sf_dir, t) for t in ("orders", "customer", "nation"))
+    rows = o.join(c, F.col("o_custkey") == F.col("c_custkey"), "left").join(n, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+    records = rows.selectExpr(*record_columns(ENCOUNTER))
+    return conform(flatten(records, mode="indexed", widths=widths(ENCOUNTER)), ENCOUNTER_COLUMNS)
 
 
 _POSITION_FIELDS = ("linenumber", "partkey", "returnflag")

@@ -128,9 +128,11 @@ def landed(spark: SparkSession, name: str, key: tuple, write) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path below the shared checkpoint folder, removed when the
-    session's JVM ends."""
-    path = f"{checkpoint_root(spark)}/nestfold/{name}-{uuid.uuid4().hex[:12]}"
-    p, fs = _fs_path(spark, path)
-    fs.deleteOnExit(p)
-    return path
+    """A new, unique path in the session's own folder below the shared
+    checkpoint folder. That folder is removed when the session's JVM ends."""
+    folder = f"{checkpoint_root(spark)}/nestfold/{spark.sparkContext.applicationId}"
+    p, fs = _fs_path(spark, folder)
+    if not fs.exists(p):
+        fs.mkdirs(p)
+        fs.deleteOnExit(p)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from posixpath import dirname
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
@@ -141,10 +142,18 @@ def write_tree(df: DataFrame, root: str, path: str | Column = "path", content: s
     any failed task, nothing of the tree is left. Null content is an empty
     file. Contents pass through tasks one row at a time; the driver lists each
     task's files while it commits."""
+    # a name of its own for each write: sessions copied from one another, as the
+    # queries' are, neither share nor replace a registered source
+    name = f"{FORMAT}_{uuid.uuid4().hex}"
+    source = type("NamedTree", (TreeSource,), {"name": classmethod(lambda cls: name)})
     for session in (df.sparkSession, SparkSession.active()):  # names are looked up in the active one
-        session.dataSource.register(TreeSource)
+        try:
+            session.dataSource.register(source)
+        except AnalysisException as e:  # one and the same session
+            if e.getCondition() != "DATA_SOURCE_ALREADY_EXISTS":
+                raise
     root = f"file://{root}" if root.startswith("/") else root
     c = F.col(content) if isinstance(content, str) else content
     p = F.col(path) if isinstance(path, str) else path
-    df.select(p.cast("string").alias("path"), c.cast("binary").alias("content")).write.format(FORMAT).option("root", root).mode(mode).save()
+    df.select(p.cast("string").alias("path"), c.cast("binary").alias("content")).write.format(name).option("root", root).mode(mode).save()
     return root
