@@ -32,9 +32,12 @@ class Files:
         return path, self.fs.open_output_stream(path, compression=None)
 
     def rename(self, temp: str, name: str) -> None:
-        to = f"{self.root}/{name}"
-        if self.fs.get_file_info(to).type == fs.FileType.NotFound:  # else an earlier attempt did it
-            self.fs.move(temp, to)
+        """Give a file its name, also over one that an earlier run left; if it
+        has no temporary file, another attempt has done so."""
+        if self.fs.get_file_info(temp).type != fs.FileType.NotFound:
+            self.fs.move(temp, f"{self.root}/{name}")
+        elif self.fs.get_file_info(f"{self.root}/{name}").type == fs.FileType.NotFound:
+            raise FileNotFoundError(temp)
 
     def open(self, name: str):
         return self.fs.open_input_stream(f"{self.root}/{name}", compression=None)

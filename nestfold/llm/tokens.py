@@ -7,9 +7,11 @@ import re
 import struct
 import zlib
 from array import array
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -24,6 +26,10 @@ END_ID = 2
 SHARD_BYTES, SECTION_IDS = 32 << 20, 1 << 19
 #: Pieces of text whose ids a worker keeps at most; it starts afresh beyond.
 KEPT_PIECES = 400_000
+#: Pieces that the library encodes as one text; rows that are encoded at a time.
+JOINED, ROWS = 500, 2048
+#: White space of any kind.
+WHITE = r"[\s\x{0B}\x{1C}-\x{1F}\x{85}\pZ]"
 
 #: Fixed values of the file format: magic; section head (documents, ids,
 #: words, blocks) in little-endian 64-bit integers. A section goes on with
@@ -35,86 +41,104 @@ MANIFEST = "shard int, temp string, name string, docs long, ids long, bytes long
 READ = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
-class _Pieces(dict):
-    """Numbers pieces in the order they are first asked for."""
-
-    def __init__(self):
-        self.new = []
-
-    def __missing__(self, piece):
-        self[piece] = n = len(self)
-        self.new.append(piece)
-        return n
-
-
 class PieceEncoder:
-    """Ids of whole texts under a byte-level BPE whose pre-tokenizer, like the
-    public 50k one, ends a piece before every space that a letter or digit
-    follows. Each distinct piece is encoded once by the tokenizers library and
-    its ids are put together again; the result is that of encoding the whole
-    text (``tests/llm/test_tokens.py`` compares them)."""
-
-    #: ends every piece in the joined text; the library cuts there first
-    MARK = "<|endoftext|>"
+    """Ids of whole texts under a byte-level BPE with the usual pre-tokenizer,
+    which, like the public 50k one, ends a piece before every space that
+    something else than white space follows. Arrow cuts a batch of texts there
+    and finds its different pieces; the tokenizers library encodes each of
+    those, the ids of pieces met twice in a batch are kept, and the texts' ids
+    are put together. The result is that of encoding whole texts
+    (``tests/llm/test_llm_queries.py`` compares them); a text with white space
+    behind a space is encoded whole."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.mark = self.tokenizer.token_to_id(self.MARK)
-        if self.mark is None:
-            raise ValueError(f"{path} has no {self.MARK}")
-        self.cut, self.odd = re.compile(r" (?=\w)").split, re.compile(r" (?!\w)").search
+        # a line feed between two pieces that hold no white space is a token of its own
+        ids = self._library(["\n"])[0]
+        self.line = ids[0] if len(ids) == 1 else None
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.apart = "|".join([WHITE, *special])
         self.clear()
 
     def clear(self):
-        # pieces at the start of a text have no space before them
-        self.kinds = [(prefix, _Pieces(), array("q", [0]), array("I")) for prefix in ("", " ")]
-
-    def _learn(self, prefix, pieces, ends, flat):
-        for k in range(0, len(pieces.new), 20_000):
-            some = pieces.new[k : k + 20_000]
-            joined = "".join([prefix + p + self.MARK for p in some])
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
-            at = np.flatnonzero(ids == self.mark)
-            if len(at) != len(some):  # a piece holds the mark itself
-                each = [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast([prefix + p for p in some], add_special_tokens=False)]
-                ids, lengths = np.concatenate(each), np.array([len(e) for e in each])
+        self.known: dict[str, int] = {}
+        self.starts, self.flat = array("q", [0]), array("I")
+
+    def _library(self, texts: list[str]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of ``pieces`` that a space precedes: all ids, and where each
+        piece's begin and how many they are."""
+        apart = np.asarray(pc.match_substring_regex(pieces, self.apart)) if self.line is not None else np.ones(len(pieces), bool)
+        texts, rest = pieces.to_pylist(), [np.flatnonzero(apart)]
+        plain, parts, n = np.flatnonzero(~apart), [], np.zeros(len(pieces), np.int64)
+        order = []
+        for k in range(0, len(plain), JOINED):
+            some = plain[k : k + JOINED]
+            ids = np.array(self._library(["".join([f" {texts[i]}\n" for i in some.tolist()])])[0], np.uint32)
+            ends = np.flatnonzero(ids == self.line)
+            if len(ends) == len(some):
+                parts.append(ids[ids != self.line])
+                n[some] = np.diff(ends, prepend=-1) - 1
+                order.append(some)
             else:
-                ids, lengths = ids[ids != self.mark], np.diff(at, prepend=-1) - 1
-            ends.frombytes((ends[-1] + np.cumsum(lengths)).astype(np.int64).tobytes())
-            flat.frombytes(ids.tobytes())
-        pieces.new.clear()
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+                rest.append(some)
+        rest = np.concatenate(rest)
+        each = self._library([" " + texts[i] for i in rest.tolist()])
+        n[rest] = [len(e) for e in each]
+        parts += [np.array(e, np.uint32) for e in each]
+        order = np.concatenate([*order, rest])
+        start = np.empty(len(pieces), np.int64)
+        start[order] = np.cumsum(n[order]) - n[order]
+        return (np.concatenate(parts) if parts else np.zeros(0, np.uint32)), start, n
+
+    def __call__(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, and how many each has."""
-        if sum(len(k[1]) for k in self.kinds) > KEPT_PIECES:
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        if len(self.known) > KEPT_PIECES:
             self.clear()
-        heads, rests = self.kinds
-        number, counts, first = rests[1].__getitem__, [], []
-        found = array("q")
-        for t in texts:
-            parts = t.split(" ") if not self.odd(t) else self.cut(t)
-            first.append(heads[1][parts[0]])
-            found.extend(map(number, parts[1:]))
-            counts.append(len(parts) - 1)
-        for kind in self.kinds:
-            self._learn(*kind)
-        counts = np.array(counts, np.int64)
-        at = np.cumsum(counts) - counts + np.arange(len(texts))  # where each text's first piece goes
-        total = len(found) + len(texts)
-        is_head = np.zeros(total, bool)
-        is_head[at] = True
-        which = np.empty(total, np.int64)
-        which[is_head], which[~is_head] = first, np.frombuffer(found, np.int64)
-        h_ends, r_ends = (np.frombuffer(k[2], np.int64) for k in self.kinds)
-        h_flat, r_flat = (np.frombuffer(k[3], np.uint32) for k in self.kinds)
-        begin = np.where(is_head, h_ends[np.where(is_head, which, 0)], r_ends[np.where(is_head, 0, which)] + len(h_flat))
-        n = np.where(is_head, np.diff(h_ends)[np.where(is_head, which, 0)], (r_ends[1:] if len(r_ends) > 1 else r_ends)[np.where(is_head, 0, which)] - r_ends[np.where(is_head, 0, which)])
-        flat = np.concatenate([h_flat, r_flat])
-        ends = np.cumsum(n)
-        ids = flat[np.repeat(begin - ends + n, n) + np.arange(int(ends[-1]) if total else 0)] if total else np.zeros(0, np.uint32)
-        return ids, np.add.reduceat(n, at) if len(texts) else np.zeros(0, np.int64)
+        cut = pc.split_pattern(texts.cast(pa.large_string()), " ")
+        ends = np.asarray(cut.offsets)[1:] - cut.offsets[0].as_py()
+        at = np.append(0, ends[:-1])  # each text's first piece, which no space precedes
+        coded = cut.flatten().dictionary_encode()
+        which, values = np.asarray(coded.indices).astype(np.int64), coded.dictionary
+        pieces = values.to_pylist()
+        head = np.zeros(len(which), bool)
+        head[at] = True
+        odd = np.asarray(pc.match_substring_regex(values, f"^(?:$|{WHITE})"))
+        whole = np.flatnonzero(np.add.reduceat(odd[which] & ~head, at))
+
+        # ids of the pieces behind a space: kept ones, then those new here
+        times = np.bincount(which[~head], minlength=len(pieces))
+        place = np.fromiter(map(self.known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero((place < 0) & (times > 0) & ~odd)
+        ids, first, n = self._learn(values.take(pa.array(new)))
+        old_starts, base = np.frombuffer(self.starts, np.int64).copy(), len(self.flat)
+        start, length = np.zeros(len(pieces), np.int64), np.zeros(len(pieces), np.int64)
+        old = place >= 0
+        start[old], length[old] = old_starts[place[old]], np.diff(old_starts)[place[old]]
+        start[new], length[new] = base + first, n
+
+        firsts = self._library([pieces[i] for i in which[at].tolist()])
+        wholes = dict(zip(whole.tolist(), self._library(texts.take(pa.array(whole)).to_pylist())))
+        own = [np.array(wholes.get(k, f), np.uint32) for k, f in enumerate(firsts)]
+        sizes = np.array([len(o) for o in own], np.int64)
+        flat = np.concatenate([np.frombuffer(self.flat, np.uint32), ids, *own])
+        begin, count = start[which], length[which]
+        begin[at], count[at] = base + len(ids) + np.cumsum(sizes) - sizes, sizes
+        for k in wholes:  # the text's first piece stands for all of it
+            count[at[k] + 1 : ends[k]] = 0
+        stop = np.cumsum(count)
+        out = flat[np.repeat(begin - stop + count, count) + np.arange(int(stop[-1]))]
+        for j in np.flatnonzero(times[new] > 1).tolist():
+            self.known[pieces[new[j]]] = len(self.known)
+            self.flat.frombytes(ids[first[j] : first[j] + n[j]].tobytes())
+            self.starts.append(len(self.flat))
+        return out, np.add.reduceat(count, at)
 
 
 @functools.lru_cache(2)
@@ -144,7 +168,9 @@ def write_token_ids(docs: DataFrame, root: str, tokenizer_path: str, end_id: int
     An empty table gives no files. Other columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    shard, n = id_shards(rows.select("doc_id", (F.octet_length("text") + 16).cast("long").alias("size")), "doc_id", "size", shard_bytes)
+    by_hash = F.xxhash64("text").cast("double") / float(1 << 64) + 0.5
+    sizes = rows.select("doc_id", "text", (F.octet_length("text") + 16).cast("long").alias("size"))
+    shard, n = id_shards(sizes, "doc_id", "size", shard_bytes, by_hash)
     dealt = rows.withColumn("shard", shard).repartitionByRange(n, "shard").sortWithinPartitions("shard", "doc_id", F.xxhash64("text"))
 
     def save(batches):
@@ -174,9 +200,9 @@ def write_token_ids(docs: DataFrame, root: str, tokenizer_path: str, end_id: int
                     path, out = files.temp(f"{shards[lo]:06d}")
                     out.write(MAGIC)
                     now = [int(shards[lo]), path, out, 0, 0, len(MAGIC)]
-                for k in range(lo, hi, 256):
-                    some = batch.slice(k, min(256, hi - k))
-                    flat, n = encode(some.column("text").to_pylist())
+                for k in range(lo, hi, ROWS):
+                    some = batch.slice(k, min(ROWS, hi - k))
+                    flat, n = encode(some.column("text"))
                     ends = np.cumsum(n)
                     ids.append(np.insert(flat, ends, np.uint32(end_id)))
                     lengths.append(n + 1)

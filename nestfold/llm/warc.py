@@ -89,7 +89,8 @@ def write_warc(pages: DataFrame, root: str, min_bytes: int = 0, shard_bytes: int
     rows = pages.select(F.col("page_id").cast("long"), F.col("url"), F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("sha1", F.sha1("payload")).withColumn("size", F.octet_length("payload").cast("long"))
     small = rows.select("page_id", "sha1", "size", (F.col("size") + 512).alias("weight"))
-    shard, n = id_shards(small, "page_id", "weight", shard_bytes)
+    by_digest = F.conv(F.substring("sha1", 1, 8), 16, 10).cast("double") / (1 << 32)
+    shard, n = id_shards(small, "page_id", "weight", shard_bytes, by_digest)
 
     rank = F.struct(F.col("page_id").isNull().alias("none"), F.col("page_id").alias("id"))
     groups = small.where(F.col("size") >= min_bytes).groupBy("sha1").agg(F.count("*").alias("held"), F.min(rank).alias("first")).where("held > 1")
