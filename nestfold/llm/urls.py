@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestfold.llm.common import BROADCAST_ROWS, ascii_lower, lookup, spare, store, table
+from nestfold.llm.common import ascii_lower, fits, lookup, spare, store, table
 from nestfold.llm.components import connected_components
 from nestfold.llm.registry import register
 
@@ -34,10 +34,10 @@ def path_of(url: Column) -> Column:
 
 
 def canonical(url: Column) -> Column:
-    """The address a page names as its own: https, host without ``www.`` and
-    ``m.``, no fragment, no tracking parameters, no trailing slash."""
+    """The address a page names as its own: https, host without ``www.`` or
+    ``m.`` (if two labels stay), no fragment, no tracking parameters, no trailing slash."""
     rest = F.regexp_replace(after_scheme(url), r"#[\s\S]*$", "")
-    host = F.regexp_replace(host_of(url), r"^(www|m)\.", "")
+    host = F.regexp_replace(host_of(url), r"^(www|m)\.(?=[^.]+\.[^.])", "")
     tail = F.regexp_replace(rest, r"^[^/?]*", "")
     tail = F.regexp_replace(tail, r"([?&])(utm_[a-z]+|ref)=[^&]*", "$1")
     tail = F.regexp_replace(F.regexp_replace(tail, r"&&+", "&"), r"\?&", "?")
@@ -45,17 +45,69 @@ def canonical(url: Column) -> Column:
     return F.when(F.instr(url, "://") > 0, F.concat(F.lit("https://"), host, tail))
 
 
-LINK = r"""(?i)<link\b[^>]*\brel=["']?canonical["']?[^>]*\bhref=["']([^"']+)["']"""
-REFRESH = r"""(?i)<meta\b[^>]*\bhttp-equiv=["']?refresh["']?[^>]*\burl=\s*([^"'>]+)["']"""
+#: A link or meta tag; quoted values may hold anything.
+TAG = r"""(?i)<(?:link|meta)\b(?:[^>"']|"[^"]*"|'[^']*')*>"""
+#: An attribute and its value, with quotes if it has some.
+ATTRIBUTE = r"""([^\s"'<>/=]+)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+#: What stands before the address in a refresh.
+DELAY = r"""(?i)^\s*[\d.]*\s*[;,]?\s*(?:url\s*=\s*)?["']?"""
+
+
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, in any order, case and quoting; null
+    without it. Of equal names the first counts."""
+    names = F.transform(F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(1)), F.lower)
+    values = F.regexp_extract_all(tag, F.lit(ATTRIBUTE), F.lit(2))
+    value = F.get(values, F.nullif(F.array_position(names, name), F.lit(0)).cast("int") - 1)
+    return F.replace(F.regexp_replace(value, r"""^["']|["']$""", ""), F.lit("&amp;"), F.lit("&"))
+
+
+def resolve(target: Column, base: Column) -> Column:
+    """The address that ``target`` means on the page ``base``; null if it names
+    no page (another kind of scheme, or nothing)."""
+    t = F.trim(F.regexp_replace(target, r"[\t\r\n]", ""))
+    scheme = F.substring_index(base, "://", 1)
+    rest = after_scheme(base)
+    root = F.concat(scheme, F.lit("://"), F.regexp_extract(rest, r"^[^/?#]*", 0))
+    path = F.regexp_extract(rest, r"^[^/?#]*([^?#]*)", 1)
+    query = F.regexp_extract(rest, r"^[^?#]*(\?[^#]*)?", 1)
+    folder = F.regexp_replace(F.when(path == "", "/").otherwise(path), r"[^/]*$", "")
+    own = F.regexp_replace(F.concat(F.when(t.startswith("/"), "").otherwise(folder), t), r"[?#][\s\S]*$", "")
+    behind = F.regexp_extract(t, r"[?#][\s\S]*$", 0)
+    # dot segments: a part is dropped, or takes the one before it along
+    parts = F.split(own, "/")
+    last = F.element_at(parts, -1)
+    step = lambda done, x: F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).when(x == ".", done).otherwise(F.concat(done, F.array(x)))
+    plain = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array(F.lit("")), step)
+    plain = F.concat(F.array_join(plain, "/"), F.when(last.isin(".", ".."), "/").otherwise(""))
+    own = F.when(own.contains("./") | own.endswith("."), plain).otherwise(own)
+    known = F.instr(base, "://") > 0
+    return (
+        F.when(t.isNull() | (t == ""), None)
+        .when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), t)
+        .when(t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), None)
+        .when(known & t.startswith("//"), F.concat(scheme, F.lit(":"), t))
+        .when(known & t.startswith("#"), F.concat(root, path, query))
+        .when(known & t.startswith("?"), F.concat(root, path, t))
+        .when(known, F.concat(root, own, behind))
+    )
 
 
 def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Edges ``u``, ``v`` between a page's url and each address it stands for:
-    its canonical form, its canonical link, its refresh redirect."""
-    src, body = F.col(url), F.col(html)
-    links = F.array(*[F.when(F.regexp_extract(body, p, 1) != "", F.regexp_extract(body, p, 1)) for p in (LINK, REFRESH)])
-    found = pages.select(src.alias("u"), F.explode(F.concat(F.array(canonical(src)), F.coalesce(links, F.array().cast("array<string>")))).alias("v"))
-    return found.where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct()
+    its canonical form, its canonical links, its refresh redirects. These
+    targets are resolved against the page, and have edges to their own
+    canonical forms."""
+    src, tag = F.col(url), F.col("_tag")
+    tags = pages.select(src.alias("u"), F.explode(F.regexp_extract_all(F.col(html), F.lit(TAG), F.lit(0))).alias("_tag"))
+    linked = F.array_contains(F.split(F.lower(attribute(tag, "rel")), r"\s+"), "canonical")
+    sent = F.lower(F.trim(attribute(tag, "http-equiv"))) == "refresh"
+    to = F.regexp_extract(F.regexp_replace(attribute(tag, "content"), DELAY, ""), r"""^[^"']*""", 0)
+    is_link = F.lower(F.substring(tag, 2, 4)) == "link"
+    target = F.when(is_link & linked, attribute(tag, "href")).when(~is_link & sent & attribute(tag, "content").rlike(r"[;,]|(?i)url"), to)
+    links = tags.select("u", resolve(target, F.col("u")).alias("v")).where("v IS NOT NULL")
+    own = pages.select(src.alias("u"), canonical(src).alias("v")).unionByName(links.select(F.col("v").alias("u"), canonical(F.col("v")).alias("v")))
+    return own.unionByName(links).where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct()
 
 
 def matched_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
@@ -71,8 +123,7 @@ def matched_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     named = rules.where("host IS NOT NULL AND action IS NOT NULL").select(
         F.col("host").alias("suffix"), F.coalesce("path", F.lit("")).alias("start"), "action"
     )
-    small = named.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    hits = wide.join(F.broadcast(named) if small else named, "suffix").where(F.col("path").startswith(F.col("start")))
+    hits = wide.join(F.broadcast(named) if fits(named) else named, "suffix").where(F.col("path").startswith(F.col("start")))
     rule = F.concat("suffix", "start")
     best = hits.groupBy("url").agg(F.max(F.struct(F.length(rule).alias("n"), (F.col("action") == "allow").alias("a"), rule.alias("rule"), F.col("action").alias("action"))).alias("b"))
     return split.join(best, "url", "left").select("url", "host", "path", F.col("b.rule").alias("rule"), F.col("b.action").alias("action"))
@@ -126,7 +177,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame, edges: DataFrame, url: str =
       SELECT page_id, coalesce(url, '') AS url,
         CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
     c AS (
-      SELECT *, regexp_replace(lower(regexp_extract(rest, '^[^/?#]*')), '^(www|m)\.', '') AS bare,
+      SELECT *, regexp_replace(lower(regexp_extract(rest, '^[^/?#]*')), '^(?:www|m)\.([^.]+\.[^.])', '\1') AS bare,
         regexp_replace(regexp_replace(regexp_replace(regexp_replace(rest, '#[\s\S]*$', ''), '^[^/?]*', ''),
           '([?&])(utm_[a-z]+|ref)=[^&]*', '\1', 'g'), '&&+', '&', 'g') AS tail FROM p),
     e AS (
