@@ -17,8 +17,9 @@ from nestfold.llm.files import arrow_schema
 from nestfold.llm.registry import register
 from nestfold.llm.slices import ROW, added, cut
 
-#: Labelled rows whose texts the classifier is fitted on, at most.
-SAMPLE_ROWS = 40_000
+#: Labelled rows, and rows without a label, whose texts the classifier is fitted
+#: on, at most.
+SAMPLE_ROWS, UNLABELLED_ROWS = 30_000, 10_000
 FEATURE_BITS, STEM = 18, 5
 #: How many standard errors a feature's share of the toxic texts must lie from its share of all.
 LEAST_Z = 5.0
@@ -113,18 +114,21 @@ def fit_nnpu(positive, unlabelled, prior: float, names: np.ndarray) -> Model:
     return Model(dict(zip(names.tolist(), theta[:-1].tolist())), float(theta[-1]))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit on at most ``sample_rows`` labelled rows, those with the smallest
-    hashes of their id, none of them held out. Toxic ones are the positives; the
-    unlabelled set is all of them with the labels taken off. The class prior is
-    the toxic share of all labels that are not held out. The driver gets feature
-    counts of a fixed size and the selected features of the sample. Several labels of one
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, unlabelled_rows: int = UNLABELLED_ROWS) -> Model:
+    """Fit on at most ``sample_rows`` labelled rows and ``unlabelled_rows`` rows
+    that have no label, those with the smallest hashes of their id, none of them
+    held out. Toxic ones are the positives; the unlabelled set is all of them,
+    the labels of those that have one taken off. The class prior is the toxic
+    share of all labels that are not held out. The driver gets feature counts of
+    a fixed size and the selected features of the sample. Several labels of one
     document count as toxic if one does; null ids and labels are left out."""
     known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
     toxic, every = known.agg(F.count_if("toxic"), F.count("*")).first()
     some = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").select("toxic", "text")
+    rest = docs.where(F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id").distinct().join(known, "doc_id", "left_anti")
+    rest = rest.orderBy(F.xxhash64("doc_id"), "doc_id").limit(unlabelled_rows).withColumn("toxic", F.lit(None).cast("boolean"))
+    rows = docs.select("doc_id", "text").join(F.broadcast(some.unionByName(rest)), "doc_id").select("toxic", "text")
 
     def features(batches):
         for batch in batches:
