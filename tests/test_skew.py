@@ -73,10 +73,6 @@ def test_hot_order_bundles_are_paged_and_whole(spark, skewed_dir):
     assert e.where("res_name = 'Order'").count() == spark.read.parquet(f"{skewed_dir}/orders.parquet").count()
 
 
-#: Oracles whose column list is fixed at the width of the given tables' widest order.
-FIXED_WIDTH = {"q_flatten_indexed", "q_bundles_to_csv"}
-
-
 @pytest.fixture(scope="module", params=["third", "equal"])
 def hot_dir(request, spark, tmp_path_factory):
     """sf0.001 with one order owning a third of the lines, or 2,500 equal lines."""
@@ -103,7 +99,7 @@ def hot_dir(request, spark, tmp_path_factory):
 def _oracles():
     from nestfold.plans import ORACLES
 
-    return sorted(set(ORACLES) - FIXED_WIDTH)
+    return sorted(ORACLES)
 
 
 @pytest.mark.parametrize("name", _oracles())
@@ -120,3 +116,16 @@ def test_every_oracle_holds_under_skew(spark, hot_dir, name):
 def test_equal_lines_spread_over_pages(spark, hot_dir):
     recs = order_records(spark, hot_dir, flags=False, line_fields=["linenumber"])
     assert recs.agg(F.max(F.size("lines"))).first()[0] < 1500
+
+
+def test_ordered_pages_are_full_and_in_order(spark, hot_dir):
+    from nestfold.plans.records import ordered_records
+
+    li = spark.read.parquet(f"{hot_dir}/lineitem.parquet")
+    recs = ordered_records(spark, hot_dir, ["linenumber", "partkey"], ["linenumber", "partkey"], max_lines=100)
+    assert recs.agg(F.sum(F.size("lines"))).first()[0] == li.count()
+    hot = recs.where("id = 7").orderBy("first").collect()
+    n = li.where("l_orderkey = 7").count()
+    assert [r["first"] for r in hot] == list(range(0, n, 100)) and all(len(r["lines"]) == 100 for r in hot[:-1])
+    lines = [(x["linenumber"], x["partkey"]) for r in hot for x in r["lines"]]
+    assert lines == sorted(lines)
