@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from nestfold.llm.common import BROADCAST_ROWS, ascii_lower, discard, store, table
+from nestfold.llm.common import ascii_lower, fits, store, table
 from nestfold.llm.registry import register
 
 #: Fixed value: what separates words, after A-Z are in lower case.
@@ -14,8 +14,9 @@ BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 #: Posting lists intersected before the exact check: those of a window's rarest terms.
 ANCHORS = 2
-#: Percent of a window's words that a near match holds.
-SHARE = 80
+#: Percent of a window's words that a near match holds, and its rarest terms that
+#: must meet before its text is looked at.
+SHARE, MET = 80, 3
 #: Stands behind each document's last word; no word is empty.
 STOP = ""
 
@@ -52,8 +53,7 @@ def build_index(docs: DataFrame, vocabulary: DataFrame | None = None, id_col: st
     if vocabulary is not None:
         spark = docs.sparkSession
         wanted = vocabulary.select("term").unionByName(spark.range(1).select(F.lit(STOP).alias("term"))).distinct()
-        small = wanted.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-        posts = posts.join(F.broadcast(wanted) if small else wanted, "term", "left_semi").select("doc", "version", "pos", "term")
+        posts = posts.join(few(wanted), "term", "left_semi").select("doc", "version", "pos", "term")
     return store(posts, "decontam-index")
 
 
@@ -70,8 +70,7 @@ def _anchors(index: DataFrame, windows: DataFrame, k: int) -> DataFrame:
 def _hits(index: DataFrame, anchors: DataFrame) -> DataFrame:
     """Posting lists of the anchors, each moved by the term's offset: ``doc``,
     ``version``, ``wid``, ``start``, ``rank``."""
-    small = anchors.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    met = index.join(F.broadcast(anchors) if small else anchors, "term").where("pos >= offset")
+    met = index.join(few(anchors), "term").where("pos >= offset")
     return met.select("doc", "version", "wid", (F.col("pos") - F.col("offset")).alias("start"), "rank")
 
 
@@ -81,42 +80,77 @@ def phrase_candidates(index: DataFrame, windows: DataFrame, k: int = ANCHORS) ->
     anchors = store(_anchors(index, windows, k), "decontam-anchors")
     need = anchors.groupBy("wid").agg(F.count("*").alias("need"))
     met = _hits(index, anchors).groupBy("doc", "version", "wid", "start").agg(F.count("*").alias("got"))
-    small = need.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return met.join(F.broadcast(need) if small else need, "wid").where("got >= need").select("doc", "version", "wid", "start")
-
-
-def proximity_matches(index: DataFrame, windows: DataFrame, slack: int = 5, k: int | None = None, share: int = SHARE) -> DataFrame:
-    """Documents and windows where ``share`` percent of all words of the window
-    stand within ``slack`` words of their places, on as many words of the text:
-    ``doc``, ``version``, ``wid``, ``start`` (by one of the rarest terms). A
-    term that no document has counts as missing.
-
-    If ``len - need`` words may be missing, two of the ``len - need + 2`` rarest
-    stand there (``k`` looks at more). Their adjusted lists meet on stretches
-    of positions, so no two whole lists are paired; all words of the window are
-    then looked up around the places found, by stretches too."""
-    wide, need = 2 * slack + 1, F.ceil(F.col("len") * share / 100)
-    sized = windows.select("wid", need.alias("need"), (F.lit(k) if k else F.col("len") - need + 2).alias("k"))
-    terms = store(terms_of(windows).join(sized, "wid"), "decontam-terms")
+    return met.join(few(need), "wid").where("got >= need").select("doc", "version", "wid", "start")
+
+
+def proximity_matches(docs: DataFrame, index: DataFrame, items: DataFrame, n: int = WINDOW, slack: int = 5, share: int = SHARE, k: int | None = None,
+                      id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """Documents and windows of items where ``share`` percent of all words of the
+    window stand within ``slack`` words of their places, on as many words of the
+    text: ``doc``, ``version``, ``wid``. A term that no document has counts as
+    missing. ``index`` is that of ``docs``.
+
+    If ``len - need`` words of a window may be missing, ``MET`` of its ``len -
+    need + MET`` rarest stand there (``k`` looks at more). Neighbouring windows share
+    their words, so lists are intersected once an item: places of its windows'
+    rarest terms, each moved by the term's place in the item, that fall within
+    a stretch of the text. A group of them is five numbers, however many meet.
+    The words around are then cut out of their texts; if they hold enough of
+    the item's words at all, each window is compared with each start between
+    the terms met."""
+    spread = 2 * slack + 1
+    texts = items.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item"), words_of(F.col(item_text)).alias("v")).where(F.size("v") > 0)
+    texts = store(texts.distinct().withColumn("len", F.least(F.size("v"), F.lit(n))).withColumn("need", F.ceil(F.col("len") * share / 100).cast("int")), "decontam-items")
     counts = index.where(F.col("term") != STOP).groupBy("term").agg(F.count("*").alias("n"))
-    ranked = terms.join(counts, "term", "left").withColumn("rank", F.row_number().over(Window.partitionBy("wid").orderBy(F.coalesce("n", F.lit(0)), "term", "offset")))
-    anchors = store(ranked.where("rank <= k AND n > 0").select("wid", "offset", "term", "need"), "decontam-anchors")
-
-    few = lambda df: F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-    hits = index.join(few(anchors), "term").withColumn("start", F.col("pos") - F.col("offset"))
-    stretch = F.floor(F.col("start") / wide)
-    met = hits.withColumn("at", F.explode(F.array(stretch - 1, stretch))).groupBy("doc", "version", "wid", "need", "at")
-    met = met.agg(F.size(F.collect_set("offset")).alias("got"), F.collect_set("start").alias("starts")).where(F.col("got") >= F.least(F.lit(2), "need"))
-    places = store(met.select("doc", "version", "wid", F.explode("starts").alias("start")).distinct(), "decontam-places")
-
-    texts = few(places.select("doc", "version").distinct()).alias("t")  # only their postings are dealt out again
-    posts = index.alias("i").join(texts, F.expr("i.doc <=> t.doc AND i.version = t.version"), "left_semi")
-    low = F.floor((F.col("place") - slack) / wide)
-    asked = places.join(few(terms), "wid").withColumn("place", F.col("start") + F.col("offset")).withColumn("at", F.explode(F.array(low, low + 1)))
-    same = F.expr("a.doc <=> p.doc AND a.version = p.version AND a.term = p.term AND a.at = p.at")
-    there = asked.alias("a").join(posts.withColumn("at", F.floor(F.col("pos") / wide)).alias("p"), same).where(F.abs(F.col("pos") - F.col("place")) <= slack)
-    got = there.groupBy("a.doc", "a.version", "wid", "start", "need").agg(F.least(F.size(F.collect_set("offset")), F.size(F.collect_set("pos"))).alias("got"))
-    return got.where("got >= need").select("doc", "version", "wid", "start")
+    each = texts.withColumn("j", F.explode(F.sequence(F.lit(0), F.size("v") - F.col("len"))))
+    each = each.select("item", "j", "len", "need", F.xxhash64("v").alias("text"), F.posexplode(F.slice("v", F.col("j") + 1, F.col("len"))).alias("offset", "term"))
+    rarest = Window.partitionBy("item", "text", "j").orderBy(F.coalesce("n", F.lit(0)), "term", "offset")
+    ranked = each.join(counts, "term", "left").withColumn("rank", F.row_number().over(rarest))
+    most = F.lit(k) if k else F.col("len") - F.col("need") + MET
+    anchors = ranked.where((F.col("rank") <= most) & (F.col("n") > 0)).select("item", "text", (F.col("j") + F.col("offset")).alias("place"), "term", "need").distinct()
+    anchors = store(anchors, "decontam-near-anchors")
+
+    # dealt by document as texts: all that follows is grouped where it is made
+    own = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"), F.col(text_col).alias("body"))
+    posts = own.repartition("doc", "version").select("doc", "version", F.posexplode(words_of(F.col("body"))).alias("pos", "term"))
+    hits = posts.join(few(anchors), "term").withColumn("start", F.col("pos") - F.col("place"))
+    stretch = F.floor(F.col("start") / spread).cast("int")
+    met = hits.withColumn("at", F.explode(F.array(stretch - 1, stretch))).groupBy("doc", "version", "item", "text", "need", "at")
+    bit = F.expr("shiftleft(1L, CAST(place % 64 AS INT))")  # places of the item, beyond 64 folded
+    met = met.agg(F.bit_or(bit).alias("bits"), F.min("place").alias("first"), F.max("place").alias("last"), F.min("start").alias("low"), F.max("start").alias("high"))
+    met = met.where(F.bit_count("bits") >= F.least(F.lit(MET), "need"))
+    sizes = texts.select("item", F.xxhash64("v").alias("text"), F.size("v").alias("size"), "len")
+    met = met.join(few(sizes), ["item", "text"])
+    mask = F.expr("shiftleft(1L, len) - 1")
+    inside = F.exists(F.sequence(F.lit(0), F.col("size") - F.col("len")), lambda j: F.bit_count(F.call_function("shiftrightunsigned", F.col("bits"), j).bitwiseAND(mask)) >= F.least(F.lit(MET), "need"))
+    met = met.where((F.col("size") > 64) | inside).select("doc", "version", "item", "text", "first", "last", "low", "high")
+    places = store(met.groupBy("doc", "version").agg(F.collect_set(F.struct("item", "text", "first", "last", "low", "high")).alias("places")), "decontam-places")
+
+    rows = own.alias("t").join(few(places).alias("p"), F.expr("t.doc <=> p.doc AND t.version = p.version")).select("t.doc", "t.version", words_of(F.col("body")).alias("w"), "places")
+    found = rows.select("doc", "version", "w", F.explode("places").alias("x")).select("doc", "version", "w", "x.*")
+    found = found.join(few(texts.withColumn("text", F.xxhash64("v"))), ["item", "text"])
+    # windows that hold a place met, and the stretch of the text where their words may stand
+    one, end = F.greatest(F.col("first") - F.col("len") + 1, F.lit(0)), F.least(F.col("last"), F.size("v") - F.col("len"))
+    begin = F.greatest(F.col("low") + one - slack, F.lit(0)).cast("int")
+    cut = F.slice("w", begin + 1, F.greatest(F.col("high") + end + F.col("len") + slack - begin, F.lit(0)).cast("int"))
+    found = found.select("doc", "version", "low", "high", "len", "need", one.alias("one"), end.alias("end"), begin.alias("begin"), cut.alias("w"), "v")
+    # windows that have enough of their words anywhere around
+    there = F.transform(F.slice("v", F.col("one") + 1, F.col("end") - F.col("one") + F.col("len")), lambda x: F.array_contains("w", x).cast("int"))
+    held = lambda t, j: F.aggregate(F.slice(t, j - F.col("one") + 1, F.col("len")), F.lit(0), lambda a, x: a + x)
+    js = F.get(F.transform(F.array(there), lambda t: F.filter(F.sequence("one", "end"), lambda j: held(t, j) >= F.col("need"))), F.lit(0))
+    # stored, as a filter would have the optimizer write the whole expression again for each use
+    found = store(found.where("one <= end").withColumn("js", js), "decontam-near").where(F.size("js") > 0)
+    near = lambda s, i: F.filter(F.sequence(s + i - slack, s + i + slack), lambda p: F.get("w", (p - F.col("begin")).cast("int")) == F.get("v", i))
+    served = lambda s: F.transform(F.sequence("one", F.col("end") + F.col("len") - 1), lambda i: near(s, i))
+    full = lambda lists: F.least(F.size(F.filter(lists, lambda x: F.size(x) > 0)), F.size(F.array_distinct(F.flatten(lists)))) >= F.col("need")
+    windows = lambda lists: F.filter("js", lambda j: full(F.slice(lists, j - F.col("one") + 1, F.col("len"))))
+    matched = F.flatten(F.transform(F.sequence("low", "high"), lambda s: F.get(F.transform(F.array(served(s)), windows), F.lit(0))))
+    found = found.select("doc", "version", "v", "len", F.explode(F.array_distinct(matched)).alias("j"))
+    return found.select("doc", "version", F.xxhash64(F.array_join(F.slice("v", F.col("j") + 1, F.col("len")), " ")).alias("wid")).distinct()
+
+
+def few(df: DataFrame) -> DataFrame:
+    return F.broadcast(df) if fits(df) else df
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = WINDOW, near: bool = False) -> DataFrame:
@@ -139,8 +173,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     windows = store(windows_of(items, n=n), "decontam-windows")
     index = build_index(docs, terms_of(windows).select("term"), id_col, text_col)
     found = phrase_candidates(index, windows)
-    small = windows.limit(BROADCAST_ROWS // 10 + 1).count() <= BROADCAST_ROWS // 10
-    found = found.join(F.broadcast(windows) if small else windows, "wid")
+    found = found.join(few(windows), "wid")
     found = found.groupBy("doc", "version").agg(F.collect_set(F.struct("start", "len", "phrase", "items")).alias("found"))
 
     texts = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"), F.col(text_col).alias("text"))
@@ -166,7 +199,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     n_near = []
     if near:
-        close = proximity_matches(index, windows).groupBy("doc", "version").agg(F.count_distinct("wid").alias("n_near"))
+        close = proximity_matches(docs, index, items, n, id_col=id_col, text_col=text_col).groupBy("doc", "version").agg(F.count_distinct("wid").alias("n_near"))
         both = both.join(store(close, "decontam-near").alias("c"), F.expr("e.doc <=> c.doc AND e.version = c.version"), "left")
         n_near = [F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near")]
     return both.select(

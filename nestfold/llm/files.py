@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 
 import pyarrow as pa
@@ -20,6 +21,22 @@ def batch_of(rows: list[tuple], ddl: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
 
 
+def trimmed(run):
+    """``run``, a task's function over batches, giving free memory back to the
+    system at its end: the worker stays while the executor does other work."""
+
+    def out(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+
+    return out
+
+
 class Files:
     """The folder at ``root``, a uri."""
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from nestfold.llm.common import BROADCAST_ROWS, discard, lookup, store, table
 from nestfold.llm.components import connected_components
-from nestfold.llm.files import arrow_schema
+from nestfold.llm.files import arrow_schema, trimmed
 from nestfold.llm.registry import register
 from nestfold.llm.slices import added, cut
 
@@ -106,7 +106,7 @@ def _signed(docs: DataFrame) -> DataFrame:
         none = pa.nulls(len(parts), pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none, pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], schema=arrow_schema(DOCS))
 
-    return store(docs.mapInArrow(run, DOCS), "jaccard-docs")
+    return store(docs.mapInArrow(trimmed(run), DOCS), "jaccard-docs")
 
 
 ENTRY = "token long, band int, key long, size int, pos int"
@@ -135,7 +135,7 @@ def _entries(docs: DataFrame, sketch) -> DataFrame:
             if cols[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), f.type) for c, f in zip(cols, arrow_schema(ENTRY))], schema=arrow_schema(ENTRY))
 
-    return docs.mapInArrow(run, ENTRY)
+    return docs.mapInArrow(trimmed(run), ENTRY)
 
 
 
@@ -167,7 +167,7 @@ def _shared(entries: DataFrame) -> DataFrame:
         if met:
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in last], schema=arrow_schema(ENTRY))
 
-    return store(dealt.mapInArrow(run, ENTRY), "jaccard-shared")
+    return store(dealt.mapInArrow(trimmed(run), ENTRY), "jaccard-shared")
 
 
 def _least(a: Column, b: Column) -> Column:
@@ -236,7 +236,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
             keys = [set_key(shingles(t)) for t in texts]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch.column("text")], schema=arrow_schema("key long, text string"))
 
-    texts = store(some.mapInArrow(keyed, "key long, text string").join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "jaccard-texts")
+    texts = store(some.mapInArrow(trimmed(keyed), "key long, text string").join(wanted.select("key"), "key", "left_semi").dropDuplicates(["key"]), "jaccard-texts")
     both = pairs.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b").select("a", "b", "text_a", "text_b")
 
@@ -260,7 +260,7 @@ def _linked(pairs: DataFrame, docs: DataFrame, reps: DataFrame) -> DataFrame:
             yes = np.array(yes, bool)
             yield pa.RecordBatch.from_arrays([pa.array(np.array(c, np.int64)[yes]) for c in (a, b)], schema=arrow_schema(PAIR))
 
-    out = store(both.mapInArrow(check, PAIR), "jaccard-links")
+    out = store(both.mapInArrow(trimmed(check), PAIR), "jaccard-links")
     discard(texts, wanted)
     return out
 

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from nestfold.llm.files import arrow_schema
+from nestfold.llm.files import arrow_schema, trimmed
 
 SLICES = 64
 ROW = "slice int, part binary"
@@ -40,6 +40,6 @@ def added(parts: DataFrame, kind: type, size: int) -> np.ndarray:
 
     out = np.array_split(np.zeros(size, out_kind), SLICES)
     columns = ["slice", "part", "weight"] if mean else ["slice", "part"]
-    for i, p in parts.select(*columns).repartition(SLICES, "slice").mapInArrow(run, ROW).collect():
+    for i, p in parts.select(*columns).repartition(SLICES, "slice").mapInArrow(trimmed(run), ROW).collect():
         out[i] = np.frombuffer(p, out_kind)
     return np.concatenate(out)

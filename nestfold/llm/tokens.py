@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from nestfold.llm import simple8b
 from nestfold.llm.common import file_uri, id_shards, make_folders, publish, store, table
-from nestfold.llm.files import Files, arrow_schema, batch_of
+from nestfold.llm.files import Files, arrow_schema, batch_of, trimmed
 from nestfold.llm.registry import register
 from nestfold.session import scratch_path
 
@@ -213,7 +213,7 @@ def write_token_ids(docs: DataFrame, root: str, tokenizer_path: str, end_id: int
         yield batch_of(done, MANIFEST)
 
     make_folders(docs.sparkSession, root)
-    return publish(store(dealt.mapInArrow(save, MANIFEST), "tokens-manifest"), root)
+    return publish(store(dealt.mapInArrow(trimmed(save), MANIFEST), "tokens-manifest"), root)
 
 
 def _sections(raw):
@@ -253,7 +253,7 @@ def read_token_ids(spark: SparkSession, root: str, ids: bool = False) -> DataFra
                         yield pa.RecordBatch.from_arrays(columns, schema=arrow_schema(schema))
                         base += int(lengths.sum())
 
-    return listed.repartition(max(1, files.count())).mapInArrow(load, schema)
+    return listed.repartition(max(1, files.count())).mapInArrow(trimmed(load), schema)
 
 
 def default_tokenizer() -> str:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from nestfold.llm.common import discard, store, table
-from nestfold.llm.files import arrow_schema
+from nestfold.llm.files import arrow_schema, trimmed
 from nestfold.llm.registry import register
 from nestfold.llm.slices import ROW, added, cut
 
@@ -148,9 +148,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, un
         parts = cut(total)
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], schema=arrow_schema(ROW))
 
-    rows = store(rows.mapInArrow(features, ROWS), "toxicity-features")
+    rows = store(rows.mapInArrow(trimmed(features), ROWS), "toxicity-features")
     n_p, n_u = rows.agg(F.count_if("toxic"), F.count("*")).first()
-    counts = added(rows.mapInArrow(count, ROW), np.uint64, 2 * size)
+    counts = added(rows.mapInArrow(trimmed(count), ROW), np.uint64, 2 * size)
     keep = _select(counts[:size].astype(float), n_p, counts[size:].astype(float), n_u)
     place = np.cumsum(keep) - 1
 
@@ -159,7 +159,7 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, un
             chosen = [f[keep[f]] for f in (np.frombuffer(x, np.uint32) for x in batch.column("features").to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column("toxic"), pa.array([place[f].astype(np.uint32).tobytes() for f in chosen], pa.binary())], schema=arrow_schema(ROWS))
 
-    got = rows.mapInArrow(kept, ROWS).toArrow()  # a few selected features of each sampled row
+    got = rows.mapInArrow(trimmed(kept), ROWS).toArrow()  # a few selected features of each sampled row
     flags = np.asarray(got.column("toxic").to_pylist(), bool)
     parts = [np.frombuffer(x, np.uint32).astype(np.int64) for x in got.column("features").to_pylist()]
     discard(rows)

@@ -108,10 +108,11 @@ def test_proximity(spark):
     near = a[:4] + ["x", "y"] + a[4:]
     far = a[:4] + ["z"] * 40 + a[4:]
     docs = docs_of(spark, [(1, " ".join(a)), (2, " ".join(near)), (3, " ".join(far))])
-    w = common.store(decontam.windows_of(spark.createDataFrame([(1, " ".join(a))], "item_id long, text string")), "t")
+    items = spark.createDataFrame([(1, " ".join(a))], "item_id long, text string")
+    w = common.store(decontam.windows_of(items), "t")
     index = decontam.build_index(docs, decontam.terms_of(w).select("term"))
     # the rarest terms by (count, term) are t0, t1, t2, all before the gap: ask for all ten
-    hit = {r["doc"] for r in decontam.proximity_matches(index, w, slack=5, k=10).collect()}
+    hit = {r["doc"] for r in decontam.proximity_matches(docs, index, items, slack=5, k=10).collect()}
     assert hit == {1, 2}
     assert {r["doc"] for r in decontam.phrase_candidates(index, w, k=10).collect()} == {1}
 
