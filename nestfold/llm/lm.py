@@ -5,17 +5,16 @@ from __future__ import annotations
 
 from array import array
 from collections import Counter
-from collections.abc import Iterator
 from itertools import repeat
 from typing import NamedTuple
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StructField, StructType
 
-from nestfold.llm.common import lookup, spare, store, table
+from nestfold.llm.common import spare, store, table
 from nestfold.llm.files import arrow_schema
 from nestfold.llm.registry import register
 from nestfold.llm.slices import ROW, added, cut
@@ -25,8 +24,9 @@ from nestfold.llm.slices import ROW, added, cut
 CLASSES = MEMBERS = 64
 VOCABULARY = CLASSES * MEMBERS
 SIDE, WIDTH = 3, 32
-#: Each pass trains on every position of every text.
-PASSES, BATCH, RATE = 2, 1024, 0.1
+#: A pass trains on every position of every text, in rounds over parts of the
+#: texts; tasks meet after each round.
+PASSES, ROUNDS, BATCH, RATE = 1, 2, 4096, 0.1
 CHUNK = 1 << 13
 HELD_WORDS = 300_000
 
@@ -95,9 +95,15 @@ def start(counts: np.ndarray) -> np.ndarray:
     return theta
 
 
+#: Scores are cut here, so that no exponential overflows.
+MOST = 80.0
+
+
 def _softmax(z):
-    z = np.exp(z - z.max(1, keepdims=True))
-    z /= z.sum(1, keepdims=True)
+    """``z`` becomes the softmax of its rows."""
+    np.minimum(z, MOST, out=z)
+    np.exp(z, out=z)
+    z *= (1 / (z @ np.ones(z.shape[1], z.dtype)))[:, None]
     return z
 
 
@@ -105,13 +111,24 @@ OFFSETS = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
 
 
 def forward(p, ids, at, gradient=None):
-    """Log-probabilities of ``ids[at]`` from the words around. With ``gradient``,
-    arrays like ``p``, it also adds the gradient of their negative mean."""
+    """Log-probabilities of the ascending positions ``at`` of ``ids`` from the
+    words around. With ``gradient``, arrays like ``p``, it also adds the gradient
+    of their negative mean.
+
+    Words are looked up once for the whole stretch of positions; a neighbour is
+    a shift of it, forward and back."""
+    if not len(at):
+        return np.zeros(0, p["inner"].dtype)
+    begin, end = at[0], at[-1] + 1
+    words = ids[begin - SIDE : end + SIDE]
+    e, n = p["embed"][words], end - begin
+    h = np.zeros((n, WIDTH), e.dtype)
+    for w, o in zip(p["place"], OFFSETS):
+        h += e[SIDE + o : SIDE + o + n] * w
+    place = at - begin
     order = np.argsort((ids[at] >> 6).astype(np.uint16), kind="stable")
-    at = at[order]
-    target, around = ids[at], ids[at[:, None] + OFFSETS]
-    e = np.take(p["embed"], around, axis=0)
-    h = np.tanh(np.einsum("bjd,jd->bd", e, p["place"]) + p["inner"])
+    target, place = ids[at[order]], place[order]
+    h = np.tanh(h[place] + p["inner"])
     c, m, rows = target >> 6, target & 63, np.arange(len(at))
     cuts = np.searchsorted(c, np.arange(CLASSES + 1))
     live = np.flatnonzero(np.diff(cuts))
@@ -123,61 +140,67 @@ def forward(p, ids, at, gradient=None):
     pm = _softmax(pm)
     logp = np.empty(len(at), h.dtype)
     logp[order] = np.log(np.maximum(pc[rows, c], 1e-30)) + np.log(np.maximum(pm[rows, m], 1e-30))
-    if gradient is not None and len(at):
+    if gradient is not None:
         pc[rows, c] -= 1
         pm[rows, m] -= 1
-        pc /= len(at)
-        pm /= len(at)
-        gradient["to_class"] += h.T @ pc
-        gradient["class"] += pc.sum(0)
-        gradient["member"][live] += np.add.reduceat(pm, cuts[live])
+        gradient["to_class"] += h.T @ pc / len(at)
+        gradient["class"] += pc.sum(0) / len(at)
+        gradient["member"][live] += np.add.reduceat(pm, cuts[live]) / len(at)
         dh = pc @ p["to_class"].T
         for k in live:
             own = slice(cuts[k], cuts[k + 1])
-            gradient["to_member"][k] += h[own].T @ pm[own]
+            gradient["to_member"][k] += h[own].T @ pm[own] / len(at)
             dh[own] += pm[own] @ p["to_member"][k].T
-        dh *= 1 - h * h
+        dh *= (1 - h * h) / len(at)
         gradient["inner"] += dh.sum(0)
-        gradient["place"] += np.einsum("bd,bjd->jd", dh, e)
-        flat = around.reshape(-1).astype(np.uint16)
-        by = np.argsort(flat, kind="stable")
-        first = np.flatnonzero(np.diff(flat[by].astype(np.int64), prepend=-1))
-        each = (dh[:, None, :] * p["place"]).reshape(-1, WIDTH)
-        gradient["embed"][flat[by][first]] += np.add.reduceat(each[by], first)
+        back = np.zeros((n, WIDTH), dh.dtype)
+        back[place] = dh
+        de = np.zeros(e.shape, dh.dtype)
+        for j, (w, o) in enumerate(zip(p["place"], OFFSETS)):
+            near = slice(SIDE + o, SIDE + o + n)
+            gradient["place"][j] += np.einsum("bd,bd->d", back, e[near])
+            de[near] += back * w
+        by = np.argsort(words.astype(np.uint16), kind="stable")
+        first = np.flatnonzero(np.diff(words[by], prepend=-1))
+        gradient["embed"][words[by][first]] += np.add.reduceat(de[by], first)
     return logp
 
 
 def _log_share(z, k):
     """Log-softmax of ``z`` at column ``k`` of each row."""
-    top = z.max(1, keepdims=True)
-    picked = z[np.arange(len(z)), k] - top[:, 0]
-    z -= top
+    np.minimum(z, MOST, out=z)
+    picked = z[np.arange(len(z)), k]
     np.exp(z, out=z)
-    return picked - np.log(z.sum(1))
+    return picked - np.log(z @ np.ones(z.shape[1], z.dtype))
 
 
 class Scorer:
-    """``forward`` without a gradient: embeddings are weighted by place once."""
+    """``forward`` without a gradient."""
 
     def __init__(self, theta: np.ndarray):
         self.p = parts_of(theta)
-        self.placed = [self.p["embed"] * w for w in self.p["place"]]
 
     def __call__(self, ids, at):
-        p, target = self.p, ids[at]
-        h = np.tile(p["inner"], (len(at), 1))
-        for table, o in zip(self.placed, OFFSETS):
-            h += table[ids[at + o]]
-        np.tanh(h, out=h)
+        p = self.p
+        if not len(at):
+            return np.zeros(0, p["inner"].dtype)
+        begin, n = at[0], at[-1] + 1 - at[0]
+        e = p["embed"][ids[begin - SIDE : begin + n + SIDE]]
+        h = np.zeros((n, WIDTH), e.dtype)
+        for w, o in zip(p["place"], OFFSETS):
+            h += e[SIDE + o : SIDE + o + n] * w
+        target = ids[at]
+        order = np.argsort((target >> 6).astype(np.uint16), kind="stable")
+        target = target[order]
+        h = np.tanh(h[at[order] - begin] + p["inner"])
         c, m = target >> 6, target & 63
-        logp = _log_share(h @ p["to_class"] + p["class"], c)
-        order = np.argsort(c, kind="stable")
-        cuts = np.searchsorted(c[order], np.arange(CLASSES + 1))
-        h, m, inside = h[order], m[order], np.empty(len(at), h.dtype)
+        inside = _log_share(h @ p["to_class"] + p["class"], c)
+        cuts = np.searchsorted(c, np.arange(CLASSES + 1))
         for k in np.flatnonzero(np.diff(cuts)):
             own = slice(cuts[k], cuts[k + 1])
-            inside[own] = _log_share(h[own] @ p["to_member"][k] + p["member"][k], m[own])
-        logp[order] += inside
+            inside[own] += _log_share(h[own] @ p["to_member"][k] + p["member"][k], m[own])
+        logp = np.empty(len(at), h.dtype)
+        logp[order] = inside
         return logp
 
 
@@ -187,13 +210,18 @@ class Reader:
     def __init__(self, numbers: dict[bytes, int]):
         self.numbers = numbers
 
-    def __call__(self, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All numbers, the positions of words among them, words per text."""
+    def __call__(self, texts, rare: list | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """All numbers, the positions of words among them, words per text. The
+        counts of each text's words without a number go to ``rare``."""
         get, edge, sizes = self.numbers.get, [0] * SIDE, []
         out = array("q", edge)
         for t in texts:
             words = words_of(t)
+            begin = len(out)
             out.extend(map(get, words, repeat(1)))
+            if rare is not None:
+                unknown = np.flatnonzero(np.frombuffer(out, np.int64)[begin:] == 1).tolist()
+                rare.append(Counter([words[i] for i in unknown]))
             out.extend(edge)
             sizes.append(len(words))
         sizes = np.array(sizes, np.int64)
@@ -245,11 +273,11 @@ class Model(NamedTuple):
     n_rare: int
 
 
-def train_lm(docs: DataFrame, passes: int = PASSES) -> Model:
+def train_lm(docs: DataFrame, passes: int = PASSES, rounds: int = ROUNDS) -> Model:
     """The vocabulary comes from the counts of all texts, ties by the word
-    itself; the counts of all other words stay a table. Training goes over
-    every position of all texts, each task on its own part, with averaging
-    after a pass."""
+    itself; the counts of all other words stay a table. A pass goes over every
+    position of all texts, in ``rounds`` over parts of them (by a hash of the
+    text), each task on its own share; parameters are averaged after a round."""
     counts = store(count_words(docs), "lm-counts")
     top = counts.orderBy(F.desc("n"), "word").limit(VOCABULARY - 2).collect()
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -259,8 +287,9 @@ def train_lm(docs: DataFrame, passes: int = PASSES) -> Model:
     shares[1] = total - sum(known)
     shares[2 : 2 + len(known)] = known
     theta = start(shares)
-    for _ in range(passes):
-        theta = _pass(docs, numbers, theta)
+    part = F.pmod(F.xxhash64("text"), F.lit(rounds))
+    for k in range(passes * rounds):
+        theta = _pass(docs.where(part == k % rounds) if rounds > 1 else docs, numbers, theta)
     least, last = (top[-1]["n"], bytes(top[-1]["word"])) if top else (0, b"")
     rare = counts.where((F.col("n") < least) | ((F.col("n") == least) & (F.col("word") > F.lit(last))))
     rare = rare.groupBy(F.xxhash64("word").alias("key")).agg(F.sum("n").alias("n"))
@@ -277,30 +306,39 @@ def score_lm(docs: DataFrame, model: Model, kept: list[str] | None = None) -> Da
     names are replaced."""
     given = docs.sparkSession.sparkContext.broadcast((model.numbers, model.theta))
 
-    @F.pandas_udf("n_tokens long, log_prob double, rare array<binary>")
-    def scored(texts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    kept = [c for c in kept or docs.columns if c not in ("n_tokens", "log_prob")]
+    both, row = spare(docs, "_scores"), spare(docs, "_row")
+    fields = [f for f in docs.select(*kept).schema.fields]
+    found = StructType([*fields, StructField("n_tokens", LongType()), StructField("log_prob", DoubleType()), StructField(both, ArrayType(BinaryType())), StructField(row, ArrayType(LongType()))])
+    names = [f.name for f in found.fields]
+
+    def run(batches):
         numbers, theta = given.value
         read, score = Reader(numbers), Scorer(theta)
-        for series in texts:
-            found = [pd.DataFrame({"n_tokens": np.zeros(0, np.int64), "log_prob": np.zeros(0), "rare": []})]
-            for k in range(0, len(series), 128):
-                some = series.iloc[k : k + 128]
-                ids, at, sizes = read(some)
+        for batch in batches:
+            texts, rare, n_tokens, log_prob = batch.column(len(fields)).to_pylist(), [], [], []
+            for k in range(0, len(texts), 128):
+                ids, at, sizes = read(texts[k : k + 128], rare)
                 logp = np.zeros(len(at))
                 for lo in range(0, len(at), CHUNK):
                     logp[lo : lo + CHUNK] = score(ids, at[lo : lo + CHUNK])
                 sums = np.concatenate([[0.0], np.cumsum(logp)])[np.concatenate([[0], np.cumsum(sizes)])]
-                rare = [[w for w in words_of(t) if w not in numbers] for t in some]
-                found.append(pd.DataFrame({"n_tokens": sizes, "log_prob": np.diff(sums), "rare": rare}))
-            yield pd.concat(found[1:] or found)
-
-    kept = [c for c in kept or docs.columns if c not in ("n_tokens", "log_prob")]
-    both, row = spare(docs, "_scores"), spare(docs, "_row")
-    keys = F.transform(f"{both}.rare", lambda w: F.xxhash64(w)).alias(both)
-    out = docs.withColumn(both, scored(F.col("text"))).select(*kept, F.monotonically_increasing_id().alias(row), f"{both}.n_tokens", f"{both}.log_prob", keys)
-    out = store(out, "lm-scores")
-    met = lookup(out.select(row, F.explode(both).alias("key")), model.rare, "key", "n", model.n_rare)
-    shares = met.groupBy(row).agg(F.sum(F.log(F.coalesce("n", F.lit(1)) / F.lit(float(max(1, model.n_rare))))).alias(both))
+                n_tokens.append(sizes), log_prob.append(np.diff(sums))
+            if texts:
+                offsets = pa.array(np.cumsum([0, *map(len, rare)]), pa.int32())
+                words = pa.array([w for c in rare for w in c], pa.binary())
+                times = pa.array([n for c in rare for n in c.values()], pa.int64())
+                columns = [*batch.columns[:-1], pa.array(np.concatenate(n_tokens)), pa.array(np.concatenate(log_prob))]
+                lists = [pa.ListArray.from_arrays(offsets, x) for x in (words, times)]
+                yield pa.RecordBatch.from_arrays([*columns, *lists], names=names)
+
+    # a word outside the vocabulary is no thousandth of all words, so no key is hot
+    out = docs.select(*kept, F.col("text").alias(spare(docs, "_text"))).mapInArrow(run, found)
+    keys = F.zip_with(both, row, lambda w, n: F.struct(F.xxhash64(w).alias("key"), n.alias("times"))).alias(both)
+    out = store(out.select(*kept, "n_tokens", "log_prob", keys, F.monotonically_increasing_id().alias(row)), "lm-scores")
+    met = out.select(row, F.explode(both).alias("_x")).select(row, "_x.key", "_x.times").join(model.rare, "key", "left")
+    share = F.log(F.coalesce("n", F.lit(1)) / F.lit(float(max(1, model.n_rare))))
+    shares = met.groupBy(row).agg(F.sum(F.col("times") * share).alias(both))
     return out.drop(both).join(shares, row, "left").select(*kept, "n_tokens", (F.col("log_prob") + F.coalesce(both, F.lit(0.0))).alias("log_prob"))
 
 
