@@ -9,10 +9,29 @@ columns of ``docs``.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import functions as F
 
 from nestfold.llm import decontam, jaccard, mixing, tokens, toxicity
-from nestfold.llm.common import BROADCAST_ROWS, spare, store, table
+from nestfold.llm.common import corpus_session, discard, fits, moved, spare, store, table
+
+
+#: Keys, of a few bytes each, that are broadcast at most.
+MOST_GONE = 1_000_000
+#: Tokens drawn, of those that reach the mixing stage.
+MIX_SIZE = 0.9
+
+
+def beside(stage):
+    """``stage`` in a session with the settings of the corpus queries."""
+
+    @functools.wraps(stage)
+    def run(spark, docs, sf_dir):
+        own = corpus_session(spark)
+        return stage(own, moved(docs, own), sf_dir)
+
+    return run
 
 
 def keyed(docs):
@@ -29,10 +48,10 @@ def keyed(docs):
 def without(rows, key, gone):
     """Rows whose ``key`` is not in ``gone``, a list counted before it is broadcast."""
     gone = store(gone, "pipeline-gone")
-    few = gone.limit(10 * BROADCAST_ROWS + 1).count() <= 10 * BROADCAST_ROWS  # of 8 bytes
-    return rows.join(F.broadcast(gone) if few else gone, key, "left_anti").drop(key)
+    return rows.join(F.broadcast(gone) if fits(gone, MOST_GONE) else gone, key, "left_anti").drop(key)
 
 
+@beside
 def drop_toxic(spark, docs, sf_dir):
     """Documents that score ``toxicity.THRESHOLD`` or more go."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
@@ -40,6 +59,7 @@ def drop_toxic(spark, docs, sf_dir):
     return toxicity.toxicity(docs, model, score).where(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
+@beside
 def drop_near_copies(spark, docs, sf_dir):
     """Of each component of linked documents the one with the smallest id stays.
     Texts without words are linked with nothing and all stay."""
@@ -48,6 +68,7 @@ def drop_near_copies(spark, docs, sf_dir):
     return without(rows, key, found.where(F.col(key) != F.col("component_id")).select(key)).select(*docs.columns)
 
 
+@beside
 def drop_contaminated(spark, docs, sf_dir):
     """Documents that hold a window of a benchmark item, exactly or nearly, go."""
     rows, key = keyed(docs)
@@ -55,12 +76,15 @@ def drop_contaminated(spark, docs, sf_dir):
     return without(rows, key, found.where("contaminated OR n_near > 0").select(key)).select(*docs.columns)
 
 
+@beside
 def sample_to_weights(spark, docs, sf_dir):
-    """Documents are drawn with the raked probabilities, none of them twice."""
-    mixed = mixing.mix(docs, mixing.default_dims(), mixing.tokens_in(F.col("text")), repeats=False)
+    """Documents are drawn with the raked probabilities, none of them twice:
+    scarce categories stay whole, frequent ones are thinned."""
+    mixed = mixing.mix(docs, mixing.default_dims(), mixing.tokens_in(F.col("text")), size=MIX_SIZE, repeats=False)
     return mixed.where("mix_copies > 0").select(*docs.columns)
 
 
+@beside
 def write_tokens(spark, docs, sf_dir):
     """Token ids in files, and a row for each document read back from them."""
     return tokens.tokens_of(spark, docs)
@@ -79,7 +103,10 @@ ORACLE_SQL = None
 
 
 def run(spark, sf_dir):
+    spark = corpus_session(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        before, docs = docs, store(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if hasattr(before, "_stored_at"):
+            discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
