@@ -148,7 +148,7 @@ def id_shards(rows: DataFrame, id_col: str, size_col: str, target: int, part: Co
         number, fewer = _at({b: i for i, b in enumerate(cut)}, index, -1), max(2, buckets // len(cut))
         finer = -(-width // fewer)
         chosen = chosen.where(number >= 0)
-        index = _let(index, partial(_finer, cut, starts, low, fewer, finer, cell, wide))
+        index = let(index, partial(_finer, cut, starts, low, fewer, finer, cell, wide))
         starts, width = [starts[b] + i * finer for b in cut for i in range(fewer)], finer
 
     shard, sofar, first = 0, 0, [({}, {}) for _ in levels]  # first shard and number of shards of each range
@@ -182,7 +182,7 @@ def id_shards(rows: DataFrame, id_col: str, size_col: str, target: int, part: Co
     return F.when(F.col(id_col).isNull(), spread(F.lit(null_at), F.lit(null_parts))).otherwise(out), shard + 1
 
 
-def _let(value: Column, use) -> Column:
+def let(value: Column, use) -> Column:
     """``use(value)`` with ``value`` written and computed once."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestfold.llm.common import ascii_lower, fits, lookup, spare, store, table
+from nestfold.llm.common import ascii_lower, fits, let, lookup, spare, store, table
 from nestfold.llm.components import connected_components
 from nestfold.llm.registry import register
 
@@ -75,12 +75,10 @@ def resolve(target: Column, base: Column) -> Column:
     own = F.regexp_replace(F.concat(F.when(t.startswith("/"), "").otherwise(folder), t), r"[?#][\s\S]*$", "")
     behind = F.regexp_extract(t, r"[?#][\s\S]*$", 0)
     # dot segments: a part is dropped, or takes the one before it along
-    parts = F.split(own, "/")
-    last = F.element_at(parts, -1)
     step = lambda done, x: F.when(x == "..", F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(1)))).when(x == ".", done).otherwise(F.concat(done, F.array(x)))
-    plain = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array(F.lit("")), step)
-    plain = F.concat(F.array_join(plain, "/"), F.when(last.isin(".", ".."), "/").otherwise(""))
-    own = F.when(own.contains("./") | own.endswith("."), plain).otherwise(own)
+    ending = lambda parts: F.when(F.element_at(parts, -1).isin(".", ".."), "/").otherwise("")
+    joined = lambda parts: F.concat(F.array_join(F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array(F.lit("")), step), "/"), ending(parts))
+    own = let(own, lambda o: F.when(o.contains("./") | o.endswith("."), let(F.split(o, "/"), joined)).otherwise(o))
     known = F.instr(base, "://") > 0
     return (
         F.when(t.isNull() | (t == ""), None)
@@ -105,7 +103,9 @@ def page_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     to = F.regexp_extract(F.regexp_replace(attribute(tag, "content"), DELAY, ""), r"""^[^"']*""", 0)
     is_link = F.lower(F.substring(tag, 2, 4)) == "link"
     target = F.when(is_link & linked, attribute(tag, "href")).when(~is_link & sent & attribute(tag, "content").rlike(r"[;,]|(?i)url"), to)
-    links = tags.select("u", resolve(target, F.col("u")).alias("v")).where("v IS NOT NULL")
+    # stored between the steps, as projections that are merged repeat each other's expressions
+    links = store(tags.select("u", target.alias("t")).where("t IS NOT NULL"), "urls-targets")
+    links = store(links.select("u", resolve(F.col("t"), F.col("u")).alias("v")).where("v IS NOT NULL"), "urls-links")
     own = pages.select(src.alias("u"), canonical(src).alias("v")).unionByName(links.select(F.col("v").alias("u"), canonical(F.col("v")).alias("v")))
     return own.unionByName(links).where("u IS NOT NULL AND v IS NOT NULL AND u <> v").distinct()
 
