@@ -182,7 +182,8 @@ def ordered_records(spark: SparkSession, sf_dir: str, order: list[str], fields:
     raw = rest.repartition("l_orderkey").select("l_orderkey", value.alias("v"))
     pages = raw.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("v")).alias("lines")).withColumn("first", F.lit(0).cast("bigint"))
     if n_hot:
-        lines = li.join(side, "l_orderkey", "left_semi").select("l_orderkey", value.alias("v"), F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
+        lines = li.select("*", F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r")).join(side, "l_orderkey", "left_semi")
+        lines = lines.select("l_orderkey", value.alias("v"), "f", "r")
         keys = ["l_orderkey", *[F.col(f"v.{f}") for f in (*order, "shipdate")], "f", "r"]
         lines = numbered(lines, keys, "n")
         least = lines.groupBy("l_orderkey").agg(F.min("n").alias("least"))  # one row per hot order

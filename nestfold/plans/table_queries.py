@@ -536,7 +536,7 @@ GROUP BY o.o_orderkey)""",
 def q_bundles_to_csv(spark, sf_dir):
     """Nested records → JSON lines → read back with every value as text →
     indexed flatten to the stated width → header CSV → read back."""
-    recs = ordered_records(spark, sf_dir, ["linenumber", "partkey", "suppkey"], ["linenumber", "partkey"])
+    recs = ordered_records(spark, sf_dir, ["linenumber", "partkey", "suppkey", "quantity"], ["linenumber", "partkey"])
     nd = write_ndjson(recs, scratch_path(spark, "orders-ndjson"))
     back = read_ndjson(spark, nd, schema="id string, first bigint, lines array<struct<linenumber: string, partkey: string>>")
     wide, _ = spread_positions(back, "lines", INDEXED_WIDTH, first="first")
@@ -618,7 +618,7 @@ def q_indexed_overflow(spark, sf_dir):
     """The indexed layout in two tables: positional columns for the width that
     99 % of the orders need, an overflow table for all positions beyond; both
     written, read back and put together, every value with its place."""
-    recs = ordered_records(spark, sf_dir, ["linenumber", "partkey", "suppkey"], list(_POSITION_FIELDS))
+    recs = ordered_records(spark, sf_dir, ["linenumber", "partkey", "suppkey", "quantity"], list(_POSITION_FIELDS))
     recs = land(recs, "ordered-records")
     wide, overflow = spread_positions(recs, "lines", usual_width(recs, "lines"), first="first")
     return long_positions(land(wide, "positions-wide"), land(overflow, "positions-overflow"), "lines")
