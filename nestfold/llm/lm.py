@@ -23,7 +23,7 @@ from nestfold.llm.slices import ROW, added, cut
 #: stands outside every text, word 1 for all rarer words.
 CLASSES = MEMBERS = 64
 VOCABULARY = CLASSES * MEMBERS
-SIDE, WIDTH = 3, 32
+SIDE, WIDTH = 3, 16
 #: A pass trains on every position of every text, in rounds over parts of the
 #: texts; tasks meet after each round.
 PASSES, ROUNDS, BATCH, RATE = 1, 2, 4096, 0.1
