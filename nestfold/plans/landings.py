@@ -19,4 +19,5 @@ LANDINGS = {
 
 
 def land(spark, sf_dir: str, name: str) -> None:
-    LANDINGS[name](tuned(spark), sf_dir.rstrip("/"))
+    sf_dir = sf_dir.rstrip("/")
+    LANDINGS[name](tuned(spark, sf_dir), sf_dir)

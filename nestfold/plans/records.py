@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
 from nestfold.operators.numbering import numbered
-from nestfold.session import landed
+from nestfold.session import landed, scratch_path
 from nestfold.sources.tables import table
 
 MAX_LINES = 1000
@@ -67,6 +67,10 @@ def order_stats(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def line_counts(lineitem: DataFrame) -> DataFrame:
+    return lineitem.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
+
+
 # The hot orders (16 bytes each: key and page count) are counted; up to this
 # many bytes they are broadcast to the lines, beyond it joined by a shuffle in
 # which AQE splits a hot order's lines.
@@ -78,30 +82,58 @@ def page_count(n_lines, max_lines: int):
     return F.greatest(F.lit(1), F.ceil(F.coalesce(n_lines, F.lit(0)) / F.lit(max_lines)).cast("int"))
 
 
-def with_pages(head: DataFrame, max_lines: int, count: str = "n_lines") -> DataFrame:
-    """One row per order (with its line count) → one per (order, ``page``)."""
-    return head.withColumn("page", F.explode(F.sequence(F.lit(0), page_count(F.col(count), max_lines) - 1)))
+def hot_orders(counts: DataFrame, max_lines: int) -> DataFrame | None:
+    """``(l_orderkey, n_pages)`` of the orders with more than ``max_lines`` lines,
+    or None without any. Found once and written down, so that lines and orders
+    read the few hot ones instead of counting all lines again."""
+    path = scratch_path(counts.sparkSession, "hot-orders")
+    hot = counts.where(F.col("n_lines") > max_lines).select("l_orderkey", page_count(F.col("n_lines"), max_lines).alias("n_pages"))
+    hot.write.parquet(path)
+    hot = counts.sparkSession.read.schema(hot.schema).parquet(path)
+    n_hot = hot.count()
+    if n_hot == 0:
+        return None
+    return F.broadcast(hot) if n_hot * HOT_ROW_BYTES <= HOT_BROADCAST_BYTES else hot
 
 
-def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value) -> DataFrame:
-    """``(l_orderkey, page, items)``: ``value`` (a per-line column) grouped into
-    arrays of about ``max_lines`` elements.
-
-    The raw line columns are shuffled on (order, page) and the values built and
-    listed after the shuffle: a partial collect_list reduces nothing, and
-    this way the per-line work runs in the reduce tasks even when the input
-    has few splits. Without a hot order no join is planned."""
-    hot = stats.where(F.col("n_lines") > max_lines).select("l_orderkey", page_count(F.col("n_lines"), max_lines).alias("n_pages"))
-    n_hot = hot.count()  # the per-order counts aggregate map-side
-    if n_hot == 0:
-        paged = lineitem.withColumn("page", F.lit(0))
-    else:
-        side = F.broadcast(hot) if n_hot * HOT_ROW_BYTES <= HOT_BROADCAST_BYTES else hot
+def with_pages(head: DataFrame, hot: DataFrame | None, key: str) -> DataFrame:
+    """One row per order → one per (order, ``page``), with ``n_pages`` of a hot
+    order and null of any other. Without a hot order no join is planned."""
+    if hot is None:
+        return head.withColumn("n_pages", F.lit(None).cast("int")).withColumn("page", F.lit(0))
+    head = head.join(hot.withColumnRenamed("l_orderkey", key), key, "left")
+    return head.withColumn("page", F.explode(F.sequence(F.lit(0), F.coalesce("n_pages", F.lit(1)) - 1)))
+
+
+def page_keys(hot: DataFrame | None, key: str) -> list[str]:
+    """What tells records apart: the order, and its page once an order has several."""
+    return [key] if hot is None else [key, "page"]
+
+
+def grouped_lines(lineitem: DataFrame, hot: DataFrame | None, value, flags: bool = False) -> DataFrame:
+    """``(l_orderkey, [page], items, [flags])``: ``value`` (a per-line column)
+    grouped into arrays of about ``max_lines`` elements, by ``page_keys``.
+
+    The raw line columns are shuffled once, by the keys, and sorted there; the
+    values are built and listed behind the sort, one order at a time, so a task
+    sorts narrow rows only and a join on the same keys neither shuffles nor
+    sorts the lists."""
+    keys = page_keys(hot, "l_orderkey")
+    if hot is not None:
         place = F.xxhash64("_metadata.file_path", "_metadata.row_index")
-        paged = lineitem.select("*", place.alias("_place")).join(side, "l_orderkey", "left")
-        paged = paged.withColumn("page", F.when(F.col("n_pages").isNull(), 0).otherwise(F.pmod("_place", "n_pages")).cast("int"))
-    grouped = paged.repartition("l_orderkey", "page").select("l_orderkey", "page", value.alias("v"))
-    return grouped.groupBy("l_orderkey", "page").agg(F.collect_list("v").alias("items"))
+        lineitem = lineitem.select("*", place.alias("_place")).join(hot, "l_orderkey", "left")
+        lineitem = lineitem.withColumn("page", F.when(F.col("n_pages").isNull(), 0).otherwise(F.pmod("_place", "n_pages")).cast("int"))
+    rows = lineitem.repartition(*keys).sortWithinPartitions(*keys).select(*keys, value.alias("v"), F.col("l_returnflag").alias("flag"))
+    lists = [F.collect_list("v").alias("items")]
+    return rows.groupBy(*keys).agg(*lists, *([F.array_sort(F.collect_set("flag")).alias("flags")] if flags else []))
+
+
+def paged_lines(lineitem: DataFrame, stats: DataFrame, max_lines: int, value) -> DataFrame:
+    """``(l_orderkey, page, items)`` of all lines, whatever the largest order
+    (``stats``: each order's ``n_lines``)."""
+    hot = hot_orders(stats, max_lines)
+    out = grouped_lines(lineitem, hot, value)
+    return out if hot is not None else out.select("l_orderkey", F.lit(0).alias("page"), "items")
 
 
 def order_records(
@@ -141,25 +173,29 @@ def order_records(
         base = base.join(cust, "custkey", "left")
     if not (lines or flags):
         return base.withColumn("page", F.lit(0))
-    li = table(spark, sf_dir, "lineitem")
-    stats = order_stats(li).withColumnRenamed("l_orderkey", "id")
-    out = base.join(stats, "id", "left")
-    if lines:
-        pages = paged_lines(li, stats.withColumnRenamed("id", "l_orderkey"), max_lines, _line_struct(line_fields))
-        pages = pages.select(F.col("l_orderkey").alias("id"), "page", F.col("items").alias("lines"))
-        out = with_pages(out, max_lines).join(pages, ["id", "page"], "left")
-        # a page that no line fell on is no record; an order without lines is one
-        out = out.where(F.col("lines").isNotNull() | F.col("n_lines").isNull())
-        out = out.withColumn("lines", F.coalesce("lines", F.array().cast(pages.schema["lines"].dataType)))
-        if sort_lines:
-            out = out.withColumn("lines", F.array_sort("lines"))
-    else:
-        out = out.withColumn("page", F.lit(0))
+    li = table(spark, sf_dir, "lineitem").where("l_orderkey IS NOT NULL")  # of no order
+    empty = F.array().cast("array<string>")
+    if not lines:
+        stats = order_stats(li).withColumnRenamed("l_orderkey", "id")
+        out = base.join(stats, "id", "left").withColumn("page", F.lit(0))
+        return out.withColumn("flags", F.coalesce("flags", empty)).drop("n_lines")
+    hot = hot_orders(line_counts(li), max_lines)
+    keys = page_keys(hot, "id")
+    pages = grouped_lines(li, hot, _line_struct(line_fields), flags and hot is None)
+    pages = pages.withColumnsRenamed({"l_orderkey": "id", "items": "lines"})
+    out = with_pages(base, hot, "id")
+    if flags and hot is not None:  # a page has only some of its order's flags
+        out = out.join(order_stats(li).select(F.col("l_orderkey").alias("id"), "flags"), "id", "left")
+    out = out.join(pages, keys, "left")
+    # a page that no line fell on is no record; an order without lines is one
+    out = out.where(F.col("lines").isNotNull() | F.col("n_pages").isNull())
+    out = out.withColumn("lines", F.coalesce("lines", F.array().cast(pages.schema["lines"].dataType)))
+    if sort_lines:
+        out = out.withColumn("lines", F.array_sort("lines"))
     if flags:
-        out = out.withColumn("flags", F.coalesce(F.col("flags"), F.array().cast("array<string>")))
-    else:
-        out = out.drop("flags")
-    return out.drop("n_lines")
+        out = out.withColumn("flags", F.coalesce("flags", empty))
+    rest = [c for c in base.columns if c != "id"]
+    return out.select("id", "page", *rest, *(["flags"] if flags else []), "lines")
 
 
 def ordered_records(spark: SparkSession, sf_dir: str, order: list[str], fields: list[str], max_lines: int = MAX_LINES) -> DataFrame:
@@ -259,7 +295,7 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
     """
     orders = table(spark, sf_dir, "orders")
     cust = table(spark, sf_dir, "customer")
-    li = table(spark, sf_dir, "lineitem")
+    li = table(spark, sf_dir, "lineitem").where("l_orderkey IS NOT NULL")  # of no order
 
     order_res = F.struct(
         F.lit("Order").alias("resourceType"),
@@ -290,25 +326,19 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
         F.col("l_returnflag").alias("returnflag"),
         _day("l_shipdate").alias("shipdate"),
     )
-    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    pages = paged_lines(li, counts, max_lines, _entry_json("Line", line_res))
-    head = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left").select(
-        F.col("o_orderkey"),
-        F.col("o_orderstatus"),
-        F.col("o_orderpriority"),
-        _entry_json("Order", order_res).alias("order_entry"),
-        F.when(F.col("c_custkey").isNotNull(), _entry_json("Customer", cust_res)).alias("cust_entry"),
-    )
+    hot = hot_orders(line_counts(li), max_lines)
+    pages = grouped_lines(li, hot, _entry_json("Line", line_res)).withColumnRenamed("l_orderkey", "o_orderkey")
+    # the tables' own columns are shuffled; texts are made behind the last join
+    head = orders.join(cust, F.col("o_custkey") == F.col("c_custkey"), "left")
+    b = with_pages(head, hot, "o_orderkey").join(pages, page_keys(hot, "o_orderkey"), "left")
     # an order without lines keeps one bundle with no line entries
-    head = with_pages(head.join(counts, F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey"), max_lines)
-    pages = pages.withColumnRenamed("l_orderkey", "o_orderkey")
-    b = head.join(pages, ["o_orderkey", "page"], "left").where((F.col("page") == 0) | F.col("items").isNotNull()).select(
+    b = b.where((F.col("page") == 0) | F.col("items").isNotNull()).select(
         F.col("o_orderkey").alias("order_id"),
         "page",
         "o_orderstatus",
         "o_orderpriority",
-        "order_entry",
-        "cust_entry",
+        _entry_json("Order", order_res).alias("order_entry"),
+        F.when(F.col("c_custkey").isNotNull(), _entry_json("Customer", cust_res)).alias("cust_entry"),
         F.coalesce(F.col("items"), F.array().cast("array<string>")).alias("line_entries"),
     )
     first = F.col("page") == 0
@@ -345,8 +375,8 @@ def bundle_texts(spark: SparkSession, sf_dir: str, faults: bool = False, max_lin
         F.array_join(entries, ","),
         F.lit("]}"),
     )
+    b = b.select(bundle_id.alias("bundle_id"), "order_id", "page", text.alias("value"), "o_orderpriority")
     if faults:
-        text = F.when(
-            F.col("o_orderpriority") == "5-LOW", F.substring(text, 1, F.floor(F.length(text) / 2).cast("int"))
-        ).otherwise(text)
-    return b.select(bundle_id.alias("bundle_id"), "order_id", "page", text.alias("value"))
+        half = F.substring("value", 1, F.floor(F.length("value") / 2).cast("int"))
+        b = b.withColumn("value", F.when(F.col("o_orderpriority") == "5-LOW", half).otherwise(F.col("value")))
+    return b.drop("o_orderpriority")

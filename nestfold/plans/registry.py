@@ -22,7 +22,8 @@ def register(name: str, sql: str | None = None):
 
         @functools.wraps(fn)
         def run(spark, sf_dir):
-            return fn(tuned(spark), sf_dir.rstrip("/"))
+            sf_dir = sf_dir.rstrip("/")
+            return fn(tuned(spark, sf_dir), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:

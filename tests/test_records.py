@@ -57,3 +57,37 @@ def test_large_hot_set_takes_the_shuffle_path(spark, monkeypatch):
     a = flatten(whole.select("id", "lines"), prefix="Order")
     b = flatten(paged.select("id", "lines"), prefix="Order")
     assert _rows(a) == _rows(b)
+
+
+def test_lines_are_shuffled_and_sorted_once(spark):
+    from nestfold.plans.records import bundle_texts
+    from nestfold.session import tuned
+
+    for build in (order_records, bundle_texts):
+        plan = build(tuned(spark), SF001)._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning(l_orderkey") == 1
+        assert "ObjectHashAggregate" not in plan  # lists are built behind the sort
+
+
+def test_shuffle_partitions_follow_the_input(spark, monkeypatch):
+    import nestfold.session as session
+
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert int(session.tuned(spark, SF001).conf.get(session.INITIAL_PARTITIONS)) == least
+    monkeypatch.setattr(session, "PARTITION_INPUT_BYTES", 1000)
+    assert int(session.tuned(spark, SF001).conf.get(session.INITIAL_PARTITIONS)) > least
+
+
+def test_lines_of_no_order_form_no_group(spark, localdir):
+    """Lines without an order key belong to no record, however many there are."""
+    import os
+
+    from nestfold.plans.records import bundle_texts
+
+    for t in ("orders", "customer", "lineitem"):
+        os.symlink(f"{SF001}/{t}.parquet", f"{localdir}/{t}.parquet") if t != "lineitem" else None
+    li = spark.read.parquet(f"{SF001}/lineitem.parquet")
+    none = li.limit(1500).withColumn("l_orderkey", F.lit(None).cast("bigint"))
+    li.unionByName(none).write.parquet(f"{localdir}/lineitem.parquet")
+    for build in (order_records, bundle_texts):
+        assert build(spark, localdir).count() == build(spark, SF001).count()
