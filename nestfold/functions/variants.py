@@ -49,12 +49,16 @@ def struct_of(schema: str) -> T.DataType | None:
     return TYPES.get(schema, T.StringType())
 
 
-def infer_schemas(df: DataFrame, text: str, by: str) -> dict:
+def infer_schemas(df: DataFrame, text: str, by: str, sizes: dict | None = None) -> dict:
     """The schema of the JSON records in ``text`` for each value of ``by``, from
     all records in one scan: schemas merge in partial aggregates, and the
-    driver gets one row per value. Texts that are no JSON object are left out."""
+    driver gets one row per value. Texts that are no JSON object are left out.
+    ``sizes`` is given the bytes of each value's records as plain lines."""
     v = F.try_parse_json(q(text))
-    found = df.groupBy(q(by).alias("by")).agg(F.schema_of_variant_agg(v).alias("s")).collect()
+    n_bytes = F.sum(F.octet_length(q(text)) + 1).alias("n_bytes")
+    found = df.groupBy(q(by).alias("by")).agg(F.schema_of_variant_agg(v).alias("s"), n_bytes).collect()
+    if sizes is not None:
+        sizes.update({r["by"]: r["n_bytes"] or 0 for r in found})
     out = {}
     for r in found:
         kind = struct_of(r["s"]) if r["s"] else None

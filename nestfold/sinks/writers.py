@@ -16,17 +16,22 @@ from nestfold.operators.flatten import flatten, q
 from nestfold.sinks.packed import write_packed
 
 
-def write_ndjson(df: DataFrame, path: str, json_col: str | None = None, partition_by=None, mode: str = "overwrite"):
+#: Codec of JSON lines that only later steps read; readers know it by the ending.
+#: Each task writes files of its own, so that none need be split.
+STAGED_CODEC = "snappy"
+
+
+def write_ndjson(df: DataFrame, path: str, json_col: str | None = None, partition_by=None, mode: str = "overwrite", compression: str = "none"):
     """One JSON object per line. ``json_col`` names a column that already
     holds JSON text (written verbatim); otherwise each row is serialised."""
     if json_col is None:
-        w = df.write.mode(mode).options(**JSON_WRITE_OPTIONS)
+        w = df.write.mode(mode).options(**JSON_WRITE_OPTIONS).option("compression", compression)
         if partition_by:
             w = w.partitionBy(*partition_by)
         w.json(path)
         return path
     cols = list(partition_by or []) + [F.col(json_col).alias("value")]
-    w = df.select(*cols).write.mode(mode)
+    w = df.select(*cols).write.mode(mode).option("compression", compression)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.text(path)
@@ -100,7 +105,8 @@ def write_types(entries: DataFrame, raw: str) -> dict[str, str]:
         F.col("res_data"),
         F.lit("}"),
     )
-    entries.select("res_name", text.alias("value")).write.mode("errorifexists").partitionBy("res_name").text(raw)
+    staged = entries.select("res_name", text.alias("value")).write.mode("errorifexists").option("compression", STAGED_CODEC)
+    staged.partitionBy("res_name").text(raw)
     # the types are the partition folders just written: one directory listing;
     # a folder's name may be an escaped form of the type
     found = {}
@@ -116,11 +122,6 @@ def _fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def _bytes(spark: SparkSession, path: str) -> int:
-    p, fs = _fs(spark, path)
-    return fs.getContentSummary(p).getLength()
-
-
 def _folders(spark: SparkSession, path: str) -> list[str]:
     p, fs = _fs(spark, path)
     return [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
@@ -155,7 +156,8 @@ def write_by_type(
         folders = write_types(entries, raw)
         # one scan of the staged lines gives the schemas of all types
         lines = spark.read.schema("value string, res_name string").text(raw) if folders else None
-        schemas = infer_schemas(lines, "value", "res_name") if folders else {}
+        sizes = {}
+        schemas = infer_schemas(lines, "value", "res_name", sizes) if folders else {}
         for t, folder in folders.items():
             name, column = (UNTYPED, UNTYPED) if t is None else (folder[len("res_name=") :], t)
             recs = spark.read.schema(schemas[t]).json(f"{raw}/{folder}")
@@ -169,7 +171,7 @@ def write_by_type(
             )
             path = f"{out}/{name}"
             if packed_bytes is not None and "_bundle_id" in flat.columns:
-                write_packed(flat, path, "_bundle_id", _bytes(spark, f"{raw}/{folder}"), packed_bytes, mode)
+                write_packed(flat, path, "_bundle_id", sizes[t], packed_bytes, mode)
             else:
                 w = flat.write.mode(mode)
                 (w.partitionBy("_bundle_id") if partition_by_source else w).parquet(path)

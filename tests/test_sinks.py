@@ -107,3 +107,22 @@ def test_overwrite_removes_tables_of_types_that_are_gone(spark, workdir):
     from nestfold.session import path_exists
 
     assert not path_exists(spark, old["A"])
+
+
+def test_staged_lines_are_compressed_and_counted_as_text(spark, workdir):
+    from nestfold.functions.variants import infer_schemas
+    from nestfold.sinks.writers import write_types
+
+    rows = [(str(i), "Line" if i % 3 else None, f'{{"id":"{i}","text":"é same words again"}}') for i in range(2000)]
+    e = spark.createDataFrame(rows, "bundle_id string, res_name string, res_data string")
+    folders = write_types(e, workdir)
+    lines = [f'{{"_bundle_id":"{b}","resource":{d}}}' for b, t, d in rows if t]
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{workdir}/{folders['Line']}")
+    stored = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+    size = sum(len(x.encode()) + 1 for x in lines)
+    assert stored < size / 2
+    staged = spark.read.schema("value string, res_name string").text(workdir)
+    sizes = {}
+    infer_schemas(staged, "value", "res_name", sizes)
+    assert sizes["Line"] == size
+    assert sorted(r["value"] for r in staged.where("res_name = 'Line'").collect()) == sorted(lines)
