@@ -15,7 +15,7 @@ from nestfold.plans.registry import register
 from nestfold.session import landed, scratch_path
 from nestfold.sinks.packed import read_manifest
 from nestfold.sinks.tree import write_tree
-from nestfold.sinks.writers import read_ndjson, write_by_type, write_ndjson
+from nestfold.sinks.writers import STAGED_CODEC, read_ndjson, write_by_type, write_ndjson
 from nestfold.sources.bundles import read_bundles
 from nestfold.sources.files import list_files, source_files
 from nestfold.sources.tables import table
@@ -325,7 +325,7 @@ def q_ndjson_types(spark, sf_dir):
     out = scratch_path(spark, "ndjson-types")
     head = F.regexp_replace(F.to_json(F.struct(F.col("bundle_id").alias("_bundle_id"))), r"\}$", "")
     line = F.concat(head, F.lit(',"resource":'), F.col("res_data"), F.lit("}"))
-    write_ndjson(entries.select("res_name", line.alias("line")), out, json_col="line", partition_by=["res_name"])
+    write_ndjson(entries.select("res_name", line.alias("line")), out, json_col="line", partition_by=["res_name"], compression=STAGED_CODEC)
     schemas = infer_schemas(spark.read.schema("value string, res_name string").text(out), "value", "res_name")
     flats = []
     for t, schema in sorted(schemas.items()):
