@@ -15,7 +15,7 @@ from pyspark.sql.types import (
 )
 
 from nestfold.operators.union import union_drift
-from nestfold.plans.bundle_queries import _TABLES, land_bundles
+from nestfold.plans.bundle_queries import _TABLES, LANDING_CODEC, land_bundles
 from nestfold.plans.registry import register
 from nestfold.session import scratch_path
 from nestfold.sinks.writers import to_json_text
@@ -167,7 +167,7 @@ def q_stream_evolving(spark, sf_dir):
     texts = spark.read.text(land_bundles(spark, sf_dir))
     done = F.coalesce(F.get_json_object("value", "$.status") == "F", F.lit(False))
     for part in (texts.where(done), texts.where(~done)):
-        part.write.mode("append").text(landing)
+        part.write.mode("append").option("compression", LANDING_CODEC).text(landing)
         _run(stream_evolving(spark, landing, root, checkpoint, files_per_trigger=16))
     _, types = registry(spark, root)
     return union_drift([read_type(spark, root, t) for t in sorted(types)])
