@@ -7,7 +7,7 @@ pass splits every bundle without knowing any record type's schema. Files that
 do not parse land in ``_corrupt_record`` and are dropped; roots that are not
 bundles are dropped.
 
-Layouts: ``"file"`` — one bundle per file (read whole, not splittable: many
+Layouts: ``"file"`` — one bundle per file (UTF-8, read whole by one task: many
 small files are packed per task by ``maxPartitionBytes``); ``"lines"`` — one
 bundle per line (NDJSON), splittable, the layout to prefer at scale.
 """
@@ -77,10 +77,28 @@ def _bundles(parsed: DataFrame, others: list, keep_invalid: bool) -> DataFrame:
     return df if keep_invalid else df.where("valid").drop("valid")
 
 
+#: Fixed value: what no JSON text holds, in any encoding (control characters are
+#: escaped in it). As the end of a line it makes a line of each whole file.
+NO_LINE_END = "\x00\x01" * 4
+
+
 def _json_options(reader, layout: str):
+    """With ``multiLine`` the JSON source would open a file again for every
+    ``resource``, to fetch its text by place; of a line it has the bytes."""
     if layout not in ("file", "lines"):
         raise ValueError("layout must be 'file' or 'lines'")
-    return reader.schema(BUNDLE_SCHEMA).option("columnNameOfCorruptRecord", "_corrupt_record").option("multiLine", layout == "file")
+    reader = reader.schema(BUNDLE_SCHEMA).option("columnNameOfCorruptRecord", "_corrupt_record")
+    return reader.option("lineSep", NO_LINE_END) if layout == "file" else reader
+
+
+def _roots(parsed: DataFrame, layout: str) -> DataFrame:
+    """The JSON source gives empty text for the objects in a file of UTF-16 or
+    UTF-32, as their places are counted in characters: such a file is broken."""
+    if layout == "lines":
+        return parsed
+    some = lambda test: F.coalesce(F.exists("entry", lambda e: test(e["resource"])), F.lit(False))
+    lost = some(lambda r: r == "") & ~some(lambda r: r.startswith("{"))
+    return parsed.withColumn("_corrupt_record", F.when(lost, F.lit("")).otherwise(F.col("_corrupt_record")))
 
 
 def read_bundles(spark: SparkSession, path: str, layout: str = "file", keep_invalid: bool = False) -> DataFrame:
@@ -88,10 +106,10 @@ def read_bundles(spark: SparkSession, path: str, layout: str = "file", keep_inva
     (corrupt / non-bundle dropped). The JSON source parses each text once; a
     parse as an expression is repeated in every filter it is pushed into."""
     roots = _json_options(spark.read, layout).json(path)
-    return _bundles(roots.select(F.col("_metadata.file_path").alias("source_file"), "*"), ["source_file"], keep_invalid)
+    return _bundles(_roots(roots, layout).select(F.col("_metadata.file_path").alias("source_file"), "*"), ["source_file"], keep_invalid)
 
 
 def stream_bundles_source(spark: SparkSession, path: str, layout: str, files_per_trigger: int) -> DataFrame:
     """The same over files that land in ``path`` and its sub-folders."""
     reader = spark.readStream.option("maxFilesPerTrigger", files_per_trigger).option("recursiveFileLookup", True)
-    return _bundles(_json_options(reader, layout).json(path), [], False)
+    return _bundles(_roots(_json_options(reader, layout).json(path), layout), [], False)

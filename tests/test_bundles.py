@@ -117,3 +117,22 @@ def test_paged_bundles_hold_every_entry_once(spark):
     assert ids == {r.bundle_id for r in big.select("bundle_id").collect()}  # pages share their order's id
     orders = small.where("page = 0").select("order_id").distinct().count()
     assert orders == spark.read.parquet(f"{SF001}/orders.parquet").count()
+
+
+def test_whole_files_are_read_once_and_resources_keep_their_text(spark, localdir):
+    resource = '{"resourceType": "A",  "x": 1.10, "y": 1E5, "t": "caf\\u00e9 \u00e9"}'
+    text = '{"resourceType": "Bundle",\n"id": "b", "entry": [\n' + ",\n".join(['{"resource": ' + resource + "}"] * 2000) + "]}"
+    whole = {"plain": text.encode(), "mark": b"\xef\xbb\xbf" + text.encode(), "list": f"[{text},\n{text}]".encode()}
+    broken = {"wide": text.encode("utf-16"), "cut": text[:-1].encode(), "half": f"[{text}, 3]".encode(), "blank": b" \n", "none": b""}
+    for name, content in {**whole, **broken}.items():
+        with open(os.path.join(localdir, f"{name}.json"), "wb") as f:
+            f.write(content)
+    read = lambda: spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file").getLong("bytesRead")
+    before = read()
+    entries = explode_entries(read_bundles(spark, localdir, layout="file"), route_by="type").collect()
+    size = sum(map(len, [*whole.values(), *broken.values()]))
+    assert read() - before < 3 * size
+    found = {}
+    for r in entries:
+        found.setdefault(os.path.basename(r.source_file), []).append((r.res_name, r.res_data))
+    assert found == {"plain.json": [("A", resource)] * 2000, "mark.json": [("A", resource)] * 2000, "list.json": [("A", resource)] * 4000}
