@@ -80,7 +80,7 @@ class TreeWriter(DataSourceArrowWriter):
 
         store, base = _store(self.staging)
         _, root = _store(self.root)
-        tree, made = f"{base}/tree", set()
+        tree, made, names = f"{base}/tree", set(), set()
         store.create_dir(tree)
         try:
             with ThreadPoolExecutor(RENAMES) as pool:
@@ -95,12 +95,11 @@ class TreeWriter(DataSourceArrowWriter):
                         store.create_dir(folder)
                         made.add(folder)
 
-                    def move(pair):
-                        if store.get_file_info(pair[1]).type.name != "NotFound":
-                            raise ValueError(f"two rows name the file {pair[1][len(tree) + 1 :]!r}")
-                        store.move(*pair)
-
-                    list(pool.map(move, moves))
+                    for _, to in moves:
+                        if to in names:
+                            raise ValueError(f"two rows name the file {to[len(tree) + 1 :]!r}")
+                        names.add(to)
+                    list(pool.map(lambda pair: store.move(*pair), moves))
             there = store.get_file_info(root).type.name != "NotFound"
             if there and not self.overwrite:
                 raise FileExistsError(f"{self.root} is there already")

@@ -13,14 +13,15 @@ def _binary(spark: SparkSession, path: str, recursive: bool, glob: str | None =
     return (r.option("pathGlobFilter", glob) if glob else r).load(path)
 
 
-def _empty_files(df: DataFrame) -> DataFrame:
+def _empty_files(df: DataFrame, n_read: int | None = None) -> DataFrame:
     """Paths of the files of length 0, which the source lists but does not read.
-    The names are those of the driver's listing, which any read has; they go
-    to tasks only if some file is empty."""
-    spark, names = df.sparkSession, df.inputFiles()
-    read = df.select("path")
-    if len(names) == read.count():
+    The names are those of the driver's listing, which any read has; they leave
+    the JVM, one call each, and go to tasks only if some file is empty.
+    ``n_read`` is the number of the others, where it is known."""
+    spark, read = df.sparkSession, df.select("path")
+    if len(df._jdf.inputFiles()) == (read.count() if n_read is None else n_read):
         return spark.createDataFrame([], "path string")
+    names = df.inputFiles()
     plain = [n if "%" not in n else unquote(n) for n in names]
     same = F.regexp_replace("path", "^([a-z0-9]+):/+", "$1:/")  # file:/x and file:///x
     listed = spark.createDataFrame([(n,) for n in plain], "path string").withColumn("same", same)
@@ -39,12 +40,26 @@ def list_files(spark: SparkSession, path: str, limit: int | None = None, recursi
     return df
 
 
+#: A task reads so many small files, or so many bytes of larger ones: each task
+#: that writes a tree makes folders of its own.
+TASK_FILES, TASK_BYTES = 1000, 128 << 20
+
+
+def _listed_path() -> Column:
+    """A file's path as the listing has it, by which a filter leaves out files
+    that then are not opened (one on the source's own ``path`` reads them all)."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))).alias("path")
+
+
 def read_whole_files(spark: SparkSession, path: str, recursive: bool = True, glob: str | None = None) -> DataFrame:
     """``(path, content BINARY, length)`` — one row per file, bytes as stored;
-    an empty file has empty content."""
+    an empty file has empty content. Files that a filter on ``path`` leaves out
+    are not read."""
     found = _binary(spark, path, recursive, glob)
-    none = _empty_files(found).select("path", F.unhex(F.lit("")).alias("content"), F.lit(0).cast("bigint").alias("length"))
-    return found.select("path", "content", "length").unionByName(none)
+    n, size = found.agg(F.count("*"), F.sum("length")).first()
+    tasks = max(spark.sparkContext.defaultParallelism, n // TASK_FILES, (size or 0) // TASK_BYTES)
+    none = _empty_files(found, n).select("path", F.unhex(F.lit("")).alias("content"), F.lit(0).cast("bigint").alias("length"))
+    return found.select(_listed_path(), "content", "length").coalesce(tasks).unionByName(none)
 
 
 def source_files(df: DataFrame, file_col: str = "source_file") -> DataFrame:

@@ -62,3 +62,18 @@ def test_tree_walk_listing_and_side_text(spark, localdir):
     out = {os.path.basename(r.path): r.t for r in sel.select("path", normalise_newlines(decode_bom(F.col("content"))).alias("t")).collect()}
     assert out == {"one.sql": "select 1;\n", "two.sql": "select 2;\n"}
     assert read_side_text(spark, os.path.join(localdir, "top.txt")) == "t"
+
+
+def test_files_that_a_path_filter_leaves_out_are_not_read(spark, localdir):
+    os.mkdir(os.path.join(localdir, "a b"))
+    for i in range(200):
+        with open(os.path.join(localdir, "a b", f"{i}+%20#é.{'SQL' if i < 20 else 'html'}"), "wb") as f:
+            f.write(b"x" * 50_000)
+    read = lambda: spark._jvm.org.apache.hadoop.fs.FileSystem.getGlobalStorageStatistics().get("file").getLong("bytesRead")
+    files = read_whole_files(spark, localdir)
+    before = read()
+    selected, others = filter_paths(files, "path")
+    rows = selected.collect()
+    assert sorted(os.path.basename(r.path) for r in rows) == sorted(f"{i}+%20#é.SQL" for i in range(20))
+    assert read() - before < 200 * 50_000 / 4
+    assert others.count() == 180 and files.count() == 200
