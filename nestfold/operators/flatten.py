@@ -283,7 +283,8 @@ def flatten(
     """
     if mode == "explode":
         sep = "_" if sep is None else sep
-        if max_fanout is not None:
+        # without an array each record is one row: nothing to measure
+        if max_fanout is not None and (max_fanout < 1 or "array<" in df.schema.simpleString()):
             worst = df.agg(F.max(fanout_expr(df)).alias("m")).first()["m"] or 0
             if worst > max_fanout:
                 raise ValueError(

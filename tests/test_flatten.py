@@ -166,3 +166,16 @@ def test_max_fanout_guard_raises_instead_of_dropping(spark):
     assert flatten(df, max_fanout=45).count() == 45
     with pytest.raises(ValueError, match="45 rows"):
         flatten(df, max_fanout=44)
+
+
+def test_fanout_of_records_without_arrays_is_not_measured(spark):
+    flat, nested = spark.range(10).selectExpr("id", "struct(id AS a) AS s"), spark.range(10).selectExpr("id", "array(id, id) AS s")
+    sc = spark.sparkContext
+    try:
+        sc.setJobGroup("no-arrays", "")
+        assert flatten(flat, max_fanout=1).columns == ["id", "s_a"]
+        assert len(sc.statusTracker().getJobIdsForGroup("no-arrays")) == 0
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    with pytest.raises(ValueError, match="explodes to 2 rows"):
+        flatten(nested, max_fanout=1)
