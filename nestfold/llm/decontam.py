@@ -3,6 +3,8 @@ functions only."""
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,9 @@ ANCHORS = 2
 #: Percent of a window's words that a near match holds, and its rarest terms that
 #: must meet before its text is looked at.
 SHARE, MET = 80, 3
+#: Bytes of text that a task compares with the items' rarest terms. A word may stand
+#: for places of many items, so a task groups several times the size of its texts.
+NEAR_BYTES = 2 << 20
 #: Stands behind each document's last word; no word is empty.
 STOP = ""
 
@@ -57,10 +62,14 @@ def build_index(docs: DataFrame, vocabulary: DataFrame | None = None, id_col: st
     return store(posts, "decontam-index")
 
 
-def _anchors(index: DataFrame, windows: DataFrame, k: int) -> DataFrame:
+def counts_of(index: DataFrame) -> DataFrame:
+    """``term``, ``n``: how often each term of the index occurs."""
+    return store(index.where(F.col("term") != STOP).groupBy("term").agg(F.count("*").alias("n")), "decontam-counts")
+
+
+def _anchors(counts: DataFrame, windows: DataFrame, k: int) -> DataFrame:
     """``wid``, ``offset``, ``term`` of the ``k`` rarest terms of each window that
     can occur at all: windows with a term that no document has drop out."""
-    counts = store(index.where(F.col("term") != STOP).groupBy("term").agg(F.count("*").alias("n")), "decontam-counts")
     terms = terms_of(windows).join(counts, "term", "left")
     order = Window.partitionBy("wid").orderBy("n", "term", "offset")
     ranked = terms.withColumn("rank", F.row_number().over(order)).withColumn("least", F.min(F.coalesce("n", F.lit(0))).over(Window.partitionBy("wid")))
@@ -74,34 +83,37 @@ def _hits(index: DataFrame, anchors: DataFrame) -> DataFrame:
     return met.select("doc", "version", "wid", (F.col("pos") - F.col("offset")).alias("start"), "rank")
 
 
-def phrase_candidates(index: DataFrame, windows: DataFrame, k: int = ANCHORS) -> DataFrame:
+def phrase_candidates(index: DataFrame, windows: DataFrame, k: int = ANCHORS, counts: DataFrame | None = None) -> DataFrame:
     """Places where the lists of a window's ``k`` rarest terms intersect after
-    adjusting for the offsets: ``doc``, ``version``, ``wid``, ``start``."""
-    anchors = store(_anchors(index, windows, k), "decontam-anchors")
+    adjusting for the offsets: ``doc``, ``version``, ``wid``, ``start``.
+    ``counts`` is ``counts_of(index)`` where that is stored already."""
+    anchors = store(_anchors(counts_of(index) if counts is None else counts, windows, k), "decontam-anchors")
     need = anchors.groupBy("wid").agg(F.count("*").alias("need"))
     met = _hits(index, anchors).groupBy("doc", "version", "wid", "start").agg(F.count("*").alias("got"))
     return met.join(few(need), "wid").where("got >= need").select("doc", "version", "wid", "start")
 
 
 def proximity_matches(docs: DataFrame, index: DataFrame, items: DataFrame, n: int = WINDOW, slack: int = 5, share: int = SHARE, k: int | None = None,
-                      id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+                      id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", counts: DataFrame | None = None) -> DataFrame:
     """Documents and windows of items where ``share`` percent of all words of the
     window stand within ``slack`` words of their places, on as many words of the
     text: ``doc``, ``version``, ``wid``. A term that no document has counts as
-    missing. ``index`` is that of ``docs``.
+    missing. ``index`` is that of ``docs``, ``counts`` its ``counts_of`` where
+    that is stored already.
 
     If ``len - need`` words of a window may be missing, ``MET`` of its ``len -
     need + MET`` rarest stand there (``k`` looks at more). Neighbouring windows share
     their words, so lists are intersected once an item: places of its windows'
     rarest terms, each moved by the term's place in the item, that fall within
-    a stretch of the text. A group of them is five numbers, however many meet.
+    a stretch of the text. A group of them is five numbers, however many meet;
+    a task has the groups of ``NEAR_BYTES`` of text, however large the corpus.
     The words around are then cut out of their texts; if they hold enough of
     the item's words at all, each window is compared with each start between
     the terms met."""
     spread = 2 * slack + 1
     texts = items.where(F.col(item_col).isNotNull()).select(F.col(item_col).alias("item"), words_of(F.col(item_text)).alias("v")).where(F.size("v") > 0)
     texts = store(texts.distinct().withColumn("len", F.least(F.size("v"), F.lit(n))).withColumn("need", F.ceil(F.col("len") * share / 100).cast("int")), "decontam-items")
-    counts = index.where(F.col("term") != STOP).groupBy("term").agg(F.count("*").alias("n"))
+    counts = counts_of(index) if counts is None else counts
     each = texts.withColumn("j", F.explode(F.sequence(F.lit(0), F.size("v") - F.col("len"))))
     each = each.select("item", "j", "len", "need", F.xxhash64("v").alias("text"), F.posexplode(F.slice("v", F.col("j") + 1, F.col("len"))).alias("offset", "term"))
     rarest = Window.partitionBy("item", "text", "j").orderBy(F.coalesce("n", F.lit(0)), "term", "offset")
@@ -112,7 +124,7 @@ def proximity_matches(docs: DataFrame, index: DataFrame, items: DataFrame, n: in
 
     # dealt by document as texts: all that follows is grouped where it is made
     own = docs.select(F.col(id_col).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("version"), F.col(text_col).alias("body"))
-    posts = own.repartition("doc", "version").select("doc", "version", F.posexplode(words_of(F.col("body"))).alias("pos", "term"))
+    posts = own.repartition(near_parts(own), "doc", "version").select("doc", "version", F.posexplode(words_of(F.col("body"))).alias("pos", "term"))
     hits = posts.join(few(anchors), "term").withColumn("start", F.col("pos") - F.col("place"))
     stretch = F.floor(F.col("start") / spread).cast("int")
     met = hits.withColumn("at", F.explode(F.array(stretch - 1, stretch))).groupBy("doc", "version", "item", "text", "need", "at")
@@ -149,6 +161,13 @@ def proximity_matches(docs: DataFrame, index: DataFrame, items: DataFrame, n: in
     return found.select("doc", "version", F.xxhash64(F.array_join(F.slice("v", F.col("j") + 1, F.col("len")), " ")).alias("wid")).distinct()
 
 
+def near_parts(texts: DataFrame) -> int:
+    """Tasks over ``body``, of ``NEAR_BYTES`` each. A number that is given stays:
+    partitions joined by their size as texts would hold groups beyond memory."""
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("body").cast("long")), F.lit(0))).first()[0]
+    return max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / NEAR_BYTES))
+
+
 def few(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits(df) else df
 
@@ -172,7 +191,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """
     windows = store(windows_of(items, n=n), "decontam-windows")
     index = build_index(docs, terms_of(windows).select("term"), id_col, text_col)
-    found = phrase_candidates(index, windows)
+    counts = counts_of(index)
+    found = phrase_candidates(index, windows, counts=counts)
     found = found.join(few(windows), "wid")
     found = found.groupBy("doc", "version").agg(F.collect_set(F.struct("start", "len", "phrase", "items")).alias("found"))
 
@@ -199,7 +219,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     items_of = F.coalesce("items", F.array().cast("array<string>"))
     n_near = []
     if near:
-        close = proximity_matches(docs, index, items, n, id_col=id_col, text_col=text_col).groupBy("doc", "version").agg(F.count_distinct("wid").alias("n_near"))
+        close = proximity_matches(docs, index, items, n, id_col=id_col, text_col=text_col, counts=counts).groupBy("doc", "version").agg(F.count_distinct("wid").alias("n_near"))
         both = both.join(store(close, "decontam-near").alias("c"), F.expr("e.doc <=> c.doc AND e.version = c.version"), "left")
         n_near = [F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near")]
     return both.select(

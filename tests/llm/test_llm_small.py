@@ -4,12 +4,14 @@ and very long texts, ties, repeated rows, empty tables, clashing columns."""
 import gzip
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from nestfold.llm import chat, common, components, decontam, dedup, jaccard, lm, mixing, simple8b, tokens, toxicity, urls, warc
 from nestfold.session import scratch_path
@@ -127,6 +129,25 @@ def test_decontamination_near_matches(spark):
     assert len(out) == len(docs)
 
 
+def test_near_matches_group_a_bounded_part_of_the_texts_in_a_task(spark, monkeypatch):
+    a = [f"t{i}" for i in range(10)]
+    docs = docs_of(spark, [(i, " ".join(["q"] * i + a[:5] + ["new"] + a[6:])) for i in range(40)])
+    items = spark.createDataFrame([(1, " ".join(a))], "item_id long, text string")
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0]
+    monkeypatch.setattr(decontam, "NEAR_BYTES", size // 37, raising=False)
+    plans, store = {}, common.store
+
+    def spy(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return store(df, name)
+
+    monkeypatch.setattr(decontam, "store", spy)
+    out = decontam.decontaminate(docs, items, near=True).collect()
+    assert sorted((r["doc_id"], r["n_hit"], r["n_near"]) for r in out) == [(i, 0, 1) for i in range(40)]
+    parts = [int(n) for n in re.findall(r"hashpartitioning\(doc#\w+, version#\w+, (\d+)\), REPARTITION_BY_NUM", plans["decontam-places"])]
+    assert parts and min(parts) >= 37
+
+
 # -- n-gram Jaccard ---------------------------------------------------------
 
 
