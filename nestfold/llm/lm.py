@@ -99,76 +99,109 @@ def start(counts: np.ndarray) -> np.ndarray:
 MOST = 80.0
 
 
-def _softmax(z):
-    """``z`` becomes the softmax of its rows."""
-    np.minimum(z, MOST, out=z)
-    np.exp(z, out=z)
-    z *= (1 / (z @ np.ones(z.shape[1], z.dtype)))[:, None]
+def _below_most(z):
+    """``z``, cut at ``MOST`` in place where anything passes it."""
+    return np.minimum(z, MOST, out=z) if z.size and not z.max() <= MOST else z
+
+
+def _softmax(z, scale=1.0):
+    """``z`` becomes the softmax of its rows, times ``scale``."""
+    np.exp(_below_most(z), out=z)
+    z *= (z.dtype.type(scale) / (z @ np.ones(z.shape[1], z.dtype)))[:, None]
     return z
 
 
 OFFSETS = np.array([*range(-SIDE, 0), *range(1, SIDE + 1)])
+#: Positions that are multiplied by a place's weights as one row.
+LANES = 64
+
+
+def _shifts(x):
+    """Rows of ``x`` as seen by each neighbour, ``LANES`` positions a row."""
+    flat, size = x.reshape(-1), (len(x) - 2 * SIDE) * WIDTH
+    return [flat[(SIDE + o) * WIDTH :][:size].reshape(-1, LANES * WIDTH) for o in OFFSETS.tolist()]
+
+
+def _around(p, ids, begin, end):
+    """The words of positions ``begin`` to ``end`` and ``SIDE`` on either side,
+    filled up with word 0 to whole rows of ``LANES``; their embeddings, the
+    weights of each place as such rows, and the weighted sum of each position's
+    neighbours."""
+    words = np.concatenate([ids[begin - SIDE : end + SIDE], np.zeros((begin - end) % LANES, ids.dtype)])
+    e, weights = p["embed"][words], np.tile(p["place"], LANES)
+    shifts = _shifts(e)
+    h = shifts[0] * weights[0]
+    term = np.empty_like(h)
+    for x, w in zip(shifts[1:], weights[1:]):
+        h += np.multiply(x, w, out=term)
+    return words, e, weights, h.reshape(-1, WIDTH)
 
 
 def forward(p, ids, at, gradient=None):
     """Log-probabilities of the ascending positions ``at`` of ``ids`` from the
-    words around. With ``gradient``, arrays like ``p``, it also adds the gradient
-    of their negative mean.
+    words around. With ``gradient``, arrays like ``p``, it adds the gradient of
+    their negative mean to it instead.
 
     Words are looked up once for the whole stretch of positions; a neighbour is
     a shift of it, forward and back."""
     if not len(at):
         return np.zeros(0, p["inner"].dtype)
-    begin, end = at[0], at[-1] + 1
-    words = ids[begin - SIDE : end + SIDE]
-    e, n = p["embed"][words], end - begin
-    h = np.zeros((n, WIDTH), e.dtype)
-    for w, o in zip(p["place"], OFFSETS):
-        h += e[SIDE + o : SIDE + o + n] * w
-    place = at - begin
+    begin = at[0]
+    words, e, weights, h = _around(p, ids, begin, at[-1] + 1)
+    n, place = len(h), at - begin
     order = np.argsort((ids[at] >> 6).astype(np.uint16), kind="stable")
     target, place = ids[at[order]], place[order]
-    h = np.tanh(h[place] + p["inner"])
+    h = h[place]
+    h += p["inner"]
+    np.tanh(h, out=h)
     c, m, rows = target >> 6, target & 63, np.arange(len(at))
-    cuts = np.searchsorted(c, np.arange(CLASSES + 1))
-    live = np.flatnonzero(np.diff(cuts))
-    pc = _softmax(h @ p["to_class"] + p["class"])
-    pm = p["member"][c]
-    for k in live:
-        own = slice(cuts[k], cuts[k + 1])
-        pm[own] += h[own] @ p["to_member"][k]
-    pm = _softmax(pm)
-    logp = np.empty(len(at), h.dtype)
-    logp[order] = np.log(np.maximum(pc[rows, c], 1e-30)) + np.log(np.maximum(pm[rows, m], 1e-30))
-    if gradient is not None:
-        pc[rows, c] -= 1
-        pm[rows, m] -= 1
-        gradient["to_class"] += h.T @ pc / len(at)
-        gradient["class"] += pc.sum(0) / len(at)
-        gradient["member"][live] += np.add.reduceat(pm, cuts[live]) / len(at)
-        dh = pc @ p["to_class"].T
-        for k in live:
-            own = slice(cuts[k], cuts[k + 1])
-            gradient["to_member"][k] += h[own].T @ pm[own] / len(at)
-            dh[own] += pm[own] @ p["to_member"][k].T
-        dh *= (1 - h * h) / len(at)
-        gradient["inner"] += dh.sum(0)
-        back = np.zeros((n, WIDTH), dh.dtype)
-        back[place] = dh
-        de = np.zeros(e.shape, dh.dtype)
-        for j, (w, o) in enumerate(zip(p["place"], OFFSETS)):
-            near = slice(SIDE + o, SIDE + o + n)
-            gradient["place"][j] += np.einsum("bd,bd->d", back, e[near])
-            de[near] += back * w
-        by = np.argsort(words.astype(np.uint16), kind="stable")
-        first = np.flatnonzero(np.diff(words[by], prepend=-1))
-        gradient["embed"][words[by][first]] += np.add.reduceat(de[by], first)
-    return logp
+    cuts = np.searchsorted(c, np.arange(CLASSES + 1)).tolist()
+    live = [(k, slice(lo, hi)) for k, (lo, hi) in enumerate(zip(cuts, cuts[1:])) if lo < hi]
+    share = 1.0 if gradient is None else 1 / len(at)
+    pc = h @ p["to_class"]
+    pc += p["class"]
+    _softmax(pc, share)
+    pm = np.empty((len(at), MEMBERS), h.dtype)
+    for k, own in live:
+        part = np.matmul(h[own], p["to_member"][k], out=pm[own])
+        part += p["member"][k]
+    _softmax(pm, share)
+    if gradient is None:
+        logp = np.empty(len(at), h.dtype)
+        logp[order] = np.log(np.maximum(pc[rows, c], 1e-30)) + np.log(np.maximum(pm[rows, m], 1e-30))
+        return logp
+    pc[rows, c] -= h.dtype.type(share)
+    pm[rows, m] -= h.dtype.type(share)
+    ones = np.ones(len(at), h.dtype)
+    gradient["to_class"] += h.T @ pc
+    gradient["class"] += ones @ pc
+    dh = pc @ p["to_class"].T
+    for k, own in live:
+        some, mine = h[own], pm[own]
+        gradient["to_member"][k] += some.T @ mine
+        gradient["member"][k] += ones[own] @ mine
+        dh[own] += mine @ p["to_member"][k].T
+    h *= h
+    np.subtract(1, h, out=h)
+    dh *= h
+    gradient["inner"] += ones @ dh
+    back = np.zeros((n, WIDTH), dh.dtype)
+    back[place] = dh
+    de = np.zeros(e.shape, dh.dtype)
+    lanes, term = back.reshape(-1, LANES * WIDTH), np.empty((n // LANES, LANES * WIDTH), dh.dtype)
+    for j, (x, w, o) in enumerate(zip(_shifts(de), weights, OFFSETS)):
+        gradient["place"][j] += np.einsum("bd,bd->d", back, e[SIDE + o : SIDE + o + n])
+        x += np.multiply(lanes, w, out=term)
+    by = np.argsort(words.astype(np.uint16), kind="stable")
+    ordered = words[by]
+    first = np.flatnonzero(np.diff(ordered, prepend=-1))
+    gradient["embed"][ordered[first]] += np.add.reduceat(de[by], first)
+    return None
 
 
 def _log_share(z, k):
     """Log-softmax of ``z`` at column ``k`` of each row."""
-    np.minimum(z, MOST, out=z)
+    _below_most(z)
     picked = z[np.arange(len(z)), k]
     np.exp(z, out=z)
     return picked - np.log(z @ np.ones(z.shape[1], z.dtype))
@@ -184,21 +217,23 @@ class Scorer:
         p = self.p
         if not len(at):
             return np.zeros(0, p["inner"].dtype)
-        begin, n = at[0], at[-1] + 1 - at[0]
-        e = p["embed"][ids[begin - SIDE : begin + n + SIDE]]
-        h = np.zeros((n, WIDTH), e.dtype)
-        for w, o in zip(p["place"], OFFSETS):
-            h += e[SIDE + o : SIDE + o + n] * w
+        h = _around(p, ids, at[0], at[-1] + 1)[3]
         target = ids[at]
         order = np.argsort((target >> 6).astype(np.uint16), kind="stable")
         target = target[order]
-        h = np.tanh(h[at[order] - begin] + p["inner"])
+        h = h[at[order] - at[0]]
+        h += p["inner"]
+        np.tanh(h, out=h)
         c, m = target >> 6, target & 63
-        inside = _log_share(h @ p["to_class"] + p["class"], c)
-        cuts = np.searchsorted(c, np.arange(CLASSES + 1))
-        for k in np.flatnonzero(np.diff(cuts)):
-            own = slice(cuts[k], cuts[k + 1])
-            inside[own] += _log_share(h[own] @ p["to_member"][k] + p["member"][k], m[own])
+        z = h @ p["to_class"]
+        z += p["class"]
+        inside = _log_share(z, c)
+        cuts = np.searchsorted(c, np.arange(CLASSES + 1)).tolist()
+        for k, (lo, hi) in enumerate(zip(cuts, cuts[1:])):
+            if lo < hi:
+                part = np.matmul(h[lo:hi], p["to_member"][k], out=z[lo:hi])
+                part += p["member"][k]
+        inside += _log_share(z, m)
         logp = np.empty(len(at), h.dtype)
         logp[order] = inside
         return logp
